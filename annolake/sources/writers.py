@@ -116,3 +116,50 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 def append_results(results: DataFrame, path: str) -> None:
     """Append result documents; readers take the newest per id."""
     results.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def nest_records(images: DataFrame, annotations: DataFrame, per_record: int = 1000) -> DataFrame:
+    """Image records with nested annotations; an image with very many gets several records.
+
+    The number of records of an image follows its annotation count, and annotations are
+    spread over them by hash, so no group exceeds about ``per_record``.
+    """
+    keys = ["source_split", "image_id"]
+    counts = annotations.groupBy(*keys).agg(F.count("*").alias("_n"))
+    records = images.join(counts, keys, "left").withColumn(
+        "_parts", F.greatest(F.ceil(F.coalesce("_n", F.lit(0)) / per_record), F.lit(1)).cast("int")
+    )
+    spread = annotations.join(records.select(*keys, "_parts"), keys).withColumn(
+        "_part", F.pmod(F.xxhash64(*annotations.columns), F.col("_parts")).cast("int")
+    )
+    item = F.struct(
+        F.col("annotation_id").alias("id"), "image_id", "category_id", "class_id", "category_name",
+        F.array("x", "y", "w", "h").alias("bbox_coco"),
+        F.array("yolo.xc", "yolo.yc", "yolo.w", "yolo.h").alias("bbox_yolo"),
+        (F.col("w") * F.col("h")).alias("area"),
+    )
+    nested = spread.groupBy(*keys, "_part").agg(F.collect_list(item).alias("annotations"))
+    return (
+        records.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .join(nested, [*keys, "_part"], "left")
+        .withColumn("annotations", F.coalesce("annotations", F.array()))
+        .drop("_n", "_parts", "_part")
+    )
+
+
+def array_documents(rows: DataFrame, section: str | None = None, per_document: int = 20_000, **constants) -> DataFrame:
+    """Rows as JSON arrays (or objects with one array ``section``), many rows per document."""
+    parts = F.greatest(F.ceil(rows.agg(F.count("*").alias("n")).select("n").scalar() / per_document), F.lit(1))
+    items = F.collect_list(F.struct(*rows.columns))
+    body = items if section is None else F.struct(items.alias(section), *[v.alias(k) for k, v in constants.items()])
+    return (
+        rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
+        .groupBy("_part")
+        .agg(F.to_json(body).alias("value"))
+        .select("value")
+    )
+
+
+def write_text_files(lines: DataFrame, path: str, per_file: int) -> None:
+    """Text lines (column ``value``) with at most ``per_file`` lines in a file."""
+    lines.select("value").write.option("maxRecordsPerFile", per_file).text(path)

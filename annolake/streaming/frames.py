@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -115,12 +117,22 @@ def batch_predict(
     rows: DataFrame,
     make_predictor: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
     schema: str,
+    model_key: str = "default",
 ) -> DataFrame:
-    """Run a caller's predictor over Arrow batches; the model is made once per task."""
+    """Run a caller's predictor over Arrow batches.
+
+    The predictor is made once per Python worker and reused by its later tasks.
+    """
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predictor = make_predictor()
+        made = vars(sys).setdefault("_annolake_predictors", {})
+        if model_key not in made:
+            made[model_key] = make_predictor()
         for batch in batches:
-            yield predictor(batch)
+            yield made[model_key](batch)
 
     return rows.mapInPandas(predict, schema)
+
+
+# Workers get these functions by value, so they run where the package is not installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
