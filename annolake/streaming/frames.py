@@ -22,9 +22,6 @@ RATE_OUTPUT = (
 
 def _pace(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Rates of one source; state is the last frame time and at most 20 rates."""
-    if state.hasTimedOut:
-        state.remove()
-        return
     frames = pd.concat(list(batches), ignore_index=True)
     if frames.empty:
         return
@@ -50,18 +47,31 @@ def _pace(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
     )
     kept = history.dropna().tail(MOVING_WINDOW).tolist()
     state.update((int(frames["us"].iloc[-1]), int(nth + len(frames)), kept))
-    state.setTimeoutDuration(3_600_000)
     yield out
 
 
-def stream_moving_fps(frames: DataFrame) -> DataFrame:
-    """Status row per frame with instantaneous and moving rate, state kept per source."""
+def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None) -> DataFrame:
+    """Status row per frame with instantaneous and moving rate, state kept per source.
+
+    ``idle_ms`` forgets a source after that much silence.  It suits a query that runs on;
+    with a processing-time timeout an ``availableNow`` run never finds its end.
+    """
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+    def pace(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if idle_ms is not None and state.hasTimedOut:
+            state.remove()
+            return
+        yield from _pace(key, batches, state)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+
     timed = frames.select(
         "source_id", "event_id", "detection_count", "inference_ms",
         F.unix_micros(F.col("frame_ts").cast("timestamp")).alias("us"),
     )
     return timed.groupBy("source_id").applyInPandasWithState(
-        _pace, RATE_OUTPUT, RATE_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        pace, RATE_OUTPUT, RATE_STATE, "append", timeout
     )
 
 
