@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from annolake.constants import AREA_RANGES, IOU_THRESHOLDS, MAX_DETECTIONS, SUMMARY_METRICS
 from annolake.functions import boxes, names
-from annolake.operators.ordered import with_running_totals
+from annolake.operators.ordered import with_running_totals, with_totals_by_position
 from annolake.session import broadcast_checked, cut_lineage
 
 GROUP = ["image_id", "class_id"]
@@ -319,46 +319,40 @@ def evaluate(gt: DataFrame, detections: DataFrame) -> Evaluation:
     placed = cut_lineage(placed)
 
     # Only matched detections move recall; false positives enter through `position`/`seen`.
-    hits = placed.filter("counted != 0 or ignored != 0")
-    weights = {}
-    for a in range(areas):
-        outside = F.shiftright(F.col("sizes"), a).bitwiseAND(F.lit(1)) == 0
-        for t in range(steps):
-            k = a * steps + t
-            weights[f"tp_{k}"] = _bit("counted", k).cast("long")
-            if a:
-                # An out-of-range detection counts when it matched a counting box, an
-                # in-range one does not when it matched an ignored box.
-                weights[f"adj_{k}"] = (
-                    F.when(outside, _bit("counted", k)).otherwise(-_bit("ignored", k)).cast("long")
-                )
-    running = with_running_totals(hits, ["class_id"], ["position"], weights)
-    points = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("combo"),
-                _bit("counted", k).alias("hit"),
-                F.col(f"tp_{k}").alias("tp"),
-                (
-                    F.col("position") if k < steps else F.col(f"seen_{k // steps}") + F.col(f"adj_{k}")
-                ).alias("kept"),
-            )
-            for k in range(areas * steps)
-        ]
-    )
-    positives = _positives(truth)
-    stacked = positives.select(
-        "class_id", F.inline(F.array(*[F.struct(F.lit(a).alias("area"), F.col(f"npig_{a}").alias("npig")) for a in range(areas)]))
+    # One row per area range and threshold in which the detection hit, or changes what counts:
+    # an out-of-range detection counts when it matched a counting box, an in-range one does
+    # not when it matched an ignored box.
+    bit = lambda mask, index: F.expr(f"shiftright({mask}, {index}) & 1")
+    moves = (
+        placed.filter("counted != 0 or ignored != 0")
+        .withColumn("combo", F.explode(F.sequence(F.lit(0), F.lit(areas * steps - 1))))
+        .withColumn("area", F.floor(F.col("combo") / steps).cast("int"))
+        .withColumn("hit", bit("counted", "combo").cast("long"))
+        .withColumn(
+            "adjust",
+            F.when(F.col("area") == 0, F.lit(0).cast("long"))
+            .when(bit("sizes", "area") == 0, F.col("hit"))
+            .otherwise(-bit("ignored", "combo")),
+        )
+        .filter("hit != 0 or adjust != 0")
+        .select(
+            "class_id", "combo", "area", "position", "rank", "hit", "adjust",
+            F.element_at(F.array("position", *in_range), F.col("area") + 1).alias("seen"),
+        )
     )
+    running = with_totals_by_position(
+        moves, ["class_id", "combo"], "position", {"tp": F.col("hit"), "adjusted": F.col("adjust")}
+    )
+    positives = _positives(truth).select(
+        "class_id",
+        F.posexplode(F.array(*[F.col(f"npig_{a}") for a in range(areas)])).alias("area", "npig"),
+    )
     curve = (
-        running.select("class_id", F.inline(points))
-        .filter("hit = 1")
-        .withColumn("area", F.floor(F.col("combo") / steps).cast("int"))
-        .join(broadcast_checked(stacked), ["class_id", "area"])
-        .filter("npig > 0")
+        running.filter("hit = 1")
+        .join(broadcast_checked(positives), ["class_id", "area"])
         .withColumn("block", _recall_block(F.col("tp"), F.col("npig")))
         .groupBy("class_id", "combo", "block")
-        .agg(F.max(F.col("tp") / F.col("kept")).alias("precision"))
+        .agg(F.max(F.col("tp") / (F.col("seen") + F.col("adjusted"))).alias("precision"))
     )
     # Precision at a recall point is the best precision at or beyond it; a block stands for
     # the recall points after the previous block up to itself.
@@ -370,43 +364,21 @@ def evaluate(gt: DataFrame, detections: DataFrame) -> Evaluation:
         .groupBy("class_id", "combo")
         .agg((F.sum(F.col("_best") * F.col("_width")) / RECALL_POINTS).alias("ap"))
     )
-    totals = hits.groupBy("class_id").agg(
-        *[F.sum(_bit("counted", k)).alias(f"tp_{k}") for k in range(areas * steps)],
-        *[
-            F.sum(F.when(F.col("rank") <= keep, _bit("counted", t)).otherwise(0)).alias(f"top{keep}_{t}")
-            for keep in (1, 10)
-            for t in range(steps)
-        ],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("combo"),
-                F.lit(k // steps).alias("area"),
-                F.lit(k % steps).alias("threshold"),
-                F.col(f"npig_{k // steps}").alias("npig"),
-                F.coalesce(F.col(f"tp_{k}"), F.lit(0)).alias("tp"),
-                *[
-                    (F.coalesce(F.col(f"top{keep}_{k}"), F.lit(0)) if k < steps else F.lit(None).cast("long")).alias(
-                        f"top{keep}"
-                    )
-                    for keep in (1, 10)
-                ],
-            )
-            for k in range(areas * steps)
-        ]
+    totals = moves.groupBy("class_id", "combo").agg(
+        F.sum("hit").alias("tp"),
+        *[F.sum(F.when(F.col("rank") <= keep, F.col("hit")).otherwise(0)).alias(f"top{keep}") for keep in (1, 10)],
     )
+    share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("npig")
     per_class = (
-        positives.join(totals, "class_id", "left")
-        .select("class_id", F.inline(rows))
-        .filter("npig > 0")
+        positives.filter("npig > 0")
+        .withColumn("threshold", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
+        .withColumn("combo", F.col("area") * steps + F.col("threshold"))
+        .join(totals, ["class_id", "combo"], "left")
         .join(average, ["class_id", "combo"], "left")
         .select(
             "class_id", "area", "threshold", "npig",
             F.coalesce("ap", F.lit(0.0)).alias("ap"),
-            (F.col("tp") / F.col("npig")).alias("recall"),
-            (F.col("top1") / F.col("npig")).alias("recall_1"),
-            (F.col("top10") / F.col("npig")).alias("recall_10"),
+            share("tp").alias("recall"), share("top1").alias("recall_1"), share("top10").alias("recall_10"),
         )
     )
     return Evaluation(placed, per_class, truth)
@@ -465,7 +437,7 @@ def pr_curve(evaluation: Evaluation, threshold: int = 0) -> DataFrame:
     """Recall, precision and envelope at each true positive of a class (all sizes)."""
     hits = evaluation.detections.filter(_bit("counted", threshold) == 1)
     npig = evaluation.truth.groupBy("class_id").agg(F.count("*").alias("npig"))
-    ordered = with_running_totals(hits, ["class_id"], ["position"], {"tp": F.lit(1).cast("long")})
+    ordered = with_totals_by_position(hits, ["class_id"], "position", {"tp": F.lit(1).cast("long")})
     points = ordered.join(broadcast_checked(npig), "class_id").select(
         "class_id", "position", "score", "tp",
         (F.col("tp") / F.col("npig")).alias("recall"),

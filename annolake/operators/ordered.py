@@ -92,6 +92,46 @@ def with_rank(
     return with_running_totals(df, keys, order, {name: F.lit(1).cast("long")}, num_chunks)
 
 
+def with_totals_by_position(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    weights: dict[str, Column],
+    chunk_rows: int = HALO_CHUNK_ROWS,
+) -> DataFrame:
+    """Running totals where each row already knows its exact ``position``.
+
+    Chunks then follow from the position alone: no sampling, no checkpoint.  Totals of
+    earlier chunks come from one small aggregate, which is joined on the keys the window
+    needs anyway.
+    """
+    keys = list(keys)
+    staged = df.select(
+        "*",
+        F.floor(F.col(position) / chunk_rows).alias("_chunk"),
+        *[value.alias(f"_w_{name}") for name, value in weights.items()],
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        staged.groupBy(*keys, "_chunk")
+        .agg(*[F.sum(f"_w_{name}").alias(f"_t_{name}") for name in weights])
+        .select(
+            *keys,
+            "_chunk",
+            *[F.coalesce(F.sum(f"_t_{name}").over(earlier), F.lit(0)).alias(f"_c_{name}") for name in weights],
+        )
+    )
+    within = (
+        Window.partitionBy(*keys, "_chunk")
+        .orderBy(position)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return staged.join(carried, [*keys, "_chunk"]).select(
+        *df.columns,
+        *[(F.sum(f"_w_{name}").over(within) + F.col(f"_c_{name}")).alias(name) for name in weights],
+    )
+
+
 def with_lookback(
     df: DataFrame,
     keys: Sequence[str],
