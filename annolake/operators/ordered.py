@@ -145,7 +145,7 @@ def with_lookback(
     Rows already carry an exact ``rank``.  A key is cut into runs of ``chunk_rows`` ranks;
     the last ``lookback`` rows of a run are repeated at the head of the next one, so every
     row still sees its whole look-back although no task holds a whole key.  ``columns``
-    maps a new name to a function from window to Column.
+    maps a new name to a function from window to Column; later ones may use earlier ones.
     """
     position = F.col(rank) - 1
     home = F.floor(position / chunk_rows)
@@ -155,20 +155,33 @@ def with_lookback(
         F.explode(F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))),
     )
     window = Window.partitionBy(*keys, "_run").orderBy(rank)
-    computed = spread.select("*", *[make(window).alias(name) for name, make in columns.items()])
+    computed = spread
+    for name, make in columns.items():
+        computed = computed.withColumn(name, make(window))
     return computed.filter("_run = _home").drop("_run", "_home")
 
 
-def exact_median(df: DataFrame, value: str) -> DataFrame:
-    """One row ``(n, median)``; exact, without holding all values in one buffer."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    running = with_running_totals(counted, [], [value], {"_upto": F.col("_n")})
-    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"))
-    target = total.select("n").scalar()
-    low, high = F.floor((target + 1) / 2), F.floor(target / 2) + 1
+def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Per key: count, min, max, mean and exact median of ``value``.
+
+    Equal values are counted first and the counts ranked in value order, so neither a key
+    nor its list of values has to fit into one task, and the input is read once.
+    """
+    keys = list(keys)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    running = with_running_totals(counted, keys, [value], {"_upto": F.col("_n")})
+    total = running.groupBy(*keys).agg(F.max("_upto").alias("_total"))
+    if keys:
+        joined = running.join(total, keys)
+    else:
+        joined = running.withColumn("_total", total.select("_total").scalar())
+    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     covers = lambda rank: (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-    return running.agg(
-        F.coalesce(F.max("_upto"), F.lit(0)).cast("long").alias("n"),
+    return joined.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("count"),
+        F.min(value).cast("double").alias("min"),
+        F.max(value).cast("double").alias("max"),
+        (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("mean"),
         (
             (F.max(F.when(covers(low), F.col(value))) + F.max(F.when(covers(high), F.col(value)))) / 2.0
         ).alias("median"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolake.constants import ACCEPTED, EXCLUDED, REJECTED, SPLITS
 from annolake.functions import boxes
-from annolake.operators.ordered import exact_median
+from annolake.operators.ordered import value_distribution
 
 
 def accepted(classified: DataFrame) -> DataFrame:
@@ -102,16 +102,34 @@ def represented_classes(classified: DataFrame) -> DataFrame:
 
 def distribution_summary(rows: DataFrame, value: str, approximate: bool = False) -> DataFrame:
     """One row: count, min, max, mean and median; nulls when there are no values."""
-    summary = rows.agg(
+    if not approximate:
+        return value_distribution(rows, [], value)
+    return rows.agg(
         F.count(value).alias("count"),
         F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"),
         F.avg(value).alias("mean"),
-        *([F.percentile_approx(value, 0.5, 10_000).cast("double").alias("median")] if approximate else []),
+        F.percentile_approx(value, 0.5, 10_000).cast("double").alias("median"),
     )
-    if approximate:
-        return summary
-    return summary.withColumn("median", exact_median(rows, value).select("median").scalar())
+
+
+def box_distributions(classified: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Objects per image, normalised box width and height, box area: one pass over each table."""
+    values = F.array(
+        *[
+            F.struct(F.lit(label).alias("distribution"), value.alias("value"))
+            for label, value in (
+                ("bbox_width", F.col("yolo.w")),
+                ("bbox_height", F.col("yolo.h")),
+                ("bbox_area", F.col("clipped.w") * F.col("clipped.h")),
+            )
+        ]
+    )
+    per_image = rollup.select(
+        F.lit("objects_per_image").alias("distribution"), F.col("valid_object_count").cast("double").alias("value")
+    )
+    long = accepted(classified).select(F.inline(values)).unionByName(per_image)
+    return value_distribution(long, ["distribution"], "value")
 
 
 def size_bucket_counts(classified: DataFrame) -> DataFrame:
@@ -174,19 +192,23 @@ def dataset_profile(classified: DataFrame, rollup: DataFrame) -> DataFrame:
         F.max("valid_object_count").alias("max_objects_per_image"),
         F.avg("valid_object_count").alias("mean_objects_per_image"),
     )
-    return _side_by_side(by_annotation, by_image)
+    return side_by_side(by_annotation, by_image)
 
 
-def _side_by_side(*one_row_frames: DataFrame) -> DataFrame:
-    """Columns of several one-row frames in one row."""
+def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row; each frame is computed once."""
     first, *rest = one_row_frames
-    columns: list[Column] = [
-        frame.select(name).scalar().alias(name) for frame in rest for name in frame.columns
-    ]
-    return first.select("*", *columns)
-
-
-side_by_side = _side_by_side
+    packed = first.select(
+        "*",
+        *[
+            frame.select(F.struct(*frame.columns).alias("s")).scalar().alias(f"_frame{i}")
+            for i, frame in enumerate(rest)
+        ],
+    )
+    return packed.select(
+        *first.columns,
+        *[F.col(f"_frame{i}.{name}").alias(name) for i, frame in enumerate(rest) for name in frame.columns],
+    )
 
 
 def label_counts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from annolake.constants import SPLITS
 from annolake.functions import boxes, names
 from annolake.operators.annotate import lint_label_lines
 from annolake.operators.profile import side_by_side
-from annolake.session import broadcast_checked
+from annolake.session import broadcast_checked, cut_lineage
 
 
 def rule(name: str, frame: DataFrame, passed: Column, details: Column) -> DataFrame:
@@ -49,13 +49,21 @@ def split_ratio_check(rows: DataFrame, tolerance: float = 0.001) -> DataFrame:
     )
 
 
-def shared_between_splits(rows: DataFrame, key: Column, split: str = "split") -> DataFrame:
-    """One row: keys that occur in more than one split, counted per pair of splits."""
+def shared_between_splits(rows: DataFrame, keys: dict[str, Column], split: str = "split") -> DataFrame:
+    """One row: per kind of key, how many pairs of splits share a key.  One shuffle for all kinds."""
+    long = rows.select(
+        F.col(split).alias("_split"),
+        F.inline(F.array(*[F.struct(F.lit(kind).alias("_kind"), value.alias("_key")) for kind, value in keys.items()])),
+    )
     n = F.size("_splits")
-    return (
-        rows.groupBy(key.alias("_key"))
-        .agg(F.collect_set(split).alias("_splits"))
-        .agg(F.coalesce(F.sum((n * (n - 1) / 2).cast("long")), F.lit(0)).alias("overlaps"))
+    pairs = long.groupBy("_kind", "_key").agg(F.collect_set("_split").alias("_splits")).select(
+        "_kind", (n * (n - 1) / 2).cast("long").alias("_pairs")
+    )
+    return pairs.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("_pairs"))), F.lit(0)).alias(kind)
+            for kind in keys
+        ]
     )
 
 
@@ -75,8 +83,12 @@ def validation_rules(
     ``label_lines``: label_file, line_no, line.  ``roundtrip``: the one-row comparison of
     label text and source boxes.  ``expected_rows``: one-row frame ``n`` of split rows.
     """
+    # Every rule reads the manifest, and several share one aggregate: compute these once.
+    manifest = cut_lineage(
+        manifest.select("split", "source_split", "image_id", "project_image_path", "project_label_path")
+    )
     present = files.select("path").distinct().withColumn("_there", F.lit(True))
-    checked = (
+    checked = cut_lineage(
         manifest.join(present.withColumnsRenamed({"path": "project_image_path", "_there": "_image"}),
                       "project_image_path", "left")
         .join(present.withColumnsRenamed({"path": "project_label_path", "_there": "_label"}),
@@ -88,9 +100,16 @@ def validation_rules(
         )
     )
     label_errors = lint_label_lines(label_lines, "processed").agg(F.count("*").alias("n"))
-    key_overlap = shared_between_splits(manifest, names.identity_key(F.col("source_split"), F.col("image_id")))
-    image_overlap = shared_between_splits(manifest, F.lower("project_image_path"))
-    label_overlap = shared_between_splits(manifest, F.lower("project_label_path"))
+    overlap = cut_lineage(
+        shared_between_splits(
+            manifest,
+            {
+                "source_key": names.identity_key(F.col("source_split"), F.col("image_id")),
+                "image_path": F.lower("project_image_path"),
+                "label_path": F.lower("project_label_path"),
+            },
+        )
+    )
     ratio = split_ratio_check(manifest)
     spark = manifest.sparkSession
     nothing = spark.range(1).select(F.lit(0).cast("long").alias("n"))
@@ -102,12 +121,13 @@ def validation_rules(
         placeholders = config_texts.filter(text.contains("path\\to") | text.contains("placeholder")).agg(
             F.count("*").alias("n")
         )
+    roundtrip = cut_lineage(roundtrip)
     both = side_by_side(checked, label_errors)
     traced = side_by_side(checked.select("rows"), expected_rows)
     return rule_table(
-        rule("no_image_source_key_leakage", key_overlap, F.col("overlaps") == 0, F.col("overlaps")),
-        rule("no_project_image_path_leakage", image_overlap, F.col("overlaps") == 0, F.col("overlaps")),
-        rule("no_label_path_leakage", label_overlap, F.col("overlaps") == 0, F.col("overlaps")),
+        rule("no_image_source_key_leakage", overlap, F.col("source_key") == 0, F.col("source_key")),
+        rule("no_project_image_path_leakage", overlap, F.col("image_path") == 0, F.col("image_path")),
+        rule("no_label_path_leakage", overlap, F.col("label_path") == 0, F.col("label_path")),
         rule("manifest_paths_exist", checked, (F.col("images") + F.col("labels")) == 0,
              F.col("images") + F.col("labels")),
         rule("label_format_and_ranges", both, (F.col("images") + F.col("labels") + F.col("n")) == 0,
@@ -120,7 +140,7 @@ def validation_rules(
         rule("split_ratios_close_to_80_10_10", ratio, F.col("passed"), F.col("total")),
         rule("source_traceability_present", traced, F.col("rows") == F.col("n"), F.col("rows")),
         rule("no_placeholder_paths", placeholders, F.col("n") == 0, F.col("n")),
-        rule("all_labels_belong_to_single_split", label_overlap, F.col("overlaps") == 0, F.lit("")),
+        rule("all_labels_belong_to_single_split", overlap, F.col("label_path") == 0, F.lit("")),
     )
 
 
@@ -139,9 +159,7 @@ def smoke_rules(
         .agg(F.count("*").alias("n"))
     )
     label_errors = lint_label_lines(label_lines, "smoke").agg(F.count("*").alias("n"))
-    by_source = shared_between_splits(manifest, F.col("source_image_path"))
-    by_name = shared_between_splits(manifest, F.col("image_name"))
-    overlap = side_by_side(by_source, by_name.withColumnRenamed("overlaps", "names"))
+    overlap = shared_between_splits(manifest, {"sources": F.col("source_image_path"), "names": F.col("image_name")})
     return rule_table(
         *[
             rule(f"{split}_image_count", counts, F.col(split) == n, F.col(split))
@@ -149,8 +167,8 @@ def smoke_rules(
         ],
         rule("every_image_has_label", unlabelled, F.col("n") == 0, F.col("n")),
         rule("label_format_and_ranges", label_errors, F.col("n") == 0, F.col("n")),
-        rule("no_smoke_split_leakage", overlap, (F.col("overlaps") + F.col("names")) == 0,
-             F.col("overlaps") + F.col("names")),
+        rule("no_smoke_split_leakage", overlap, (F.col("sources") + F.col("names")) == 0,
+             F.col("sources") + F.col("names")),
         rule("dataset_yaml_resolves", class_count, F.col("n") == expected_classes, F.col("n")),
     )
 
@@ -395,12 +413,16 @@ def model_card(base: DataFrame, **documents: DataFrame | None) -> DataFrame:
     Columns arrive as ``<document>_<column>``; a column listed by several documents is
     also offered once under its own name, the first non-null value winning.
     """
+    packed = base
     offered: dict[str, list[Column]] = {}
     columns: list[Column] = []
     for label, frame in documents.items():
-        for name in frame.columns if frame is not None else []:
-            value = frame.select(name).scalar()
+        if frame is None:
+            continue
+        packed = packed.withColumn(f"_{label}", frame.select(F.struct(*frame.columns).alias("s")).scalar())
+        for name in frame.columns:
+            value = F.col(f"_{label}.{name}")
             columns.append(value.alias(f"{label}_{name}"))
             offered.setdefault(name, []).append(value)
     columns += [F.coalesce(*values).alias(name) for name, values in offered.items() if len(values) > 1]
-    return base.select("*", *columns)
+    return packed.select(*base.columns, *columns)

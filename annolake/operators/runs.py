@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolake.functions import names
-from annolake.operators.ordered import with_lookback, with_rank, with_running_totals
+from annolake.operators.ordered import value_distribution, with_lookback, with_rank
 from annolake.session import broadcast_checked
 
 MOVING_WINDOW = 20
@@ -165,26 +165,6 @@ def frame_fps(frames: DataFrame) -> DataFrame:
     )
 
 
-def grouped_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Exact median per key from value counts; no task holds all values of a key."""
-    keys = list(keys)
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    running = with_running_totals(counted, keys, [value], {"_upto": F.col("_n")})
-    total = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    covers = lambda rank: (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-    return (
-        running.join(total, keys)
-        .filter(covers(low) | covers(high))
-        .groupBy(*keys)
-        .agg(
-            (
-                (F.max(F.when(covers(low), F.col(value))) + F.max(F.when(covers(high), F.col(value)))) / 2.0
-            ).alias("median")
-        )
-    )
-
-
 def latency_benchmark(frames: DataFrame, warmup: int, stages: Sequence[str] = ()) -> DataFrame:
     """Per source, after ``warmup`` frames: latency mean, median, extremes, mean rate, stage means."""
     ranked = with_rank(frames, ["source_id"], ["frame_ts", "event_id"], "_nth")
@@ -198,8 +178,8 @@ def latency_benchmark(frames: DataFrame, warmup: int, stages: Sequence[str] = ()
         F.coalesce(F.avg(rate), F.lit(0.0)).alias("fps_mean"),
         *[F.avg(stage).alias(f"{stage}_mean") for stage in stages],
     )
-    median = grouped_median(measured, ["source_id"], "inference_ms")
-    return summary.join(median.withColumnRenamed("median", "latency_ms_median"), "source_id", "left")
+    median = value_distribution(measured, ["source_id"], "inference_ms")
+    return summary.join(median.select("source_id", F.col("median").alias("latency_ms_median")), "source_id", "left")
 
 
 def class_counts_text(pairs: Column) -> Column:

@@ -889,27 +889,14 @@ def _(d: Plan) -> DataFrame:
     )
 
 
-def _six(frame: DataFrame, *columns: str) -> DataFrame:
-    """Averages depend on the order of addition; six decimals do not."""
-    return frame.withColumns({c: F.round(F.col(c), 6) for c in columns})
+def _stable(frame: DataFrame, *columns: str) -> DataFrame:
+    """Averages depend on the order of addition; nine decimals do not."""
+    return frame.withColumns({c: F.round(F.col(c), 9) for c in columns})
 
 
 @query("distribution_summary")
 def _(d: Plan) -> DataFrame:
-    kept = profile.accepted(d.classified).select(
-        (F.col("clipped.w") * F.col("clipped.h")).alias("area"), F.col("yolo.w").alias("width"), F.col("yolo.h").alias("height")
-    )
-    parts = [
-        ("objects_per_image", d.rollup, "valid_object_count"),
-        ("bbox_width", kept, "width"),
-        ("bbox_height", kept, "height"),
-        ("bbox_area", kept, "area"),
-    ]
-    found = None
-    for label, frame, column in parts:
-        one = profile.distribution_summary(frame.select(column), column).select(F.lit(label).alias("distribution"), "*")
-        found = one if found is None else found.unionByName(one)
-    return _six(found, "mean", "median", "min", "max")
+    return _stable(profile.box_distributions(d.classified, d.rollup), "mean", "median", "min", "max")
 
 
 @query("size_bucket_counts")
@@ -933,7 +920,7 @@ def _(d: Plan) -> DataFrame:
 @query("dataset_profile")
 def _(d: Plan) -> DataFrame:
     one = profile.dataset_profile(d.classified, d.rollup)
-    return _six(one, "mean_width", "mean_height", "mean_area", "mean_objects_per_image")
+    return _stable(one, "mean_width", "mean_height", "mean_area", "mean_objects_per_image")
 
 
 @query("represented_classes")
@@ -964,7 +951,7 @@ def _(d: Plan) -> DataFrame:
 @query("confidence_stats")
 def _(d: Plan) -> DataFrame:
     detections = d.detections.withColumnRenamed("score", "confidence")
-    return _six(runs.confidence_stats(d.images, detections, "image_id"), "mean")
+    return _stable(runs.confidence_stats(d.images, detections, "image_id"), "mean")
 
 
 @query("sample_summary")
@@ -976,20 +963,20 @@ def _(d: Plan) -> DataFrame:
     )
     sample = detections.join(chosen.select("image_id"), "image_id", "left_semi")
     found = runs.sample_summary(chosen.select("image_id", "file_name", "width", "height"), sample, "image_id")
-    return _six(found.withColumn("class_counts", F.coalesce(counts_text("class_counts"), F.lit(""))), "mean")
+    return _stable(found.withColumn("class_counts", F.coalesce(counts_text("class_counts"), F.lit(""))), "mean")
 
 
 @query("video_summary")
 def _(d: Plan) -> DataFrame:
     found = runs.video_summary(d.frames).withColumn("class_counts", counts_text("class_counts"))
-    return _six(found, "average_detections_per_frame", "average_inference_time_ms", "average_processing_fps")
+    return _stable(found, "average_detections_per_frame", "average_inference_time_ms", "average_processing_fps")
 
 
 @query("latency_benchmark")
 def _(d: Plan) -> DataFrame:
     staged = d.frames.withColumn("nms_ms", F.when(F.col("event_id") % 3 == 0, F.col("inference_ms") / 10))
     found = runs.latency_benchmark(staged, warmup=5, stages=["nms_ms"])
-    return _six(found, "latency_ms_mean", "fps_mean", "nms_ms_mean", "latency_ms_median")
+    return _stable(found, "latency_ms_mean", "fps_mean", "nms_ms_mean", "latency_ms_median")
 
 
 @query("identity_hash")
@@ -1047,17 +1034,17 @@ def _(d: Plan) -> DataFrame:
 
 @query("frame_fps")
 def _(d: Plan) -> DataFrame:
-    return _six(runs.frame_fps(d.frames), "instantaneous_fps").select("source_id", "event_id", "frame_index", "instantaneous_fps")
+    return _stable(runs.frame_fps(d.frames), "instantaneous_fps").select("source_id", "event_id", "frame_index", "instantaneous_fps")
 
 
 @query("moving_fps")
 def _(d: Plan) -> DataFrame:
-    return _six(runs.frame_fps(d.frames), "moving_average_fps").select("source_id", "event_id", "frame_index", "moving_average_fps")
+    return _stable(runs.frame_fps(d.frames), "moving_average_fps").select("source_id", "event_id", "frame_index", "moving_average_fps")
 
 
 @query("pr_curve")
 def _(d: Plan) -> DataFrame:
-    return _six(evaluate.pr_curve(d.evaluation), "recall", "precision", "envelope")
+    return _stable(evaluate.pr_curve(d.evaluation), "recall", "precision", "envelope")
 
 
 @query("max_dets_rank")
@@ -1161,8 +1148,13 @@ def _config_texts(d: Plan) -> DataFrame:
 def _validation(d: Plan) -> DataFrame:
     n = d.split_images.agg(F.count("*").alias("n"))
     broken = d.files.filter("size_bytes = 0")
+    name = F.concat_ws("_", "source_split", "file_name")
+    image = F.concat_ws("/", F.lit("images"), name)
+    manifest = d.split_images.select(
+        "split", "source_split", "image_id", image.alias("project_image_path"), names.label_path(image).alias("project_label_path")
+    )
     return quality.validation_rules(
-        d.manifest, d.files, d.label_text_lines, _roundtrip(d, tampered=False), n, broken, _config_texts(d)
+        manifest, d.files, d.label_text_lines, _roundtrip(d, tampered=False), n, broken, _config_texts(d)
     )
 
 
@@ -1386,7 +1378,7 @@ def _streamed(d: Plan, name: str, stream: DataFrame, mode: str = "append") -> Da
 @query("stream_moving_fps")
 def _(d: Plan) -> DataFrame:
     found = _streamed(d, "moving", streams.stream_moving_fps(_frame_stream(d)))
-    return _six(found, "instantaneous_fps", "moving_average_fps").drop("detection_count", "inference_ms")
+    return _stable(found, "instantaneous_fps", "moving_average_fps").drop("detection_count", "inference_ms")
 
 
 @query("stream_class_counts")
@@ -1400,12 +1392,12 @@ def _(d: Plan) -> DataFrame:
 def _(d: Plan) -> DataFrame:
     updates = _streamed(d, "windows", streams.window_rate(_frame_stream(d)), "update")
     newest = updates.groupBy("window_start").agg(F.max_by(F.struct("frames", "detections", "mean_inference_ms"), "batch_id").alias("r"))
-    return _six(newest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "r.*"), "mean_inference_ms")
+    return _stable(newest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "r.*"), "mean_inference_ms")
 
 
 @query("window_rate")
 def _(d: Plan) -> DataFrame:
-    found = _six(streams.window_rate(d.frames), "mean_inference_ms")
+    found = _stable(streams.window_rate(d.frames), "mean_inference_ms")
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 

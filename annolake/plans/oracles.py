@@ -218,8 +218,8 @@ SELECT *, CASE WHEN frame_index > 0 THEN CASE WHEN us > prev THEN 1 / ((us - pre
   FROM fx_frames WINDOW f AS (PARTITION BY source_id ORDER BY frame_ts, event_id))"""
 
 PARTS["rates"] = """
-SELECT source_id, event_id, frame_index, round(coalesce(rate, 0), 6) AS instantaneous_fps,
-  round(coalesce(avg(rate) OVER (PARTITION BY source_id ORDER BY frame_index ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0), 6) AS moving_average_fps FROM paced"""
+SELECT source_id, event_id, frame_index, round(coalesce(rate, 0), 9) AS instantaneous_fps,
+  round(coalesce(avg(rate) OVER (PARTITION BY source_id ORDER BY frame_index ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0), 9) AS moving_average_fps FROM paced"""
 
 PARTS["frame_counts"] = """
 SELECT source_id, string_agg(class_name || ':' || n, ',' ORDER BY class_name) AS class_counts FROM (
@@ -227,8 +227,8 @@ SELECT source_id, string_agg(class_name || ':' || n, ',' ORDER BY class_name) AS
 
 PARTS["videos"] = """
 SELECT f.source_id, count(*) AS processed_frames, CAST(sum(detection_count) AS BIGINT) AS total_detections,
-  round(avg(detection_count), 6) AS average_detections_per_frame, round(avg(inference_ms), 6) AS average_inference_time_ms,
-  round(CASE WHEN sum(inference_ms) > 0 THEN count(*) / (sum(inference_ms) / 1000) ELSE 0 END, 6) AS average_processing_fps, any_value(c.class_counts) AS class_counts
+  round(avg(detection_count), 9) AS average_detections_per_frame, round(avg(inference_ms), 9) AS average_inference_time_ms,
+  round(CASE WHEN sum(inference_ms) > 0 THEN count(*) / (sum(inference_ms) / 1000) ELSE 0 END, 9) AS average_processing_fps, any_value(c.class_counts) AS class_counts
 FROM fx_frames f LEFT JOIN frame_counts c USING (source_id) GROUP BY f.source_id"""
 
 PARTS["train_log"] = """
@@ -431,9 +431,8 @@ SELECT det_id, image_id, CASE WHEN regexp_matches(image_id, '^[0-9]+$') THEN TRY
   ELSE TRY_CAST(nullif(regexp_extract(image_id, '^(train2017|val2017)_([0-9]{12})$', 2), '') AS BIGINT) END AS numeric_id FROM fx_predictions"""
 SQL["label_path_for_image"] = """
 SELECT CASE image_id % 3 WHEN 0 THEN concat('data/images/train/', file_name) WHEN 1 THEN concat('a/images/images/', file_name) ELSE concat('set/photos/day1/', file_name) END AS image_path,
-  CASE image_id % 3 WHEN 0 THEN concat('data/labels/train/', stem) WHEN 1 THEN concat('a/labels/images/', stem) ELSE concat('set/labels/day1/', stem) END AS label_path
+  CASE image_id % 3 WHEN 0 THEN concat('data/labels/train/', stem) WHEN 1 THEN concat('a/labels/images/', stem) ELSE concat('set/photos/labels/day1/', stem) END AS label_path
 FROM (SELECT *, replace(file_name, '.jpg', '.txt') AS stem FROM fx_images)"""
-SQL["label_path_for_image"] = SQL["label_path_for_image"].replace("set/labels/day1/", "set/labels/day1/")
 SQL["portable_basename"] = """
 SELECT image_id, file_name AS source_name, concat(source_split, '_', file_name) AS project_name FROM fx_images"""
 SQL["internal_ids"] = """
@@ -551,8 +550,8 @@ SQL["image_rollup"] = "SELECT * EXCLUDE (name_list) FROM rollup"
 
 def _distribution(label: str, source: str, column: str) -> str:
     return (
-        f"SELECT '{label}' AS distribution, count({column}) AS count, round(CAST(min({column}) AS DOUBLE), 6) AS min, round(CAST(max({column}) AS DOUBLE), 6) AS max, "
-        f"round(avg({column}), 6) AS mean, round(CAST(median({column}) AS DOUBLE), 6) AS median FROM {source}"
+        f"SELECT '{label}' AS distribution, count({column}) AS count, round(CAST(min({column}) AS DOUBLE), 9) AS min, round(CAST(max({column}) AS DOUBLE), 9) AS max, "
+        f"round(avg({column}), 9) AS mean, round(CAST(median({column}) AS DOUBLE), 9) AS median FROM {source}"
     )
 
 
@@ -588,10 +587,10 @@ SQL["dataset_profile"] = """
 SELECT c.*, r.* FROM (SELECT count(*) AS total_annotations, count(*) FILTER (status = 'accepted') AS accepted_annotations, count(*) FILTER (status = 'rejected') AS rejected_annotations,
   count(*) FILTER (status = 'excluded') AS excluded_crowd_annotations, count(*) FILTER (starts_with(reason, 'invalid_bbox')) AS invalid_boxes,
   count(*) FILTER (status = 'accepted' AND bw * bh < 1024) AS small_objects, count(*) FILTER (status = 'accepted' AND bw * bh >= 1024 AND bw * bh < 9216) AS medium_objects,
-  count(*) FILTER (status = 'accepted' AND bw * bh >= 9216) AS large_objects, round(avg(CASE WHEN status = 'accepted' THEN bw / width END), 6) AS mean_width,
-  round(avg(CASE WHEN status = 'accepted' THEN bh / height END), 6) AS mean_height, round(avg(CASE WHEN status = 'accepted' THEN bw * bh END), 6) AS mean_area FROM classified) c,
+  count(*) FILTER (status = 'accepted' AND bw * bh >= 9216) AS large_objects, round(avg(CASE WHEN status = 'accepted' THEN bw / width END), 9) AS mean_width,
+  round(avg(CASE WHEN status = 'accepted' THEN bh / height END), 9) AS mean_height, round(avg(CASE WHEN status = 'accepted' THEN bw * bh END), 9) AS mean_area FROM classified) c,
  (SELECT count(*) AS total_source_images, count(*) FILTER (usable_for_training) AS total_usable_images, count(*) FILTER (valid_object_count = 0) AS images_with_zero_accepted_objects,
-  max(valid_object_count) AS max_objects_per_image, round(avg(valid_object_count), 6) AS mean_objects_per_image FROM rollup) r"""
+  max(valid_object_count) AS max_objects_per_image, round(avg(valid_object_count), 9) AS mean_objects_per_image FROM rollup) r"""
 SQL["represented_classes"] = "SELECT class_id, category_name, count(*) AS annotations FROM accepted GROUP BY ALL"
 SQL["label_counts"] = """
 SELECT f.label_file, coalesce(l.label_lines, 0) AS label_lines, coalesce(l.classes, 0) AS classes
@@ -604,15 +603,15 @@ SELECT image_id, string_agg(name || ':' || n, ',' ORDER BY name) AS class_counts
   SELECT c.image_id, m.name, count(*) AS n FROM converted c JOIN mapping m ON m.class_id = c.class_id GROUP BY ALL) GROUP BY image_id"""
 SQL["detection_class_counts"] = "SELECT * FROM named_counts"
 SQL["confidence_stats"] = """
-SELECT i.image_id, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 6) AS mean FROM fx_images i LEFT JOIN converted c USING (image_id) GROUP BY 1"""
+SELECT i.image_id, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 9) AS mean FROM fx_images i LEFT JOIN converted c USING (image_id) GROUP BY 1"""
 SQL["sample_summary"] = """
-SELECT i.image_id, i.file_name, i.width, i.height, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 6) AS mean, coalesce(any_value(n.class_counts), '') AS class_counts
+SELECT i.image_id, i.file_name, i.width, i.height, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 9) AS mean, coalesce(any_value(n.class_counts), '') AS class_counts
 FROM (SELECT * FROM fx_images WHERE width > 0 AND height > 0 ORDER BY image_id LIMIT 20) i LEFT JOIN converted c USING (image_id) LEFT JOIN named_counts n USING (image_id) GROUP BY 1, 2, 3, 4"""
 SQL["video_summary"] = "SELECT * FROM videos"
 SQL["latency_benchmark"] = """
-SELECT source_id, count(*) AS num_images, round(avg(inference_ms), 6) AS latency_ms_mean, min(inference_ms) AS latency_ms_min, max(inference_ms) AS latency_ms_max,
-  round(coalesce(avg(CASE WHEN inference_ms > 0 THEN 1000 / inference_ms END), 0), 6) AS fps_mean, round(avg(CASE WHEN event_id % 3 = 0 THEN inference_ms / 10 END), 6) AS nms_ms_mean,
-  round(median(inference_ms), 6) AS latency_ms_median
+SELECT source_id, count(*) AS num_images, round(avg(inference_ms), 9) AS latency_ms_mean, min(inference_ms) AS latency_ms_min, max(inference_ms) AS latency_ms_max,
+  round(coalesce(avg(CASE WHEN inference_ms > 0 THEN 1000 / inference_ms END), 0), 9) AS fps_mean, round(avg(CASE WHEN event_id % 3 = 0 THEN inference_ms / 10 END), 9) AS nms_ms_mean,
+  round(median(inference_ms), 9) AS latency_ms_median
 FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY frame_ts, event_id) AS rn FROM fx_frames) WHERE rn > 5 GROUP BY 1"""
 SQL["identity_hash"] = """
 SELECT split, sha256(string_agg(concat(source_split, ':', lpad(CAST(image_id AS VARCHAR), 12, '0')), chr(10) ORDER BY source_split, image_id) || chr(10)) AS sha256, count(*) AS count FROM splits GROUP BY split"""
@@ -648,7 +647,7 @@ SELECT epoch, train_box_loss AS box_loss, precision_ AS precision, recall_ AS re
 SQL["frame_fps"] = "SELECT source_id, event_id, frame_index, instantaneous_fps FROM rates"
 SQL["moving_fps"] = "SELECT source_id, event_id, frame_index, moving_average_fps FROM rates"
 SQL["pr_curve"] = """
-SELECT class_id, CAST(n AS BIGINT) AS position, score, CAST(tp AS BIGINT) AS tp, round(rc, 6) AS recall, round(tp / n, 6) AS precision, round(env, 6) AS envelope FROM curve WHERE area_no = 0 AND t = 0 AND hit"""
+SELECT class_id, CAST(n AS BIGINT) AS position, score, CAST(tp AS BIGINT) AS tp, round(rc, 9) AS recall, round(tp / n, 9) AS precision, round(env, 9) AS envelope FROM curve WHERE area_no = 0 AND t = 0 AND hit"""
 SQL["max_dets_rank"] = "SELECT image_id, class_id, det_id, score, rk AS rank FROM ranked WHERE rk <= 10"
 
 # ---- top-k and sampling ----
@@ -784,7 +783,7 @@ SELECT metric, a.value AS label_value, b.value AS coco_value, round(a.value - b.
 SQL["stream_moving_fps"] = "SELECT source_id, event_id, frame_index, instantaneous_fps, moving_average_fps FROM rates"
 SQL["stream_class_counts"] = "SELECT source_id, class_name, CAST(sum(detection_count) AS BIGINT) AS detections FROM fx_frames GROUP BY ALL"
 _WINDOWS = """
-SELECT date_trunc('hour', frame_ts) AS window_start, count(*) AS frames, CAST(sum(detection_count) AS BIGINT) AS detections, round(avg(inference_ms), 6) AS mean_inference_ms FROM fx_frames GROUP BY 1"""
+SELECT date_trunc('hour', frame_ts) AS window_start, count(*) AS frames, CAST(sum(detection_count) AS BIGINT) AS detections, round(avg(inference_ms), 9) AS mean_inference_ms FROM fx_frames GROUP BY 1"""
 SQL["stream_window_rate"] = _WINDOWS
 SQL["window_rate"] = _WINDOWS
 SQL["stream_result_ingest"] = """
