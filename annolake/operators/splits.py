@@ -128,24 +128,22 @@ def diverse_sample(
         .filter(F.col("_nth") <= k)
         .drop("_nth")
     )
+    texts = lambda items: F.lit(list(items)).cast("array<string>")
+    order: dict[str, int] = {}
     seen: set[str] = set()
-    taken: list[str] = []
-    order = {}
-    while len(taken) < k:
-        unseen = F.size(F.array_except("_set", F.array(*[F.lit(s) for s in sorted(seen)]).cast("array<string>")))
+    while len(order) < k:
+        unseen = F.size(F.array_except("_set", texts(sorted(seen))))
         best = (
-            reduced.filter(~F.col(key).isin(taken) if taken else F.lit(True))
+            reduced.filter(~F.array_contains(texts(order), F.col(key)))
             .orderBy(F.desc(unseen), F.desc(F.size("_set")), F.desc(count_column), "_hash", key)
             .select(key, "_set")
             .first()
         )
-        order[best[0]] = len(taken) + 1
-        taken.append(best[0])
+        order[best[0]] = len(order) + 1
         seen.update(best[1])
-    position = F.create_map(*[F.lit(v) for pair in order.items() for v in pair])
     return (
-        reduced.filter(F.col(key).isin(taken))
-        .withColumn("pick", F.get(F.map_values(F.map_filter(position, lambda a, _: a == F.col(key))), F.lit(0)))
+        reduced.filter(F.col(key).isin(*order))
+        .withColumn("pick", F.array_position(texts(order), F.col(key)).cast("int"))
         .drop("_set", "_hash")
     )
 
