@@ -11,6 +11,7 @@ from annolake.constants import BROWSER_CODECS, DEFAULT_FPS, PROHIBITED_PATTERNS
 
 # Textual formats of identifiers.
 PROJECT_IMAGE = r"^(train2017|val2017)_([0-9]{12})$"
+PROJECT_FILE = r"^(train2017|val2017)_([0-9]{12})(\.[^.]*)?$"
 RESULT_ID = r"^[a-zA-Z0-9_-]{12,64}$"
 MEDIA_SUFFIX = r"(?i)\.(jpg|jpeg|png|mp4|avi)$"
 MODEL_SUFFIX = r"(?i)\.(pt|pth)$"
@@ -30,16 +31,17 @@ def identity_key(source_split: Column, image_id: Column) -> Column:
 
 def basename(path: Column) -> Column:
     """Last path segment, for both kinds of slash."""
-    return F.regexp_extract(path, r"([^/\\]*)$", 1)
+    return F.substring_index(F.translate(path, "\\", "/"), "/", -1)
 
 
 def stem(name: Column) -> Column:
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    """File name without its last suffix; a leading dot is no suffix."""
+    return F.regexp_replace(name, r"^(.+)\.[^.]*$", "$1")
 
 
 def extension(name: Column) -> Column:
     """Lower-case suffix without its dot; empty when there is none."""
-    return F.lower(F.regexp_extract(basename(name), r"[^.].*\.([^.]+)$|^[^.]\.([^.]+)$", 1))
+    return F.lower(F.regexp_extract(basename(name), r"^.+\.([^.]+)$", 1))
 
 
 def project_name(path: Column, source_split: Column, source_path: Column, suffix: str) -> Column:
@@ -52,15 +54,13 @@ def project_name(path: Column, source_split: Column, source_path: Column, suffix
 def parse_project_image(name: Column) -> Column:
     """``struct(source_split, image_id, source_file_name)``; null when the name does not fit."""
     file_name = basename(name)
-    base = stem(file_name)
-    digits = F.regexp_extract(base, PROJECT_IMAGE, 2)
-    suffix = F.regexp_extract(file_name, r"(\.[^.]*)$", 1)
+    digits = F.regexp_extract(file_name, PROJECT_FILE, 2)
     return F.when(
-        base.rlike(PROJECT_IMAGE),
+        file_name.rlike(PROJECT_FILE),
         F.struct(
-            F.regexp_extract(base, PROJECT_IMAGE, 1).alias("source_split"),
+            F.regexp_extract(file_name, PROJECT_FILE, 1).alias("source_split"),
             digits.try_cast("long").alias("image_id"),
-            F.concat(digits, F.lower(suffix)).alias("source_file_name"),
+            F.concat(digits, F.lower(F.regexp_extract(file_name, PROJECT_FILE, 3))).alias("source_file_name"),
         ),
     )
 
@@ -75,15 +75,21 @@ def prediction_image_id(value: Column) -> Column:
 
 
 def label_path(image_path: Column) -> Column:
-    """Label file of an image: first ``images`` directory becomes ``labels``, suffix ``.txt``."""
-    swapped = F.regexp_replace(image_path, r"^((?:(?!images/)[^/]*/)*)images/", "$1labels/")
-    swapped = F.regexp_replace(swapped, r"(?<=[^/])\.[^./]*$", "")
-    directory = F.regexp_extract(image_path, r"^(.*?)([^/]+)/([^/]*)$", 1)
-    folder = F.regexp_extract(image_path, r"^(.*?)([^/]+)/([^/]*)$", 2)
-    sibling = F.concat(directory, F.lit("labels/"), folder, F.lit("/"), stem(basename(image_path)))
-    return F.concat(
-        F.when(image_path.rlike(r"(^|/)images/"), swapped).otherwise(sibling), F.lit(".txt")
+    """Label file of an image: first ``images`` directory becomes ``labels``, suffix ``.txt``.
+
+    Without such a directory the label lies in ``labels/<folder>`` beside the folder.
+    """
+    name = F.substring_index(image_path, "/", -1)
+    directory = F.left(image_path, F.length(image_path) - F.length(name))
+    at = F.locate("/images/", F.concat(F.lit("/"), directory))
+    swapped = F.concat(
+        F.left(directory, at - 1), F.lit("labels/"), F.substr(directory, at + F.lit(len("images/")))
     )
+    folder = F.substring_index(F.left(directory, F.length(directory) - 1), "/", -1)
+    sibling = F.concat(
+        F.left(directory, F.length(directory) - F.length(folder) - 1), F.lit("labels/"), folder, F.lit("/")
+    )
+    return F.concat(F.when(at > 0, swapped).otherwise(sibling), stem(name), F.lit(".txt"))
 
 
 def safe_output_name(result_id: Column, original: Column, suffix: str, override: str | None = None) -> Column:

@@ -241,7 +241,7 @@ def _combos(areas: int = len(AREA_RANGES)) -> Column:
 
 def match_detections(gt: DataFrame, ranked: DataFrame) -> DataFrame:
     """Matches over all sizes: ``image_id, class_id, det_id, gt_id, iou_threshold``."""
-    grouped = _grouped(candidate_pairs(gt, ranked))
+    grouped = _grouped(candidate_pairs(cut_lineage(gt), ranked))
     found = grouped.select(*GROUP, F.inline(_greedy(F.col("dets"), _combos(areas=1))))
     thresholds = F.array(*[F.lit(t) for t in IOU_THRESHOLDS])
     return found.select(

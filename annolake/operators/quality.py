@@ -275,6 +275,7 @@ def subset_annotation_report(selected: DataFrame, images: DataFrame, annotations
     """One row of counters for a subset document.  ``selected``: source_split, image_id (nulls
     where the name did not parse)."""
     keys = ["source_split", "image_id"]
+    selected = cut_lineage(selected.select(*keys))
     parsed = selected.filter("image_id is not null")
     rows = subset_annotation_outcomes(parsed, images, annotations, mapping)
     kept = F.col("outcome") == "selected"

@@ -15,6 +15,8 @@ from annolake.session import broadcast_checked, cut_lineage
 # Keys hashed together at the leaves of an identity digest; a list no longer than this
 # is hashed in one go.
 DIGEST_CHUNK = 100_000
+# Best candidates looked at together by the diverse sample.
+DIVERSE_BATCH = 256
 
 
 def seeded_hash(key: Column, seed: int = SEED) -> Column:
@@ -131,16 +133,29 @@ def diverse_sample(
     texts = lambda items: F.lit(list(items)).cast("array<string>")
     order: dict[str, int] = {}
     seen: set[str] = set()
+
+    def place(row) -> tuple:
+        return (-len(set(row["_set"]) - seen), -len(row["_set"]), -row[count_column], row["_hash"], row[key])
+
     while len(order) < k:
         unseen = F.size(F.array_except("_set", texts(sorted(seen))))
-        best = (
+        batch = (
             reduced.filter(~F.array_contains(texts(order), F.col(key)))
             .orderBy(F.desc(unseen), F.desc(F.size("_set")), F.desc(count_column), "_hash", key)
-            .select(key, "_set")
-            .first()
+            .select(key, "_set", count_column, "_hash")
+            .limit(DIVERSE_BATCH)
+            .collect()
         )
-        order[best[0]] = len(order) + 1
-        seen.update(best[1])
+        # What a record adds can only shrink, so no record outside the batch ever comes
+        # before the batch's last one: picks that still do are the exact next ones.
+        bound = place(batch[-1]) if len(batch) == DIVERSE_BATCH else None
+        while batch and len(order) < k:
+            best = min(batch, key=place)
+            if bound is not None and place(best) > bound:
+                break
+            batch.remove(best)
+            order[best[key]] = len(order) + 1
+            seen.update(best["_set"])
     return (
         reduced.filter(F.col(key).isin(*order))
         .withColumn("pick", F.array_position(texts(order), F.col(key)).cast("int"))

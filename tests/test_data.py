@@ -51,6 +51,22 @@ def test_diverse_sample_covers_all_categories(spark):
         splits.diverse_sample(frame, 14)
 
 
+@pytest.mark.parametrize("batch", [1, 3, 256])
+def test_diverse_sample_is_the_plain_greedy_choice(spark, monkeypatch, batch):
+    monkeypatch.setattr(splits, "DIVERSE_BATCH", batch)
+    rows = [(f"r{i}", 1 + i * 5 % 4, sorted({f"c{i * 7 % 9}", f"c{i * i % 11}", f"c{i % 3}"})) for i in range(40)]
+    frame = spark.createDataFrame(rows, "internal_record_id string, valid_object_count int, category_names array<string>")
+    hashes = {r[0]: r[1] for r in frame.select("internal_record_id", splits.seeded_hash(F.col("internal_record_id"))).collect()}
+    seen, left, want = set(), list(rows), []
+    while len(want) < 9:
+        best = min(left, key=lambda r: (-len(set(r[2]) - seen), -len(r[2]), -r[1], hashes[r[0]], r[0]))
+        left.remove(best)
+        want.append(best[0])
+        seen |= set(best[2])
+    got = splits.diverse_sample(frame, 9).orderBy("pick").collect()
+    assert [r.internal_record_id for r in got] == want
+
+
 def lines(spark, *texts):
     return spark.createDataFrame([("f.txt", i + 1, t) for i, t in enumerate(texts)], "label_file string, line_no long, line string")
 
