@@ -141,8 +141,7 @@ def image_rollup(classified: DataFrame, images: DataFrame) -> DataFrame:
     kept = F.col("status") == ACCEPTED
     per_image = classified.groupBy("source_split", "image_id").agg(
         F.count_if(kept).alias("valid_object_count"),
-        F.sort_array(F.collect_set(F.when(kept, F.col("category_id")))).alias("category_ids"),
-        F.sort_array(F.collect_set(F.when(kept, F.col("category_name")))).alias("category_names"),
+        F.sort_array(F.collect_set(F.when(kept, F.struct("category_id", "category_name")))).alias("_categories"),
         F.bool_or(F.col("status") == EXCLUDED).alias("has_crowd_annotations"),
     )
     return images.join(per_image, ["source_split", "image_id"], "left").select(
@@ -153,8 +152,10 @@ def image_rollup(classified: DataFrame, images: DataFrame) -> DataFrame:
         "width",
         "height",
         F.coalesce("valid_object_count", F.lit(0)).alias("valid_object_count"),
-        F.coalesce("category_ids", F.array().cast("array<bigint>")).alias("category_ids"),
-        F.coalesce("category_names", F.array().cast("array<string>")).alias("category_names"),
+        F.coalesce("_categories.category_id", F.array().cast("array<bigint>")).alias("category_ids"),
+        F.coalesce(F.sort_array(F.array_distinct("_categories.category_name")), F.array().cast("array<string>")).alias(
+            "category_names"
+        ),
         F.coalesce("has_crowd_annotations", F.lit(False)).alias("has_crowd_annotations"),
         ((F.col("width") > 0) & (F.col("height") > 0)).alias("usable_for_training"),
     )

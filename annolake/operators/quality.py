@@ -11,6 +11,7 @@ from annolake.constants import SPLITS
 from annolake.functions import boxes, names
 from annolake.operators.annotate import lint_label_lines
 from annolake.operators.profile import side_by_side
+from annolake.operators.splits import split_bit
 from annolake.session import broadcast_checked, cut_lineage
 
 
@@ -55,8 +56,8 @@ def shared_between_splits(rows: DataFrame, keys: dict[str, Column], split: str =
         F.col(split).alias("_split"),
         F.inline(F.array(*[F.struct(F.lit(kind).alias("_kind"), value.alias("_key")) for kind, value in keys.items()])),
     )
-    n = F.size("_splits")
-    pairs = long.groupBy("_kind", "_key").agg(F.collect_set("_split").alias("_splits")).select(
+    n = F.bit_count("_splits")
+    pairs = long.groupBy("_kind", "_key").agg(F.bit_or(split_bit(F.col("_split"))).alias("_splits")).select(
         "_kind", (n * (n - 1) / 2).cast("long").alias("_pairs")
     )
     return pairs.agg(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolake.constants import SEED, TEST_RATIO, TRAIN_RATIO, VAL_RATIO
+from annolake.constants import SEED, SPLITS, TEST_RATIO, TRAIN_RATIO, VAL_RATIO
 from annolake.functions import names
 from annolake.operators.ordered import with_rank
 from annolake.session import broadcast_checked, cut_lineage
@@ -176,6 +176,14 @@ def candidate_scan_first(files: DataFrame, roots: DataFrame, extensions: Sequenc
     )
 
 
+def split_bit(split: Column) -> Column:
+    """1, 2, 4 for train, val, test; 0 for anything else."""
+    value = F.lit(0)
+    for i, name in enumerate(SPLITS):
+        value = F.when(split == name, F.lit(1 << i)).otherwise(value)
+    return value
+
+
 def split_leakage(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Keys shared by two splits, per kind of key; one shuffle for all kinds and pairs."""
     long = rows.select(
@@ -184,24 +192,26 @@ def split_leakage(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
             F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("key")) for kind, value in keys.items()])
         ).alias("_item"),
     ).select("split", "_item.kind", "_item.key")
-    held = long.groupBy("kind", "key").agg(F.sort_array(F.collect_set("split")).alias("_splits"))
+    # A bit per split keeps the aggregate a plain hash aggregate with map-side combine.
+    bit = {name: 1 << i for i, name in enumerate(SPLITS)}
+    held = long.groupBy("kind", "key").agg(F.bit_or(split_bit(F.col("split"))).alias("_splits"))
     pairs = [("test", "train"), ("test", "val"), ("train", "val")]
-    present = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.array_contains("_splits", a) & F.array_contains("_splits", b),
-                    F.struct(F.lit(a).alias("left_split"), F.lit(b).alias("right_split")),
-                )
-                for a, b in pairs
-            ]
-        )
+    counted = held.groupBy("kind").agg(
+        *[
+            F.count_if(F.col("_splits").bitwiseAND(F.lit(bit[a] | bit[b])) == (bit[a] | bit[b])).alias(f"{a}_{b}")
+            for a, b in pairs
+        ]
     )
-    counted = (
-        held.filter(F.size("_splits") > 1)
-        .select("kind", F.explode(present).alias("_pair"))
-        .groupBy("kind", "_pair.left_split", "_pair.right_split")
-        .agg(F.count("*").alias("overlaps"))
+    counted = counted.select(
+        "kind",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(a).alias("left_split"), F.lit(b).alias("right_split"), F.col(f"{a}_{b}").alias("overlaps"))
+                    for a, b in pairs
+                ]
+            )
+        ),
     )
     every = rows.sparkSession.createDataFrame(
         [(kind, a, b) for kind in keys for a, b in pairs], "kind string, left_split string, right_split string"
