@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from annolake.constants import AREA_RANGES, IOU_THRESHOLDS, MAX_DETECTIONS, SUMMARY_METRICS
 from annolake.functions import boxes, names
-from annolake.operators.ordered import with_running_totals, with_totals_by_position
+from annolake.operators.ordered import HALO_CHUNK_ROWS, with_running_totals, with_totals_by_position
 from annolake.session import broadcast_checked, cut_lineage
 
 GROUP = ["image_id", "class_id"]
@@ -442,19 +442,19 @@ def pr_curve(evaluation: Evaluation, threshold: int = 0) -> DataFrame:
         "class_id", "position", "score", "tp",
         (F.col("tp") / F.col("npig")).alias("recall"),
         (F.col("tp") / F.col("position")).alias("precision"),
-        _recall_block(F.col("tp"), F.col("npig")).alias("_block"),
+        F.floor(F.col("position") / HALO_CHUNK_ROWS).alias("_chunk"),
     )
-    # Envelope: best precision from here on. Later blocks come from their maxima, the rest
-    # of the own block from a window that covers one hundredth of the recall axis.
-    best = points.groupBy("class_id", "_block").agg(F.max("precision").alias("_m"))
-    later = Window.partitionBy("class_id").orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
-    best = best.select("class_id", "_block", F.coalesce(F.max("_m").over(later), F.lit(0.0)).alias("_later"))
+    # Envelope: best precision from here on.  Later chunks enter by their maxima, the rest
+    # of the own chunk by a window of bounded size.
+    best = points.groupBy("class_id", "_chunk").agg(F.max("precision").alias("_m"))
+    later = Window.partitionBy("class_id").orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    best = best.select("class_id", "_chunk", F.coalesce(F.max("_m").over(later), F.lit(0.0)).alias("_later"))
     rest = (
-        Window.partitionBy("class_id", "_block")
+        Window.partitionBy("class_id", "_chunk")
         .orderBy("position")
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
-    return points.join(broadcast_checked(best), ["class_id", "_block"]).select(
+    return points.join(best, ["class_id", "_chunk"]).select(
         "class_id", "position", "score", "tp", "recall", "precision",
         F.greatest(F.max("precision").over(rest), F.col("_later")).alias("envelope"),
     )

@@ -97,14 +97,14 @@ def label_lines_from(classified: DataFrame) -> DataFrame:
         "source_split",
         "image_id",
         "annotation_id",
-        *(["occurrence"] if "occurrence" in classified.columns else []),
         "class_id",
         F.col("yolo.xc").alias("xc"),
         F.col("yolo.yc").alias("yc"),
         F.col("yolo.w").alias("w"),
         F.col("yolo.h").alias("h"),
     )
-    order = ["annotation_id"] + (["occurrence"] if "occurrence" in classified.columns else [])
+    # Copies of an id are ordered by their values, so ties are equal rows.
+    order = ["annotation_id", "class_id", "xc", "yc", "w", "h"]
     return with_rank(kept, ["source_split", "image_id"], order, "pos")
 
 

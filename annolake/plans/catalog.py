@@ -148,7 +148,7 @@ def _nested(d: Plan) -> DataFrame:
     records = writers.nest_records(
         d.split_images.select("source_split", "image_id", "file_name", "width", "height", F.col("split").alias("project_split")),
         kept.select("source_split", "image_id", "annotation_id", "category_id", "class_id", "category_name",
-                    "x", "y", "w", "h", "yolo", "occurrence"),
+                    "x", "y", "w", "h", "yolo"),
     )
     project = F.concat(F.lit("images/"), F.col("project_split"), F.lit("/"), F.concat_ws("_", "source_split", "file_name"))
     return records.withColumn("image_path", image_path).withColumn("project_image_path", project).withColumn(
@@ -403,7 +403,6 @@ def _(d: Plan) -> DataFrame:
     images = d.split_images.select(F.col("split").alias("source_split"), "image_id", "file_name", "width", "height")
     annotations = kept.join(split_of, keys).select(
         F.col("split").alias("source_split"), "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "iscrowd",
-        "occurrence",
     )
     documents = writers.document_rows(images, annotations, d.categories, 20_000)
     parsed = documents.select(

@@ -98,7 +98,7 @@ WHERE error IS NOT NULL"""
 PARTS["lint79"] = _lint("OR class_id > 79")
 
 PARTS["numbered"] = """
-SELECT source_split, image_id, row_number() OVER (PARTITION BY source_split, image_id ORDER BY annotation_id, occurrence) AS pos,
+SELECT source_split, image_id, row_number() OVER (PARTITION BY source_split, image_id ORDER BY annotation_id, class_id, yxc, yyc, yw, yh) AS pos,
   class_id, yxc AS xc, yyc AS yc, yw AS w, yh AS h FROM accepted"""
 
 PARTS["conversions"] = """

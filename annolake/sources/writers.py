@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annolake.constants import MANIFEST_COLUMNS
 from annolake.operators.joins import label_lines_from, label_text
+from annolake.operators.ordered import with_rank
 
 
 def write_manifest_csv(manifest: DataFrame, path: str) -> None:
@@ -56,10 +57,9 @@ def write_split_jsonl(records: DataFrame, path: str) -> None:
 
 
 def document_rows(images: DataFrame, annotations: DataFrame, categories: DataFrame, per_document: int) -> DataFrame:
-    """Annotation documents as JSON text, each with at most about ``per_document`` entries.
+    """Annotation documents as JSON text, each with at most ``per_document`` entries.
 
-    A document is one value, so a large set is cut into several: rows are spread by a hash
-    of their content over as many documents as their number asks for.
+    A document is one value, so a large set is cut into several of bounded size.
     """
     entries = [
         (
@@ -75,7 +75,6 @@ def document_rows(images: DataFrame, annotations: DataFrame, categories: DataFra
                     F.when(F.col("w").isNotNull(), F.array("x", "y", "w", "h")).alias("bbox"),
                     (F.col("w") * F.col("h")).alias("area"), "iscrowd",
                 ).alias("e"),
-                *(["occurrence"] if "occurrence" in annotations.columns else []),
             ),
         ),
         (
@@ -85,16 +84,26 @@ def document_rows(images: DataFrame, annotations: DataFrame, categories: DataFra
     ]
     documents = None
     for section, rows in entries:
-        parts = F.greatest(F.ceil(rows.agg(F.count("*").alias("n")).select("n").scalar() / per_document), F.lit(1))
-        salted = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
-        grouped = salted.groupBy("source_split", "part").agg(
+        grouped = _runs(rows, ["source_split"], per_document).groupBy("source_split", "part").agg(
             F.to_json(F.struct(F.collect_list("e").alias(section))).alias("document")
         )
-        found = grouped.select("source_split", F.concat_ws("-", F.lit(section), F.col("part")).alias("name"), "document")
+        found = grouped.select(
+            "source_split", F.concat_ws("-", F.lit(section), F.col("part").cast("string")).alias("name"), "document"
+        )
         documents = found if documents is None else documents.unionByName(found)
     return documents
 
 
+def _runs(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Add ``part``: runs of exactly ``size`` rows within ``keys``, however skewed the rows are.
+
+    The order covers every column, so rows that tie are equal and may swap freely.
+    """
+    others = [c for c in rows.columns if c not in keys]
+    ranked = with_rank(rows, keys, others, "_nth")
+    return ranked.withColumn("part", F.floor((F.col("_nth") - 1) / size)).drop("_nth")
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """One document per file, below a directory per source split."""
     documents.select("source_split", F.col("document").alias("value")).write.partitionBy("source_split").option(
@@ -121,43 +130,29 @@ def append_results(results: DataFrame, path: str) -> None:
 def nest_records(images: DataFrame, annotations: DataFrame, per_record: int = 1000) -> DataFrame:
     """Image records with nested annotations; an image with very many gets several records.
 
-    The number of records of an image follows its annotation count, and annotations are
-    spread over them by hash, so no group exceeds about ``per_record``.
+    Annotations are cut into runs of ``per_record`` within their image.
     """
     keys = ["source_split", "image_id"]
-    counts = annotations.groupBy(*keys).agg(F.count("*").alias("_n"))
-    records = images.join(counts, keys, "left").withColumn(
-        "_parts", F.greatest(F.ceil(F.coalesce("_n", F.lit(0)) / per_record), F.lit(1)).cast("int")
-    )
-    spread = annotations.join(records.select(*keys, "_parts"), keys).withColumn(
-        "_part", F.pmod(F.xxhash64(*annotations.columns), F.col("_parts")).cast("int")
-    )
     item = F.struct(
         F.col("annotation_id").alias("id"), "image_id", "category_id", "class_id", "category_name",
         F.array("x", "y", "w", "h").alias("bbox_coco"),
         F.array("yolo.xc", "yolo.yc", "yolo.w", "yolo.h").alias("bbox_yolo"),
         (F.col("w") * F.col("h")).alias("area"),
     )
-    nested = spread.groupBy(*keys, "_part").agg(F.collect_list(item).alias("annotations"))
-    return (
-        records.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .join(nested, [*keys, "_part"], "left")
-        .withColumn("annotations", F.coalesce("annotations", F.array()))
-        .drop("_n", "_parts", "_part")
+    nested = (
+        _runs(annotations.select(*keys, item.alias("item")), keys, per_record)
+        .groupBy(*keys, "part")
+        .agg(F.collect_list("item").alias("annotations"))
+        .drop("part")
     )
+    return images.join(nested, keys, "left").withColumn("annotations", F.coalesce("annotations", F.array()))
 
 
 def array_documents(rows: DataFrame, section: str | None = None, per_document: int = 20_000, **constants) -> DataFrame:
-    """Rows as JSON arrays (or objects with one array ``section``), many rows per document."""
-    parts = F.greatest(F.ceil(rows.agg(F.count("*").alias("n")).select("n").scalar() / per_document), F.lit(1))
+    """Rows as JSON arrays (or objects with one array ``section``), at most ``per_document`` each."""
     items = F.collect_list(F.struct(*rows.columns))
     body = items if section is None else F.struct(items.alias(section), *[v.alias(k) for k, v in constants.items()])
-    return (
-        rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
-        .groupBy("_part")
-        .agg(F.to_json(body).alias("value"))
-        .select("value")
-    )
+    return _runs(rows, [], per_document).groupBy("part").agg(F.to_json(body).alias("value")).select("value")
 
 
 def write_text_files(lines: DataFrame, path: str, per_file: int) -> None:
