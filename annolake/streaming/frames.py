@@ -54,7 +54,9 @@ def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None) -> DataFram
     """Status row per frame with instantaneous and moving rate, state kept per source.
 
     ``idle_ms`` forgets a source after that much silence.  It suits a query that runs on;
-    with a processing-time timeout an ``availableNow`` run never finds its end.
+    with a processing-time timeout an ``availableNow`` run never finds its end.  The frames
+    of one source within a micro-batch are sorted together, so bound a backlog with
+    ``maxFilesPerTrigger``; for a whole table use the batch twin, which splits big sources.
     """
     timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
