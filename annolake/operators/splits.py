@@ -233,6 +233,7 @@ def identity_digest(rows: DataFrame, group: str, key: str, chunk: int = DIGEST_C
     ranked = with_rank(rows.select(group, F.col(key).alias("_key")), [group], ["_key"], "_rank")
     level = ranked.select(group, (F.col("_rank") - 1).alias("_at"), F.col("_key").alias("_text"))
     count = rows.groupBy(group).agg(F.count("*").alias("count"))
+    finished = None
     while True:
         level = cut_lineage(
             level.groupBy(group, F.floor(F.col("_at") / chunk).alias("_run"))
@@ -243,9 +244,14 @@ def identity_digest(rows: DataFrame, group: str, key: str, chunk: int = DIGEST_C
                 F.sha2(F.concat(F.array_join(F.col("_items._text"), "\n"), F.lit("\n")), 256).alias("_text"),
             )
         )
-        if level.filter("_at > 0").isEmpty():
+        # A group is done once it is down to one digest; the others go on.
+        unfinished = level.filter("_at > 0").select(group).distinct()
+        done = level.join(unfinished, group, "left_anti")
+        finished = done if finished is None else finished.unionByName(done)
+        if unfinished.isEmpty():
             break
-    return level.select(group, F.col("_text").alias("sha256")).join(count, group)
+        level = level.join(unfinished, group, "left_semi")
+    return finished.select(group, F.col("_text").alias("sha256")).join(count, group)
 
 
 def order_free_digest(rows: DataFrame, group: str, key: str) -> DataFrame:

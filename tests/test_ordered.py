@@ -80,3 +80,11 @@ def test_identity_digest_tree(spark):
         if len(level) == 1:
             break
     assert splits.identity_digest(rows, "split", "key", chunk=4).first().sha256 == level[0]
+
+
+def test_identity_digest_of_a_short_group_beside_a_long_one(spark):
+    rows = [("long", f"k{i:03d}") for i in range(25)] + [("short", "b"), ("short", "a")]
+    frame = spark.createDataFrame(rows, "split string, key string")
+    got = {r.split: r.sha256 for r in splits.identity_digest(frame, "split", "key", chunk=4).collect()}
+    alone = splits.identity_digest(frame.filter("split = 'long'"), "split", "key", chunk=4).first()
+    assert got == {"short": hashlib.sha256(b"a\nb\n").hexdigest(), "long": alone.sha256}
