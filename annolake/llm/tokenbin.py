@@ -35,7 +35,7 @@ END_ID = 0
 FILE_BYTES = 32 << 20
 BLOCK_BYTES = 8 << 20
 
-_HEAD = struct.Struct("<4sBBIIQQ")
+_HEAD = "<4sBBIIQQ"
 _NULL_ID = -(2**63)
 # White space that a cut at single blanks would tear apart.
 _RUNS = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
@@ -78,17 +78,17 @@ def unpack(buffer: bytes, width: int, start: int, stop: int, offset: int = 0) ->
 
 def tokens_block(part: int, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
     body = doc_ids.astype("<i8").tobytes() + counts.astype("<u8").tobytes() + pack(ids, width)
-    return _HEAD.pack(b"FWB1", width, 0, part, len(doc_ids), len(ids), len(body)) + body
+    return struct.pack(_HEAD, b"FWB1", width, 0, part, len(doc_ids), len(ids), len(body)) + body
 
 
 def blocks(buffer: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
     """``(width, part, doc ids, counts, offset of the frames)`` of each tokens block of a file."""
     at = 0
     while at < len(buffer):
-        magic, width, kind, part, entries, _, size = _HEAD.unpack_from(buffer, at)
+        magic, width, kind, part, entries, _, size = struct.unpack_from(_HEAD, buffer, at)
         if magic != b"FWB1":
             raise ValueError(f"no block at byte {at}")
-        body = at + _HEAD.size
+        body = at + struct.calcsize(_HEAD)
         if kind == 0:
             doc_ids = np.frombuffer(buffer, "<i8", entries, body)
             counts = np.frombuffer(buffer, "<u8", entries, body + 8 * entries).astype(np.int64)
@@ -188,7 +188,7 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], ["value"])
         if offsets:
             body = np.array(offsets, "<u8").tobytes()
-            index = _HEAD.pack(b"FWB1", width, 1, part, len(offsets), 0, len(body)) + body
+            index = struct.pack(_HEAD, b"FWB1", width, 1, part, len(offsets), 0, len(body)) + body
             yield pa.RecordBatch.from_arrays([pa.array([index], pa.binary())], ["value"])
 
     return write
@@ -248,6 +248,14 @@ def _reader(with_ids: bool) -> Callable:
     return read
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for content in batch.column("content"):
+            found = [(part, int(counts.sum())) for _, part, _, counts, _ in blocks(content.as_buffer())]
+            parts, sums = [p for p, _ in found], [n for _, n in found]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(sums, pa.int64())], ["part", "n"])
+
+
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document of the files below ``path``: ``doc_id, start, n_tokens, ids_crc32``
     and, if asked for, ``ids``.  ``start`` counts the ids of all documents before it."""
@@ -255,9 +263,9 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     schema = "part int, doc_id long, _from long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     rows = files.mapInArrow(_reader(with_ids), schema)
     # One row per file; their number follows the bytes of text over FILE_BYTES.
-    sums = files.mapInArrow(_reader(False), schema.removesuffix(", ids array<int>")).groupBy("part")
+    sums = files.mapInArrow(_totals, "part int, n long").groupBy("part")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.agg(F.sum("n_tokens").alias("_n")).select(
+    offsets = sums.agg(F.sum("n").alias("_n")).select(
         "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
     return rows.join(offsets, "part").select(
