@@ -35,14 +35,6 @@ def word_count(name: str = "text") -> Column:
     return F.regexp_count(text_or_empty(name), F.lit(WORD)).cast("long")
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality of the named columns."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def join_keys(left: DataFrame, right: DataFrame, names: list[str], how: str = "left") -> DataFrame:
     """Join on null-safe keys, keeping the left key columns only."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in names else c) for c in right.columns])
@@ -50,3 +42,8 @@ def join_keys(left: DataFrame, right: DataFrame, names: list[str], how: str = "l
     for name in names:
         condition = condition & left[name].eqNullSafe(renamed[f"_r_{name}"])
     return left.join(renamed, condition, how).drop(*[f"_r_{name}" for name in names])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Tells rows apart by all their columns; repeated rows are alike."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])

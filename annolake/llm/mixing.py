@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolake.llm.common import join_keys, stage, table, text_key, word_count
+from annolake.llm.common import join_keys, row_hash, stage, table, text_key, word_count
 from annolake.operators.ordered import with_running_totals
 
 CAP = 3
@@ -166,7 +166,7 @@ def balanced_copies(rows: DataFrame, keys: list[str], cap: int = CAP) -> DataFra
 def mix_documents(docs: DataFrame, cap: int = CAP) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it; columns stay as they are."""
     columns = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in columns]))
+    marked = docs.withColumn("_row", row_hash(docs))
     rows = marked.select(F.col("doc_id").alias("_id"), "_row", "source", word_count().alias("size"))
     copies = balanced_copies(rows, ["_id", "_row"], cap).select(F.col("_row").alias("_of"), F.col("_id"), "copies")
     taken = copies.filter("copies > 0")

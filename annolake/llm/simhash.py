@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.components import connected_components
+from annolake.llm.windows import mix
 
 SHINGLE = 4
 RADIUS = 4
@@ -105,20 +106,24 @@ def fingerprint_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def simhash(text: str, shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of one text, A-Z in lower case; 0 without words."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of every run of ``shingle`` words, A-Z in lower case; of all words if there are fewer."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     reach = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - reach].tolist(), ends[reach:].tolist(), strict=True)
-    hashes = np.array([digest(joined[s:e], 42) for s, e in spans], "<u8")
+    return np.array([digest(joined[s:e], 42) for s, e in spans], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Each bit is 1 if it is set in over half the hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         lanes = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -126,6 +131,11 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def simhash(text: str, shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of one text, A-Z in lower case; 0 without words."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def _print_batches(shingle: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,82 +161,99 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, keys = fingerprint_keys(prints.view(np.uint64))
         for at in range(0, len(rows), 100_000):
             part = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(prints[rows[part]])], ["key", "print"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(prints[rows[part]])], ["key", "node"])
+
+
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints whose words lie along the last axis."""
+    return np.bitwise_count(left ^ right).sum(axis=-1, dtype=np.int64)
 
 
-def _forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect what links of up to ``radius`` bits connect among ``prints``."""
-    labels = np.arange(len(prints))
+def _forest(nodes: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what links of up to ``radius`` bits connect among the rows."""
+    nodes, first = np.unique(nodes, return_index=True)
+    prints, labels = prints[first], np.arange(len(nodes))
     while True:
         lowest = labels.copy()
-        for at in range(0, len(prints), 256):
-            close = np.bitwise_count(prints[at : at + 256, None] ^ prints[None, :]) <= radius
-            lowest[at : at + 256] = np.where(close, labels[None, :], len(prints)).min(axis=1)
+        for at in range(0, len(nodes), 256):
+            close = _apart(prints[at : at + 256, None], prints[None, :]) <= radius
+            lowest[at : at + 256] = np.where(close, labels[None, :], len(nodes)).min(axis=1)
         lowest = lowest[lowest]
         if (lowest == labels).all():
-            moved = labels != np.arange(len(prints))
-            return prints[moved], prints[labels[moved]]
+            moved = labels != np.arange(len(nodes))
+            return nodes[moved], nodes[labels[moved]]
         labels = lowest
 
 
 def _linker(radius: int) -> Callable:
-    def link(groups: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges of each block; rows are ``block, node, print`` (binary, 8 bytes a word) in the order of blocks."""
+
+    def link(groups: np.ndarray, nodes: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         sizes = np.diff(np.append(starts, len(groups)))
         small = np.repeat(sizes <= 8, sizes)
         for step in range(1, 8):  # small groups all at once, by the distance within the group
-            both = small[:-step] & (groups[step:] == groups[:-step])
-            close = both & (np.bitwise_count(prints[step:] ^ prints[:-step]) <= radius)
-            yield prints[step:][close], prints[:-step][close]
+            both = np.flatnonzero(small[:-step] & (groups[step:] == groups[:-step]))
+            close = both[_apart(prints[both + step], prints[both]) <= radius]
+            yield nodes[close + step], nodes[close]
         for start, size in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist(), strict=True):
-            yield _forest(np.unique(prints[start : start + size]), radius)
+            yield _forest(nodes[start : start + size], prints[start : start + size], radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.uint64)]
+        held: list[np.ndarray] = []
 
-        def out(groups: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a, b in link(groups, prints):
+        def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for a, b in link(*rows):
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
-            groups = np.concatenate([held[0], batch.column("block").to_numpy(zero_copy_only=False)])
-            prints = np.concatenate([held[1], batch.column("print").to_numpy(zero_copy_only=False).view(np.uint64)])
-            if not len(groups):
+            if not len(batch):
                 continue
-            cut = int(np.searchsorted(groups != groups[-1], False)) if groups[0] == groups[-1] else int(
-                np.flatnonzero(groups != groups[-1])[-1] + 1
-            )  # the last group may go on in the next batch
+            groups = batch.column("block").to_numpy(zero_copy_only=False)
+            nodes = batch.column("node").to_numpy(zero_copy_only=False)
+            prints = np.frombuffer(b"".join(batch.column("print").to_pylist()), "<u8").reshape(len(batch), -1)
+            rows = [groups, nodes, prints]
+            held = [np.concatenate(pair) for pair in zip(held, rows, strict=True)] if held else rows
+            others = np.flatnonzero(held[0] != held[0][-1])
+            cut = int(others[-1]) + 1 if len(others) else 0  # the last group may go on in the next batch
             if cut:
-                yield from out(groups[:cut], prints[:cut])
-            held = [groups[cut:], prints[cut:]]
-        if len(held[0]):
-            yield from out(*held)
+                yield from out([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        if held:
+            yield from out(held)
 
     return run
 
 
-def print_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Edges ``(a, b)`` between distinct fingerprints: their components are those of all pairs that
-    differ in at most ``radius`` (up to 4) bits."""
-    if radius > RADIUS:
-        raise ValueError("the keys find pairs of up to 4 differing bits")
-    keyed = prints.select("print").mapInArrow(_key_batches, "key long, print long")
+def linked_prints(prints: DataFrame, keyed: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """Edges ``(a, b)`` between the nodes of ``prints`` (``node``, ``print`` binary) that share a key of ``keyed`` (``key,
+    node``): they connect what links of up to ``radius`` bits within the keys connect."""
     within = Window.partitionBy("key")
     shared = keyed.select(
         "key",
-        "print",
+        "node",
         F.count("*").over(within).alias("n"),
-        (F.row_number().over(within.orderBy("print")) - 1).alias("place"),
+        (F.row_number().over(within.orderBy("node")) - 1).alias("place"),
     ).filter("n > 1")
     own = F.floor(F.col("place") / block)
     others = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block))
     meetings = F.transform(others, lambda o: F.xxhash64("key", F.least(own, o), F.greatest(own, o)))
-    spread = shared.select(F.explode(meetings).alias("block"), "print")
-    ordered = spread.repartition("block").sortWithinPartitions("block")
+    spread = shared.select(F.explode(meetings).alias("block"), "node").join(prints, "node")
+    ordered = spread.select("block", "node", "print").repartition("block").sortWithinPartitions("block")
     return ordered.mapInArrow(_linker(radius), "a long, b long").distinct()
 
 
+def print_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Edges ``(a, b)`` between distinct 64-bit fingerprints (``print``): their components are those of all pairs that
+    differ in at most ``radius`` (up to 4) bits."""
+    if radius > RADIUS:
+        raise ValueError("the keys find pairs of up to 4 differing bits")
+    nodes = prints.select(F.col("print").alias("node"), F.unhex(F.lpad(F.hex("print"), 16, "0")).alias("print"))
+    keyed = prints.select("print").mapInArrow(_key_batches, "key long, node long")
+    return linked_prints(nodes, keyed, radius, block)
+
+
 def near_duplicates(docs: DataFrame, keys: list[str], shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``keys`` (the first is the document id), ``print`` and ``component_id`` for every row of ``docs``.
 
@@ -246,6 +273,75 @@ def near_duplicates(docs: DataFrame, keys: list[str], shingle: int = SHINGLE, ra
     return rows.join(classes, "print").select(*keys, "print", "component_id")
 
 
+#: Wide fingerprints: 64-bit words, and 23-bit segments taken from them.
+WORDS = 6
+WIDE_SEGMENTS = 16
+WIDE_SHINGLE = 5
+SIMILARITY = 0.8
+
+
+def wide_radius(similarity: float = SIMILARITY, words: int = WORDS) -> int:
+    """Bits in which texts of that Jaccard similarity differ: the mean plus one standard deviation."""
+    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    bits = 64 * words
+    return int(bits * angle + np.sqrt(bits * angle * (1 - angle)))
+
+
+def _wide_batches(shingle: int, words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts = [np.uint64(0x9E3779B97F4A7C15 * (2 * word + 1) % 2**64) for word in range(words)]
+        for batch in batches:
+            prints = []
+            for text in batch.column("text"):
+                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
+                prints.append(np.array([majority(mix(hashes ^ salt)) for salt in salts], "<u8").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.binary())], [*batch.schema.names[:-1], "print"])
+
+    return run
+
+
+def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    errors, offsets = golay_tables()
+    for batch in batches:
+        for at in range(0, len(batch), 1000):
+            part = batch.slice(at, 1000)
+            nodes = part.column("node").to_numpy(zero_copy_only=False)
+            prints = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(len(part), -1)
+            bits = np.unpackbits(prints, axis=1, bitorder="little")[:, : 23 * WIDE_SEGMENTS]
+            segments = bits.reshape(len(part), WIDE_SEGMENTS, 23).astype(np.int64) @ (1 << np.arange(23))
+            nearest = golay_keys(segments.reshape(-1), errors, offsets)[:, 0].reshape(len(part), -1)
+            one, two = np.triu_indices(WIDE_SEGMENTS, 1)
+            keys = (np.arange(len(one)) << 24) | (nearest[:, one] << 12) | nearest[:, two]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(nodes, len(one)))], ["key", "node"])
+
+
+def near_copies(
+    docs: DataFrame, keys: list[str], shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, words: int = WORDS
+) -> DataFrame:
+    """``keys`` (the first is the document id), ``component_id`` and ``class`` (one value for each group, also
+    where ids repeat or are null) of near copies: texts whose sets of word
+    shingles are estimated to be at least ``similarity`` alike.
+
+    Similarity 0.8 means about one differing bit in seven, more than 64 bits can tell: the fingerprint
+    here has ``64 * words`` bits.  Each of 16 segments of 23 bits is decoded to its nearest codeword, a key is
+    the pair of indices of two segments, and of the 120 keys of a near copy one nearly always agrees.
+    Rows that share a key are verified over all bits.  Nulls, repeated rows and empty tables are treated as
+    in ``near_duplicates``.
+    """
+    rows = docs.select(*keys, text_or_empty().alias("text"))
+    kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes[:-1])
+    printed = stage(rows.mapInArrow(_wide_batches(shingle, words), f"{kept}, print binary"), "wide-prints")
+    distinct = stage(
+        printed.groupBy("print").agg(F.min(keys[0]).alias("first")).withColumn("node", F.xxhash64("print")), "wide-nodes"
+    )
+    keyed = distinct.select("node", "print").mapInArrow(_wide_keys, "key long, node long")
+    roots = connected_components(linked_prints(distinct.select("node", "print"), keyed, wide_radius(similarity, words)))
+    rooted = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = rooted.join(smallest, "root").select("print", "component_id", F.col("root").alias("class"))
+    return printed.join(classes, "print").select(*keys, "component_id", "class")
+
+
 def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
