@@ -31,7 +31,8 @@ from annolake.llm.windows import Rolling, merged, mix, new_values, page_slices,
 
 LENGTH = 100
 GRAM = 50
-PAGE_BYTES = 8 << 20
+#: Bytes of text handled at once; a longer text goes in overlapping sections.
+PAGE_BYTES = 1 << 20
 SPREAD = 8
 #: Different fragments of one anchor that a suffix array takes together; larger groups are split by content.
 GROUP = 256
@@ -137,12 +138,16 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def _page_fragments(texts: pa.Array, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Per fragment: text, start, number of starts, anchor hash, content hash."""
+def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(bytes, bounds)`` of the texts of a string array."""
     buffers = texts.buffers()
     bounds = np.frombuffer(buffers[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], np.uint8)[bounds[0] : bounds[-1]] if buffers[2] else np.zeros(0, np.uint8)
-    bounds = bounds - bounds[0]
+    return data, bounds - bounds[0]
+
+
+def _page_fragments(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Per fragment: text, start, number of starts, anchor hash, content hash."""
     sizes = np.diff(bounds)
     if len(data) < length:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
@@ -173,10 +178,11 @@ def _packed(rows: dict[str, list]) -> pa.RecordBatch:
 
 
 def _pages(length: int, gram: int, buckets: int) -> Callable:
-    def page(ids: np.ndarray, keys: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        docs, starts, counts, anchors, content = _page_fragments(texts, length, gram)
+    def page(ids: np.ndarray, keys: np.ndarray, data: np.ndarray, bounds: np.ndarray, skipped: int) -> Iterator[pa.RecordBatch]:
+        docs, starts, counts, anchors, content = _page_fragments(data, bounds, length, gram)
         if not len(docs):
             return
+        starts = starts + skipped
         order = _order(ids[docs], starts, anchors, content)
         again = np.zeros(len(docs), bool)
         # Equal fragments after the first of the page are settled here (but for a repeated first place).
@@ -213,7 +219,13 @@ def _pages(length: int, gram: int, buckets: int) -> Callable:
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             texts = batch.column("text")
             for start, stop in page_slices(texts, PAGE_BYTES):
-                yield from page(ids[start:stop], keys[start:stop], texts.slice(start, stop - start))
+                data, bounds = _raw(texts.slice(start, stop - start))
+                for at in range(0, max(len(data), 1), PAGE_BYTES):  # more than one for a single long text only
+                    part = data[at : at + PAGE_BYTES + length - 1]
+                    ends = bounds if len(part) == len(data) else np.array([0, len(part)])
+                    yield from page(ids[start:stop], keys[start:stop], part, ends, at)
+                    if len(part) == len(data):
+                        break
 
     return run
 
