@@ -25,7 +25,7 @@ from annolake.llm.windows import Rolling, merged, mix, new_values, page_slices,
 
 WINDOW = 50
 GRAM = 10
-PAGE_BYTES = 8 << 20
+PAGE_BYTES = 4 << 20
 #: Buckets for each shuffle partition.
 SPREAD = 8
 #: Stands for a null document id, which so comes after all others.
