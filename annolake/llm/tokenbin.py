@@ -14,7 +14,6 @@ Offsets block: entries x u64.  One byte 0x0A follows each block.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,12 +32,16 @@ VOCABULARY = 50_257
 END_ID = 0
 #: Text bytes that one file takes, and that one block takes at most (but for a single longer document).
 FILE_BYTES = 32 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 _HEAD = "<4sBBIIQQ"
 _NULL_ID = -(2**63)
-# White space that a cut at single blanks would tear apart.
-_RUNS = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+# White space that a cut at single blanks would tear apart (RE2 syntax).
+_SPACE = r"\t\n\x0b\f\r\x1c-\x1f\x{85}\p{Z}"
+_ODD = r"\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_RUNS = rf"[{_SPACE}][{_SPACE}]|[{_ODD}]|\A[{_SPACE}]|[{_SPACE}]\z"
+#: Distinct words a task remembers; beyond it starts afresh.
+MEMORY_WORDS = 600_000
 
 
 def width_for(vocabulary: int) -> int:
@@ -119,43 +122,79 @@ def _slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def _encode(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(all ids, ids per text)``.
-
-    Byte-level pre-tokens never reach over a single blank between two other characters, so a
-    text is the sum of its blank-separated pieces and each different piece is encoded once.
-    Texts with other white space go to the tokenizer whole.
-    """
-    strings = texts.to_pylist()
-    whole = np.fromiter((bool(_RUNS.search(s)) for s in strings), bool, len(strings))
-    cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
-    pieces = cut.values.dictionary_encode()
-    firsts = np.zeros(len(pieces), np.int64)
-    bounds = cut.offsets.to_numpy().astype(np.int64)
-    firsts[bounds[:-1][np.diff(bounds) > 0]] = 1
-    keys = pieces.indices.to_numpy().astype(np.int64) * 2 + firsts
-    used = np.zeros(2 * len(pieces.dictionary), bool)
-    used[keys] = True
-    distinct, words = np.flatnonzero(used), pieces.dictionary.to_pylist()
-    encoded = tokenizer.encode_batch_fast(
-        [words[k >> 1] if k & 1 else " " + words[k >> 1] for k in distinct.tolist()], add_special_tokens=False
-    )
-    lists = [e.ids for e in encoded]
-    lengths = np.zeros(len(used) + 1, np.int64)
-    lengths[distinct] = [len(x) for x in lists]
-    starts = np.cumsum(lengths) - lengths
-    flat = np.fromiter((i for x in lists for i in x), np.uint32, int(lengths.sum()))
-    sizes = lengths[keys]
-    ends = np.cumsum(sizes)
-    ids = flat[np.repeat(starts[keys] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
-    upto = np.concatenate([[0], ends])
-    counts = upto[bounds[1:]] - upto[bounds[:-1]]
-    if not whole.any():
-        return ids, counts
-    pieces_out = np.split(ids, np.cumsum(counts)[:-1])
-    for row in np.flatnonzero(whole):
-        pieces_out[row] = np.array(tokenizer.encode(strings[row], add_special_tokens=False).ids, np.uint32)
-    return np.concatenate(pieces_out), np.array([len(x) for x in pieces_out], np.int64)
+class _Encoder:
+    """Encodes texts whose words repeat; ids of words met before in the task are remembered."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        # One character of a byte-level token stands for one byte.
+        self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(all ids, ids per text)``, one by one."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that each follow a blank, as one text; the bytes that ids stand for tell where a word ends."""
+        text = " " + " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64) + 1)
+        reached = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(reached, ends)
+        if last[-1] < len(reached) and (reached[last] == ends).all():
+            counts = np.diff(last + 1, prepend=0)
+        else:
+            ids, counts = self.each([" " + word for word in words])
+        self.slots.update(zip(words, range(len(self.counts), len(self.counts) + len(words)), strict=True))
+        self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(all ids, ids per text)``.
+
+        Byte-level pre-tokens never reach over a single blank between two other characters, so a
+        text is the sum of its blank-separated pieces and each different piece is encoded once.
+        Texts with other white space go to the tokenizer whole.
+        """
+        whole = pc.match_substring_regex(texts, _RUNS)
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        pieces, bounds = cut.values.dictionary_encode(), cut.offsets.to_numpy().astype(np.int64)
+        words, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
+        first = np.zeros(len(codes), bool)
+        first[bounds[:-1]] = True  # every text has a first piece, which no blank precedes
+        used = np.zeros(len(words), bool)
+        used[codes[~first]] = True
+        later = np.flatnonzero(used).tolist()
+        if len(self.slots) > MEMORY_WORDS:
+            self.forget()
+        if new := [words[k] for k in later if words[k] not in self.slots]:
+            self.learn(new)
+        heads, head_counts = self.each([words[k] for k in codes[first].tolist()])
+        flat, every = np.concatenate([self.flat, heads]), np.concatenate([self.counts, head_counts])
+        begins = np.cumsum(every) - every  # where each piece's ids lie in `flat`
+        slot = np.zeros(len(words), np.int64)
+        slot[later] = [self.slots[words[k]] for k in later]
+        at = slot[codes]
+        at[bounds[:-1]] = len(self.counts) + np.arange(len(head_counts))
+        count = every[at]
+        ends = np.cumsum(count)
+        ids = flat[np.repeat(begins[at] - (ends - count), count) + np.arange(int(count.sum()))]
+        upto = np.concatenate([[0], ends])
+        counts = upto[bounds[1:]] - upto[bounds[:-1]]
+        if not pc.any(whole).as_py():
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for row in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            parts[row] = np.array(self.tokenizer.encode(texts[row].as_py(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
 def load_tokenizer(name: str):
@@ -174,12 +213,12 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, offsets, at, tokenizer = TaskContext.get().partitionId(), [], 0, None
+        part, offsets, at, encoder = TaskContext.get().partitionId(), [], 0, None
         for batch in batches:
-            tokenizer = tokenizer or load_tokenizer(tokenizer_name)
+            encoder = encoder or _Encoder(load_tokenizer(tokenizer_name))
             for start, stop in _slices(batch.column("text"), BLOCK_BYTES):
                 rows = batch.slice(start, stop - start)
-                ids, counts = _encode(tokenizer, rows.column("text"))
+                ids, counts = encoder.encode(rows.column("text"))
                 closed = np.insert(ids, np.cumsum(counts), end_id)
                 doc_ids = pc.fill_null(rows.column("doc_id"), _NULL_ID).to_numpy(zero_copy_only=False)
                 block = tokens_block(part, doc_ids, counts + 1, closed, width)
