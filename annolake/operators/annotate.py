@@ -168,7 +168,7 @@ def lint_label_lines(lines: DataFrame, dialect: str = "processed") -> DataFrame:
     parts = F.split(text, " ")
     class_text = F.get(parts, F.lit(0))
     class_id = (
-        F.floor(class_text.try_cast("double")).cast("long")
+        class_text.try_cast("double").try_cast("long")
         if float_class
         else F.when(class_text.rlike(r"^[+-]?[0-9]+$"), class_text.try_cast("long"))
     )
@@ -207,7 +207,7 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
     parts = F.split(F.trim(F.regexp_replace(F.col("line"), r"\s+", " ")), " ")
     return lines.select(
         *[c for c in lines.columns if c != "line"],
-        F.get(parts, F.lit(0)).try_cast("double").cast("long").alias("class_id"),
+        F.get(parts, F.lit(0)).try_cast("double").try_cast("long").alias("class_id"),
         *[F.get(parts, F.lit(i + 1)).try_cast("double").alias(n) for i, n in enumerate(("xc", "yc", "w", "h"))],
     )
 

@@ -104,8 +104,8 @@ def candidate_pairs(gt: DataFrame, ranked: DataFrame, min_iou: float = IOU_THRES
 
     A group holds at most ``MAX_DETECTIONS`` detections, so pairs grow linearly with the
     ground truth.  Groups with very many true boxes are spread over several salts; there a
-    detection keeps, per size class, its best ``MAX_DETECTIONS`` boxes: fewer detections
-    than that compete for them, so no other box can ever be taken.
+    detection keeps, per size class, as many of its best boxes as the largest rank: fewer
+    detections than that compete for them, so no other box can ever be taken.
     """
     left = gt.select(*GROUP, "gt_id", _size_class(F.col("area")).alias("gt_sizes"),
                      *[F.col(c).alias(f"g{c}") for c in ("x", "y", "w", "h")])
@@ -137,10 +137,12 @@ def candidate_pairs(gt: DataFrame, ranked: DataFrame, min_iou: float = IOU_THRES
         .select(*GROUP, "rank", "det_id", "det_sizes", "gt_id", "gt_sizes", "iou")
     )
     if salted:
+        # A detection has fewer rivals than the ranking keeps detections, however many that is.
+        rivals = (ranked.agg(F.max("rank")).first()[0] or 0) + 1
         best = Window.partitionBy(*GROUP, "rank", "gt_sizes").orderBy(F.desc("iou"), F.desc("gt_id"))
         pairs = (
             pairs.withColumn("_nth", F.row_number().over(best))
-            .filter(F.col("_nth") <= MAX_DETECTIONS)
+            .filter(F.col("_nth") <= rivals)
             .drop("_nth")
         )
     return pairs

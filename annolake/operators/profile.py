@@ -214,7 +214,7 @@ def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
 def label_counts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Per label file: non-empty lines and distinct classes; files without lines count 0."""
     text = F.trim("line")
-    class_id = F.split(text, r"\s+")[0].try_cast("double").cast("long")
+    class_id = F.split(text, r"\s+")[0].try_cast("double").try_cast("long")
     counted = (
         lines.filter(text != "")
         .groupBy("label_file")

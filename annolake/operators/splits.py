@@ -224,16 +224,16 @@ def overlap_keys(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> D
 
 
 def identity_digest(rows: DataFrame, group: str, key: str, chunk: int = DIGEST_CHUNK) -> DataFrame:
-    """SHA-256 over the sorted keys of each group, one line per key.
+    """SHA-256 tree over the sorted keys of each group, one line per key.
 
-    Up to ``chunk`` keys the digest is that of the whole text.  Longer lists are hashed in
-    runs of ``chunk`` sorted keys, and the run digests are hashed the same way until one is
-    left, so no task ever holds more than ``chunk`` keys.
+    Runs of ``chunk`` sorted keys are hashed, and the run digests are hashed the same way, at least
+    once, until one is left: one rule for groups of any size, and no task ever holds more than
+    ``chunk`` keys.
     """
     ranked = with_rank(rows.select(group, F.col(key).alias("_key")), [group], ["_key"], "_rank")
     level = ranked.select(group, (F.col("_rank") - 1).alias("_at"), F.col("_key").alias("_text"))
     count = rows.groupBy(group).agg(F.count("*").alias("count"))
-    finished = None
+    finished, leaves = None, True
     while True:
         level = cut_lineage(
             level.groupBy(group, F.floor(F.col("_at") / chunk).alias("_run"))
@@ -244,8 +244,9 @@ def identity_digest(rows: DataFrame, group: str, key: str, chunk: int = DIGEST_C
                 F.sha2(F.concat(F.array_join(F.col("_items._text"), "\n"), F.lit("\n")), 256).alias("_text"),
             )
         )
-        # A group is done once it is down to one digest; the others go on.
-        unfinished = level.filter("_at > 0").select(group).distinct()
+        # A group is done once it is down to one digest of digests; the others go on.
+        unfinished = (level if leaves else level.filter("_at > 0")).select(group).distinct()
+        leaves = False
         done = level.join(unfinished, group, "left_anti")
         finished = done if finished is None else finished.unionByName(done)
         if unfinished.isEmpty():

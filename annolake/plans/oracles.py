@@ -613,9 +613,9 @@ SELECT source_id, count(*) AS num_images, round(avg(inference_ms), 9) AS latency
   round(coalesce(avg(CASE WHEN inference_ms > 0 THEN 1000 / inference_ms END), 0), 9) AS fps_mean, round(avg(CASE WHEN event_id % 3 = 0 THEN inference_ms / 10 END), 9) AS nms_ms_mean,
   round(median(inference_ms), 9) AS latency_ms_median
 FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY frame_ts, event_id) AS rn FROM fx_frames) WHERE rn > 5 GROUP BY 1"""
-# Runs of 100,000 sorted keys are hashed, and several runs of one split once more.
+# Runs of 100,000 sorted keys are hashed, and the digests of a split's runs once more.
 SQL["identity_hash"] = """
-SELECT split, CASE WHEN count(*) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, chr(10) ORDER BY run) || chr(10)) END AS sha256, CAST(sum(n) AS BIGINT) AS count FROM (
+SELECT split, sha256(string_agg(digest, chr(10) ORDER BY run) || chr(10)) AS sha256, CAST(sum(n) AS BIGINT) AS count FROM (
   SELECT split, run, count(*) AS n, sha256(string_agg(key, chr(10) ORDER BY key) || chr(10)) AS digest FROM (
     SELECT split, key, (row_number() OVER (PARTITION BY split ORDER BY key) - 1) // 100000 AS run FROM (
       SELECT split, concat(source_split, ':', lpad(CAST(image_id AS VARCHAR), 12, '0')) AS key FROM splits)) GROUP BY ALL) GROUP BY split"""

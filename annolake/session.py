@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="annolake-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

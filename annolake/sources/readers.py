@@ -113,8 +113,8 @@ def read_labels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    """Detector output; image ids stay text because they come in two spellings."""
-    raw = spark.read.json(path, schema=schemas.PREDICTION, multiLine=multi_line)
+    """Detector output; image ids stay text because they come in two spellings.  A broken document is an error."""
+    raw = spark.read.json(path, schema=schemas.PREDICTION, multiLine=multi_line, mode="FAILFAST")
     return raw.select(
         "image_id",
         F.col("category_id").alias("class_id"),

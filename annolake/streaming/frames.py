@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -129,12 +130,14 @@ def batch_predict(
     rows: DataFrame,
     make_predictor: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
     schema: str,
-    model_key: str = "default",
+    model_key: str | None = None,
 ) -> DataFrame:
     """Run a caller's predictor over Arrow batches.
 
-    The predictor is made once per Python worker and reused by its later tasks.
+    The predictor is made once per Python worker and reused by later tasks of the same call; calls
+    that name the same ``model_key`` share it.
     """
+    model_key = model_key or uuid.uuid4().hex
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = vars(sys).setdefault("_annolake_predictors", {})

@@ -187,3 +187,11 @@ def test_label_files_round_trip(spark, tmp_path):
     parsed = annotate.parse_label_lines(joins.label_text(expected).select("source_split", "image_id", "pos", "line"))
     r = joins.label_roundtrip(parsed, expected).first()
     assert (r.positions, r.missing_lines, r.extra_lines, r.mismatches) == (2, 0, 0, 0)
+
+
+def test_class_tokens_that_are_no_numbers_do_not_stop_the_job(spark):
+    lines = [("a.txt", n, t) for n, t in enumerate(["nan .5 .5 .1 .1", "1e30 .5 .5 .1 .1", "-0.5 .5 .5 .1 .1", ""])]
+    frame = spark.createDataFrame(lines, "label_file string, line_no int, line string")
+    assert [r.class_id for r in annotate.parse_label_lines(frame).sort("line_no").collect()] == [None, None, 0, None]
+    found = annotate.lint_label_lines(frame, "smoke").filter("line_no < 3").collect()
+    assert {(r.line_no, r.error) for r in found} == {(0, "non_numeric"), (1, "non_numeric")}

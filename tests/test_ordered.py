@@ -62,11 +62,12 @@ def test_distribution(skewed):
     assert empty["count"] == 0 and empty.median is None and empty.mean is None
 
 
-def test_identity_digest_is_the_text_hash_up_to_one_chunk(spark):
+def test_identity_digest_of_one_run_is_the_hash_of_its_digest(spark):
     rows = spark.createDataFrame([("test", f"train2017:{i:012d}") for i in (42, 9, 7)], "split string, key string")
     text = "\n".join(sorted(r.key for r in rows.collect())) + "\n"
     digest = splits.identity_digest(rows, "split", "key").first()
-    assert digest.sha256 == hashlib.sha256(text.encode()).hexdigest() and digest["count"] == 3
+    leaf = hashlib.sha256(text.encode()).hexdigest()
+    assert digest.sha256 == hashlib.sha256(f"{leaf}\n".encode()).hexdigest() and digest["count"] == 3
 
 
 def test_identity_digest_tree(spark):
@@ -87,4 +88,5 @@ def test_identity_digest_of_a_short_group_beside_a_long_one(spark):
     frame = spark.createDataFrame(rows, "split string, key string")
     got = {r.split: r.sha256 for r in splits.identity_digest(frame, "split", "key", chunk=4).collect()}
     alone = splits.identity_digest(frame.filter("split = 'long'"), "split", "key", chunk=4).first()
-    assert got == {"short": hashlib.sha256(b"a\nb\n").hexdigest(), "long": alone.sha256}
+    leaf = hashlib.sha256(b"a\nb\n").hexdigest()
+    assert got == {"short": hashlib.sha256(f"{leaf}\n".encode()).hexdigest(), "long": alone.sha256}

@@ -60,3 +60,14 @@ def test_predictor_is_made_by_the_worker(spark):
 
     got = streams.batch_predict(spark.range(10), make, "id bigint, score double", "double")
     assert got.agg(F.sum("score")).first()[0] == 90.0
+
+
+def test_two_predictors_in_one_session_do_not_mix(spark):
+    rows = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+
+    def times(factor):
+        return lambda: lambda batch: batch.assign(score=batch["x"] * factor)[["score"]]
+
+    for factor in (2, 5):
+        out = streams.batch_predict(rows, times(factor), "score double")
+        assert sorted(r.score for r in out.collect()) == [factor, 2 * factor]
