@@ -29,7 +29,7 @@ FIT_ROWS = 20_000
 TEMPERATURE = 0.005
 SMOOTHING = 1.0
 SEED = 7
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Bigrams of one token twice share a bucket, so that repetition is one feature.
