@@ -122,23 +122,6 @@ MANIFEST_COLUMNS = [
     "category_names",
 ]
 
-# Evaluation output files and the reason given when one is absent.
-EVALUATION_ARTIFACTS = [
-    "metrics_summary.json",
-    "per_class_metrics.csv",
-    "evaluation_metadata.json",
-    "coco_eval",
-    "confusion_matrix.png",
-    "confusion_matrix_normalized.png",
-    "PR_curve.png",
-    "P_curve.png",
-    "R_curve.png",
-    "F1_curve.png",
-    "predictions.json",
-    "labels",
-    "sample_predictions",
-]
-
 # Label dialects -> (inclusive class upper bound or null, blank line is an error, class may be a float).
 LABEL_DIALECTS = {
     "processed": (79, True, False),

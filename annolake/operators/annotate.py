@@ -234,8 +234,11 @@ def lint_coco_subset(
         ),
     ]
     # One pass over the annotations for all row rules; both references are left joins.
-    known = images.select("source_split", "image_id", "width", "height").dropDuplicates(
-        ["source_split", "image_id"]
+    # A repeated image id counts with its smallest size, in every run.
+    known = (
+        images.groupBy("source_split", "image_id")
+        .agg(F.min(F.struct("width", "height")).alias("_size"))
+        .select("source_split", "image_id", "_size.width", "_size.height")
     )
     known_categories = categories.select("category_id", F.lit(True).alias("_category"))
     checked = annotations.join(known, ["source_split", "image_id"], "left").join(

@@ -325,9 +325,10 @@ def evaluate(gt: DataFrame, detections: DataFrame) -> Evaluation:
     # an out-of-range detection counts when it matched a counting box, an in-range one does
     # not when it matched an ignored box.
     bit = lambda mask, index: F.expr(f"shiftright({mask}, {index}) & 1")
+    touched = "(shiftright(counted | ignored, i) & 1) = 1"
     moves = (
         placed.filter("counted != 0 or ignored != 0")
-        .withColumn("combo", F.explode(F.sequence(F.lit(0), F.lit(areas * steps - 1))))
+        .withColumn("combo", F.explode(F.expr(f"filter(sequence(0, {areas * steps - 1}), i -> {touched})")))
         .withColumn("area", F.floor(F.col("combo") / steps).cast("int"))
         .withColumn("hit", bit("counted", "combo").cast("long"))
         .withColumn(
@@ -509,16 +510,17 @@ def _log2_floor(value: Column) -> Column:
 def overlapping_boxes(left: DataFrame, right: DataFrame, key: str, min_iou: float) -> DataFrame:
     """Pairs of one ``key`` with IoU above ``min_iou``: columns ``l_*``, ``r_*`` and ``iou``.
 
-    Keys with few boxes are joined directly.  A key with very many is cut into cells whose
+    Keys with few boxes are joined directly.  A key with very many on either side is cut into cells whose
     size follows the box size: two boxes with such an IoU differ at most by 1/min_iou in
     width and height and their centres are close, so each right box looks up a few cells.
     """
     a = left.select(F.col(key), *[F.col(c).alias(f"l_{c}") for c in left.columns if c != key])
     b = right.select(F.col(key), *[F.col(c).alias(f"r_{c}") for c in right.columns if c != key])
+    sides = left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(right.select(key, F.lit(0), F.lit(1)))
     hot = (
-        left.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > HOT_GROUP_BOXES)
+        sides.groupBy(key)
+        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+        .filter((F.least("_l", "_r") > 0) & (F.greatest("_l", "_r") > HOT_GROUP_BOXES))
         .select(key, F.lit(True).alias("_hot"))
     )
     keys = [key]

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolake.session import cut_lineage
+from annolake.session import broadcast_checked, cut_lineage
 
 # Rows of one key handled together when a window looks back a few rows.
 HALO_CHUNK_ROWS = 50_000
@@ -168,11 +168,12 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     nor its list of values has to fit into one task, and the input is read once.
     """
     keys = list(keys)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counted = cut_lineage(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")))
     running = with_running_totals(counted, keys, [value], {"_upto": F.col("_n")})
-    total = running.groupBy(*keys).agg(F.max("_upto").alias("_total"))
+    total = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
-        joined = running.join(total, keys)
+        # One row per key; few keys must not bring all their values into as few tasks.
+        joined = running.join(broadcast_checked(total), keys)
     else:
         joined = running.withColumn("_total", total.select("_total").scalar())
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annolake.constants import EPOCH_METRICS
 from annolake.functions import names
 from annolake.operators.ordered import value_distribution, with_lookback, with_rank
 from annolake.session import broadcast_checked
@@ -14,7 +15,9 @@ from annolake.session import broadcast_checked
 MOVING_WINDOW = 20
 
 
-def best_epoch(epochs: DataFrame, metrics: Sequence[tuple[str, str, str]], epoch: str = "epoch") -> DataFrame:
+def best_epoch(
+    epochs: DataFrame, metrics: Sequence[tuple[str, str, str]] = tuple(EPOCH_METRICS), epoch: str = "epoch"
+) -> DataFrame:
     """Per metric: final value, best value and the earliest epoch that reached it."""
     long = epochs.select(
         F.col(epoch).cast("long").alias("epoch"),

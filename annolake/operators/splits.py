@@ -23,7 +23,7 @@ def seeded_hash(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary"))
 
 
-def with_hash_rank(rows: DataFrame, key: str, seed: int = SEED, prefix: int = 3, name: str = "rank") -> DataFrame:
+def with_hash_rank(rows: DataFrame, key: str, seed: int = SEED, prefix: int = 4, name: str = "rank") -> DataFrame:
     """Exact global rank in hash order without a one-partition sort.
 
     Rows fall into 16**prefix hash buckets of equal expected size; only the bucket counts
@@ -61,9 +61,9 @@ def seeded_split(
     val_ratio: float = VAL_RATIO,
     test_ratio: float = TEST_RATIO,
     seed: int = SEED,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
-    """Add ``split`` with exactly int(n*train) and int(n*val) rows, the rest test."""
+    """Add ``split`` with exactly int(n*train) and int(n*val) rows, the rest test; a repeated key is an error."""
     _check_ratios(train_ratio, val_ratio, test_ratio)
     if check_unique and not dedupe_records(rows, [key]).isEmpty():
         raise ValueError("Duplicate records detected before splitting.")
@@ -256,9 +256,10 @@ def identity_digest(rows: DataFrame, group: str, key: str, chunk: int = DIGEST_C
 
 
 def order_free_digest(rows: DataFrame, group: str, key: str) -> DataFrame:
-    """Digest that needs no order: row count and the sum of a 32-bit hash of each key."""
-    value = F.conv(F.left(F.md5(F.col(key).cast("binary")), F.lit(8)), 16, 10).cast("long")
-    return rows.groupBy(group).agg(F.count("*").alias("count"), F.sum(value).alias("digest"))
+    """Digest that needs no order: row count and the sums of two 60-bit halves of each key's hash."""
+    digits = F.md5(F.col(key).cast("binary"))
+    halves = [F.sum(F.conv(F.substring(digits, at, 15), 16, 10).cast("decimal(28,0)")).cast("string") for at in (1, 16)]
+    return rows.groupBy(group).agg(F.count("*").alias("count"), F.concat_ws(":", *halves).alias("digest"))
 
 
 def subset_semi_join(annotations: DataFrame, selected: DataFrame) -> DataFrame:

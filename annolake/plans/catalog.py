@@ -162,9 +162,9 @@ def _(d: Plan) -> DataFrame:
     _nested(d).write.json(path)
     read = readers.read_manifest_jsonl(d.spark, path)
     return read.select(
-        "source_split", "image_id", "project_split", "project_image_path", "project_label_path",
+        "source_split", "image_id", "project_split", "project_image_path", "project_label_path", "parts",
         F.explode("annotations").alias("a"),
-    ).select("source_split", "image_id", "project_split", "project_image_path", "project_label_path",
+    ).select("source_split", "image_id", "project_split", "project_image_path", "project_label_path", "parts",
              F.col("a.id").alias("annotation_id"), F.col("a.class_id").alias("class_id"),
              F.get("a.bbox_coco", F.lit(0)).alias("x"), F.get("a.bbox_coco", F.lit(2)).alias("w"))
 
@@ -389,9 +389,10 @@ def _(d: Plan) -> DataFrame:
 def _(d: Plan) -> DataFrame:
     path = d.staged("sink-jsonl")
     writers.write_split_jsonl(_nested(d), path)
-    read = d.spark.read.json(path, schema="image_id bigint, source_split string, annotations array<struct<id:bigint>>, project_split string")
+    read = d.spark.read.json(path, schema="image_id bigint, source_split string, annotations array<struct<id:bigint>>, project_split string, part bigint")
     return read.groupBy("project_split", "source_split").agg(
-        F.count_distinct("image_id").alias("images"), F.sum(F.size("annotations")).alias("annotations")
+        F.count_if(F.col("part") == 0).alias("images"), F.count("*").alias("records"),
+        F.sum(F.size("annotations")).alias("annotations"),
     )
 
 

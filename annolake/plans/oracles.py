@@ -351,7 +351,8 @@ SELECT internal_record_id, source_split, image_id, source_image_path, project_im
   CAST(valid_object_count AS INT) AS valid_object_count, category_names FROM manifest"""
 SQL["scan_manifest_jsonl"] = """
 SELECT a.source_split, a.image_id, s.split AS project_split, concat('images/', s.split, '/', s.source_split, '_', s.file_name) AS project_image_path,
-  concat('labels/', s.split, '/', s.source_split, '_', replace(s.file_name, '.jpg', '.txt')) AS project_label_path, a.annotation_id, a.class_id, a.x, a.w
+  concat('labels/', s.split, '/', s.source_split, '_', replace(s.file_name, '.jpg', '.txt')) AS project_label_path, a.annotation_id, a.class_id, a.x, a.w,
+  CAST(ceil(count(*) OVER (PARTITION BY a.source_split, a.image_id) / 1000) AS BIGINT) AS parts
 FROM accepted a JOIN splits s USING (source_split, image_id)"""
 SQL["scan_processed_manifests"] = """
 SELECT image_id, source_split, file_name, width, height, (SELECT count(*) FROM mapping) AS category_count FROM fx_images"""
@@ -376,8 +377,8 @@ SELECT concat(i.source_split, '_', lpad(CAST(i.image_id AS VARCHAR), 12, '0'), '
 FROM fx_images i LEFT JOIN numbered n USING (source_split, image_id)"""
 SQL["sink_image_list"] = "SELECT concat('images/', split, '/', file_name) AS path, split FROM splits"
 SQL["sink_split_jsonl"] = """
-SELECT s.split AS project_split, s.source_split, count(DISTINCT s.image_id) AS images, count(a.annotation_id) AS annotations
-FROM splits s LEFT JOIN accepted a USING (source_split, image_id) GROUP BY ALL"""
+SELECT project_split, source_split, count(*) AS images, CAST(sum(greatest(1, ceil(n / 1000))) AS BIGINT) AS records, CAST(sum(n) AS BIGINT) AS annotations
+FROM (SELECT s.split AS project_split, s.source_split, s.image_id, count(a.annotation_id) AS n FROM splits s LEFT JOIN accepted a USING (source_split, image_id) GROUP BY ALL) GROUP BY ALL"""
 SQL["build_coco_document"] = """
 SELECT s.split, a.annotation_id, a.image_id, a.category_id, a.w * a.h AS area, 0 AS iscrowd FROM accepted a JOIN splits s USING (source_split, image_id)"""
 SQL["sink_predictions"] = "SELECT image_id, category_id, x, y, w, h, score FROM converted"
@@ -620,7 +621,8 @@ SELECT split, sha256(string_agg(digest, chr(10) ORDER BY run) || chr(10)) AS sha
     SELECT split, key, (row_number() OVER (PARTITION BY split ORDER BY key) - 1) // 100000 AS run FROM (
       SELECT split, concat(source_split, ':', lpad(CAST(image_id AS VARCHAR), 12, '0')) AS key FROM splits)) GROUP BY ALL) GROUP BY split"""
 SQL["identity_hash_order_free"] = """
-SELECT split, count(*) AS count, CAST(sum(CAST(('0x' || left(md5(concat(source_split, ':', lpad(CAST(image_id AS VARCHAR), 12, '0'))), 8)) AS BIGINT)) AS BIGINT) AS digest FROM splits GROUP BY split"""
+SELECT split, count(*) AS count, concat(sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)), ':', sum(CAST('0x' || substr(h, 16, 15) AS BIGINT))) AS digest
+FROM (SELECT split, md5(concat(source_split, ':', lpad(CAST(image_id AS VARCHAR), 12, '0'))) AS h FROM splits) GROUP BY split"""
 SQL["file_counts"] = """
 SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory, regexp_extract(path, '\\.([^.]*)$', 1) AS extension, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS size_bytes FROM fx_files GROUP BY ALL"""
 

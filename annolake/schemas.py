@@ -26,7 +26,7 @@ OBJECT = (
 RECORD = (
     "image_id bigint, source_split string, file_name string, image_path string, label_path string, "
     f"width int, height int, annotations array<{OBJECT}>, project_split string, "
-    "project_image_path string, project_label_path string"
+    "project_image_path string, project_label_path string, part bigint, parts bigint"
 )
 PROCESSED_CATEGORY = "struct<class_id:bigint,coco_category_id:bigint,name:string,supercategory:string>"
 PROCESSED = (

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolake import schemas
@@ -101,10 +102,20 @@ def read_image_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return ordered.filter(F.col("path") != "").select("file", "ord", "path")
 
 
+def _path_below(roots: str | Sequence[str]) -> Column:
+    """Path of the file being read, without the root it was found under; whole if no root is a folder above it."""
+    # The metadata column holds an encoded URI, in which a plus sign stands for itself.
+    found = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    for root in [roots] if isinstance(roots, str) else roots:
+        plain = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root).strip("/")
+        found = F.regexp_replace(found, rf"^[A-Za-z][\w+.-]*:(?:.*?/)?{re.escape(plain)}/+", "")
+    return found
+
+
 def read_labels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Label files to ``label_file, line_no, line``; one small file is one record."""
+    """Label files to ``label_file, line_no, line``, files named by their path below ``path``; one file is one record."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.col("_metadata.file_name").alias("label_file"),
+        _path_below(path).alias("label_file"),
         F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n").alias("lines"),
     )
     return files.select("label_file", F.posexplode("lines").alias("_pos", "line")).select(

@@ -128,9 +128,9 @@ def append_results(results: DataFrame, path: str) -> None:
 
 
 def nest_records(images: DataFrame, annotations: DataFrame, per_record: int = 1000) -> DataFrame:
-    """Image records with nested annotations; an image with very many gets several records.
+    """Image records with nested annotations, in runs of at most ``per_record`` within their image.
 
-    Annotations are cut into runs of ``per_record`` within their image.
+    Every record says which ``part`` (from 0) of how many ``parts`` of its image it is.
     """
     keys = ["source_split", "image_id"]
     item = F.struct(
@@ -143,9 +143,15 @@ def nest_records(images: DataFrame, annotations: DataFrame, per_record: int = 10
         _runs(annotations.select(*keys, item.alias("item")), keys, per_record)
         .groupBy(*keys, "part")
         .agg(F.collect_list("item").alias("annotations"))
-        .drop("part")
     )
-    return images.join(nested, keys, "left").withColumn("annotations", F.coalesce("annotations", F.array()))
+    parts = annotations.groupBy(*keys).agg(F.ceil(F.count("*") / per_record).alias("parts"))
+    return images.join(parts, keys, "left").join(nested, keys, "left").withColumns(
+        {
+            "annotations": F.coalesce("annotations", F.array()),
+            "part": F.coalesce("part", F.lit(0).cast("long")),
+            "parts": F.coalesce("parts", F.lit(1).cast("long")),
+        }
+    )
 
 
 def array_documents(rows: DataFrame, section: str | None = None, per_document: int = 20_000, **constants) -> DataFrame:

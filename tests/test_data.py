@@ -30,7 +30,7 @@ def test_split_guards(spark):
     with pytest.raises(ValueError, match="sum to 1"):
         splits.seeded_split(records(spark, 5), train_ratio=0.5)
     with pytest.raises(ValueError, match="Duplicate"):
-        splits.seeded_split(records(spark, 5).union(records(spark, 1)), check_unique=True)
+        splits.seeded_split(records(spark, 5).union(records(spark, 1)))
 
 
 def test_sample(spark):
@@ -127,6 +127,11 @@ def test_labels_and_lists_keep_order(spark, tmp_path):
     (tmp_path / "l" / "b.txt").write_text("3 0.1 0.1 0.1 0.1")
     rows = {(r.label_file, r.line_no): r.line[0] for r in readers.read_labels(spark, str(tmp_path / "l")).collect()}
     assert rows == {("a.txt", 1): "1", ("a.txt", 2): "2", ("b.txt", 1): "3"}
+    for folder in ("train", "val", "a b+c%20"):
+        (tmp_path / "deep" / folder).mkdir(parents=True)
+        (tmp_path / "deep" / folder / "a.txt").write_text("1 0.1 0.1 0.1 0.1")
+    files = {r.label_file for r in readers.read_labels(spark, str(tmp_path / "deep")).collect()}
+    assert files == {"train/a.txt", "val/a.txt", "a b+c%20/a.txt"}
     (tmp_path / "list.txt").write_text(" z.jpg \n\n  \na.jpg\nm.jpg\n")
     listed = readers.read_image_list(spark, str(tmp_path / "list.txt")).orderBy("file", "ord").collect()
     assert [r.path for r in listed] == ["z.jpg", "a.jpg", "m.jpg"]
@@ -195,3 +200,16 @@ def test_class_tokens_that_are_no_numbers_do_not_stop_the_job(spark):
     assert [r.class_id for r in annotate.parse_label_lines(frame).sort("line_no").collect()] == [None, None, 0, None]
     found = annotate.lint_label_lines(frame, "smoke").filter("line_no < 3").collect()
     assert {(r.line_no, r.error) for r in found} == {(0, "non_numeric"), (1, "non_numeric")}
+
+
+def test_nested_records_name_their_parts(spark):
+    images = spark.createDataFrame([("a", 1), ("a", 2)], "source_split string, image_id long")
+    box = F.struct(*[F.lit(0.5).alias(c) for c in ("xc", "yc", "w", "h")])
+    annotations = spark.range(7).select(
+        F.lit("a").alias("source_split"), F.lit(1).cast("long").alias("image_id"), F.col("id").alias("annotation_id"),
+        *[F.col("id").alias(c) for c in ("category_id", "class_id")], F.lit("n").alias("category_name"),
+        *[F.lit(1.0).alias(c) for c in "xywh"], box.alias("yolo"),
+    )
+    for size, expected in ((3, [(1, 0, 3, 3), (1, 1, 3, 3), (1, 2, 3, 1), (2, 0, 1, 0)]), (1000, [(1, 0, 1, 7), (2, 0, 1, 0)])):
+        found = writers.nest_records(images, annotations, size).select("image_id", "part", "parts", F.size("annotations"))
+        assert sorted(map(tuple, found.collect())) == expected

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from annolake.constants import AREA_RANGES, IOU_THRESHOLDS
 from annolake.operators import annotate, evaluate
@@ -111,6 +112,12 @@ def test_hot_keys_find_the_same_pairs(spark, monkeypatch):
     monkeypatch.setattr(evaluate, "HOT_GROUP_BOXES", 1)
     assert plain and pairs() == plain
     assert plain == sorted((g[2], d[2]) for g in gt for d in dt if iou(g, d) > 0.45)
+    # Many boxes on the right side alone make a key hot as well.
+    monkeypatch.setattr(evaluate, "HOT_GROUP_BOXES", left.count())
+    more = right.union(right.withColumn("det_id", F.col("det_id") + 10_000))
+    both = evaluate.overlapping_boxes(left, more, "image_id", 0.45)
+    assert "_cell_x" in both._jdf.queryExecution().analyzed().toString()
+    assert both.count() == 2 * len(plain)
 
 
 def test_convert_predictions(spark):
