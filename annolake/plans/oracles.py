@@ -356,7 +356,15 @@ SELECT a.source_split, a.image_id, s.split AS project_split, concat('images/', s
 FROM accepted a JOIN splits s USING (source_split, image_id)"""
 SQL["scan_processed_manifests"] = """
 SELECT image_id, source_split, file_name, width, height, (SELECT count(*) FROM mapping) AS category_count FROM fx_images"""
-SQL["scan_image_list"] = "SELECT path FROM fx_image_list"
+SQL["scan_image_list"] = "SELECT row_number() OVER (ORDER BY ord, path) AS place, path FROM fx_image_list"
+PARTS["document_files"] = r"""
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '\xFF\xD8\xFF'::BLOB WHEN 1 THEN '\x89PNG\x0D\x0A\x1A\x0A'::BLOB WHEN 2 THEN 'BM'::BLOB
+  WHEN 3 THEN 'RIFF\x00\x00\x00\x00WEBP'::BLOB WHEN 4 THEN '\x89PNG'::BLOB ELSE ''::BLOB END || encode(coalesce(text, '') || chr(10)) AS content, coalesce(text, '') AS text
+FROM documents"""
+SQL["scan_binary_files"] = "SELECT octet_length(content) AS size_bytes, substr(hex(content), 1, 8) AS head FROM document_files"
+SQL["file_digests"] = "SELECT octet_length(content) AS size_bytes, sha256(content) AS sha256 FROM document_files"
+SQL["image_header_ok"] = """
+SELECT sha256(content) AS sha256, doc_id % 6 < 4 OR doc_id % 6 = 5 AND (starts_with(text, 'BM') OR starts_with(text, 'RIFF') AND substr(text, 9, 4) = 'WEBP') AS image_ok FROM document_files"""
 SQL["scan_label_lines"] = "SELECT line AS text, class_id, xc, yc, w, h FROM label_values"
 SQL["scan_predictions"] = "SELECT image_id, class_id, x, y, w, h, score FROM fx_predictions"
 SQL["scan_epoch_metrics"] = "SELECT CAST(epoch AS DOUBLE) AS epoch, train_box_loss, precision_, recall_, map50_95 FROM fx_epochs"
@@ -373,7 +381,7 @@ SQL["sink_manifest_csv"] = """
 SELECT internal_record_id, split, project_image_path, project_label_path, CAST(width AS BIGINT) AS width, valid_object_count FROM manifest"""
 SQL["sink_annotation_manifest"] = "SELECT status, count(*) AS annotations FROM classified GROUP BY status"
 SQL["sink_label_files"] = """
-SELECT concat(i.source_split, '_', lpad(CAST(i.image_id AS VARCHAR), 12, '0'), '.txt') AS label_file, n.pos AS line_no, n.class_id, n.xc, n.yc, n.w, n.h
+SELECT concat(i.source_split, '_', lpad(CAST(i.image_id AS VARCHAR), 12, '0'), '.txt') AS label_file, n.pos AS line_no, n.class_id, n.xc, n.yc, n.w, n.h, true AS text_agrees
 FROM fx_images i LEFT JOIN numbered n USING (source_split, image_id)"""
 SQL["sink_image_list"] = "SELECT concat('images/', split, '/', file_name) AS path, split FROM splits"
 SQL["sink_split_jsonl"] = """
