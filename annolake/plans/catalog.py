@@ -1381,10 +1381,14 @@ def _(d: Plan) -> DataFrame:
 # ---- streaming and prediction ----
 
 
-def _frame_stream(d: Plan) -> DataFrame:
-    """The events table as a file stream of frames."""
-    schema = d.table("events").schema
-    arrived = d.spark.readStream.schema(schema).parquet(f"{d.folder}/events.parquet*")
+def _frame_stream(d: Plan, files_per_batch: int | None = None) -> DataFrame:
+    """The events table as a file stream of frames, dealt over files that arrive in several batches if wanted."""
+    events, source, reader = d.table("events"), f"{d.folder}/events.parquet*", d.spark.readStream
+    if files_per_batch:
+        source = d.staged("arriving")
+        events.repartition(8, "event_id").write.parquet(source)
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    arrived = reader.schema(events.schema).parquet(source)
     return arrived.select(
         F.col("user_id").alias("source_id"), F.col("ts").alias("frame_ts"), "event_id",
         F.col("event_type").alias("class_name"), (F.col("event_id") % 5).cast("int").alias("detection_count"),
@@ -1406,7 +1410,7 @@ def _(d: Plan) -> DataFrame:
 
 @query("stream_class_counts")
 def _(d: Plan) -> DataFrame:
-    updates = _streamed(d, "counts", streams.stream_class_counts(_frame_stream(d)), "update")
+    updates = _streamed(d, "counts", streams.stream_class_counts(_frame_stream(d, files_per_batch=2)), "update")
     newest = F.max_by("detections", "batch_id").alias("detections")
     return updates.groupBy("source_id", "class_name").agg(newest)
 
