@@ -2,7 +2,8 @@
 
 Every window of ``WINDOW`` words gets a Rabin-Karp hash.  Hashes are dealt out by their window's
 anchor, so that a bucket holds runs of neighbouring windows; in a bucket they are sorted and counted,
-and a window whose hash also has a smaller document id is repeated.  Repeated windows go back
+and a window whose hash also has a smaller document id is repeated.  Windows are counted per bucket
+first, and a bucket with very many of them is split by window hash.  Repeated windows go back
 to their document as intervals, which merge into maximal removal intervals.
 
 Hashes travel packed (8 bytes a window and ``lanes``, plus a few per run) instead of as rows.  With one
@@ -28,6 +29,8 @@ GRAM = 10
 PAGE_BYTES = 4 << 20
 #: Buckets for each shuffle partition.
 SPREAD = 8
+#: Windows that one bucket may hold; a bucket with more is split by the hash of the whole window.
+LIMIT = 2_000_000
 #: Stands for a null document id, which so comes after all others.
 LAST_ID = 2**63 - 1
 
@@ -80,7 +83,24 @@ def _spans(docs: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarra
     return docs[starts], places[starts], places[starts] + lengths - 1 + window
 
 
-def _pages(window: int, gram: int, buckets: int, lanes: int) -> Callable:
+def split_table(sizes: dict[int, int], buckets: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first part, parts)`` of every bucket: one of more than ``limit`` rows has parts numbered from ``buckets`` on."""
+    first, parts, free = np.arange(buckets), np.ones(buckets, np.int64), buckets
+    for bucket in sorted(b for b, size in sizes.items() if size > limit):
+        first[bucket], parts[bucket] = free, -(-sizes[bucket] // limit)
+        free += int(parts[bucket])
+    return first, parts
+
+
+def dealt_to(anchor_bucket: np.ndarray, hashes: np.ndarray, split: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The part of each row's bucket that its hash falls into: equal hashes of one bucket still meet."""
+    first, parts = (x[anchor_bucket] for x in split)
+    return (first + (mix(hashes) % parts.astype(np.uint64)).astype(np.int64)).astype(np.int32)
+
+
+def _pages(window: int, gram: int, buckets: int, lanes: int, split: tuple[np.ndarray, np.ndarray] | None = None) -> Callable:
+    """Packed rows of the pages; without ``split`` only the number of windows of each bucket."""
+
     def page(ids: np.ndarray, keys: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
         words, bounds = split_words(texts)
         if len(words) < window:
@@ -98,6 +118,11 @@ def _pages(window: int, gram: int, buckets: int, lanes: int) -> Callable:
         docs, places = doc_of[at], place[at]
 
         known = _repeated(hashes, ids[docs])  # repeated within the page: settled here, not sent
+        if split is None:
+            numbers, sizes = np.unique(bucket[~known], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(sizes.astype(np.int64))], ["bucket", "n"])
+            return
+        bucket = dealt_to(bucket, hashes[:, 0], split)
         if known.any():
             doc, start, stop = _spans(docs[known], places[known], window)
             settled = np.stack([ids[doc], keys[doc], start, stop], axis=1).astype(np.int64).tobytes()
@@ -192,7 +217,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, la
     """``id, key, start, stop``: word intervals that repeated windows cover (not yet merged)."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = partitions * SPREAD
-    packed = keyed_documents(docs).mapInArrow(_pages(window, gram, buckets, lanes), PACKED)
+    texts = keyed_documents(docs)
+    counted = texts.mapInArrow(_pages(window, gram, buckets, lanes), "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
+    split = split_table(dict(map(tuple, counted.collect())), buckets, LIMIT)
+    packed = texts.mapInArrow(_pages(window, gram, buckets, lanes, split), PACKED)
     dealt = packed.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_counter(window, lanes), SPANS)
 

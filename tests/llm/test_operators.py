@@ -7,11 +7,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from annolake.llm import (
     components, decontaminate, importance, mixing, sharding, simhash, substring, suffixes, tokenbin, versions, warc,
+    windows,
 )
 from annolake.session import staging_path
 
@@ -296,3 +298,33 @@ def test_mixing(docs, none, spark):
     mixed = mixing.mix_documents(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies * times[r.doc_id, r.source, r["size"]] for r in out)
     assert mixing.mix_documents(none).count() == 0
+
+
+def _shared_passage(count, passage):
+    rng = random.Random(8)
+    return [(i, f"{_words(rng, 60)} {passage} {_words(rng, 60)}") for i in range(count)]
+
+
+def test_windows_of_a_hot_anchor_are_split(spark, monkeypatch):
+    rng = random.Random(1)
+    while True:  # a line whose gram is the smallest of nearly all windows around it
+        line = _words(rng, 12)
+        values = substring.word_values(substring.split_words(pa.array([line]))[0])
+        if windows.Rolling(values).all(substring.GRAM).min() < 2**64 // 1000:
+            break
+    frame = spark.createDataFrame([*_shared_passage(60, line), *((100 + i, t) for i, t in _shared_passage(3, line))], "doc_id long, text string")
+    want = sorted(map(str, substring.remove_repeats(frame).collect()))
+    monkeypatch.setattr(substring, "LIMIT", 200, raising=False)
+    assert sorted(map(str, substring.remove_repeats(frame).collect())) == want
+
+    def sizes(window, lanes):
+        def run(batches):
+            for rows in substring.by_bucket(batches, ["docs", "runs", "hashes"]):
+                held = sum(len(h) // 8 for *_, h in rows if h is not None)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((held, "int64"), (0, "int64"), (0, "int32"), (0, "int32"))], ["id", "key", "start", "stop"])
+
+        return run
+
+    monkeypatch.setattr(substring, "_counter", sizes)
+    held = [r.id for r in substring.repeated_windows(frame).collect()]
+    assert sum(held) > 4000 and max(held) <= 400
