@@ -7,7 +7,8 @@ equal anchors, so only fragments of one anchor can hold equal strings:
 1. fragments are grouped by anchor and content.  Of equal fragments only the earliest is kept on,
    all starts of the others are repeated;
 2. anchors with two or more different fragments fetch their bytes, and a suffix array of each such
-   group brings equal strings together;
+   group brings equal strings together; in a group of very many fragments the 128-bit hashes of the
+   whole strings are counted instead, so that no task has to hold the group;
 3. the covered bytes return to their documents and merge into maximal removed runs.
 
 The suffix array is built by linear grouping: suffixes are grouped by their longest Lyndon prefix,
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolake.llm.common import stage, table
-from annolake.llm.substring import LAST_ID, by_bucket, keyed_documents, with_spans
+from annolake.llm.substring import LAST_ID, by_bucket, dealt_to, keyed_documents, split_table, with_spans
 from annolake.llm.windows import Rolling, merged, mix, new_values, page_slices, run_bounds, sliding_min
 
 LENGTH = 100
@@ -34,8 +35,10 @@ GRAM = 50
 #: Bytes of text handled at once; a longer text goes in overlapping sections.
 PAGE_BYTES = 1 << 20
 SPREAD = 8
-#: Different fragments of one anchor that a suffix array takes together; larger groups are split by content.
+#: Different fragments of one anchor that a suffix array takes together; strings of larger groups meet by hash.
 GROUP = 256
+#: Fragments that one bucket may hold; a bucket with more is split by content, and its anchors count as large groups.
+LIMIT = 500_000
 
 _FOUND = "id long, key long, start int, stop int, anchor long, n int"
 
@@ -177,7 +180,9 @@ def _packed(rows: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in types.items()], list(types))
 
 
-def _pages(length: int, gram: int, buckets: int) -> Callable:
+def _pages(length: int, gram: int, buckets: int, split: tuple[np.ndarray, np.ndarray] | None = None) -> Callable:
+    """Packed rows of the pages; without ``split`` only the number of fragments of each bucket."""
+
     def page(ids: np.ndarray, keys: np.ndarray, data: np.ndarray, bounds: np.ndarray, skipped: int) -> Iterator[pa.RecordBatch]:
         docs, starts, counts, anchors, content = _page_fragments(data, bounds, length, gram)
         if not len(docs):
@@ -191,6 +196,10 @@ def _pages(length: int, gram: int, buckets: int) -> Callable:
         lead = np.repeat(order[at], size)
         again[order] = (ids[docs[order]] != ids[docs[lead]]) | (starts[order] != starts[lead])
         rows: dict[str, list] = {"bucket": [], "docs": [], "runs": [], "hashes": []}
+        if split is None:
+            numbers, sizes = np.unique((mix(anchors[~again]) % np.uint64(buckets)).astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(sizes.astype(np.int64))], ["bucket", "n"])
+            return
         if again.any():
             d = docs[again]
             stops = starts[again] + counts[again] + length - 1
@@ -201,7 +210,7 @@ def _pages(length: int, gram: int, buckets: int) -> Callable:
                 rows["runs"].append(None)
                 rows["hashes"].append(None)
         docs, starts, counts, anchors, content = (x[~again] for x in (docs, starts, counts, anchors, content))
-        bucket = (mix(anchors) % np.uint64(buckets)).astype(np.int32)
+        bucket = dealt_to((mix(anchors) % np.uint64(buckets)).astype(np.int32), content, split)
         order = np.argsort(bucket, kind="stable")
         groups, sizes = run_bounds(new_values(bucket[order]))
         for first, count in zip(groups.tolist(), sizes.tolist(), strict=True):
@@ -240,8 +249,11 @@ def _found(ids, keys, starts, stops, anchors=None, counts=None) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(arrays, ["id", "key", "start", "stop", "anchor", "n"])
 
 
-def _grouper(length: int) -> Callable:
-    """Repeated fragments (anchor null) and fragments that need a suffix array (anchor set)."""
+def _grouper(length: int, buckets: int, group: int) -> Callable:
+    """Repeated fragments (anchor null) and fragments that need a comparison (anchor set).
+
+    Buckets from ``buckets`` on are parts of larger ones: an anchor may have more fragments in the other parts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_bucket(batches, ["docs", "runs", "hashes"]):
@@ -271,6 +283,8 @@ def _grouper(length: int) -> Callable:
                 yield _found(ids[again], keys[again], starts[again], stops[again])
             first, kinds = run_bounds(new_values(anchors[at]))
             kinds = np.repeat(kinds, kinds)
+            if rows[0][0] >= buckets:
+                kinds = np.maximum(kinds, group + 1)
             ask = at[kinds > 1]
             if len(ask):
                 yield _found(ids[ask], keys[ask], starts[ask], stops[ask], anchors[ask], kinds[kinds > 1])
@@ -278,41 +292,84 @@ def _grouper(length: int) -> Callable:
     return run
 
 
-_FRAGMENT = "block long, anchor long, id long, key long, start int, data binary"
+_FRAGMENT = "block long, id long, key long, start int, data binary"
+
 
+def _fetcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the fragments asked for."""
+    names = ["block", "id", "key", "start", "data"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
-def _fetcher(length: int) -> Callable:
-    """Bytes of the fragments asked for; those of very large groups in pieces, by what strings begin with."""
-    import zlib
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    names = ["block", "anchor", "id", "key", "start", "data"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    for batch in batches:
+        rows = []
+        columns = [batch.column(c).to_pylist() for c in ("id", "key", "text", "asked")]
+        for doc_id, key, text, asked in zip(*columns, strict=True):
+            data = text.encode("utf-8", "surrogatepass")
+            rows += [(ask["anchor"], doc_id, key, ask["start"], data[ask["start"] : ask["stop"]]) for ask in asked]
+            if len(rows) > 20_000:
+                yield out(rows)
+                rows = []
+        if rows:
+            yield out(rows)
+
+
+_STRINGS = "id long, key long, start int, stop int, one long, two long"
+
+
+def _hasher(length: int) -> Callable:
+    """Two hashes of every string of the fragments asked for (``one``, ``two``), or (both null) intervals
+    settled within about a page: strings that start earlier in it."""
+    names = ["id", "key", "start", "stop", "one", "two"]
+
+    def out(spans: tuple[np.ndarray, ...], hashes: tuple[np.ndarray, ...] | None) -> pa.RecordBatch:
+        ids, keys, starts, stops = spans
+        arrays = [pa.array(ids), pa.array(keys), pa.array(starts.astype(np.int32)), pa.array(stops.astype(np.int32))]
+        pair = [pa.nulls(len(ids), pa.int64())] * 2 if hashes is None else [pa.array(h.view(np.int64)) for h in hashes]
+        return pa.RecordBatch.from_arrays([*arrays, *pair], names)
+
+    def page(pieces: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        data = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
+        sizes = np.array([len(p[3]) for p in pieces])
+        ends = np.cumsum(sizes)
+        ids, keys, begins = (np.array(c, np.int64) for c in list(zip(*pieces, strict=True))[:3])
+        values = _byte_values()
+        one, two = (Rolling(v[data]).all(length) for v in (values, mix(values ^ np.uint64(0x5851F42D4C957F2D))))
+        own = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.flatnonzero(ends[own] - np.arange(len(data)) >= length)
+        own = own[at]
+        ids, keys, starts = ids[own], keys[own], begins[own] + at - (ends - sizes)[own]
+        one, two = one[at], two[at]
+        order = _order(ids, starts, one, two)
+        ids, keys, starts, one, two = (x[order] for x in (ids, keys, starts, one, two))
+        first, count = run_bounds(new_values(one, two))
+        lead = np.repeat(first, count)
+        again = (ids != ids[lead]) | (starts != starts[lead])
+        if again.any():
+            spans = ids[again], keys[again], starts[again]
+            order = np.lexsort(spans[::-1])
+            i, k, s = (x[order] for x in spans)
+            begin, count = run_bounds(new_values(i, k, s - np.arange(len(s))))
+            yield out((i[begin], k[begin], s[begin], s[begin + count - 1] + length), None)
+        kept = ~again
+        yield out((ids[kept], keys[kept], starts[kept], starts[kept] + length), (one[kept], two[kept]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, held = [], 0
         for batch in batches:
-            rows = []
             columns = [batch.column(c).to_pylist() for c in ("id", "key", "text", "asked")]
             for doc_id, key, text, asked in zip(*columns, strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for ask in asked:
-                    start, stop, anchor, kinds = ask["start"], ask["stop"], ask["anchor"], ask["n"]
-                    if kinds <= GROUP:
-                        rows.append((anchor, anchor, doc_id, key, start, data[start:stop]))
-                        continue
-                    # Groups too large for one task: strings meet by anchor and by their first bytes.
-                    parts = -(-kinds // GROUP)
-                    held, begun = -1, start
-                    for at in range(start, stop - length + 2):
-                        part = zlib.crc32(data[at : at + 16]) % parts if at + length <= stop else -2
-                        if part != held:
-                            if held >= 0:
-                                rows.append((anchor ^ (held * 0x9E3779B9 + 1), anchor, doc_id, key, begun, data[begun : at - 1 + length]))
-                            held, begun = part, at
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                    pieces.append((doc_id, key, ask["start"], data[ask["start"] : ask["stop"]]))
+                    held += ask["stop"] - ask["start"]
+                    if held >= PAGE_BYTES:
+                        yield from page(pieces)
+                        pieces, held = [], 0
+        if pieces:
+            yield from page(pieces)
 
     return run
 
@@ -341,20 +398,33 @@ def _sorter(length: int) -> Callable:
 def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``id, key, start, stop``: byte intervals that repeated strings cover (not yet merged)."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = keyed_documents(docs).mapInArrow(_pages(length, gram, partitions * SPREAD), PACKED)
+    buckets = partitions * SPREAD
+    documents = keyed_documents(docs)
+    counted = documents.mapInArrow(_pages(length, gram, buckets), "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
+    split = split_table(dict(map(tuple, counted.collect())), buckets, LIMIT)
+    packed = documents.mapInArrow(_pages(length, gram, buckets, split), PACKED)
     dealt = packed.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    found = stage(dealt.mapInArrow(_grouper(length), _FOUND), "fragments")
-    asked = (
-        found.filter(F.col("anchor").isNotNull())
-        .groupBy("id", "key")
-        .agg(F.collect_list(F.struct("start", "stop", "anchor", "n")).alias("asked"))
-    )
-    # Rows that repeat a document's id and text ask once.
-    texts = keyed_documents(docs).join(asked, ["id", "key"]).select("id", "key", "text", "asked")
-    fragments = texts.mapInArrow(_fetcher(length), _FRAGMENT)
-    blocks = fragments.repartition("block").sortWithinPartitions("block", "id", "start").drop("anchor")
+    found = stage(dealt.mapInArrow(_grouper(length, buckets, GROUP), _FOUND), "fragments")
+
+    def asking(fragments: DataFrame) -> DataFrame:
+        asked = fragments.groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop", "anchor")).alias("asked"))
+        # Rows that repeat a document's id and text ask once.
+        return documents.join(asked, ["id", "key"]).select("id", "key", "text", "asked")
+
+    spans = ["id", "key", "start", "stop"]
+    fragments = asking(found.filter(F.col("anchor").isNotNull() & (F.col("n") <= GROUP))).mapInArrow(_fetcher, _FRAGMENT)
+    blocks = fragments.repartition("block").sortWithinPartitions("block", "id", "start")
     sorted_ = blocks.mapInArrow(_sorter(length), "id long, key long, start int, stop int")
-    return found.filter(F.col("anchor").isNull()).select("id", "key", "start", "stop").union(sorted_)
+    small = found.filter(F.col("anchor").isNull()).select(*spans).union(sorted_)
+    large = found.filter(F.col("n") > GROUP)
+    if large.isEmpty():
+        return small
+    strings = stage(asking(large).mapInArrow(_hasher(length), _STRINGS), "strings")
+    place = F.struct("id", "start")
+    known = strings.filter("one is not null")
+    least = known.groupBy("one", "two").agg(F.min(place).alias("least"), F.count("*").alias("times"))
+    again = known.join(least.filter("times > 1").drop("times"), ["one", "two"]).filter(place > F.col("least"))
+    return small.union(strings.filter("one is null").select(*spans)).union(again.select(*spans))
 
 
 _CLEAN = "id long, key long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary"

@@ -328,3 +328,27 @@ def test_windows_of_a_hot_anchor_are_split(spark, monkeypatch):
     monkeypatch.setattr(substring, "_counter", sizes)
     held = [r.id for r in substring.repeated_windows(frame).collect()]
     assert sum(held) > 4000 and max(held) <= 400
+
+
+def test_fragments_of_a_hot_anchor_are_split(spark, monkeypatch):
+    rng = random.Random(1)
+    frame = spark.createDataFrame([*_shared_passage(60, _words(rng, 40)), (100, _shared_passage(1, "")[0][1])], "doc_id long, text string")
+    want = sorted(map(str, suffixes.remove_repeated_strings(frame).collect()))
+    monkeypatch.setattr(suffixes, "GROUP", 8)
+    assert sorted(map(str, suffixes.remove_repeated_strings(frame).collect())) == want
+    monkeypatch.setattr(suffixes, "LIMIT", 20, raising=False)
+    assert sorted(map(str, suffixes.remove_repeated_strings(frame).collect())) == want
+
+    def sizes(length):
+        def run(batches):
+            renamed = (b.rename_columns(["bucket", *b.schema.names[1:]]) for b in batches)
+            for rows in substring.by_bucket(renamed, ["data"]):
+                held = sum(len(data) for _, data in rows)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((held, "int64"), (0, "int64"), (0, "int32"), (0, "int32"))], ["id", "key", "start", "stop"])
+
+        return run
+
+    monkeypatch.setattr(suffixes, "LIMIT", 1 << 40, raising=False)
+    monkeypatch.setattr(suffixes, "_sorter", sizes)
+    held = [r.id for r in suffixes.repeated_strings(frame).collect() if r.key == r.start == r.stop == 0]
+    assert max(held, default=0) <= 8 * 150
