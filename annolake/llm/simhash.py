@@ -24,12 +24,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.components import connected_components
-from annolake.llm.windows import mix
 
 SHINGLE = 4
 RADIUS = 4
@@ -273,73 +272,168 @@ def near_duplicates(docs: DataFrame, keys: list[str], shingle: int = SHINGLE, ra
     return rows.join(classes, "print").select(*keys, "print", "component_id")
 
 
-#: Wide fingerprints: 64-bit words, and 23-bit segments taken from them.
-WORDS = 6
-WIDE_SEGMENTS = 16
-WIDE_SHINGLE = 5
+#: Near copies: words of a shingle, and the least Jaccard similarity.
+COPY_SHINGLE = 5
 SIMILARITY = 0.8
+#: Counters of the shingle frequencies; they decide the order of shingles only, never the result.
+COUNTERS = 1 << 18
+#: Members that one task compares with a set.
+MEMBERS = 20_000
 
 
-def wide_radius(similarity: float = SIMILARITY, words: int = WORDS) -> int:
-    """Bits in which texts of that Jaccard similarity differ: the mean plus one standard deviation."""
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    bits = 64 * words
-    return int(bits * angle + np.sqrt(bits * angle * (1 - angle)))
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, shingle))
 
 
-def _wide_batches(shingle: int, words: int) -> Callable:
+def _set_batches(shingle: int) -> Callable:
+    """``node`` (hash of the set of shingles) of every row, and its text once for each task that meets the
+    set: texts take far less room than their sets, which later steps make again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        seen: set[int] = set()
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                nodes, texts = [], []
+                for text in part.column("text").to_pylist():
+                    node = xxhash.xxh64_intdigest(shingle_set(text, shingle).tobytes())
+                    nodes.append(node)
+                    texts.append(None if node in seen else text)
+                    seen.add(node)
+                if len(seen) > 200_000:  # repeated texts are then sent again
+                    seen.clear()
+                made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*part.schema.names[:-1], "node", "text"])
+
+    return run
+
+
+def _count_batches(shingle: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salts = [np.uint64(0x9E3779B97F4A7C15 * (2 * word + 1) % 2**64) for word in range(words)]
+        counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            prints = []
             for text in batch.column("text"):
-                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
-                prints.append(np.array([majority(mix(hashes ^ salt)) for salt in salts], "<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.binary())], [*batch.schema.names[:-1], "print"])
+                # Shingles of one set may share a counter, so `add.at`.
+                np.add.at(counts, shingle_set(text.as_py(), shingle) % np.uint64(COUNTERS), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["counter", "n"])
 
     return run
 
 
-def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    errors, offsets = golay_tables()
-    for batch in batches:
-        for at in range(0, len(batch), 1000):
-            part = batch.slice(at, 1000)
-            nodes = part.column("node").to_numpy(zero_copy_only=False)
-            prints = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(len(part), -1)
-            bits = np.unpackbits(prints, axis=1, bitorder="little")[:, : 23 * WIDE_SEGMENTS]
-            segments = bits.reshape(len(part), WIDE_SEGMENTS, 23).astype(np.int64) @ (1 << np.arange(23))
-            nearest = golay_keys(segments.reshape(-1), errors, offsets)[:, 0].reshape(len(part), -1)
-            one, two = np.triu_indices(WIDE_SEGMENTS, 1)
-            keys = (np.arange(len(one)) << 24) | (nearest[:, one] << 12) | nearest[:, two]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(nodes, len(one)))], ["key", "node"])
-
-
-def near_copies(
-    docs: DataFrame, keys: list[str], shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY, words: int = WORDS
-) -> DataFrame:
+def _prefix_batches(counts: np.ndarray, shingle: int, similarity: float) -> Callable:
+    """``key, node, size``: the rarest shingles of each set, as many as sets that alike cannot all differ in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes = [], []
+            for text in batch.column("text"):
+                held = shingle_set(text.as_py(), shingle)
+                rarest = np.lexsort((held, counts[held % np.uint64(COUNTERS)]))
+                keys.append(held[rarest[: 0 if not len(held) else len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1]])
+                sizes.append(len(held))
+            lengths = [len(k) for k in keys]
+            nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), lengths)
+            values = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+            sizes = np.repeat(np.array(sizes, np.int32), lengths)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(nodes), pa.array(sizes)], ["key", "node", "size"])
+
+    return run
+
+
+def _verifier(shingle: int, similarity: float) -> Callable:
+    """Pairs of a group's first set and its other sets that are alike enough; the first comes before the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, base = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(c).to_pylist() for c in ("a", "slot", "other", "node", "text")]
+            for lead, slot, other, node, text in zip(*columns, strict=True):
+                held = shingle_set(text, shingle)
+                if not other:
+                    first, base = (lead, slot), held
+                    continue
+                if (lead, slot) != first:
+                    raise ValueError("a group without its first set")
+                both = np.searchsorted(base, held)
+                shared = int((base[np.minimum(both, len(base) - 1)] == held).sum())
+                if shared >= similarity * (len(base) + len(held) - shared) - 1e-9:
+                    a.append(lead)
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def verified_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of the distinct ``pairs`` (``a``, ``b``) whose texts' sets (``node``, ``text``) have at least that Jaccard similarity."""
+    slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("slots"))
+    dealt = pairs.join(slots, "a").withColumn("slot", F.pmod(F.xxhash64("b"), "slots"))
+    others = dealt.select("a", "slot", F.lit(1).alias("other"), F.col("b").alias("node"))
+    firsts = dealt.select("a", "slot").distinct().select("a", "slot", F.lit(0).alias("other"), F.col("a").alias("node"))
+    asked = stage(others.union(firsts), "asked")
+    # Staged, so that few nodes are known to be few and the other texts need not be shuffled.
+    nodes = stage(asked.select("node").distinct(), "asked-nodes")
+    wanted = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    grouped = asked.join(wanted, "node").select("a", "slot", "other", "node", "text")
+    ordered = grouped.repartition("a", "slot").sortWithinPartitions("a", "slot", "other")
+    return ordered.mapInArrow(_verifier(shingle, similarity), "a long, b long")
+
+
+def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """``(node, root)`` of the components of all pairs of ``texts`` (``node``, ``text``) whose sets of shingles have at
+    least that Jaccard similarity; nodes without such a partner are left out.
+
+    Ordered from rare to frequent, of two such sets one shares a shingle of its first ``size - ceil(similarity * size)
+    + 1`` with those of the other, so no pair is lost.  First every set is compared with the
+    smallest node of each shared shingle; then only pairs that are still in different components are.
+    """
+    counted = texts.select("text").mapInArrow(_count_batches(shingle), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    counts = np.zeros(COUNTERS, np.int64)
+    for row in counted.toLocalIterator():
+        counts[row["counter"]] = row["n"]
+    keyed = texts.select("node", "text").mapInArrow(_prefix_batches(counts, shingle, similarity), "key long, node long, size int")
+    keyed = stage(keyed.distinct(), "prefixes")
+    leads = keyed.groupBy("key").agg(F.min(F.struct("node", "size")).alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = keyed.join(leads, "key").select("key", "node", "size", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"))
+    shared = stage(shared, "shared-prefixes")
+
+    def near(one: str, two: str) -> Column:
+        return F.least(one, two) >= similarity * F.greatest(one, two) - 1e-9
+
+    star = shared.filter("node <> lead").filter(near("size", "lead_size")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    edges = stage(verified_pairs(star, texts, shingle, similarity), "copies")
+
+    roots = connected_components(edges)
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    placed = stage(placed.join(apart, "key").filter("node <> lead").select("key", "node", "size", "root"), "apart")
+    left, right = (placed.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "root")]) for side in "ab")
+    pairs = left.join(right, "key").filter((F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root")) & near("a_size", "b_size"))
+    pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    return connected_components(edges.union(verified_pairs(pairs, texts, shingle, similarity)))
+
+
+def near_copies(docs: DataFrame, keys: list[str], shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``keys`` (the first is the document id), ``component_id`` and ``class`` (one value for each group, also
-    where ids repeat or are null) of near copies: texts whose sets of word
-    shingles are estimated to be at least ``similarity`` alike.
-
-    Similarity 0.8 means about one differing bit in seven, more than 64 bits can tell: the fingerprint
-    here has ``64 * words`` bits.  Each of 16 segments of 23 bits is decoded to its nearest codeword, a key is
-    the pair of indices of two segments, and of the 120 keys of a near copy one nearly always agrees.
-    Rows that share a key are verified over all bits.  Nulls, repeated rows and empty tables are treated as
-    in ``near_duplicates``.
+    where ids repeat or are null) of near copies: texts that links between sets of word shingles with
+    a Jaccard similarity of at least ``similarity`` connect.
+
+    Similarity 0.8 is more than fingerprints can tell, so the sets themselves are compared: every pair that
+    reaches it is linked and no other one (sets are of 64-bit hashes).  Nulls, repeated rows and
+    empty tables are treated as in ``near_duplicates``.
     """
     rows = docs.select(*keys, text_or_empty().alias("text"))
     kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes[:-1])
-    printed = stage(rows.mapInArrow(_wide_batches(shingle, words), f"{kept}, print binary"), "wide-prints")
-    distinct = stage(
-        printed.groupBy("print").agg(F.min(keys[0]).alias("first")).withColumn("node", F.xxhash64("print")), "wide-nodes"
-    )
-    keyed = distinct.select("node", "print").mapInArrow(_wide_keys, "key long, node long")
-    roots = connected_components(linked_prints(distinct.select("node", "print"), keyed, wide_radius(similarity, words)))
-    rooted = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    made = stage(rows.mapInArrow(_set_batches(shingle), f"{kept}, node long, text string"), "shingle-sets")
+    roots = copy_links(made.filter("text is not null").select("node", "text"), shingle, similarity)
+    rooted = made.groupBy("node").agg(F.min(keys[0]).alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("print", "component_id", F.col("root").alias("class"))
-    return printed.join(classes, "print").select(*keys, "component_id", "class")
+    classes = rooted.join(smallest, "root").select("node", "component_id", F.col("root").alias("class"))
+    return made.join(classes, "node").select(*keys, "component_id", "class")
 
 
 def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

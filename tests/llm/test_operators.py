@@ -352,3 +352,26 @@ def test_fragments_of_a_hot_anchor_are_split(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_sorter", sizes)
     held = [r.id for r in suffixes.repeated_strings(frame).collect() if r.key == r.start == r.stop == 0]
     assert max(held, default=0) <= 8 * 150
+
+
+def test_near_copies_are_the_pairs_at_the_exact_similarity(spark):
+    rng = random.Random(6)
+    texts = {}
+    for family in range(12):  # templates whose members lie on both sides of 0.8
+        base = _words(rng, 240).split()
+        for member in range(10):
+            words = list(base)
+            at = rng.randrange(len(words))
+            for k in range(at, at + rng.randint(0, 40)):
+                words[k % len(words)] = _words(rng, 1)
+            texts[100 * family + member] = " ".join(words)
+    texts |= {5000: "a b c", 5001: "a b c", 5002: "a b d", 5003: "", 5004: None}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for i, t in texts.items()}
+    label = {i: i for i in texts}
+    pairs = [(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))]
+    for _ in range(10):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(frame, ["doc_id"]).collect()} == label
+    assert len(set(label.values())) > 20
