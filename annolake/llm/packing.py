@@ -11,6 +11,7 @@ the pieces of that length, so no group of pieces is ever gathered in one task.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -24,7 +25,7 @@ from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.substring import split_words
 from annolake.llm.tokenbin import load_tokenizer
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import coded, gathered, in_one_text, run_sums
+from annolake.llm.wordcodes import Memory, coded, gathered, in_one_text, run_sums
 from annolake.operators.ordered import with_rank
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +43,8 @@ BATCH_BYTES = 8 << 20
 # Spaces inside a word, which the tokenizer drops (RE2 syntax).
 _INNER_SPACE = r"[\x1c-\x1f\x{85}\p{Z}]"
 _WORD_END = "</w>"
+# A full stop or comma between a letter and white space is a token of its own.
+_END_MARK = r"([a-z])([.,])(\s|\z)"
 
 
 class WordEncoder:
@@ -69,20 +72,32 @@ class WordEncoder:
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat ids, begin, count)`` of every word."""
-        shaped = pc.utf8_lower(pc.utf8_normalize(words, "NFC"))
-        odd = pc.or_(pc.not_equal(pc.binary_length(shaped), pc.binary_length(words)), pc.match_substring_regex(words, _INNER_SPACE))
+        special = pc.match_substring(words, "<|")  # special tokens are found before anything is normalised
+        listed = words.to_pylist()
+        foreign = pc.invert(pc.or_(special, pc.string_is_ascii(words))).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(foreign).tolist():
+            listed[i] = unicodedata.normalize("NFC", listed[i])
+        words = pa.array(listed, pa.string())
+        shaped = pc.not_equal(pc.binary_length(pc.utf8_lower(words)), pc.binary_length(words))
+        odd = pc.or_(pc.or_(special, shaped), pc.match_substring_regex(words, _INNER_SPACE))
         return in_one_text(words, odd.to_numpy(zero_copy_only=False), self._as_one, self._each)
 
 
+def alike(texts: pa.Array) -> pa.Array:
+    """Texts with the same tokens and fewer different words: lower case, marks at a word's end apart."""
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), _END_MARK, r"\1 \2\3")
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, apart)
+
+
 _PIECES = "row long, piece int, start long, length long, ids binary"
 
 
 def _encoder(name: str, capacity: int, end_id: int, carried: list[str]) -> Callable:
-    def page(encoder: WordEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def page(memory: Memory, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(all ids, ids per text)``, end ids included."""
-        words, bounds = split_words(texts)
+        words, bounds = split_words(alike(texts))
         known, codes = coded(words)
-        flat, begins, counts = encoder.encode(known)
+        flat, begins, counts = memory.lookup(known)
         ids = flat[gathered(begins[codes], counts[codes])]
         sizes = run_sums(counts[codes], bounds)
         return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
@@ -90,12 +105,12 @@ def _encoder(name: str, capacity: int, end_id: int, carried: list[str]) -> Calla
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, row = None, TaskContext.get().partitionId() << 40
+        memory, row = None, TaskContext.get().partitionId() << 40
         for batch in batches:
-            encoder = encoder or WordEncoder(name)
+            memory = memory or Memory(WordEncoder(name).encode)
             texts = batch.column("text")
             for low, high in page_slices(texts, PAGE_BYTES):
-                ids, sizes = page(encoder, texts.slice(low, high - low))
+                ids, sizes = page(memory, texts.slice(low, high - low))
                 data, pieces = ids.astype("<u4").tobytes(), -(-sizes // capacity)
                 document = np.repeat(np.arange(len(sizes)), pieces)
                 nth = gathered(np.zeros(len(sizes), np.int64), pieces)

@@ -8,10 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from annolake.llm.windows import page_slices
+from annolake.llm.windows import new_values, page_slices
 
 #: Bytes of words that are given to a tokenizer as one text.
 SLICE_BYTES = 256 << 10
+#: Words that a task remembers before it starts afresh, and the bytes of one that it may remember.
+MEMORY_WORDS = 300_000
+MEMORY_BYTES = 32
 
 
 def gathered(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -27,6 +30,12 @@ def run_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return upto[bounds[1:]] - upto[bounds[:-1]]
 
 
+def different(values: np.ndarray) -> np.ndarray:
+    """Each value once, in order."""
+    values = np.sort(values)
+    return values[new_values(values)] if len(values) else values
+
+
 def coded(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """``(different words, code of each word)``."""
     found = words.dictionary_encode()
@@ -60,3 +69,49 @@ def in_one_text(
             parts.append(ids)
             base += len(ids)
     return np.concatenate(parts), begins, counts
+
+
+class Memory:
+    """Ids of words met before in a task; ``encode`` gives ``(flat ids, begin, count)`` of new ones."""
+
+    def __init__(self, encode: Callable[[pa.Array], tuple]) -> None:
+        self.encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(flat ids, begin, count)`` of every word; words are different."""
+        if len(self.slots) > MEMORY_WORDS:
+            self.forget()
+        slot = np.fromiter((self.slots.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+        new = np.flatnonzero(slot < 0)
+        some = words.take(pa.array(new))
+        flat, begins, counts = self.encode(some)
+        before = len(self.flat)
+        known = np.cumsum(self.counts) - self.counts
+        ids = np.concatenate([self.flat, flat])
+        every_begin, every_count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        old = slot >= 0
+        every_begin[old], every_count[old] = known[slot[old]], self.counts[slot[old]]
+        every_begin[new], every_count[new] = before + begins, counts
+        short = np.flatnonzero(pc.less_equal(pc.binary_length(some), MEMORY_BYTES).to_numpy(zero_copy_only=False))
+        at = len(self.counts)
+        self.slots.update(zip(some.take(pa.array(short)).to_pylist(), range(at, at + len(short)), strict=True))
+        self.flat = np.concatenate([self.flat, flat[gathered(begins[short], counts[short])]])
+        self.counts = np.concatenate([self.counts, counts[short]])
+        return ids, every_begin, every_count
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """32-bit integers, compressed."""
+    data = values.astype("<i4").tobytes()
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def loosened(data: bytes | pa.Buffer) -> np.ndarray:
+    data = memoryview(data)
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.Codec("zstd").decompress(data[8:], size) if size else b"", "<i4").astype(np.int64)
