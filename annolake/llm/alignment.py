@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.tokenbin import load_tokenizer
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import coded, gathered, in_one_text, run_sums
+from annolake.llm.wordcodes import coded, different, gathered, in_one_text, loosened, run_sums, squeezed
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 PAGE_BYTES = 4 << 20
 BATCH_BYTES = 8 << 20
+#: Units whose links are counted at a time (more for a single longer document).
+STEP_UNITS = 1 << 18
 _BLANK = "▁"
+#: Stands for the ids of a unit that a tokenizer does not give back.
+FAILED = 2**32 - 1
 
 # White space beside a blank, or a blank at either end of a text: no cut there (RE2 syntax).
 _SPACE = r"\t\n\x0b\f\r\x1c-\x1f\x{85}\p{Z}"
@@ -88,7 +92,7 @@ class PieceSide:
 
 
 class UnitEncoder:
-    """Ids of units on one side; a unit whose bytes differ from the text's has none (``count`` -1)."""
+    """Ids of units on one side."""
 
     def __init__(self, side: ByteSide | PieceSide) -> None:
         self.side = side
@@ -116,19 +120,17 @@ class UnitEncoder:
             counts.append(len(found) if same else -1)
         return np.array(ids, np.uint32), np.array(counts, np.int64)
 
-    def encode(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``(flat ids, begin, count, failed)`` of every unit."""
-        failed: list[str] = []
+    def encode(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(flat ids, begin, count)`` of every unit; ``FAILED`` alone for one whose bytes differ."""
 
         def each(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
             ids, counts = self._each(some)
-            failed.extend(u for u, n in zip(some, counts.tolist(), strict=True) if n < 0)
-            return ids, np.maximum(counts, 0)
+            bad = np.flatnonzero(counts < 0)
+            ends = np.cumsum(np.maximum(counts, 0))
+            return np.insert(ids, ends[bad], FAILED), np.abs(counts)
 
         odd = pc.match_substring_regex(units, _ALONE).to_numpy(zero_copy_only=False)
-        ids, begins, counts = in_one_text(units, odd, self._as_one, each)
-        bad = pc.is_in(units, pa.array(failed, pa.string())).to_numpy(zero_copy_only=False)
-        return ids, begins, counts, bad
+        return in_one_text(units, odd, self._as_one, each)
 
 
 def coalesced(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,12 +153,13 @@ def overlaps(a_starts: np.ndarray, a_ends: np.ndarray, b_starts: np.ndarray, b_e
 class Aligned:
     """All units of a page, aligned: per unit its tokens, groups as text, and links as keys."""
 
-    def __init__(self, units: pa.Array, a_side: UnitEncoder, b_side: UnitEncoder) -> None:
+    def __init__(self, units: pa.Array, *encoders: UnitEncoder) -> None:
         sides, bad = [], np.zeros(len(units), bool)
-        for side in (a_side, b_side):
-            flat, begins, counts, failed = side.encode(units)
-            sides.append([flat, begins, counts, side.side.sizes])
-            bad |= failed
+        for encoder in encoders:
+            flat, begins, counts = encoder.encode(units)
+            sides.append([flat, begins, counts, encoder.side.sizes])
+            some = np.flatnonzero(counts)
+            bad[some[flat[begins[some]] == FAILED]] = True
         for side in sides:  # in unit order, without the units that have no tokens
             flat, begins, counts, sizes = side
             counts[bad] = 0
@@ -208,7 +211,7 @@ def split_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 _PAGE = """page long, bounds binary, codes binary, n_a binary, n_b binary, n_groups binary, n_links binary,
-           texts array<string>, links binary, pairs array<long>, held array<int>"""
+           texts binary, links binary, pairs array<long>, held array<int>"""
 
 
 def _pager(byte_name: str, piece_name: str, carried: list[str]) -> Callable:
@@ -224,21 +227,26 @@ def _pager(byte_name: str, piece_name: str, carried: list[str]) -> Callable:
         out |= pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         codes, owner = codes[~out[owner]], owner[~out[owner]]
         bounds = np.concatenate([[0], np.cumsum(np.where(out, 0, sizes))])
-        # Documents that hold a link: each unit of a document once, then each link of those once.
         pairs, links = np.unique(found.keys, return_inverse=True)
         begins = np.cumsum(found.n_links) - found.n_links
-        once = np.unique(owner * len(known) + codes)
-        doc, unit = once // max(1, len(known)), once % max(1, len(known))
-        linked = links[gathered(begins[unit], found.n_links[unit])]
-        pair_once = np.unique(np.repeat(doc, found.n_links[unit]) * max(1, len(pairs)) + linked)
-        held = np.bincount(pair_once % max(1, len(pairs)), minlength=len(pairs))
+        held = np.zeros(len(pairs), np.int64)
+        # Documents that hold a link, some documents at a time: each of their units once, then each link once.
+        cuts = np.unique(np.minimum(np.searchsorted(bounds, np.arange(0, len(codes) + STEP_UNITS, STEP_UNITS)), len(sizes)))
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            part = slice(bounds[low], bounds[high])
+            once = different(owner[part] * len(known) + codes[part])
+            doc, unit = np.divmod(once, max(1, len(known)))
+            linked = links[gathered(begins[unit], found.n_links[unit])]
+            pair_once = different(np.repeat(doc, found.n_links[unit]) * len(pairs) + linked)
+            held += np.bincount(pair_once % max(1, len(pairs)), minlength=len(pairs))
         used = held > 0  # links of units that only texts without tokens have are no links
         slot = np.cumsum(used) - 1
         whole = lambda column: pa.ListArray.from_arrays([0, len(column)], column)
-        packed = lambda values: pa.array([values.astype(np.int32).tobytes()], pa.binary())
+        packed = lambda values: pa.array([squeezed(values)], pa.binary())
+        lines = np.frombuffer("\n".join(found.texts().to_pylist()).encode().ljust(4), np.uint8)
         columns = {f"k_{c}": whole(batch.column(c)) for c in carried} | {
             "page": pa.array([number], pa.int64()), "bounds": packed(bounds), "codes": packed(codes), "n_a": packed(found.n_a),
-            "n_b": packed(found.n_b), "n_groups": packed(found.n_groups), "n_links": packed(found.n_links), "texts": whole(found.texts()),
+            "n_b": packed(found.n_b), "n_groups": packed(found.n_groups), "n_links": packed(found.n_links), "texts": packed(np.pad(lines, (0, -len(lines) % 4)).view("<i4")),
             "links": packed(np.where(used[links], slot[links], 0)), "pairs": whole(pa.array(pairs[used])),
             "held": whole(pa.array(held[used].astype(np.int32))),
         }
@@ -262,7 +270,7 @@ _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 def _finisher(carried: list[str]) -> Callable:
     def one(row: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        packed = lambda name: np.frombuffer(batch.column(name)[row].as_buffer(), np.int32).astype(np.int64)
+        packed = lambda name: loosened(batch.column(name)[row].as_buffer())
         bounds, codes, links, per_unit = packed("bounds"), packed("codes"), packed("links"), {n: packed(n) for n in _COUNTS}
         found = batch.column("found")[row].values  # structs of position and number, or null
         count, best = np.zeros(0, np.int64), np.zeros(0, bool)
@@ -275,7 +283,8 @@ def _finisher(carried: list[str]) -> Callable:
         safe = links if len(count) else links[:0]
         per_unit["count_sum"] = run_sums(count[safe], of_unit) if len(count) else np.zeros(len(of_unit) - 1, np.int64)
         per_unit["n_best"] = run_sums(best[safe].astype(np.int64), of_unit) if len(count) else per_unit["count_sum"]
-        texts = batch.column("texts")[row].values
+        lines = packed("texts").astype("<i4").tobytes().rstrip(b"\0 ").decode()
+        texts = pa.array(lines.split("\n"), pa.string())
         held = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)[codes]
         sizes = run_sums(held + 1, bounds)
         start, upto = 0, np.cumsum(sizes)
