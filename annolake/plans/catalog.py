@@ -124,15 +124,30 @@ def counts_text(column: str) -> Column:
 # ---- scans: the tables are written in the source format first, then read back ----
 
 
+def _document_entries(tables: readers.AnnotationTables) -> DataFrame:
+    """Images, annotations and categories of documents as rows of one table."""
+    image = tables.images.select(
+        F.col("source_split").alias("split"), F.lit("image").alias("kind"), F.col("image_id").alias("id"), "image_id",
+        F.lit(None).cast(LONG).alias("category_id"), F.concat_ws("|", "file_name", "width", "height").alias("detail"),
+        *[F.lit(None).cast("double").alias(c) for c in ("x", "y", "w", "h", "area")], F.lit(None).cast("int").alias("iscrowd"),
+    )
+    annotation = tables.annotations.select(
+        F.col("source_split").alias("split"), F.lit("annotation").alias("kind"), F.col("annotation_id").alias("id"), "image_id", "category_id",
+        F.lit(None).cast("string").alias("detail"), "x", "y", "w", "h", "area", "iscrowd",
+    )
+    category = tables.categories.select(
+        F.lit(None).cast("string").alias("split"), F.lit("category").alias("kind"), F.col("category_id").alias("id"),
+        F.lit(None).cast(LONG).alias("image_id"), "category_id", F.concat_ws("|", "name", "supercategory").alias("detail"),
+        *[F.lit(None).cast("double").alias(c) for c in ("x", "y", "w", "h", "area")], F.lit(None).cast("int").alias("iscrowd"),
+    )
+    return image.unionByName(annotation).unionByName(category)
+
+
 @query("scan_annotation_json")
 def _(d: Plan) -> DataFrame:
     path = d.staged("documents")
-    writers.write_documents(writers.document_rows(d.images, d.annotations, d.categories, 20_000), path)
-    tables = readers.read_coco(d.spark, path)
-    return tables.annotations.select(
-        F.regexp_replace("source_split", "^source_split=", "").alias("source_split"),
-        "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "iscrowd",
-    )
+    writers.write_coco_documents(d.images, d.annotations, d.categories, path)
+    return _document_entries(readers.read_coco(d.spark, path, split_pattern=readers.FILE_SPLIT))
 
 
 @query("scan_split_manifest")
@@ -423,12 +438,9 @@ def _(d: Plan) -> DataFrame:
     annotations = kept.join(split_of, keys).select(
         F.col("split").alias("source_split"), "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "iscrowd",
     )
-    documents = writers.document_rows(images, annotations, d.categories, 20_000)
-    parsed = documents.select(
-        F.col("source_split").alias("split"), F.from_json("document", "images array<struct<id:bigint>>, "
-        "annotations array<struct<id:bigint,image_id:bigint,category_id:bigint,area:double,iscrowd:int>>, "
-        "categories array<struct<id:bigint>>").alias("doc"))
-    return parsed.select("split", F.inline("doc.annotations")).withColumnRenamed("id", "annotation_id")
+    path = d.staged("coco")
+    writers.write_coco_documents(images, annotations, d.categories, path)
+    return _document_entries(readers.read_coco(d.spark, path, split_pattern=readers.FILE_SPLIT))
 
 
 @query("sink_predictions")

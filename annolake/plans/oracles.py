@@ -343,9 +343,17 @@ FROM reasoned WHERE (source_split, image_id) IN (SELECT (source_split, image_id)
 SQL: dict[str, str] = {}
 
 # ---- scans and sinks ----
-SQL["scan_annotation_json"] = """
-SELECT source_split, annotation_id, image_id, category_id, CASE WHEN w IS NOT NULL THEN x END AS x, CASE WHEN w IS NOT NULL THEN y END AS y, w,
-  CASE WHEN w IS NOT NULL THEN h END AS h, iscrowd FROM fx_annotations"""
+def _entries(images: str, annotations: str) -> str:
+    """Rows of annotation documents; the arguments select ``split`` and the fields of the entries."""
+    return f"""
+SELECT split, 'image' AS kind, image_id AS id, image_id, NULL::BIGINT AS category_id, concat_ws('|', file_name, width, height) AS detail,
+  NULL::DOUBLE AS x, NULL::DOUBLE AS y, NULL::DOUBLE AS w, NULL::DOUBLE AS h, NULL::DOUBLE AS area, NULL::INT AS iscrowd FROM ({images})
+UNION ALL SELECT split, 'annotation', annotation_id, image_id, category_id, NULL, CASE WHEN w IS NOT NULL THEN x END, CASE WHEN w IS NOT NULL THEN y END, w,
+  CASE WHEN w IS NOT NULL THEN h END, w * h, iscrowd FROM ({annotations})
+UNION ALL SELECT DISTINCT NULL, 'category', category_id, NULL, category_id, concat_ws('|', name, supercategory), NULL, NULL, NULL, NULL, NULL, NULL FROM fx_categories"""
+
+
+SQL["scan_annotation_json"] = _entries("SELECT *, source_split AS split FROM fx_images", "SELECT *, source_split AS split FROM fx_annotations")
 SQL["scan_split_manifest"] = """
 SELECT internal_record_id, source_split, image_id, source_image_path, project_image_path, project_label_path, width, height,
   CAST(valid_object_count AS INT) AS valid_object_count, category_names FROM manifest"""
@@ -387,8 +395,9 @@ SQL["sink_image_list"] = "SELECT concat('images/', split, '/', file_name) AS pat
 SQL["sink_split_jsonl"] = """
 SELECT project_split, source_split, count(*) AS images, CAST(sum(greatest(1, ceil(n / 1000))) AS BIGINT) AS records, CAST(sum(n) AS BIGINT) AS annotations
 FROM (SELECT s.split AS project_split, s.source_split, s.image_id, count(a.annotation_id) AS n FROM splits s LEFT JOIN accepted a USING (source_split, image_id) GROUP BY ALL) GROUP BY ALL"""
-SQL["build_coco_document"] = """
-SELECT s.split, a.annotation_id, a.image_id, a.category_id, a.w * a.h AS area, 0 AS iscrowd FROM accepted a JOIN splits s USING (source_split, image_id)"""
+SQL["build_coco_document"] = _entries(
+    "SELECT * FROM splits", "SELECT s.split, a.annotation_id, a.image_id, a.category_id, a.x, a.y, a.w, a.h, 0 AS iscrowd FROM accepted a JOIN splits s USING (source_split, image_id)"
+)
 SQL["sink_predictions"] = "SELECT image_id, category_id, x, y, w, h, score FROM converted"
 SQL["sink_metrics"] = """
 SELECT m.class_id, m.category_id, m.name AS category_name, count(a.annotation_id) AS object_count FROM mapping m LEFT JOIN accepted a ON a.class_id = m.class_id GROUP BY ALL"""

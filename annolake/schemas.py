@@ -11,7 +11,6 @@ ANNOTATION = (
     "struct<id:bigint,image_id:bigint,category_id:bigint,bbox:array<double>,area:double,iscrowd:int>"
 )
 CATEGORY = "struct<id:bigint,name:string,supercategory:string>"
-DOCUMENT = f"images array<{IMAGE}>, annotations array<{ANNOTATION}>, categories array<{CATEGORY}>"
 
 MANIFEST = (
     "internal_record_id string, source_split string, image_id string, source_image_path string, "
@@ -29,10 +28,7 @@ RECORD = (
     "project_image_path string, project_label_path string, part bigint, parts bigint"
 )
 PROCESSED_CATEGORY = "struct<class_id:bigint,coco_category_id:bigint,name:string,supercategory:string>"
-PROCESSED = (
-    "images array<struct<image_id:bigint,source_split:string,file_name:string,width:int,height:int>>, "
-    f"categories array<{PROCESSED_CATEGORY}>"
-)
+PROCESSED_IMAGE = "struct<image_id:bigint,source_split:string,file_name:string,width:int,height:int>"
 
 PREDICTION = "image_id string, category_id int, bbox array<double>, score double"
 

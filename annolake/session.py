@@ -51,6 +51,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "staging", f"{name}-{uuid.uuid4().hex}")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: survives lost executors, stays prunable."""
+    path = staging_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and fixes the row layout."""
     shared_dir(df.sparkSession)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolake import schemas
-from annolake.session import cut_lineage
+from annolake.session import stage
+from annolake.sources.documents import json_elements, section_rows
 
 
 class AnnotationTables(NamedTuple):
@@ -19,23 +20,22 @@ class AnnotationTables(NamedTuple):
     categories: DataFrame
 
 
-def read_coco(spark: SparkSession, path: str | Sequence[str], source_split: str | None = None) -> AnnotationTables:
-    """Nested annotation documents to three flat tables.
+#: Where a document's path names its split: in its directory, or in the file itself.
+DIRECTORY_SPLIT = r"([^/]+)/[^/]*$"
+FILE_SPLIT = r"([^/]+)\.json$"
 
-    One document is one record, so its file is read by one task: read once, then work on
-    the flat tables.  ``source_split=None`` takes the split from the file's directory.
+
+def read_coco(
+    spark: SparkSession, path: str | Sequence[str], source_split: str | None = None, split_pattern: str = DIRECTORY_SPLIT
+) -> AnnotationTables:
+    """Nested annotation documents to three flat tables, every document read in byte ranges by many tasks.
+
+    ``source_split=None`` takes the split from the file's path, by default from its directory.
     """
-    split = (
-        F.lit(source_split)
-        if source_split
-        else F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]*$", 1)
-    )
-    documents = (
-        spark.read.json(path, schema=schemas.DOCUMENT, multiLine=True, mode="FAILFAST")
-        .withColumn("source_split", split)
-    )
-    images = documents.select("source_split", F.inline("images")).withColumnRenamed("id", "image_id")
-    annotations = documents.select("source_split", F.inline("annotations")).select(
+    split = F.lit(source_split) if source_split else F.regexp_extract("file", split_pattern, 1)
+    elements = stage(json_elements(spark, path).withColumn("source_split", split), "elements")
+    images = section_rows(elements, "images", schemas.IMAGE, "source_split").withColumnRenamed("id", "image_id")
+    annotations = section_rows(elements, "annotations", schemas.ANNOTATION, "source_split").select(
         "source_split",
         F.col("id").alias("annotation_id"),
         "image_id",
@@ -48,9 +48,7 @@ def read_coco(spark: SparkSession, path: str | Sequence[str], source_split: str
         "area",
         F.coalesce("iscrowd", F.lit(0)).alias("iscrowd"),
     )
-    categories = (
-        documents.select(F.inline("categories")).distinct().withColumnRenamed("id", "category_id")
-    )
+    categories = section_rows(elements, "categories", schemas.CATEGORY).distinct().withColumnRenamed("id", "category_id")
     return AnnotationTables(images, annotations, categories)
 
 
@@ -76,15 +74,18 @@ def read_manifest_jsonl(spark: SparkSession, path: str | Sequence[str]) -> DataF
     return spark.read.json(path, schema=schemas.RECORD, mode="FAILFAST")
 
 
-def read_processed(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Processed manifests to (image records, categories); their category lists must agree."""
-    documents = spark.read.json(
-        list(paths), schema=schemas.PROCESSED, multiLine=multi_line, mode="FAILFAST"
-    ).withColumn("categories", F.sort_array("categories"))
-    variants = documents.select("categories").distinct()
-    if variants.limit(2).count() > 1:
+def read_processed(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Processed manifests to (image records, categories), read in byte ranges; their category lists must agree."""
+    elements = stage(json_elements(spark, list(paths)), "elements")
+    listed = section_rows(elements, "categories", schemas.PROCESSED_CATEGORY, "file")
+    documents = elements.select("file").distinct().count()
+    # A category that not every document has, or has as often, is a difference.
+    names = [c for c in listed.columns if c != "file"]
+    per_file = listed.groupBy("file", *names).agg(F.count("*").alias("n"))
+    uneven = per_file.groupBy(*names, "n").agg(F.count("*").alias("files")).filter(F.col("files") != documents)
+    if not uneven.isEmpty():
         raise ValueError("Category mapping mismatch between processed manifests.")
-    return documents.select(F.inline("images")), variants.select(F.inline("categories"))
+    return section_rows(elements, "images", schemas.PROCESSED_IMAGE), listed.drop("file").distinct()
 
 
 def read_image_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -124,8 +125,14 @@ def read_labels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    """Detector output; image ids stay text because they come in two spellings.  A broken document is an error."""
-    raw = spark.read.json(path, schema=schemas.PREDICTION, multiLine=multi_line, mode="FAILFAST")
+    """Detector output; image ids stay text because they come in two spellings.  A broken document is an error.
+
+    Each document is one array, read in byte ranges by many tasks; without ``multi_line`` every line is one detection.
+    """
+    if multi_line:
+        raw = section_rows(json_elements(spark, path, level=1), None, schemas.PREDICTION)
+    else:
+        raw = spark.read.json(path, schema=schemas.PREDICTION, mode="FAILFAST")
     return raw.select(
         "image_id",
         F.col("category_id").alias("class_id"),
@@ -178,5 +185,5 @@ def file_digests(files: DataFrame) -> DataFrame:
 
 
 def ingest(tables: AnnotationTables) -> AnnotationTables:
-    """Flat tables detached from the unsplittable documents they came from."""
-    return AnnotationTables(*[cut_lineage(frame) for frame in tables])
+    """Flat tables detached from the documents they came from."""
+    return AnnotationTables(*[stage(frame, "ingested") for frame in tables])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from annolake.constants import MANIFEST_COLUMNS
 from annolake.operators.joins import label_lines_from, label_text
 from annolake.operators.ordered import with_rank
+from annolake.sources.documents import write_json_documents
 
 
 def write_manifest_csv(manifest: DataFrame, path: str) -> None:
@@ -56,42 +57,29 @@ def write_split_jsonl(records: DataFrame, path: str) -> None:
     records.write.partitionBy("project_split").json(path)
 
 
-def document_rows(images: DataFrame, annotations: DataFrame, categories: DataFrame, per_document: int) -> DataFrame:
-    """Annotation documents as JSON text, each with at most ``per_document`` entries.
-
-    A document is one value, so a large set is cut into several of bounded size.
-    """
-    entries = [
-        (
-            "images",
-            images.select("source_split", F.struct(F.col("image_id").alias("id"), "file_name", "width", "height").alias("e")),
+def coco_sections(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> dict[str, DataFrame]:
+    """The three sections of annotation documents, entries ``e`` by ``source_split``; every split has all categories."""
+    splits = images.select("source_split").union(annotations.select("source_split")).distinct()
+    every = splits.agg(F.collect_set("source_split").alias("s")).select("s").scalar()  # a few names
+    return {
+        "images": images.select("source_split", F.struct(F.col("image_id").alias("id"), "file_name", "width", "height").alias("e")),
+        "annotations": annotations.select(
+            "source_split",
+            F.struct(
+                F.col("annotation_id").alias("id"), "image_id", "category_id",
+                F.when(F.col("w").isNotNull(), F.array("x", "y", "w", "h")).alias("bbox"),
+                (F.col("w") * F.col("h")).alias("area"), "iscrowd",
+            ).alias("e"),
         ),
-        (
-            "annotations",
-            annotations.select(
-                "source_split",
-                F.struct(
-                    F.col("annotation_id").alias("id"), "image_id", "category_id",
-                    F.when(F.col("w").isNotNull(), F.array("x", "y", "w", "h")).alias("bbox"),
-                    (F.col("w") * F.col("h")).alias("area"), "iscrowd",
-                ).alias("e"),
-            ),
+        "categories": categories.select(
+            F.explode(every).alias("source_split"), F.struct(F.col("category_id").alias("id"), "name", "supercategory").alias("e")
         ),
-        (
-            "categories",
-            categories.select(F.lit("categories").alias("source_split"), F.struct(F.col("category_id").alias("id"), "name", "supercategory").alias("e")),
-        ),
-    ]
-    documents = None
-    for section, rows in entries:
-        grouped = _runs(rows, ["source_split"], per_document).groupBy("source_split", "part").agg(
-            F.to_json(F.struct(F.collect_list("e").alias(section))).alias("document")
-        )
-        found = grouped.select(
-            "source_split", F.concat_ws("-", F.lit(section), F.col("part").cast("string")).alias("name"), "document"
-        )
-        documents = found if documents is None else documents.unionByName(found)
-    return documents
+    }
+
+
+def write_coco_documents(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:
+    """One annotation document per source split, ``path/<split>.json``, that a JSON loader or an evaluator can open."""
+    write_json_documents(coco_sections(images, annotations, categories), "source_split", path)
 
 
 def _runs(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -104,13 +92,6 @@ def _runs(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     return ranked.withColumn("part", F.floor((F.col("_nth") - 1) / size)).drop("_nth")
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """One document per file, below a directory per source split."""
-    documents.select("source_split", F.col("document").alias("value")).write.partitionBy("source_split").option(
-        "maxRecordsPerFile", 1
-    ).text(path)
-
-
 def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.select(
         "image_id", "category_id", F.array("x", "y", "w", "h").alias("bbox"), "score"
