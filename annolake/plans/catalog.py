@@ -1393,14 +1393,10 @@ def _(d: Plan) -> DataFrame:
 # ---- streaming and prediction ----
 
 
-def _frame_stream(d: Plan, files_per_batch: int | None = None) -> DataFrame:
-    """The events table as a file stream of frames, dealt over files that arrive in several batches if wanted."""
-    events, source, reader = d.table("events"), f"{d.folder}/events.parquet*", d.spark.readStream
-    if files_per_batch:
-        source = d.staged("arriving")
-        events.repartition(8, "event_id").write.parquet(source)
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    arrived = reader.schema(events.schema).parquet(source)
+def _frame_stream(d: Plan, path: str, files_per_batch: int) -> DataFrame:
+    """Landed events below ``path`` as a stream of frames, some files per batch."""
+    schema = d.table("events").schema
+    arrived = d.spark.readStream.option("maxFilesPerTrigger", files_per_batch).schema(schema).parquet(path)
     return arrived.select(
         F.col("user_id").alias("source_id"), F.col("ts").alias("frame_ts"), "event_id",
         F.col("event_type").alias("class_name"), (F.col("event_id") % 5).cast("int").alias("detection_count"),
@@ -1408,6 +1404,12 @@ def _frame_stream(d: Plan, files_per_batch: int | None = None) -> DataFrame:
     )
 
 
+def _landed(d: Plan, rows: DataFrame, path: str, after: int = 0, per_file: int = 500_000) -> int:
+    """Events in time order, in eight files or as many as keep a file at ``per_file`` rows."""
+    files = max(8, -(-rows.count() // per_file))
+    return streams.land_in_order(rows, ["ts", "event_id"], path, files, after)
+
+
 def _streamed(d: Plan, name: str, stream: DataFrame, mode: str = "append") -> DataFrame:
     path = d.staged(name)
     streams.run_to_table(stream, path, f"{path}-checkpoint", mode)
@@ -1416,22 +1418,44 @@ def _streamed(d: Plan, name: str, stream: DataFrame, mode: str = "append") -> Da
 
 @query("stream_moving_fps")
 def _(d: Plan) -> DataFrame:
-    found = _streamed(d, "moving", streams.stream_moving_fps(_frame_stream(d)))
+    path = d.staged("arriving")
+    _landed(d, d.table("events"), path)
+    found = _streamed(d, "moving", streams.stream_moving_fps(_frame_stream(d, path, files_per_batch=2)))
     return _stable(found, "instantaneous_fps", "moving_average_fps").drop("detection_count", "inference_ms")
 
 
 @query("stream_class_counts")
 def _(d: Plan) -> DataFrame:
-    updates = _streamed(d, "counts", streams.stream_class_counts(_frame_stream(d, files_per_batch=2)), "update")
+    path = d.staged("arriving")
+    _landed(d, d.table("events"), path)
+    updates = _streamed(d, "counts", streams.stream_class_counts(_frame_stream(d, path, files_per_batch=2)), "update")
     newest = F.max_by("detections", "batch_id").alias("detections")
     return updates.groupBy("source_id", "class_name").agg(newest)
 
 
 @query("stream_window_rate")
 def _(d: Plan) -> DataFrame:
-    updates = _streamed(d, "windows", streams.window_rate(_frame_stream(d)), "update")
-    newest = updates.groupBy("window_start").agg(F.max_by(F.struct("frames", "detections", "mean_inference_ms"), "batch_id").alias("r"))
-    return _stable(newest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "r.*"), "mean_inference_ms")
+    """Windows in append mode; every 50th event of the first half comes after all others, behind the watermark.
+
+    A last event far ahead closes all windows.
+    """
+    events, path = d.table("events"), d.staged("arriving")
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = ends.a + (ends.b - ends.a) / 2
+    late = (F.col("event_id") % 50 == 7) & (F.col("ts") < F.lit(middle))
+    landed = _landed(d, events.filter(~late), f"{path}/0")
+    landed += _landed(d, events.filter(late), f"{path}/1", landed)
+    ahead = events.orderBy("event_id").limit(1).select(
+        *[(F.lit(ends.b) + F.expr("INTERVAL 1 YEAR")).alias(c) if c == "ts" else F.lit(-1).cast(LONG).alias(c) if c == "event_id" else F.col(c) for c in events.columns]
+    )
+    _landed(d, ahead, f"{path}/2", landed)
+    out = d.staged("windows")
+    dropped = streams.run_window_rate(_frame_stream(d, f"{path}/*", files_per_batch=2), out, f"{out}-checkpoint")
+    windows = d.spark.read.parquet(out).select(
+        F.lit("window").alias("kind"), F.col("window_start").cast("timestamp_ntz").alias("window_start"), "frames", "detections", "mean_inference_ms"
+    )
+    rest = d.spark.createDataFrame([("late", None, dropped, None, None)], windows.schema)
+    return _stable(windows.union(rest), "mean_inference_ms")
 
 
 @query("window_rate")

@@ -807,7 +807,12 @@ SQL["stream_moving_fps"] = "SELECT source_id, event_id, frame_index, instantaneo
 SQL["stream_class_counts"] = "SELECT source_id, class_name, CAST(sum(detection_count) AS BIGINT) AS detections FROM fx_frames GROUP BY ALL"
 _WINDOWS = """
 SELECT date_trunc('hour', frame_ts) AS window_start, count(*) AS frames, CAST(sum(detection_count) AS BIGINT) AS detections, round(avg(inference_ms), 9) AS mean_inference_ms FROM fx_frames GROUP BY 1"""
-SQL["stream_window_rate"] = _WINDOWS
+SQL["stream_window_rate"] = """
+SELECT 'window' AS kind, date_trunc('hour', frame_ts) AS window_start, count(*) AS frames, CAST(sum(detection_count) AS BIGINT) AS detections, round(avg(inference_ms), 9) AS mean_inference_ms
+FROM arrivals WHERE NOT late GROUP BY 2
+UNION ALL SELECT 'late', NULL, count(*), NULL, NULL FROM arrivals WHERE late"""
+PARTS["arrivals"] = """
+SELECT *, event_id % 50 = 7 AND frame_ts < (SELECT min(frame_ts) + (max(frame_ts) - min(frame_ts)) / 2 FROM fx_frames) AS late FROM fx_frames"""
 SQL["window_rate"] = _WINDOWS
 SQL["stream_result_ingest"] = """
 SELECT concat('source_', lpad(CAST(source_id AS VARCHAR), 12, '0')) AS result_id, 'video' AS task_type, processed_frames, total_detections FROM videos"""

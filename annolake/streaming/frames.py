@@ -10,74 +10,159 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from annolake.operators.runs import MOVING_WINDOW
 
-RATE_STATE = "last_us bigint, nth bigint, rates array<double>"
 RATE_OUTPUT = (
     "source_id bigint, event_id bigint, frame_index bigint, detection_count int, inference_ms double, "
     "instantaneous_fps double, moving_average_fps double"
 )
+#: Frames of one source and batch that are sorted in memory; more go to the state store in sorted runs of blocks.
+HELD_ROWS = 50_000
+BLOCK_ROWS = 2_000
+_FRAME = {"event_id": "bigint", "detection_count": "int", "inference_ms": "double", "us": "bigint"}
+_ORDER = ["us", "event_id"]
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _pace(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Rates of one source; state is the last frame time and at most 20 rates."""
-    frames = pd.concat(list(batches), ignore_index=True)
-    if frames.empty:
-        return
-    frames = frames.sort_values(["us", "event_id"], ignore_index=True)
-    last, nth, rates = state.get if state.exists else (None, 0, [])
+def paced(frames: pd.DataFrame, last: int | None, nth: int, rates: list[float]) -> tuple[pd.DataFrame, int, int, list[float]]:
+    """Rates of frames in time order that follow a source's ``nth`` frames: ``(rows, last, nth, rates)``."""
     gaps = frames["us"].diff()
     if last is not None:
         gaps.iloc[0] = frames["us"].iloc[0] - last
     rate = (1e6 / gaps.where(gaps > 0)).where(gaps > 0, 0.0)
     rate[gaps.isna()] = float("nan")
-    history = pd.concat([pd.Series(list(rates), dtype="float64"), rate], ignore_index=True)
-    moving = history.rolling(MOVING_WINDOW, min_periods=1).mean().iloc[len(rates):].reset_index(drop=True)
-    out = pd.DataFrame(
-        {
-            "source_id": key[0],
-            "event_id": frames["event_id"],
-            "frame_index": nth + frames.index,
-            "detection_count": frames["detection_count"],
-            "inference_ms": frames["inference_ms"],
-            "instantaneous_fps": rate.fillna(0.0),
-            "moving_average_fps": moving.fillna(0.0),
-        }
+    history = pd.concat([pd.Series(rates, dtype="float64"), rate], ignore_index=True)
+    moving = history.rolling(MOVING_WINDOW, min_periods=1).mean().iloc[len(rates) :].reset_index(drop=True)
+    out = frames.drop(columns="us").assign(
+        frame_index=nth + frames.index, instantaneous_fps=rate.fillna(0.0), moving_average_fps=moving.fillna(0.0)
     )
-    kept = history.dropna().tail(MOVING_WINDOW).tolist()
-    state.update((int(frames["us"].iloc[-1]), int(nth + len(frames)), kept))
-    yield out
+    return out, int(frames["us"].iloc[-1]), nth + len(frames), history.dropna().tail(MOVING_WINDOW).tolist()
 
 
-def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """Status row per frame with instantaneous and moving rate, state kept per source.
+class MovingRate(StatefulProcessor):
+    """Status rows of one source; state is its last frame time, its count and at most 20 rates.
 
-    ``idle_ms`` forgets a source after that much silence.  It suits a query that runs on;
-    with a processing-time timeout an ``availableNow`` run never finds its end.  The frames
-    of one source within a micro-batch are sorted together, so bound a backlog with
-    ``maxFilesPerTrigger``; for a whole table use the batch twin, which splits big sources.
+    A batch of more than ``HELD_ROWS`` frames of one source is sorted outside memory: sorted runs go to the state
+    store in blocks, and a merge keeps one block of each run.
     """
-    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
-    def pace(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if idle_ms is not None and state.hasTimedOut:
-            state.remove()
+    def __init__(self, idle_ms: int | None) -> None:
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.head = handle.getValueState("head", "last_us bigint, nth bigint")
+        self.rates = handle.getListState("rates", "rate double")
+        self.waiting = handle.getMapState("waiting", "run bigint, block bigint", ", ".join(f"{n} array<{t}>" for n, t in _FRAME.items()))
+
+    def _wait(self, run: int, frames: pd.DataFrame) -> int:
+        """Put a sorted run aside; returns its number of blocks."""
+        starts = range(0, len(frames), BLOCK_ROWS)
+        for block, start in enumerate(starts):
+            some = frames.iloc[start : start + BLOCK_ROWS]
+            self.waiting.updateValue((run, block), tuple(some[c].tolist() for c in _FRAME))
+        return len(starts)
+
+    def _merged(self, blocks: list[int]) -> Iterator[pd.DataFrame]:
+        at, current = [0] * len(blocks), {}
+        while True:
+            for run, count in enumerate(blocks):
+                if run not in current and at[run] < count:
+                    value = self.waiting.getValue((run, at[run]))
+                    self.waiting.removeKey((run, at[run]))
+                    current[run] = pd.DataFrame(dict(zip(_FRAME, value, strict=True)))
+                    at[run] += 1
+            if not current:
+                return
+            # All rows up to the smallest last row are complete; at least one block is used up.
+            limit = min(tuple(x[_ORDER].iloc[-1]) for x in current.values())
+            ready = []
+            for run, rows in list(current.items()):
+                upto = int(((rows["us"] < limit[0]) | ((rows["us"] == limit[0]) & (rows["event_id"] <= limit[1]))).sum())
+                ready.append(rows.iloc[:upto])
+                if upto == len(rows):
+                    del current[run]
+                else:
+                    current[run] = rows.iloc[upto:]
+            yield pd.concat(ready).sort_values(_ORDER, ignore_index=True)
+
+    def _in_order(self, chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, blocks, size = [], [], 0
+        for chunk in chunks:
+            held.append(chunk[list(_FRAME)])
+            size += len(chunk)
+            if size > HELD_ROWS:
+                blocks.append(self._wait(len(blocks), pd.concat(held).sort_values(_ORDER, ignore_index=True)))
+                held, size = [], 0
+        if held and blocks:
+            blocks.append(self._wait(len(blocks), pd.concat(held).sort_values(_ORDER, ignore_index=True)))
+        if blocks:
+            yield from self._merged(blocks)
+        elif size:
+            yield pd.concat(held).sort_values(_ORDER, ignore_index=True)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last, nth = self.head.get() if self.head.exists() else (None, 0)
+        rates = [r[0] for r in self.rates.get()] if self.rates.exists() else []
+        for frames in self._in_order(rows):
+            out, last, nth, rates = paced(frames, last, nth, rates)
+            out.insert(0, "source_id", key[0])
+            yield out[["source_id", "event_id", "frame_index", "detection_count", "inference_ms", "instantaneous_fps", "moving_average_fps"]]
+        if last is None:
             return
-        yield from _pace(key, batches, state)
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-
-    timed = frames.select(
-        "source_id", "event_id", "detection_count", "inference_ms",
-        F.unix_micros(F.col("frame_ts").cast("timestamp")).alias("us"),
-    )
-    return timed.groupBy("source_id").applyInPandasWithState(
-        pace, RATE_OUTPUT, RATE_STATE, "append", timeout
+        self.head.update((last, nth))
+        self.rates.put([(r,) for r in rates]) if rates else self.rates.clear()
+        if self.idle_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(last // 1000 + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.head.clear()
+        self.rates.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None, watermark: str = "10 minutes") -> DataFrame:
+    """Status row per frame with instantaneous and moving rate, state kept per source.
+
+    Frames of a batch are taken in time order, whatever order they come in; batches have to follow one another in
+    time (``land_in_order``).  ``idle_ms`` forgets a source once the event time has passed its last frame by that much
+    (a timer at the watermark, so it works the same in every run; frames behind the watermark are then left out).
+    Null sources are a source of their own; the state store is RocksDB, which this sets for the session.
+    """
+    frames.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    timed = frames.withColumn("event_time", F.col("frame_ts").cast("timestamp"))
+    if idle_ms is not None:
+        timed = timed.withWatermark("event_time", watermark)
+    timed = timed.withColumn("us", F.unix_micros(F.col("event_time")))
+    kept = ["source_id", *_FRAME, *(["event_time"] if idle_ms is not None else [])]
+    return timed.select(*kept).groupBy("source_id").transformWithStateInPandas(
+        MovingRate(idle_ms), RATE_OUTPUT, "append", "none" if idle_ms is None else "eventTime"
     )
 
 
+def land_in_order(rows: DataFrame, order: list[str], path: str, files: int, after: int = 0) -> int:
+    """Write ``rows`` as ``files`` Parquet files that a file stream takes in ``order``; returns their number.
+
+    A file stream goes by modification time, so the files, one range of ``order`` each, get times one
+    second apart, behind the ``after`` files that landed before.
+    """
+    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    spark = rows.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    system = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    landed = sorted((s.getPath() for s in system.listStatus(jpath(path)) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for nth, one in enumerate(landed):
+        system.setTimes(one, (1_000_000_000 + after + nth) * 1000, -1)
+    return len(landed)
+
+
 def stream_class_counts(frames: DataFrame) -> DataFrame:
     """Running detections per source and class."""
     return frames.groupBy("source_id", "class_name").agg(F.sum("detection_count").alias("detections"))
@@ -88,6 +173,10 @@ def window_rate(frames: DataFrame, width: str = "1 hour", watermark: str | None
     timed = frames.withColumn("event_time", F.col("frame_ts").cast("timestamp"))
     if watermark and timed.isStreaming:
         timed = timed.withWatermark("event_time", watermark)
+    return _windows(timed, width)
+
+
+def _windows(timed: DataFrame, width: str) -> DataFrame:
     return (
         timed.groupBy(F.window("event_time", width).alias("w"))
         .agg(
@@ -99,25 +188,42 @@ def window_rate(frames: DataFrame, width: str = "1 hour", watermark: str | None
     )
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available now into a Parquet folder (exactly once by checkpoint)."""
-    if mode == "append":
-        query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
-        return
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        # A folder per batch: repeating a batch after a failure replaces its own output.
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+def run_window_rate(
+    frames: DataFrame, path: str, checkpoint: str, width: str = "1 hour", watermark: str = "10 minutes"
+) -> int:
+    """Append every window to ``path`` once event time has passed it; returns how many rows came too late.
+
+    Rows are taken once per ``event_id`` first: that step lets through no row behind the watermark and counts
+    each it drops, so rows in windows, rows still open and rows returned as late add up to all rows.
+    """
+    timed = frames.withColumn("event_time", F.col("frame_ts").cast("timestamp")).withWatermark("event_time", watermark)
+    once = timed.dropDuplicatesWithinWatermark(["event_id"])
+    return run_to_table(_windows(once, width), path, checkpoint)
+
+
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> int:
+    """Process everything available now into a Parquet folder (exactly once by checkpoint).
+
+    Returns the rows that stateful steps dropped as late.
+    """
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
+    before = conf.get(name)
+    conf.set(name, "1000000")  # no batch's count may be lost
+    try:
+        if mode == "append":
+            writer = stream.writeStream.format("parquet").option("path", path).outputMode("append")
+        else:
+
+            def upsert(batch: DataFrame, batch_id: int) -> None:
+                # A folder per batch: repeating a batch after a failure replaces its own output.
+                batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+            writer = stream.writeStream.outputMode(mode).foreachBatch(upsert)
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    finally:
+        conf.set(name, before)
 
 
 def stream_result_ingest(spark: SparkSession, source: str, schema, path: str, checkpoint: str, files_per_batch: int = 1000) -> None:
