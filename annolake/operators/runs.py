@@ -215,11 +215,15 @@ def confidence_stats(results: DataFrame, detections: DataFrame, result: str) ->
     return results.select(result).join(stats, result, "left").fillna(0, ["detection_count"])
 
 
-def sample_summary(images: DataFrame, detections: DataFrame, result: str) -> DataFrame:
-    """Per image: dimensions, detections, class counts, confidence statistics."""
+def sample_summary(images: DataFrame, detections: DataFrame, result: str, timings: DataFrame | None = None) -> DataFrame:
+    """Per image: dimensions, detections, class counts, confidence statistics and, from ``timings``, the time it took.
+
+    An image without detections has none of the statistics; one without a timing a null time.
+    """
     stats = confidence_stats(images, detections, result)
     counts = detection_class_counts(detections, result)
-    return images.join(stats, result).join(counts, result, "left")
+    found = images.join(stats, result).join(counts, result, "left")
+    return found if timings is None else found.join(timings.select(result, "inference_time_ms"), result, "left")
 
 
 def video_summary(frames: DataFrame) -> DataFrame:

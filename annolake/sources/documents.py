@@ -27,7 +27,7 @@ def _count(text: Column, character: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(character), F.lit("")))).cast("long")
 
 
-def _carried(rows: DataFrame, sums: dict[str, Column], last: dict[str, Column] | None = None) -> DataFrame:
+def carried_on(rows: DataFrame, sums: dict[str, Column], last: dict[str, Column] | None = None) -> DataFrame:
     """Add what all earlier rows of a file come to: sums by name, and the newest value that is not null.
 
     Within a byte range a window does it (a range is as long as an input split at most); between ranges a table
@@ -89,7 +89,7 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
         "value",
     )
     bare = F.regexp_replace("value", r"(?s)\\.", "")
-    quoted = _carried(texts.withColumn("quotes", _count(bare, '"')), {"quotes_before": F.col("quotes")})
+    quoted = carried_on(texts.withColumn("quotes", _count(bare, '"')), {"quotes_before": F.col("quotes")})
     inside = F.col("quotes_before") % 2 == 1
     plain = F.regexp_replace(F.when(inside, F.concat(F.lit('"'), bare)).otherwise(bare), '"[^"]*+(?:"|$)', "")
     chunks = stage(
@@ -102,7 +102,7 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
     )
     _closed(chunks, level)
 
-    depths = _carried(chunks, {"curly": F.col("opened") - F.col("closed"), "square": F.col("squares")})
+    depths = carried_on(chunks, {"curly": F.col("opened") - F.col("closed"), "square": F.col("squares")})
     ends = (F.col("closed") == 1) & (F.col("curly") + F.col("opened") == level)
     marked = depths.select(
         *_RANGE, "id", "value", ends.alias("ends"), "curly",
@@ -110,7 +110,7 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
     )
     # A group is what lies between two such ends; nearly always it is one chunk (a range's first one is not looked at).
     behind = F.lag("ends").over(Window.partitionBy(*_RANGE).orderBy("id"))
-    grouped = stage(_carried(marked.withColumn("behind", behind), {"group": F.col("ends").cast("long")}), "chunks")
+    grouped = stage(carried_on(marked.withColumn("behind", behind), {"group": F.col("ends").cast("long")}), "chunks")
     alone = F.col("ends") & F.coalesce("behind", F.lit(False))
     whole = grouped.filter(alone).select(*_RANGE, "id", F.col("value").alias("text"), "curly", "element")
     pieces = F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))), lambda p: p["value"])
@@ -129,7 +129,7 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
     glue = F.when(F.col("curly") == level - 2, F.regexp_extract("text", own, 0)).otherwise(F.regexp_extract("text", _GLUE, 0))
     named = F.nullif(F.regexp_extract("glue", _SECTION, 1), F.lit(""))
     groups = whole.union(parts).filter("element").withColumn("glue", glue).withColumn("named", named)
-    found = _carried(groups, {}, {"carried": F.col("named")}) if level > 1 else groups.withColumn("carried", F.lit(None).cast("string"))
+    found = carried_on(groups, {}, {"carried": F.col("named")}) if level > 1 else groups.withColumn("carried", F.lit(None).cast("string"))
     body = F.concat(F.lit("{"), F.substr("text", F.length("glue") + 1), F.lit("}"))
     apart = F.col("glue").rlike(r"^\s*,\s*\{$") | (F.col("named").isNotNull() if level > 1 else F.col("glue").rlike(r"^\s*\[\s*\{$"))
     checked = F.when(apart, body).otherwise(F.raise_error(F.concat(F.lit("broken JSON document: "), F.col("file"))))

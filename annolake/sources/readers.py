@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from annolake import schemas
 from annolake.session import stage
-from annolake.sources.documents import json_elements, section_rows
+from annolake.sources.documents import carried_on, json_elements, section_rows
 
 
 class AnnotationTables(NamedTuple):
@@ -103,10 +103,10 @@ def read_image_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return ordered.filter(F.col("path") != "").select("file", "ord", "path")
 
 
-def _path_below(roots: str | Sequence[str]) -> Column:
-    """Path of the file being read, without the root it was found under; whole if no root is a folder above it."""
+def _path_below(found: Column, roots: str | Sequence[str]) -> Column:
+    """A file's path without the root it was found under; whole if no root is a folder above it."""
     # The metadata column holds an encoded URI, in which a plus sign stands for itself.
-    found = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    found = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
     for root in [roots] if isinstance(roots, str) else roots:
         plain = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root).strip("/")
         found = F.regexp_replace(found, rf"^[A-Za-z][\w+.-]*:(?:.*?/)?{re.escape(plain)}/+", "")
@@ -114,14 +114,19 @@ def _path_below(roots: str | Sequence[str]) -> Column:
 
 
 def read_labels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Label files to ``label_file, line_no, line``, files named by their path below ``path``; one file is one record."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        _path_below(path).alias("label_file"),
-        F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n").alias("lines"),
-    )
-    return files.select("label_file", F.posexplode("lines").alias("_pos", "line")).select(
-        "label_file", (F.col("_pos") + 1).cast("long").alias("line_no"), "line"
+    """Label files to ``label_file, line_no, line``, files named by their path below ``path``.
+
+    A file may be read in several byte ranges: lines are numbered within their range and the lines of the file's
+    earlier ranges are added.  A blank line counts; an empty file has no lines.
+    """
+    lines = spark.read.text(path, recursiveFileLookup=True).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("value").alias("line"),
     )
+    numbered = carried_on(lines, {"before": F.lit(1).cast("long")})
+    return numbered.select(_path_below(F.col("file"), path).alias("label_file"), (F.col("before") + 1).alias("line_no"), "line")
 
 
 def read_predictions(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:

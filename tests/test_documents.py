@@ -101,3 +101,14 @@ def test_written_documents_load_and_read_back(spark, tmp_path, small_ranges):
     empty = str(tmp_path / "empty")
     writers.write_coco_documents(images.limit(0), boxes.limit(0), categories, empty)
     assert not list((tmp_path / "empty").glob("*.json"))
+
+
+def test_label_lines_stay_numbered_over_byte_ranges(spark, tmp_path, small_ranges):
+    rng = random.Random(5)
+    want = set()
+    for name, count in (("a/one.txt", 2500), ("a/two.txt", 3), ("b/one.txt", 900), ("b/none.txt", 0)):
+        lines = [rng.choice(["0 0.1 0.2 0.3 0.4", "", " 7 é", "12 0.5 0.5 0.25 0.125"]) for _ in range(count)]
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("\n".join(lines) + "\n" * (count != 3) if count else "")
+        want |= {(name, i, line) for i, line in enumerate(lines, 1)}
+    assert {tuple(r) for r in readers.read_labels(spark, str(tmp_path)).collect()} == want
