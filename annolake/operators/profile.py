@@ -100,21 +100,38 @@ def represented_classes(classified: DataFrame) -> DataFrame:
     )
 
 
+#: Values a quantile sketch keeps about three times of; its rank error is near 1.3 % at this size, 0.2 % at 2,000.
+SKETCH_SIZE = 2_000
+
+
+def distribution_sketches(rows: DataFrame, keys: list[str], value: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per ``keys`` (a split, a day, a file): count, min, max, sum and a quantile sketch of ``value``, to be kept and merged later."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.count("*").alias("count"), F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"),
+        F.sum(F.col(value).cast("double")).alias("sum"), F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(size)).alias("sketch"),
+    )
+
+
+def merged_distribution(sketches: DataFrame, keys: list[str], shares: dict[str, float] | None = None) -> DataFrame:
+    """Sketches merged to ``keys``: count, min, max, mean and approximate quantiles (``median``, or by name in ``shares``)."""
+    merged = sketches.groupBy(*keys).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("count"), F.min("min").alias("min"), F.max("max").alias("max"),
+        (F.sum("sum") / F.sum("count")).alias("mean"), F.kll_merge_agg_double("sketch").alias("_sketch"),
+    )
+    quantiles = {n: F.kll_sketch_get_quantile_double("_sketch", F.lit(float(q))) for n, q in (shares or {"median": 0.5}).items()}
+    guarded = [F.when(F.col("count") > 0, q).alias(n) for n, q in quantiles.items()]
+    return merged.select(*keys, "count", "min", "max", "mean", *guarded)
+
+
 def distribution_summary(rows: DataFrame, value: str, approximate: bool = False) -> DataFrame:
     """One row: count, min, max, mean and median; nulls when there are no values."""
     if not approximate:
         return value_distribution(rows, [], value)
-    return rows.agg(
-        F.count(value).alias("count"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-        F.avg(value).alias("mean"),
-        F.percentile_approx(value, 0.5, 10_000).cast("double").alias("median"),
-    )
+    return merged_distribution(distribution_sketches(rows, [], value).filter("count > 0"), [])
 
 
-def box_distributions(classified: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Objects per image, normalised box width and height, box area: one pass over each table."""
+def box_values(classified: DataFrame, rollup: DataFrame) -> DataFrame:
+    """``source_split, distribution, value``: objects per image, normalised box width and height, box area."""
     values = F.array(
         *[
             F.struct(F.lit(label).alias("distribution"), value.alias("value"))
@@ -126,10 +143,27 @@ def box_distributions(classified: DataFrame, rollup: DataFrame) -> DataFrame:
         ]
     )
     per_image = rollup.select(
-        F.lit("objects_per_image").alias("distribution"), F.col("valid_object_count").cast("double").alias("value")
+        "source_split", F.lit("objects_per_image").alias("distribution"), F.col("valid_object_count").cast("double").alias("value")
     )
-    long = accepted(classified).select(F.inline(values)).unionByName(per_image)
-    return value_distribution(long, ["distribution"], "value")
+    return accepted(classified).select("source_split", F.inline(values)).unionByName(per_image)
+
+
+def box_distributions(classified: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Exact distribution of each kind of box value: one pass over each table."""
+    return value_distribution(box_values(classified, rollup).drop("source_split"), ["distribution"], "value")
+
+
+def rank_error(rows: DataFrame, key: str, value: str, estimates: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """Per ``key``: ``<name>_error``, how far the true rank of each estimate in ``estimates`` is from its share.
+
+    ``estimates`` has one row per key and is joined as the optimizer sees fit.
+    """
+    beside = rows.filter(F.col(value).isNotNull()).join(estimates.select(key, *shares), key)
+    n = F.count("*")
+    below = {s: F.count_if(F.col(value) < F.col(s)) / n for s in shares}
+    upto = {s: F.count_if(F.col(value) <= F.col(s)) / n for s in shares}
+    errors = [F.greatest(below[s] - q, q - upto[s], F.lit(0.0)).alias(f"{s}_error") for s, q in shares.items()]
+    return beside.groupBy(key).agg(*errors)
 
 
 def size_bucket_counts(classified: DataFrame) -> DataFrame:

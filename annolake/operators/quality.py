@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolake.constants import SPLITS
@@ -12,7 +12,11 @@ from annolake.functions import boxes, names
 from annolake.operators.annotate import lint_label_lines
 from annolake.operators.profile import side_by_side
 from annolake.operators.splits import split_bit
-from annolake.session import broadcast_checked, cut_lineage
+from annolake.session import broadcast_checked, stage
+
+
+#: Offenders that a rule names.
+EXAMPLES = 20
 
 
 def rule(name: str, frame: DataFrame, passed: Column, details: Column) -> DataFrame:
@@ -50,99 +54,123 @@ def split_ratio_check(rows: DataFrame, tolerance: float = 0.001) -> DataFrame:
     )
 
 
-def shared_between_splits(rows: DataFrame, keys: dict[str, Column], split: str = "split") -> DataFrame:
-    """One row: per kind of key, how many pairs of splits share a key.  One shuffle for all kinds."""
+def shared_keys(rows: DataFrame, keys: dict[str, Column], split: str = "split") -> DataFrame:
+    """``kind, key, pairs``: keys that more than one split has, and how many pairs of splits share each."""
     long = rows.select(
         F.col(split).alias("_split"),
-        F.inline(F.array(*[F.struct(F.lit(kind).alias("_kind"), value.alias("_key")) for kind, value in keys.items()])),
+        F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("key")) for kind, value in keys.items()])),
     )
     n = F.bit_count("_splits")
-    pairs = long.groupBy("_kind", "_key").agg(F.bit_or(split_bit(F.col("_split"))).alias("_splits")).select(
-        "_kind", (n * (n - 1) / 2).cast("long").alias("_pairs")
-    )
-    return pairs.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("_pairs"))), F.lit(0)).alias(kind)
-            for kind in keys
-        ]
+    found = long.groupBy("kind", "key").agg(F.bit_or(split_bit(F.col("_split"))).alias("_splits"))
+    return found.filter(n > 1).select("kind", "key", (n * (n - 1) / 2).cast("long").alias("pairs"))
+
+
+def shared_between_splits(rows: DataFrame, keys: dict[str, Column], split: str = "split") -> DataFrame:
+    """One row: per kind of key, how many pairs of splits share a key.  One shuffle for all kinds."""
+    return shared_keys(rows, keys, split).agg(
+        *[F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("pairs"))), F.lit(0)).alias(kind) for kind in keys]
     )
 
 
+def offender_summary(offenders: DataFrame, most: int = EXAMPLES) -> DataFrame:
+    """``rule, n, examples``: sum of ``weight`` and the first ``most`` examples in order, for ``rule, example, weight``.
+
+    Each task keeps its first ``most`` per rule before the shuffle, however many offenders there are.
+    """
+    # Equal examples tie and may swap; they read the same.
+    order = F.row_number().over(Window.partitionBy("rule").orderBy("example"))
+    first = offenders.select("rule", "example").withColumn("nth", order).filter(F.col("nth") <= most)
+    listed = first.groupBy("rule").agg(F.array_sort(F.collect_list("example")).alias("examples"))
+    return offenders.groupBy("rule").agg(F.sum("weight").alias("n")).join(listed, "rule")
+
+
 def validation_rules(
     manifest: DataFrame,
     files: DataFrame,
     label_lines: DataFrame,
     roundtrip: DataFrame,
-    expected_rows: Column | DataFrame,
+    expected_rows: DataFrame,
     corrupt_images: DataFrame | None = None,
     config_texts: DataFrame | None = None,
-    yaml_ok: bool = True,
+    config_paths: DataFrame | None = None,
 ) -> DataFrame:
-    """The twelve rules of a processed dataset.
+    """The twelve rules of a processed dataset: ``name, status, details`` (a map from text to text).
 
     ``manifest``: split, source_split, image_id, project_image_path, project_label_path.
     ``label_lines``: label_file, line_no, line.  ``roundtrip``: the one-row comparison of
-    label text and source boxes.  ``expected_rows``: one-row frame ``n`` of split rows.
+    label text and source boxes.  ``expected_rows``: one-row frame ``n``, the usable source images, counted
+    without the manifest.  ``corrupt_images``: path.  ``config_texts``: name, text.  ``config_paths``: path, what
+    configurations refer to; each has to be among ``files``.  Rules with offenders give their number
+    (``count``) and the first 20 of them (``examples``, one per line).
     """
-    # Every rule reads the manifest, and several share one aggregate: compute these once.
-    manifest = cut_lineage(
-        manifest.select("split", "source_split", "image_id", "project_image_path", "project_label_path")
-    )
+    manifest = stage(manifest.select("split", "source_split", "image_id", "project_image_path", "project_label_path"), "manifest")
     present = files.select("path").distinct().withColumn("_there", F.lit(True))
-    checked = cut_lineage(
-        manifest.join(present.withColumnsRenamed({"path": "project_image_path", "_there": "_image"}),
-                      "project_image_path", "left")
-        .join(present.withColumnsRenamed({"path": "project_label_path", "_there": "_label"}),
-              "project_label_path", "left")
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if(F.col("_image").isNull()).alias("images"),
-            F.count_if(F.col("_label").isNull()).alias("labels"),
-        )
-    )
-    label_errors = lint_label_lines(label_lines, "processed").agg(F.count("*").alias("n"))
-    overlap = cut_lineage(
-        shared_between_splits(
-            manifest,
-            {
-                "source_key": names.identity_key(F.col("source_split"), F.col("image_id")),
-                "image_path": F.lower("project_image_path"),
-                "label_path": F.lower("project_label_path"),
-            },
-        )
+    missing = lambda column, kind: F.when(F.col(f"_{kind}").isNull(), F.concat(F.lit(f"missing {kind}: "), column))
+    absent = (
+        manifest.join(present.withColumnsRenamed({"path": "project_image_path", "_there": "_image"}), "project_image_path", "left")
+        .join(present.withColumnsRenamed({"path": "project_label_path", "_there": "_label"}), "project_label_path", "left")
+        .select(F.explode(F.array_compact(F.array(missing("project_image_path", "image"), missing("project_label_path", "label")))).alias("example"))
+        .select(F.explode(F.array(F.lit("manifest_paths_exist"), F.lit("label_format_and_ranges"))).alias("rule"), "example")
+    )
+    shared = shared_keys(
+        manifest,
+        {
+            "no_image_source_key_leakage": names.identity_key(F.col("source_split"), F.col("image_id")),
+            "no_project_image_path_leakage": F.lower("project_image_path"),
+            "no_label_path_leakage": F.lower("project_label_path"),
+        },
+    )
+    leaks = shared.select(F.col("kind").alias("rule"), F.col("key").alias("example"), F.col("pairs").alias("weight"))
+    defects = lint_label_lines(label_lines, "processed").select(
+        F.lit("label_format_and_ranges").alias("rule"),
+        F.concat("label_file", F.lit(":"), F.col("line_no").cast("string"), F.lit(": "), "error").alias("example"),
     )
-    ratio = split_ratio_check(manifest)
-    spark = manifest.sparkSession
-    nothing = spark.range(1).select(F.lit(0).cast("long").alias("n"))
-    corrupt = nothing if corrupt_images is None else corrupt_images.agg(F.count("*").alias("n"))
-    if config_texts is None:
-        placeholders = nothing
-    else:
+    found = [absent, defects]
+    if corrupt_images is not None:
+        found.append(corrupt_images.select(F.lit("all_usable_images_open").alias("rule"), F.col("path").alias("example")))
+    if config_texts is not None:
         text = F.lower("text")
-        placeholders = config_texts.filter(text.contains("path\\to") | text.contains("placeholder")).agg(
-            F.count("*").alias("n")
-        )
-    roundtrip = cut_lineage(roundtrip)
-    both = side_by_side(checked, label_errors)
-    traced = side_by_side(checked.select("rows"), expected_rows)
-    return rule_table(
-        rule("no_image_source_key_leakage", overlap, F.col("source_key") == 0, F.col("source_key")),
-        rule("no_project_image_path_leakage", overlap, F.col("image_path") == 0, F.col("image_path")),
-        rule("no_label_path_leakage", overlap, F.col("label_path") == 0, F.col("label_path")),
-        rule("manifest_paths_exist", checked, (F.col("images") + F.col("labels")) == 0,
-             F.col("images") + F.col("labels")),
-        rule("label_format_and_ranges", both, (F.col("images") + F.col("labels") + F.col("n")) == 0,
-             F.col("images") + F.col("labels") + F.col("n")),
-        rule("dataset_yaml_paths_resolve", nothing, F.lit(yaml_ok), F.lit(yaml_ok)),
-        rule("all_usable_images_open", corrupt, F.col("n") == 0, F.col("n")),
-        rule("coco_to_yolo_reversible", roundtrip,
-             (F.col("mismatches") + F.col("missing_lines") + F.col("extra_lines")) == 0,
-             F.col("mismatches") + F.col("missing_lines") + F.col("extra_lines")),
-        rule("split_ratios_close_to_80_10_10", ratio, F.col("passed"), F.col("total")),
-        rule("source_traceability_present", traced, F.col("rows") == F.col("n"), F.col("rows")),
-        rule("no_placeholder_paths", placeholders, F.col("n") == 0, F.col("n")),
-        rule("all_labels_belong_to_single_split", overlap, F.col("label_path") == 0, F.lit("")),
-    )
+        bad = config_texts.filter(text.contains("path\\to") | text.contains("placeholder"))
+        found.append(bad.select(F.lit("no_placeholder_paths").alias("rule"), F.col("name").cast("string").alias("example")))
+    if config_paths is not None:
+        lost = config_paths.select("path").join(present.select("path"), "path", "left_anti")
+        found.append(lost.select(F.lit("dataset_yaml_paths_resolve").alias("rule"), F.col("path").alias("example")))
+    counted = reduce(DataFrame.unionByName, [f.withColumn("weight", F.lit(1).cast("long")) for f in found]).unionByName(leaks)
+    summary = offender_summary(stage(counted, "offenders"))
+    # One row: at most twelve rules, each with at most 20 examples.
+    by_rule = summary.agg(F.map_from_entries(F.collect_list(F.struct("rule", F.struct("n", "examples")))).alias("offenders"))
+
+    failures = F.col("mismatches") + F.col("missing_lines") + F.col("extra_lines")
+    one = side_by_side(
+        by_rule, roundtrip.select(failures.alias("failures")), split_ratio_check(manifest), expected_rows.select(F.col("n").alias("expected"))
+    )
+
+    def offending(name: str, source: str | None = None) -> tuple[str, Column, Column]:
+        entry = F.col("offenders")[source or name]
+        n = F.coalesce(entry["n"], F.lit(0))
+        shown = F.create_map(F.lit("count"), n.cast("string"), F.lit("examples"), F.array_join(F.coalesce(entry["examples"], F.array()), "\n"))
+        return name, n == 0, shown
+
+    texts = lambda *columns: F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
+    rules = [
+        offending("no_image_source_key_leakage"),
+        offending("no_project_image_path_leakage"),
+        offending("no_label_path_leakage"),
+        offending("manifest_paths_exist"),
+        offending("label_format_and_ranges"),
+        offending("dataset_yaml_paths_resolve"),
+        offending("all_usable_images_open"),
+        ("coco_to_yolo_reversible", F.col("failures") == 0, texts("failures")),
+        ("split_ratios_close_to_80_10_10", F.col("passed"), texts("total", *SPLITS)),
+        ("source_traceability_present", F.col("total") == F.col("expected"), texts("total", "expected")),
+        offending("no_placeholder_paths"),
+        offending("all_labels_belong_to_single_split", "no_label_path_leakage"),
+    ]
+    rows = [
+        F.struct(F.lit(name).alias("name"), F.when(passed, "PASS").otherwise("FAIL").alias("status"), details.alias("details"))
+        for name, passed, details in rules
+    ]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def smoke_rules(
@@ -276,7 +304,7 @@ def subset_annotation_report(selected: DataFrame, images: DataFrame, annotations
     """One row of counters for a subset document.  ``selected``: source_split, image_id (nulls
     where the name did not parse)."""
     keys = ["source_split", "image_id"]
-    selected = cut_lineage(selected.select(*keys))
+    selected = stage(selected.select(*keys), "selected")
     parsed = selected.filter("image_id is not null")
     rows = subset_annotation_outcomes(parsed, images, annotations, mapping)
     kept = F.col("outcome") == "selected"

@@ -480,10 +480,11 @@ def _(d: Plan) -> DataFrame:
     at = F.unix_micros(F.col("frame_ts").cast("timestamp"))
     middle = versions.agg(F.avg(at).alias("at")).select("at").scalar()
     early = F.coalesce(at <= middle, F.lit(True))
-    writers.append_results(versions.filter(early), path)
-    writers.append_results(versions.filter(~early), path)
-    newest = runs.latest_result(d.spark.read.parquet(path), written=("written_at", "frame_ts", "event_id"))
-    return newest.drop("written_at", "frame_ts")
+    current, order = d.staged("current-results"), ("written_at", "frame_ts", "event_id")
+    for part in (early, ~early):
+        writers.append_results(versions.filter(part), path)
+        writers.compact_results(d.spark, path, current, written=order)
+    return writers.read_current(d.spark, path, current, written=order).drop("written_at", "frame_ts")
 
 
 # ---- scalar functions ----
@@ -940,6 +941,20 @@ def _(d: Plan) -> DataFrame:
     return _stable(profile.box_distributions(d.classified, d.rollup), "mean", "median", "min", "max")
 
 
+@query("distribution_sketches")
+def _(d: Plan) -> DataFrame:
+    """Distributions merged from one sketch per source split, and whether their ranks are within 1 % of the exact ones."""
+    shares = {"median": 0.5, "p90": 0.9}
+    values = profile.box_values(d.classified, d.rollup)
+    path = d.staged("sketches")
+    profile.distribution_sketches(values, ["source_split", "distribution"], "value").write.parquet(path)
+    merged = profile.merged_distribution(d.spark.read.parquet(path), ["distribution"], shares)
+    errors = profile.rank_error(values, "distribution", "value", merged, shares)
+    close = (F.col("median_error") <= 0.01) & (F.col("p90_error") <= 0.01)
+    found = merged.join(errors, "distribution").select("distribution", "count", "min", "max", "mean", close.alias("ranks_close"))
+    return _stable(found, "mean", "min", "max")
+
+
 @query("size_bucket_counts")
 def _(d: Plan) -> DataFrame:
     return profile.size_bucket_counts(d.classified)
@@ -1184,11 +1199,11 @@ def _(d: Plan) -> DataFrame:
 
 def _config_texts(d: Plan) -> DataFrame:
     """Every page body stands for a configuration text that must not hold a placeholder."""
-    return d.table("pages").select(F.col("html").alias("text"))
+    return d.table("pages").select(F.col("page_id").cast("string").alias("name"), F.col("html").alias("text"))
 
 
 def _validation(d: Plan) -> DataFrame:
-    n = d.split_images.agg(F.count("*").alias("n"))
+    n = annotate.usable_images(d.images).agg(F.count("*").alias("n"))
     broken = d.files.filter("size_bytes = 0")
     name = F.concat_ws("_", "source_split", "file_name")
     image = F.concat_ws("/", F.lit("images"), name)
@@ -1196,13 +1211,14 @@ def _validation(d: Plan) -> DataFrame:
         "split", "source_split", "image_id", image.alias("project_image_path"), names.label_path(image).alias("project_label_path")
     )
     return quality.validation_rules(
-        manifest, d.files, d.label_text_lines, _roundtrip(d, tampered=False), n, broken, _config_texts(d)
+        manifest, d.files, d.label_text_lines, _roundtrip(d, tampered=False), n, broken, _config_texts(d), d.image_list
     )
 
 
 @query("validation_rules")
 def _(d: Plan) -> DataFrame:
-    return _validation(d)
+    entries = F.transform(F.array_sort(F.map_entries("details")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return _validation(d).withColumn("details", F.array_join(entries, ";"))
 
 
 @query("validation_readiness")
@@ -1480,23 +1496,36 @@ def _(d: Plan) -> DataFrame:
     return d.spark.read.parquet(path)
 
 
-def _linear_scorer():
-    """A fixed linear model: alternating weights over the embedding."""
+def _linear_detector():
+    """A fixed linear model: as many detections as the label says, modulo 5, each scored by alternating weights."""
     import numpy as np
     import pandas as pd
 
-    def score(batch):
+    def detect(batch):
         matrix = np.vstack(batch["embedding"].to_numpy()).astype("float64")
         weights = np.where(np.arange(matrix.shape[1]) % 2 == 0, 1.0, -1.0)
-        return pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "score": matrix @ weights})
+        scores = matrix @ weights
+        found = [
+            [
+                {"class_id": (label * 7 + j * 13) % 90, "confidence": score + j, "x1": float(j), "y1": float(row[j]), "x2": j + 1.5, "y2": float(row[j]) + 2}
+                for j in range(label % 5)
+            ]
+            for label, score, row in zip(batch["label"].tolist(), scores.tolist(), matrix, strict=True)
+        ]
+        return pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "detections": found})
+
+    return detect
+
 
-    return score
+DETECTIONS = "array<struct<class_id:bigint,confidence:double,x1:double,y1:double,x2:double,y2:double>>"
 
 
 @query("batch_predict")
 def _(d: Plan) -> DataFrame:
-    found = streams.batch_predict(d.table("embeddings"), _linear_scorer, "vec_id bigint, label int, score double", "linear")
-    return found.withColumn("score", F.round("score", 4))
+    """Nested predictions of all embeddings, one row per detection."""
+    found = streams.batch_predict(d.table("embeddings"), _linear_detector, f"vec_id bigint, label int, detections {DETECTIONS}", "linear")
+    rows = runs.detections_explode(found, d.mapping)
+    return rows.withColumns({c: F.round(c, 4) for c in ("confidence", "y1", "y2")})
 
 
 @query("detections_explode")

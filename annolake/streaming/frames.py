@@ -232,6 +232,9 @@ def stream_result_ingest(spark: SparkSession, source: str, schema, path: str, ch
     run_to_table(arrived, path, checkpoint)
 
 
+KEPT_PREDICTORS = 4
+
+
 def batch_predict(
     rows: DataFrame,
     make_predictor: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
@@ -240,17 +243,20 @@ def batch_predict(
 ) -> DataFrame:
     """Run a caller's predictor over Arrow batches.
 
-    The predictor is made once per Python worker and reused by later tasks of the same call; calls
-    that name the same ``model_key`` share it.
+    ``schema`` may be nested: a column of ``array<struct<...>>`` takes a list of dicts per row, so one row can
+    have any number of detections (``detections_explode`` makes rows of them).  The predictor is made once per
+    Python worker and reused by later tasks of the same call; calls that name the same ``model_key`` share it.
+    A worker keeps the ``KEPT_PREDICTORS`` used last.
     """
     model_key = model_key or uuid.uuid4().hex
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = vars(sys).setdefault("_annolake_predictors", {})
-        if model_key not in made:
-            made[model_key] = make_predictor()
+        made[model_key] = predictor = made.pop(model_key, None) or make_predictor()
+        while len(made) > KEPT_PREDICTORS:
+            del made[next(iter(made))]
         for batch in batches:
-            yield made[model_key](batch)
+            yield predictor(batch)
 
     return rows.mapInPandas(predict, schema)
 
