@@ -121,6 +121,44 @@ def convert_annotations(
     )
 
 
+def image_outcomes(images: DataFrame, files: DataFrame, path: Column) -> DataFrame:
+    """Images with ``image_outcome``: written, missing (no file at ``path``) or corrupt (a file that is not readable).
+
+    ``files``: path, readable; a path that is listed several times is readable if one of its entries is.
+    """
+    known = files.groupBy(F.col("path").alias("_path")).agg(F.max(F.coalesce("readable", F.lit(False))).alias("_readable"))
+    outcome = F.when(F.col("_readable").isNull(), "missing_images").when(~F.col("_readable"), "corrupt_images").otherwise("images_written")
+    return images.withColumn("_path", path).join(known, "_path", "left").withColumn("image_outcome", outcome).drop("_path", "_readable")
+
+
+CONVERSION_COUNTERS = [
+    "images_seen", "images_written", "missing_images", "corrupt_images", "annotations_seen", "annotations_written",
+    "invalid_boxes", "unsupported_annotations", "crowd_annotations_skipped",
+]
+
+
+def conversion_report(annotations: DataFrame, images: DataFrame, mapping: DataFrame, files: DataFrame, path: Column) -> DataFrame:
+    """One row per source split: what a conversion saw, wrote and left out.
+
+    Only annotations of images that are written get an outcome; ``annotations_seen`` counts all of the split,
+    also those whose image is missing, corrupt or unknown.
+    """
+    split = "source_split"
+    checked = image_outcomes(images, files, path)
+    seen = checked.groupBy(split, F.col("image_outcome").alias("counter")).agg(F.count("*").alias("n"))
+    written = checked.filter("image_outcome = 'images_written'").drop("image_outcome")
+    outcomes = convert_annotations(annotations, written, mapping).groupBy(split, F.col("outcome").alias("counter")).agg(F.count("*").alias("n"))
+    every = [
+        images.groupBy(split).agg(F.lit("images_seen").alias("counter"), F.count("*").alias("n")),
+        annotations.groupBy(split).agg(F.lit("annotations_seen").alias("counter"), F.count("*").alias("n")),
+    ]
+    # A few rows per split from here on.
+    rows = seen.union(outcomes).union(every[0]).union(every[1])
+    return rows.groupBy(split).agg(
+        *[F.coalesce(F.sum(F.when(F.col("counter") == c, F.col("n"))), F.lit(0)).alias(c) for c in CONVERSION_COUNTERS]
+    )
+
+
 def usable_images(images: DataFrame, files: DataFrame | None = None, path: Column | None = None) -> DataFrame:
     """Images with positive dimensions whose file exists."""
     kept = images.filter((F.col("width") > 0) & (F.col("height") > 0))

@@ -91,6 +91,32 @@ def subset_manifest(selected: DataFrame, label_counts: DataFrame) -> DataFrame:
     return selected.join(label_counts, "label_file", "left").fillna(0, ["label_lines", "classes"])
 
 
+def subset_totals(selected: DataFrame, lines: DataFrame, class_names: DataFrame) -> DataFrame:
+    """Per split and for the whole subset (``split`` null): images, annotations and the classes they represent.
+
+    ``selected``: split, label_file.  ``lines``: label_file, class_id of every label line.  ``class_names``: class_id,
+    name; a class without a name is named by its number.  Classes are counted per split first, so
+    what is listed in the end is bounded by the classes.
+    """
+    per_class = (
+        selected.select("split", "label_file")
+        .join(lines.select("label_file", "class_id"), "label_file")
+        .groupBy("split", "class_id")
+        .agg(F.count("*").alias("n"))
+    )
+    item = F.when(F.col("class_id").isNotNull(), F.struct("class_id", F.coalesce("name", F.col("class_id").cast("string")).alias("class_name")))
+    named = per_class.join(class_names.select("class_id", "name"), "class_id", "left").select("split", "n", item.alias("item"))
+    counted = named.groupingSets([["split"], []], "split").agg(
+        F.grouping("split").alias("_all"), F.sum("n").alias("annotations"), F.array_sort(F.collect_set("item")).alias("represented_classes")
+    )
+    images = selected.groupingSets([["split"], []], "split").agg(F.grouping("split").alias("_all"), F.count("*").alias("images"))
+    same = (F.col("i._all") == F.col("c._all")) & F.col("i.split").eqNullSafe(F.col("c.split"))
+    return images.alias("i").join(counted.alias("c"), same, "left").select(
+        "i.split", "images", F.coalesce("annotations", F.lit(0)).alias("annotations"),
+        F.coalesce(F.size("represented_classes"), F.lit(0)).alias("represented_class_count"), "represented_classes",
+    )
+
+
 def label_lines_from(classified: DataFrame) -> DataFrame:
     """Expected label rows: accepted boxes of an image in annotation order, ``pos`` from 1."""
     kept = classified.filter(F.col("status") == ACCEPTED).select(

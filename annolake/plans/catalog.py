@@ -178,9 +178,9 @@ def _(d: Plan) -> DataFrame:
     _nested(d).write.json(path)
     read = readers.read_manifest_jsonl(d.spark, path)
     return read.select(
-        "source_split", "image_id", "project_split", "project_image_path", "project_label_path", "parts",
-        F.explode("annotations").alias("a"),
-    ).select("source_split", "image_id", "project_split", "project_image_path", "project_label_path", "parts",
+        "source_split", "image_id", "project_split", "project_image_path", "project_label_path", "part", "parts",
+        F.explode_outer("annotations").alias("a"),
+    ).select("source_split", "image_id", "project_split", "project_image_path", "project_label_path", "part", "parts",
              F.col("a.id").alias("annotation_id"), F.col("a.class_id").alias("class_id"),
              F.get("a.bbox_coco", F.lit(0)).alias("x"), F.get("a.bbox_coco", F.lit(2)).alias("w"))
 
@@ -736,6 +736,14 @@ def _(d: Plan) -> DataFrame:
     return rows.groupBy("outcome").agg(F.count("*").alias("annotations"))
 
 
+@query("convert_annotations_report")
+def _(d: Plan) -> DataFrame:
+    """Counters of a conversion per source split; a file whose size ends in 0 counts as unreadable."""
+    path = F.concat(F.lit("images/"), F.concat_ws("_", "source_split", "file_name"))
+    files = d.files.select("path", (F.col("size_bytes") % 10 != 0).alias("readable"))
+    return annotate.conversion_report(d.annotations, d.images, d.mapping, files, path)
+
+
 @query("usable_images")
 def _(d: Plan) -> DataFrame:
     path = F.concat(F.lit("images/"), F.concat_ws("_", "source_split", "file_name"))
@@ -832,6 +840,16 @@ def _(d: Plan) -> DataFrame:
     return found.select("internal_record_id", "split", "pick", "valid_object_count", "label_lines", "classes")
 
 
+@query("subset_totals")
+def _(d: Plan) -> DataFrame:
+    """Totals of the whole split instead of a small pick: images, label lines and represented classes."""
+    selected = d.split_images.withColumn("label_file", _label_file())
+    lines = annotate.parse_label_lines(d.label_lines)
+    found = joins.subset_totals(selected, lines, d.mapping)
+    shown = F.transform("represented_classes", lambda c: F.concat_ws(":", c["class_id"].cast("string"), c["class_name"]))
+    return found.withColumn("represented_classes", F.array_join(shown, ","))
+
+
 @query("subset_semi_join")
 def _(d: Plan) -> DataFrame:
     selected = d.split_images.filter("split = 'test'").select("source_split", "image_id", F.col("image_id").alias("ord"))

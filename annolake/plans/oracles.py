@@ -363,10 +363,11 @@ SQL["scan_split_manifest"] = """
 SELECT internal_record_id, source_split, image_id, source_image_path, project_image_path, project_label_path, width, height,
   CAST(valid_object_count AS INT) AS valid_object_count, category_names FROM manifest"""
 SQL["scan_manifest_jsonl"] = """
-SELECT a.source_split, a.image_id, s.split AS project_split, concat('images/', s.split, '/', s.source_split, '_', s.file_name) AS project_image_path,
+SELECT s.source_split, s.image_id, s.split AS project_split, concat('images/', s.split, '/', s.source_split, '_', s.file_name) AS project_image_path,
   concat('labels/', s.split, '/', s.source_split, '_', replace(s.file_name, '.jpg', '.txt')) AS project_label_path, a.annotation_id, a.class_id, a.x, a.w,
-  CAST(ceil(count(*) OVER (PARTITION BY a.source_split, a.image_id) / 1000) AS BIGINT) AS parts
-FROM accepted a JOIN splits s USING (source_split, image_id)"""
+  CAST((row_number() OVER (PARTITION BY s.source_split, s.image_id ORDER BY a.annotation_id) - 1) // 1000 AS BIGINT) AS part,
+  CAST(ceil(count(*) OVER (PARTITION BY s.source_split, s.image_id) / 1000) AS BIGINT) AS parts
+FROM splits s LEFT JOIN accepted a USING (source_split, image_id)"""
 SQL["scan_processed_manifests"] = """
 SELECT image_id, source_split, file_name, width, height, (SELECT count(*) FROM mapping) AS category_count FROM fx_images"""
 SQL["scan_image_list"] = "SELECT row_number() OVER (ORDER BY ord, path) AS place, path FROM fx_image_list"
@@ -498,6 +499,17 @@ SQL["convert_annotations"] = """
 SELECT annotation_id, image_id, class_id, outcome, CASE WHEN outcome = 'annotations_written' THEN (bx + bw / 2) / width END AS xc, CASE WHEN outcome = 'annotations_written' THEN (by_ + bh / 2) / height END AS yc,
   CASE WHEN outcome = 'annotations_written' THEN bw / width END AS w, CASE WHEN outcome = 'annotations_written' THEN bh / height END AS h FROM conversion"""
 SQL["convert_annotations_counters"] = "SELECT outcome, count(*) AS annotations FROM conversion GROUP BY outcome"
+PARTS["checked_images"] = """
+SELECT i.*, CASE WHEN f.path IS NULL THEN 'missing' WHEN f.size_bytes % 10 = 0 THEN 'corrupt' ELSE 'written' END AS state
+FROM fx_images i LEFT JOIN fx_files f ON f.path = concat('images/', i.source_split, '_', i.file_name)"""
+SQL["convert_annotations_report"] = """
+SELECT i.*, a.* EXCLUDE (source_split), annotations_seen FROM (
+  SELECT source_split, count(*) AS images_seen, count(*) FILTER (state = 'written') AS images_written, count(*) FILTER (state = 'missing') AS missing_images,
+    count(*) FILTER (state = 'corrupt') AS corrupt_images FROM checked_images GROUP BY source_split) i
+JOIN (SELECT source_split, count(*) AS annotations_seen FROM fx_annotations GROUP BY source_split) n USING (source_split)
+JOIN (SELECT c.source_split, count(*) FILTER (outcome = 'annotations_written') AS annotations_written, count(*) FILTER (outcome = 'invalid_boxes') AS invalid_boxes,
+    count(*) FILTER (outcome = 'unsupported_annotations') AS unsupported_annotations, count(*) FILTER (outcome = 'crowd_annotations_skipped') AS crowd_annotations_skipped
+  FROM conversion c JOIN checked_images i ON i.image_id = c.image_id AND i.source_split = c.source_split AND i.state = 'written' GROUP BY 1) a USING (source_split)"""
 SQL["usable_images"] = """
 SELECT i.* FROM fx_images i WHERE width > 0 AND height > 0 AND concat('images/', source_split, '_', file_name) IN (SELECT path FROM fx_files)"""
 SQL["resolve_class_filter"] = """
@@ -530,6 +542,15 @@ SQL["reconstruct_totals"] = "SELECT * FROM rebuilt_totals"
 SQL["subset_manifest"] = """
 SELECT c.internal_record_id, c.split, c.pick, c.valid_object_count, coalesce(l.label_lines, 0) AS label_lines, coalesce(l.classes, 0) AS classes
 FROM chosen c LEFT JOIN line_counts l USING (label_file)"""
+PARTS["split_lines"] = """
+SELECT s.split, v.class_id, coalesce(m.name, CAST(v.class_id AS VARCHAR)) AS name
+FROM splits s JOIN label_values v ON v.label_file = concat('train2017_', lpad(CAST(s.image_id AS VARCHAR), 12, '0'), '.txt') LEFT JOIN mapping m ON m.class_id = v.class_id"""
+SQL["subset_totals"] = """
+SELECT i.split, i.images, coalesce(l.annotations, 0) AS annotations, CAST(coalesce(c.classes, 0) AS INT) AS represented_class_count, c.listed AS represented_classes
+FROM (SELECT split, count(*) AS images FROM splits GROUP BY GROUPING SETS ((split), ())) i
+LEFT JOIN (SELECT split, count(*) AS annotations FROM split_lines GROUP BY GROUPING SETS ((split), ())) l ON l.split IS NOT DISTINCT FROM i.split
+LEFT JOIN (SELECT split, count(*) AS classes, string_agg(class_id || ':' || name, ',' ORDER BY class_id, name) AS listed FROM (
+  SELECT split, class_id, name FROM split_lines WHERE class_id IS NOT NULL GROUP BY GROUPING SETS ((split, class_id, name), (class_id, name))) GROUP BY split) c ON c.split IS NOT DISTINCT FROM i.split"""
 SQL["subset_semi_join"] = """
 SELECT a.annotation_id, a.source_split, a.image_id, a.category_id, a.image_id AS ord FROM fx_annotations a JOIN splits s USING (source_split, image_id) WHERE s.split = 'test'"""
 SQL["missing_images"] = "SELECT image_path AS path FROM paths WHERE image_path NOT IN (SELECT path FROM fx_files)"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annolake.operators import profile, quality, runs
+from annolake.operators import annotate, joins, profile, quality, runs
 from annolake.sources import writers
 from annolake.streaming import frames as streams
 
@@ -109,3 +109,29 @@ def test_nested_predictions_become_rows(spark):
     names = spark.createDataFrame([(0, "person")], "class_id long, name string")
     rows = runs.detections_explode(nested, names).collect()
     assert sorted((r.id, r.class_id, r.class_name) for r in rows) == sorted((i, j, ["person", "1"][j]) for i in range(10) for j in range(i % 3))
+
+
+def test_conversion_report_follows_the_images(spark):
+    images = spark.createDataFrame([("t", i, f"{i}.jpg", 100, 100) for i in range(4)], "source_split string, image_id long, file_name string, width int, height int")
+    files = spark.createDataFrame([("img/0.jpg", True), ("img/1.jpg", False), ("img/1.jpg", True), ("img/2.jpg", None)], "path string, readable boolean")
+    boxes = [("t", 0, 1, 1, 10.0, 0), ("t", 0, 2, 1, 10.0, 1), ("t", 0, 3, 9, 10.0, 0), ("t", 1, 4, 1, -5.0, 0), ("t", 2, 5, 1, 10.0, 0), ("t", 3, 6, 1, 10.0, 0), ("t", 8, 7, 1, 10.0, 0)]
+    annotations = spark.createDataFrame(boxes, "source_split string, image_id long, annotation_id long, category_id long, w double, iscrowd int").selectExpr(
+        "*", "1.0D AS x", "1.0D AS y", "5.0D AS h"
+    )
+    mapping = spark.createDataFrame([(1, "person", "human", 0)], "category_id long, name string, supercategory string, class_id long")
+    row = annotate.conversion_report(annotations, images, mapping, files, F.concat(F.lit("img/"), "file_name")).collect()
+    assert len(row) == 1 and row[0].asDict() == {
+        "source_split": "t", "images_seen": 4, "images_written": 2, "missing_images": 1, "corrupt_images": 1, "annotations_seen": 7,
+        "annotations_written": 1, "invalid_boxes": 1, "unsupported_annotations": 1, "crowd_annotations_skipped": 1,
+    }
+
+
+def test_subset_totals_name_the_classes(spark):
+    selected = spark.createDataFrame([("train", "a"), ("train", "b"), ("val", "c"), (None, "d")], "split string, label_file string")
+    lines = spark.createDataFrame([("a", 1), ("a", 1), ("b", 0), ("d", 7), ("d", None), ("zz", 3)], "label_file string, class_id long")
+    names = spark.createDataFrame([(0, "person"), (1, "dog")], "class_id long, name string")
+    rows = joins.subset_totals(selected, lines, names).collect()
+    got = sorted((str(r.split), r.images, r.annotations, r.represented_class_count, [c.class_name for c in r.represented_classes or []]) for r in rows)
+    assert got == [
+        ("None", 1, 2, 1, ["7"]), ("None", 4, 5, 3, ["person", "dog", "7"]), ("train", 2, 3, 2, ["person", "dog"]), ("val", 1, 0, 0, []),
+    ]
