@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annolake.llm.common import table, text_key, text_or_empty
+from annolake.llm.windows import page_slices
+from annolake.llm.wordcodes import Memory, in_one_text
 from annolake.session import staging_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,7 +34,7 @@ VOCABULARY = 50_257
 END_ID = 0
 #: Text bytes that one file takes, and that one block takes at most (but for a single longer document).
 FILE_BYTES = 32 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _HEAD = "<4sBBIIQQ"
 _NULL_ID = -(2**63)
@@ -40,8 +42,6 @@ _NULL_ID = -(2**63)
 _SPACE = r"\t\n\x0b\f\r\x1c-\x1f\x{85}\p{Z}"
 _ODD = r"\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _RUNS = rf"[{_SPACE}][{_SPACE}]|[{_ODD}]|\A[{_SPACE}]|[{_SPACE}]\z"
-#: Distinct words a task remembers; beyond it starts afresh.
-MEMORY_WORDS = 600_000
 
 
 def width_for(vocabulary: int) -> int:
@@ -109,19 +109,6 @@ def read_token(buffer: bytes, index: int) -> int:
     raise IndexError(index)
 
 
-def _slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows of at most ``limit`` bytes (or one row)."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    start = held = 0
-    for row, size in enumerate(sizes):
-        if row > start and held + size > limit:
-            yield start, row
-            start, held = row, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 class _Encoder:
     """Encodes texts whose words repeat; ids of words met before in the task are remembered."""
 
@@ -131,11 +118,7 @@ class _Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         # One character of a byte-level token stands for one byte.
         self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.memory = Memory(self._words)
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(all ids, ids per text)``, one by one."""
@@ -143,19 +126,19 @@ class _Encoder:
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words that each follow a blank, as one text; the bytes that ids stand for tell where a word ends."""
+    def _as_one(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Words that each follow a blank, as one text; the bytes that ids stand for tell where a word ends."""
         text = " " + " ".join(words)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64) + 1)
-        reached = np.cumsum(self.sizes[ids])
+        reached, ends = np.cumsum(self.sizes[ids]), np.cumsum(sizes + 1)
         last = np.searchsorted(reached, ends)
-        if last[-1] < len(reached) and (reached[last] == ends).all():
-            counts = np.diff(last + 1, prepend=0)
-        else:
-            ids, counts = self.each([" " + word for word in words])
-        self.slots.update(zip(words, range(len(self.counts), len(self.counts) + len(words)), strict=True))
-        self.flat, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
+        if last[-1] >= len(reached) or (reached[last] != ends).any():
+            return None
+        return ids, np.diff(last + 1, prepend=0)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(flat ids, begin, count)`` of words that follow a blank."""
+        return in_one_text(words, np.zeros(len(words), bool), self._as_one, lambda some: self.each([" " + w for w in some]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(all ids, ids per text)``.
@@ -167,23 +150,20 @@ class _Encoder:
         whole = pc.match_substring_regex(texts, _RUNS)
         cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         pieces, bounds = cut.values.dictionary_encode(), cut.offsets.to_numpy().astype(np.int64)
-        words, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
+        words, codes = pieces.dictionary, pieces.indices.to_numpy().astype(np.int64)
         first = np.zeros(len(codes), bool)
         first[bounds[:-1]] = True  # every text has a first piece, which no blank precedes
         used = np.zeros(len(words), bool)
         used[codes[~first]] = True
-        later = np.flatnonzero(used).tolist()
-        if len(self.slots) > MEMORY_WORDS:
-            self.forget()
-        if new := [words[k] for k in later if words[k] not in self.slots]:
-            self.learn(new)
-        heads, head_counts = self.each([words[k] for k in codes[first].tolist()])
-        flat, every = np.concatenate([self.flat, heads]), np.concatenate([self.counts, head_counts])
-        begins = np.cumsum(every) - every  # where each piece's ids lie in `flat`
+        later = np.flatnonzero(used)
+        flat, begin, every = self.memory.lookup(words.take(pa.array(later)))
+        heads, head_counts = self.each(words.take(pa.array(codes[first])).to_pylist())
+        begins = np.concatenate([begin, len(flat) + np.cumsum(head_counts) - head_counts])  # where each piece's ids lie in `flat`
+        flat, every = np.concatenate([flat, heads]), np.concatenate([every, head_counts])
         slot = np.zeros(len(words), np.int64)
-        slot[later] = [self.slots[words[k]] for k in later]
+        slot[later] = np.arange(len(later))
         at = slot[codes]
-        at[bounds[:-1]] = len(self.counts) + np.arange(len(head_counts))
+        at[bounds[:-1]] = len(later) + np.arange(len(head_counts))
         count = every[at]
         ends = np.cumsum(count)
         ids = flat[np.repeat(begins[at] - (ends - count), count) + np.arange(int(count.sum()))]
@@ -216,7 +196,7 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
         part, offsets, at, encoder = TaskContext.get().partitionId(), [], 0, None
         for batch in batches:
             encoder = encoder or _Encoder(load_tokenizer(tokenizer_name))
-            for start, stop in _slices(batch.column("text"), BLOCK_BYTES):
+            for start, stop in page_slices(batch.column("text"), BLOCK_BYTES):
                 rows = batch.slice(start, stop - start)
                 ids, counts = encoder.encode(rows.column("text"))
                 closed = np.insert(ids, np.cumsum(counts), end_id)
