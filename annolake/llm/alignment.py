@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.tokenbin import load_tokenizer
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import coded, different, gathered, in_one_text, loosened, run_sums, squeezed
+from annolake.llm.wordcodes import coded, different, gathered, give_back, in_one_text, loosened, run_sums, squeezed
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
@@ -32,6 +32,9 @@ PAGE_BYTES = 4 << 20
 BATCH_BYTES = 8 << 20
 #: Units whose links are counted at a time (more for a single longer document).
 STEP_UNITS = 1 << 18
+#: Different units that are aligned at a time.
+STEP_ALIGNED = 1 << 15
+_COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _BLANK = "▁"
 #: Stands for the ids of a unit that a tokenizer does not give back.
 FAILED = 2**32 - 1
@@ -181,6 +184,8 @@ class Aligned:
         left, right = overlaps(a_starts, a_ends, b_starts, b_ends)
         self.keys = (self.a[left] << 32) | self.b[right]
         self.n_links = np.bincount(unit_of_a[left], minlength=len(units))
+        self.lines = "\n".join(self.texts().to_pylist()).encode()
+        del self.a, self.b, self.a_group, self.b_group
 
     def texts(self) -> pa.Array:
         """``a1,a2|b1;a3|b2,b3`` of every unit."""
@@ -194,6 +199,17 @@ class Aligned:
         return pc.binary_join(pa.ListArray.from_arrays(bounds, each), ";")
 
 
+class Units:
+    """All units of a page, aligned some at a time: bounded scratch memory whatever the page's vocabulary."""
+
+    def __init__(self, units: pa.Array, sides: tuple[UnitEncoder, UnitEncoder]) -> None:
+        parts = [Aligned(units.slice(at, STEP_ALIGNED), *sides) for at in range(0, max(1, len(units)), STEP_ALIGNED)]
+        together = lambda name: np.concatenate([getattr(p, name) for p in parts])
+        self.bad, self.keys = together("bad"), together("keys")
+        self.n_a, self.n_b, self.n_groups, self.n_links = (together(n) for n in _COUNTS)
+        self.lines = b"\n".join(p.lines for p in parts)
+
+
 def split_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """``(all units, bounds)``: every text with a blank before it, cut before each blank between two other characters."""
     hard = pc.match_substring_regex(texts, _HARD)
@@ -219,7 +235,7 @@ def _pager(byte_name: str, piece_name: str, carried: list[str]) -> Callable:
         texts = batch.column("text")
         units, bounds = split_units(texts)
         known, codes = coded(units)
-        found = Aligned(known, *sides)
+        found = Units(known, sides)
         sizes = np.diff(bounds)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         out = np.zeros(len(sizes), bool)
@@ -243,7 +259,7 @@ def _pager(byte_name: str, piece_name: str, carried: list[str]) -> Callable:
         slot = np.cumsum(used) - 1
         whole = lambda column: pa.ListArray.from_arrays([0, len(column)], column)
         packed = lambda values: pa.array([squeezed(values)], pa.binary())
-        lines = np.frombuffer("\n".join(found.texts().to_pylist()).encode().ljust(4), np.uint8)
+        lines = np.frombuffer(found.lines.ljust(4), np.uint8)
         columns = {f"k_{c}": whole(batch.column(c)) for c in carried} | {
             "page": pa.array([number], pa.int64()), "bounds": packed(bounds), "codes": packed(codes), "n_a": packed(found.n_a),
             "n_b": packed(found.n_b), "n_groups": packed(found.n_groups), "n_links": packed(found.n_links), "texts": packed(np.pad(lines, (0, -len(lines) % 4)).view("<i4")),
@@ -260,13 +276,12 @@ def _pager(byte_name: str, piece_name: str, carried: list[str]) -> Callable:
             sides = sides or (UnitEncoder(ByteSide(byte_name)), UnitEncoder(PieceSide(piece_name)))
             for low, high in page_slices(batch.column("text"), PAGE_BYTES):
                 yield page(batch.slice(low, high - low), number, sides)
+                give_back()
                 number += 1
 
     return run
 
 
-_COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
-
 
 def _finisher(carried: list[str]) -> Callable:
     def one(row: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -302,6 +317,7 @@ def _finisher(carried: list[str]) -> Callable:
         for batch in batches:
             for row in range(len(batch)):
                 yield from one(row, batch)
+                give_back()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,15 @@ MEMORY_WORDS = 300_000
 MEMORY_BYTES = 32
 
 
+def give_back() -> None:
+    """Hand memory that a long-lived worker has freed back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def gathered(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices of the runs ``[begin, begin + count)``, one run after the other."""
     ends = np.cumsum(counts)
