@@ -47,3 +47,11 @@ def join_keys(left: DataFrame, right: DataFrame, names: list[str], how: str = "l
 def row_hash(df: DataFrame) -> Column:
     """Tells rows apart by all their columns; repeated rows are alike."""
     return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``frames`` is called so."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

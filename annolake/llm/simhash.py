@@ -279,6 +279,8 @@ SIMILARITY = 0.8
 COUNTERS = 1 << 18
 #: Members that one task compares with a set.
 MEMBERS = 20_000
+#: Most rounds of comparisons by shared shingles; in each a set is compared with one other.
+ROUNDS = 8
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
@@ -286,8 +288,8 @@ def shingle_set(text: str, shingle: int) -> np.ndarray:
 
 
 def _set_batches(shingle: int) -> Callable:
-    """``node`` (hash of the set of shingles) of every row, and its text once for each task that meets the
-    set: texts take far less room than their sets, which later steps make again."""
+    """``node`` (hash of the set of shingles) and ``print`` of every row, and its text once for each task that
+    meets the set: texts take far less room than their sets, which later steps make again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -296,16 +298,18 @@ def _set_batches(shingle: int) -> Callable:
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
-                nodes, texts = [], []
+                nodes, prints, texts = [], [], []
                 for text in part.column("text").to_pylist():
-                    node = xxhash.xxh64_intdigest(shingle_set(text, shingle).tobytes())
+                    hashes = shingle_hashes(text, shingle)
+                    node = xxhash.xxh64_intdigest(np.unique(hashes).tobytes())
                     nodes.append(node)
+                    prints.append(majority(hashes))
                     texts.append(None if node in seen else text)
                     seen.add(node)
                 if len(seen) > 200_000:  # repeated texts are then sent again
                     seen.clear()
-                made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*part.schema.names[:-1], "node", "text"])
+                made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, prints)] + [pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*part.schema.names[:-1], "node", "print", "text"])
 
     return run
 
@@ -359,7 +363,7 @@ def _verifier(shingle: int, similarity: float) -> Callable:
                 if (lead, slot) != first:
                     raise ValueError("a group without its first set")
                 both = np.searchsorted(base, held)
-                shared = int((base[np.minimum(both, len(base) - 1)] == held).sum())
+                shared = int((base[np.minimum(both, len(base) - 1)] == held).sum()) if len(base) else 0
                 if shared >= similarity * (len(base) + len(held) - shared) - 1e-9:
                     a.append(lead)
                     b.append(node)
@@ -383,13 +387,24 @@ def verified_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, similarity:
     return ordered.mapInArrow(_verifier(shingle, similarity), "a long, b long")
 
 
-def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``(node, root)`` of the components of all pairs of ``texts`` (``node``, ``text``) whose sets of shingles have at
-    least that Jaccard similarity; nodes without such a partner are left out.
+def fingerprint_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs ``(a, b)`` of the nodes of ``prints`` (``node``, ``print``) that Golay keys bring together: nodes of one
+    fingerprint with the smallest of them, and every fingerprint with the closest one linked to it."""
+    distinct = stage(prints.groupBy("print").agg(F.min("node").alias("first")), "copy-prints")
+    alike = prints.join(distinct, "print").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = stage(print_links(distinct, radius), "copy-print-links")
+    closest = links.groupBy("a").agg(F.min(F.struct(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("bits"), "b")).alias("to"))
+    ends = closest.select("a", F.col("to.b").alias("b"))
+    left, right = (distinct.select(F.col("print").alias(c), F.col("first").alias(f"{c}_node")) for c in "ab")
+    linked = ends.join(left, "a").join(right, "b").select(F.col("b_node").alias("a"), F.col("a_node").alias("b"))
+    return alike.union(linked).filter("a <> b").distinct()
 
-    Ordered from rare to frequent, of two such sets one shares a shingle of its first ``size - ceil(similarity * size)
-    + 1`` with those of the other, so no pair is lost.  First every set is compared with the
-    smallest node of each shared shingle; then only pairs that are still in different components are.
+
+def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``key, band, node, size``: the rarest shingles of each set as far as sets of like size hold them too.
+
+    Ordered from rare to frequent, of two sets alike enough one shares a shingle of its first ``size - ceil(similarity *
+    size) + 1`` with those of the other; their sizes then lie in one band, each set being in two of them.
     """
     counted = texts.select("text").mapInArrow(_count_batches(shingle), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     counts = np.zeros(COUNTERS, np.int64)
@@ -397,24 +412,57 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
         counts[row["counter"]] = row["n"]
     keyed = texts.select("node", "text").mapInArrow(_prefix_batches(counts, shingle, similarity), "key long, node long, size int")
     keyed = stage(keyed.distinct(), "prefixes")
-    leads = keyed.groupBy("key").agg(F.min(F.struct("node", "size")).alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = keyed.join(leads, "key").select("key", "node", "size", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"))
-    shared = stage(shared, "shared-prefixes")
-
-    def near(one: str, two: str) -> Column:
-        return F.least(one, two) >= similarity * F.greatest(one, two) - 1e-9
-
-    star = shared.filter("node <> lead").filter(near("size", "lead_size")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    edges = stage(verified_pairs(star, texts, shingle, similarity), "copies")
-
+    many = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # A little wider than the sizes of sets alike enough, so that rounding parts none.
+    width = max(-np.log(similarity), 1e-3) * (1 + 1e-6)
+    band = F.floor(F.log("size") / F.lit(float(width)))
+    banded = keyed.join(many, "key").select("key", F.explode(F.array(band, band + 1)).alias("band"), "node", "size")
+    return stage(banded, "shared-prefixes")
+
+
+def _next_pairs(active: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
+    """For each set of ``active`` the one of its keys' leads outside its component that shares most keys with it, as
+    distinct pairs ``(a, b)`` not in ``tested`` (``low``, ``high``); ``a`` is the lead."""
+    near = F.least("size", "lead.size") >= similarity * F.greatest("size", "lead.size") - 1e-9
+    met = active.select("node", "size", "root", F.explode(F.array("low", "high")).alias("lead")).filter((F.col("lead.root") != F.col("root")) & near)
+    counted = met.groupBy("node", F.col("lead.node").alias("lead")).agg(F.count("*").alias("n"))
+    ordered = counted.withColumns({"low": F.least("node", "lead"), "high": F.greatest("node", "lead")})
+    best = ordered.join(tested, ["low", "high"], "left_anti").groupBy("node").agg(F.max(F.struct("n", "lead", "low", "high")).alias("best"))
+    return best.select(F.col("best.lead").alias("a"), F.col("node").alias("b"), "best.low", "best.high").dropDuplicates(["low", "high"])
+
+
+def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+    """``(node, root)`` of the components of pairs of ``texts`` (``node``, ``print``, ``text``) whose sets of shingles have at
+    least that Jaccard similarity; nodes without such a partner may be left out.
+
+    Candidates come from the Golay keys of the fingerprints first, then from shared rare shingles in rounds: every
+    (key, band) names two leads of different components, and each set is compared with the lead it shares most
+    keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
+    when nothing new meets, when two in a row link nothing, or after ``rounds``: only pairs that are alike are
+    linked, but in large families of texts on both sides of ``similarity`` a link may be lost.
+    """
+    first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
+    tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+    edges = stage(verified_pairs(first, texts, shingle, similarity), "copies")
+    shared, idle = shared_prefixes(texts, shingle, similarity), 0
     roots = connected_components(edges)
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    placed = stage(placed.join(apart, "key").filter("node <> lead").select("key", "node", "size", "root"), "apart")
-    left, right = (placed.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "root")]) for side in "ab")
-    pairs = left.join(right, "key").filter((F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root")) & near("a_size", "b_size"))
-    pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    return connected_components(edges.union(verified_pairs(pairs, texts, shingle, similarity)))
+    for seed in range(rounds):
+        rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mark = F.struct(F.xxhash64(F.lit(seed), "root").alias("by_root"), F.xxhash64(F.lit(seed), "node").alias("by_node"), "node", "size", "root")
+        ends = rooted.groupBy("key", "band").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).filter("low.root <> high.root")
+        active = stage(rooted.join(ends, ["key", "band"]), "apart")
+        pairs = stage(_next_pairs(active, tested, similarity), "pairs")
+        if pairs.isEmpty():
+            break
+        found = stage(verified_pairs(pairs.select("a", "b"), texts, shingle, similarity), "copies")
+        idle = idle + 1 if found.isEmpty() else 0
+        if idle == 2:
+            break
+        shared, tested = active.select("key", "band", "node", "size"), tested.union(pairs.select("low", "high"))
+        if not idle:
+            edges = edges.union(found)
+            roots = connected_components(edges)
+    return roots
 
 
 def near_copies(docs: DataFrame, keys: list[str], shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -422,14 +470,14 @@ def near_copies(docs: DataFrame, keys: list[str], shingle: int = COPY_SHINGLE, s
     where ids repeat or are null) of near copies: texts that links between sets of word shingles with
     a Jaccard similarity of at least ``similarity`` connect.
 
-    Similarity 0.8 is more than fingerprints can tell, so the sets themselves are compared: every pair that
-    reaches it is linked and no other one (sets are of 64-bit hashes).  Nulls, repeated rows and
-    empty tables are treated as in ``near_duplicates``.
+    Similarity 0.8 is more than fingerprints can tell, so what their keys and rare shingles bring together is
+    decided on the sets themselves: no pair below it is linked (sets are of 64-bit hashes); ``copy_links``
+    says which links may be lost.  Nulls, repeated rows and empty tables are treated as in ``near_duplicates``.
     """
     rows = docs.select(*keys, text_or_empty().alias("text"))
     kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes[:-1])
-    made = stage(rows.mapInArrow(_set_batches(shingle), f"{kept}, node long, text string"), "shingle-sets")
-    roots = copy_links(made.filter("text is not null").select("node", "text"), shingle, similarity)
+    made = stage(rows.mapInArrow(_set_batches(shingle), f"{kept}, node long, print long, text string"), "shingle-sets")
+    roots = copy_links(made.filter("text is not null").select("node", "print", "text"), shingle, similarity)
     rooted = made.groupBy("node").agg(F.min(keys[0]).alias("first")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("node", "component_id", F.col("root").alias("class"))
