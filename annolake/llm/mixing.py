@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolake.llm.common import join_keys, row_hash, stage, table, text_key, word_count
+from annolake.llm.common import free_name, join_keys, row_hash, stage, table, text_key, word_count
 from annolake.operators.ordered import with_running_totals
 
 CAP = 3
@@ -165,14 +165,14 @@ def balanced_copies(rows: DataFrame, keys: list[str], cap: int = CAP) -> DataFra
 
 def mix_documents(docs: DataFrame, cap: int = CAP) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it; columns stay as they are."""
-    columns = docs.columns
-    marked = docs.withColumn("_row", row_hash(docs))
-    rows = marked.select(F.col("doc_id").alias("_id"), "_row", "source", word_count().alias("size"))
+    row, copy = free_name("_row", docs), free_name("_copy", docs)
+    marked = docs.withColumn(row, row_hash(docs))
+    rows = marked.select(F.col("doc_id").alias("_id"), F.col(row).alias("_row"), "source", word_count().alias("size"))
     copies = balanced_copies(rows, ["_id", "_row"], cap).select(F.col("_row").alias("_of"), F.col("_id"), "copies")
     taken = copies.filter("copies > 0")
-    joined = marked.join(taken, (marked["_row"] == taken["_of"]) & marked["doc_id"].eqNullSafe(taken["_id"]))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*[marked[c] for c in columns])
+    joined = marked.join(taken, (marked[row] == taken["_of"]) & marked["doc_id"].eqNullSafe(taken["_id"]))
+    repeated = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), taken["copies"])))
+    return repeated.select(*[marked[c] for c in docs.columns])
 
 
 def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
