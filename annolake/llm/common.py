@@ -18,6 +18,14 @@ def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def release(staged: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more, so that loops do not fill the shared folder."""
+    jvm, conf = staged.sparkSession._jvm, staged.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolake.llm.common import stage, table, text_or_empty
+from annolake.llm.common import release, stage, table, text_or_empty
 from annolake.llm.components import connected_components
 
 SHINGLE = 4
@@ -445,12 +445,15 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
     edges = stage(verified_pairs(first, texts, shingle, similarity), "copies")
     shared, idle = shared_prefixes(texts, shingle, similarity), 0
-    roots = connected_components(edges)
+    roots, active = connected_components(edges), None
     for seed in range(rounds):
         rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mark = F.struct(F.xxhash64(F.lit(seed), "root").alias("by_root"), F.xxhash64(F.lit(seed), "node").alias("by_node"), "node", "size", "root")
         ends = rooted.groupBy("key", "band").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).filter("low.root <> high.root")
-        active = stage(rooted.join(ends, ["key", "band"]), "apart")
+        slim = [F.struct(f"{side}.node", f"{side}.size", f"{side}.root").alias(side) for side in ("low", "high")]
+        before, active = active, stage(rooted.join(ends.select("key", "band", *slim), ["key", "band"]), "apart")
+        if before is not None:
+            release(before)
         pairs = stage(_next_pairs(active, tested, similarity), "pairs")
         if pairs.isEmpty():
             break
