@@ -375,3 +375,24 @@ def test_near_copies_are_the_pairs_at_the_exact_similarity(spark):
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     assert {r.doc_id: r.component_id for r in simhash.near_copies(frame, ["doc_id"]).collect()} == label
     assert len(set(label.values())) > 20
+
+
+def test_near_copies_compare_a_set_once_a_round(spark, monkeypatch):
+    rng = random.Random(9)
+    base, texts = _words(rng, 100).split(), []
+    for _ in range(400):  # one template, all pairs below 0.8
+        words = list(base)
+        for k in rng.sample(range(100), 6):
+            words[k] = _words(rng, 1)
+        texts.append(" ".join(words))
+    asked, verified = [], simhash.verified_pairs
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "verified_pairs", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = simhash.near_copies(frame, ["doc_id"]).collect()
+    assert len(rows) == 400 and len(asked) >= 3
+    assert all(n <= 400 for n in asked[1:]) and asked[0] <= 2 * 400
