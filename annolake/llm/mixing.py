@@ -8,13 +8,15 @@ solution is an exponential tilt ``r = min(cap, exp(lambda_source * size / mean s
 run in whole numbers, so no order of rows changes a bit of the result.
 
 Rates become copies by systematic rounding: rows of a source stand in size order and a row gets
-the whole numbers its stretch of the running sum of rates passes.  The error of a source stays below one
-document; rates at or under ``cap`` never round above it.
+the whole numbers its stretch of the running sum of rates passes.  Equal rows are one stretch and share what it
+passes as evenly as whole numbers go.  The error of a source stays below one document; rates at or under ``cap``
+never round above it.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,6 +30,8 @@ MAX_STEPS = 80
 TOLERANCE = 1e-7
 _RATE_UNIT = 2**40  # steps of a rate inside the dual
 _COPY_UNIT = 2**24  # steps of a rate in the running sum
+#: Equal rows that one input row of the last step becomes.
+_CHUNK = 1000
 
 
 def source_targets(sizes: DataFrame, cap: int = CAP, cycle: int = 3) -> DataFrame:
@@ -128,18 +132,13 @@ def solve_dual(histogram: DataFrame, targets: DataFrame, cap: int = CAP) -> Data
         if state.filter(~F.col("done")).isEmpty():
             break
         state = state.drop("done")
+    else:
+        warnings.warn(f"some sources missed their target by more than {TOLERANCE:g} of it after {MAX_STEPS} steps", stacklevel=2)
     return state.select("source", "mean", "lam")
 
 
-def balanced_copies(rows: DataFrame, keys: list[str], cap: int = CAP) -> DataFrame:
-    """One row per distinct ``keys + source + size`` of ``rows``, with ``source_size``, ``target``,
-    ``rate`` and ``copies`` (0 to ``cap``).
-
-    Repeated rows count towards all sums and get the same number of copies.  A null source is a
-    source of its own; rows of size 0 give no tokens and are taken about once.  An empty table
-    gives an empty one.  A source may hold any share of the rows: sums combine before the shuffle, and
-    running sums go by range chunks.
-    """
+def _totals(rows: DataFrame, keys: list[str], cap: int) -> DataFrame:
+    """``keys, source, size, n, source_size, target, rate, total``: ``n`` equal rows are taken ``total`` times together."""
     distinct = stage(rows.groupBy(*keys, "source", "size").agg(F.count("*").alias("n")), "mix")
     histogram = stage(distinct.groupBy("source", "size").agg(F.sum("n").alias("n")), "mix-sizes")
     sizes = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -150,40 +149,72 @@ def balanced_copies(rows: DataFrame, keys: list[str], cap: int = CAP) -> DataFra
         *keys,
         "source",
         "size",
+        "n",
         "source_size",
         "target",
         (_rate(F.col("lam"), F.col("mean"), cap).cast("double") / F.lit(float(_RATE_UNIT))).alias("rate"),
     )
-    step = F.round(F.col("rate") * F.lit(float(_COPY_UNIT))).cast("long")
+    step = F.round(F.col("rate") * F.lit(float(_COPY_UNIT))).cast("long") * F.col("n")
     order = [F.col("size").desc(), F.xxhash64(*[F.col(k) for k in keys]), *keys]
     summed = with_running_totals(rated.withColumn("_part", step), ["source"], order, {"_upto": F.col("_part")})
     half = F.lit(_COPY_UNIT // 2)
     passed = lambda upto: F.floor((upto + half) / F.lit(_COPY_UNIT))
-    copies = passed(F.col("_upto")) - passed(F.col("_upto") - F.col("_part"))
-    return summed.withColumn("copies", copies.cast("int")).drop("_upto", "_part")
+    total = passed(F.col("_upto")) - passed(F.col("_upto") - F.col("_part"))
+    return summed.withColumn("total", total).drop("_upto", "_part")
+
+
+def balanced_copies(rows: DataFrame, keys: list[str], cap: int = CAP) -> DataFrame:
+    """``keys``, ``source``, ``size``, ``source_size``, ``target``, ``rate`` and ``copies`` (0 to ``cap``) of ``rows``, of
+    which ``rows`` equal ones get these copies each.
+
+    Repeated rows count towards all sums; where their copies are no multiple of their number, some get one more
+    than the others and they take two rows here.  A null source is a source of its own; rows of size 0 give no
+    tokens and are taken about once.  An empty table gives an empty one.  A source may hold any share of the
+    rows: sums combine before the shuffle, and running sums go by range chunks.
+    """
+    totals = _totals(rows, keys, cap)
+    each, more = F.expr("total div n"), F.expr("total % n")
+    groups = F.array(
+        F.struct(more.alias("rows"), (each + 1).cast("int").alias("copies")),
+        F.struct((F.col("n") - more).alias("rows"), each.cast("int").alias("copies")),
+    )
+    return totals.select(*totals.columns, F.inline(groups)).filter("rows > 0").drop("n", "total")
+
+
+def _multiplied(df: DataFrame, times: str, keys: list[str]) -> DataFrame:
+    """Every row as often as its column ``times`` says, which is dropped; many equal rows are made by several tasks."""
+    chunk, nth = free_name("_chunk", df), free_name("_nth", df)
+    chunked = df.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / _CHUNK))))
+    left = F.least(F.lit(_CHUNK), F.col(times) - F.col(chunk) * _CHUNK)
+    dealt = chunked.repartition(*keys, chunk)
+    return dealt.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), left))).drop(chunk, nth, times)
 
 
 def mix_documents(docs: DataFrame, cap: int = CAP) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it; columns stay as they are."""
-    row, copy = free_name("_row", docs), free_name("_copy", docs)
+    """``docs`` with every row repeated as often as the mix takes it; columns stay as they are.
+
+    Equal rows are taken together as often as their tokens need.
+    """
+    row, copy, total = (free_name(name, docs) for name in ("_row", "_copy", "_total"))
     marked = docs.withColumn(row, row_hash(docs))
     rows = marked.select(F.col("doc_id").alias("_id"), F.col(row).alias("_row"), "source", word_count().alias("size"))
-    copies = balanced_copies(rows, ["_id", "_row"], cap).select(F.col("_row").alias("_of"), F.col("_id"), "copies")
-    taken = copies.filter("copies > 0")
-    joined = marked.join(taken, (marked[row] == taken["_of"]) & marked["doc_id"].eqNullSafe(taken["_id"]))
-    repeated = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), taken["copies"])))
-    return repeated.select(*[marked[c] for c in docs.columns])
+    taken = stage(_totals(rows, ["_id", "_row"], cap).filter("total > 0").select("_id", "_row", "n", "total"), "mix-copies")
+
+    def of(some: DataFrame) -> DataFrame:
+        joined = marked.join(some, (marked[row] == some["_row"]) & marked["doc_id"].eqNullSafe(some["_id"]))
+        return joined.select(*[marked[c] for c in marked.columns], some["total"].alias(total))
+
+    single, repeated = taken.filter("n = 1"), taken.filter("n > 1")
+    mixed = of(single).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(total)))).drop(copy, total)
+    if not repeated.isEmpty():
+        mixed = mixed.union(_multiplied(of(repeated).dropDuplicates(["doc_id", row]), total, [row]))
+    return mixed.drop(row)
 
 
 def op10_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(
-        table(spark, sf_dir, "documents").select(
-            "doc_id", text_key().alias("_text"), "source", word_count().alias("size")
-        ),
-        "mix-rows",
-    )
+    rows = table(spark, sf_dir, "documents").select("doc_id", text_key().alias("_text"), "source", word_count().alias("size"))
     copies = balanced_copies(rows, ["doc_id", "_text"])
-    return join_keys(rows, copies.drop("size", "source"), ["doc_id", "_text"], "inner").select(
+    return _multiplied(copies, "rows", ["doc_id", "_text"]).select(
         "doc_id",
         "size",
         "source_size",

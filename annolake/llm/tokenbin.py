@@ -4,11 +4,13 @@ Documents are range-partitioned and sorted by id, encoded, and every partition b
 blocks.  A block holds whole documents: a header, their ids and token counts, then all token ids in
 ``width`` bits each, 64 ids to a frame of ``width`` little-endian 64-bit words.  Frame ``i // 64``
 of token ``i`` lies at a computable place, so a reader unpacks any range with numpy.  The last
-block of a file lists the offsets of all others.
+block of a file lists where each other block begins and how many tokens come before it, and ends with its own
+place: a reader gets from the end of the file to any token by two short reads.
 
 Layout (little-endian): magic ``FWB1``, width u8, kind u8 (0 tokens, 1 offsets), part u32, entries
 u32, tokens u64, bytes of what follows u64.  Tokens block: entries x (doc id i64, count u64), frames.
-Offsets block: entries x u64.  One byte 0x0A follows each block.
+Offsets block: entries x (offset u64), entries x (tokens before u64), own offset u64.  One byte 0x0A follows each
+block.
 """
 
 from __future__ import annotations
@@ -99,14 +101,38 @@ def blocks(buffer: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, in
         at = body + size + 1
 
 
+def read_range(read: Callable[[int, int], bytes], size: int, start: int, stop: int) -> np.ndarray:
+    """Random access: tokens ``start`` to ``stop`` (exclusive) of a file of ``size`` bytes.
+
+    ``read(offset, length)`` gives bytes of the file.  Besides the offsets block only the heads of the blocks and
+    the frames that hold the range are read.
+    """
+    head = struct.calcsize(_HEAD)
+    if size == 0:
+        raise IndexError(start)
+    (index,) = struct.unpack("<Q", read(size - 9, 8))
+    magic, _, kind, _, entries, total, _ = struct.unpack(_HEAD, read(index, head))
+    if (magic, kind) != (b"FWB1", 1):
+        raise ValueError("the file does not end with an offsets block")
+    if not 0 <= start <= stop <= total:
+        raise IndexError(f"{start} to {stop} of {total}")
+    places, before = np.frombuffer(read(index + head, 16 * entries), "<u8").astype(np.int64).reshape(2, entries)
+    found = [np.zeros(0, np.uint32)]
+    for at in range(int(np.searchsorted(before, start, "right")) - 1, entries):
+        base = int(before[at])
+        if base >= stop:
+            break
+        _, width, _, _, docs, tokens, _ = struct.unpack(_HEAD, read(int(places[at]), head))
+        first, last = max(start - base, 0), min(stop - base, tokens)
+        frames, upto = first // 64, -(-last // 64)
+        raw = read(int(places[at]) + head + 16 * docs + frames * width * 8, (upto - frames) * width * 8)
+        found.append(unpack(raw, width, first - frames * 64, last - frames * 64))
+    return np.concatenate(found)
+
+
 def read_token(buffer: bytes, index: int) -> int:
-    """Random access: the token at ``index`` of a whole file."""
-    for width, _, _, counts, offset in blocks(buffer):
-        total = int(counts.sum())
-        if index < total:
-            return int(unpack(buffer, width, index, index + 1, offset)[0])
-        index -= total
-    raise IndexError(index)
+    """The token at ``index`` of a whole file in memory."""
+    return int(read_range(lambda at, n: buffer[at : at + n], len(buffer), index, index + 1)[0])
 
 
 class _Encoder:
@@ -193,7 +219,8 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, offsets, at, encoder = TaskContext.get().partitionId(), [], 0, None
+        part, at, total, encoder = TaskContext.get().partitionId(), 0, 0, None
+        places, before = [], []
         for batch in batches:
             encoder = encoder or _Encoder(load_tokenizer(tokenizer_name))
             for start, stop in page_slices(batch.column("text"), BLOCK_BYTES):
@@ -202,12 +229,14 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
                 closed = np.insert(ids, np.cumsum(counts), end_id)
                 doc_ids = pc.fill_null(rows.column("doc_id"), _NULL_ID).to_numpy(zero_copy_only=False)
                 block = tokens_block(part, doc_ids, counts + 1, closed, width)
-                offsets.append(at)
+                places.append(at)
+                before.append(total)
                 at += len(block) + 1
+                total += len(closed)
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], ["value"])
-        if offsets:
-            body = np.array(offsets, "<u8").tobytes()
-            index = struct.pack(_HEAD, b"FWB1", width, 1, part, len(offsets), 0, len(body)) + body
+        if places:
+            body = np.array([*places, *before, at], "<u8").tobytes()
+            index = struct.pack(_HEAD, b"FWB1", width, 1, part, len(places), total, len(body)) + body
             yield pa.RecordBatch.from_arrays([pa.array([index], pa.binary())], ["value"])
 
     return write

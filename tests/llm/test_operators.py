@@ -277,7 +277,8 @@ def test_mixing(docs, none, spark):
     taken, sizes = defaultdict(int), defaultdict(int)
     for r in out:
         assert 0 <= r.copies <= 3
-        taken[r.source] += r.copies * r["size"] * times[r.doc_id, r.source, r["size"]]
+        taken[r.source] += r.copies * r["size"] * r.rows
+        times[r.doc_id, r.source, r["size"]] -= r.rows
         sizes[r.source] = r.source_size
     weights = dict(zip([*sorted(s for s in sizes if s is not None), None], [1, 2, 3, 1], strict=True))
     target, full, left = {}, set(), sum(sizes.values())
@@ -292,14 +293,53 @@ def test_mixing(docs, none, spark):
     most = max(r[2] for r in rows)
     for r in out:
         assert r.target == pytest.approx(target[r.source])
+    assert not any(times.values())
     for source in sizes:
         assert abs(taken[source] - target[source]) <= most
     assert mixing.balanced_copies(frame.limit(0), ["doc_id"]).count() == 0
     mixed = mixing.mix_documents(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies * times[r.doc_id, r.source, r["size"]] for r in out)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies * r.rows for r in out)
     assert mixing.mix_documents(none).count() == 0
 
 
+def test_equal_rows_are_mixed_to_the_target(spark):
+    rows = [(1, "a a a", "a", 0)] * 2500 + [(2 + i, "b " * 50, "b", 0) for i in range(75)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _total int")
+    frame = docs.selectExpr("doc_id", "source", "CASE source WHEN 'a' THEN 3L ELSE 50L END AS size")
+    copies = mixing.balanced_copies(frame, ["doc_id"]).filter("source = 'a'").collect()
+    target = (7500 + 3750) / 3
+    assert abs(sum(r.rows * r.copies * 3 for r in copies) - target) <= 3
+    assert sum(r.rows for r in copies) == 2500 and max(r.copies for r in copies) - min(r.copies for r in copies) <= 1
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    assert abs(3 * mixed.filter("source = 'a' AND text = 'a a a' AND doc_id = 1 AND _total = 0").count() - target) <= 3
+
+
+def test_tokens_are_read_from_their_place(spark, docs):
+    path = tokenbin.write_tokens(docs, staging_path(spark, "t"), file_bytes=4000)
+    rows = sorted(tokenbin.read_tokens(spark, path, with_ids=True).collect(), key=lambda r: r.start)
+    files = [bytes(r.content) for r in spark.read.format("binaryFile").load(path).orderBy("path").collect() if r.content]
+    ids, at = np.concatenate([r["ids"] for r in rows]), 0
+    for content in files:
+        asked = []
+
+        def read(offset, length, content=content, asked=asked):
+            asked.append(length)
+            return content[offset : offset + length]
+
+        count = sum(int(counts.sum()) for *_, counts, _ in tokenbin.blocks(content))
+        for start, stop in ((0, 0), (0, 1), (count - 1, count), (count // 3, count // 2), (0, count)):
+            assert (tokenbin.read_range(read, len(content), start, stop) == ids[at + start : at + stop]).all()
+        asked.clear()
+        assert tokenbin.read_token(content, count // 2) == ids[at + count // 2]
+        tokenbin.read_range(read, len(content), count // 2, count // 2 + 1)
+        assert sum(asked) < 400
+        with pytest.raises(IndexError):
+            tokenbin.read_token(content, count)
+        at += count
+    assert at == len(ids)
+
+
 def _shared_passage(count, passage):
     rng = random.Random(8)
     return [(i, f"{_words(rng, 60)} {passage} {_words(rng, 60)}") for i in range(count)]
