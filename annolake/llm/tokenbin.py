@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import table, text_key, text_or_empty
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import Memory, in_one_text
+from annolake.llm.wordcodes import gathered, give_back, in_one_text
 from annolake.session import staging_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,7 +36,10 @@ VOCABULARY = 50_257
 END_ID = 0
 #: Text bytes that one file takes, and that one block takes at most (but for a single longer document).
 FILE_BYTES = 32 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Bytes that a task's remembered words and their ids take before it starts afresh, and those of one word.
+MEMORY_BYTES = 48 << 20
+WORD_BYTES = 32
 
 _HEAD = "<4sBBIIQQ"
 _NULL_ID = -(2**63)
@@ -135,6 +138,39 @@ def read_token(buffer: bytes, index: int) -> int:
     return int(read_range(lambda at, n: buffer[at : at + n], len(buffer), index, index + 1)[0])
 
 
+class _Words:
+    """Ids of words met before in a task, all in Arrow and numpy arrays; ``encode`` gives ``(flat ids, begin, count)`` of new ones."""
+
+    def __init__(self, encode: Callable[[pa.Array], tuple]) -> None:
+        self.encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.flat, self.begins, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(flat ids, begin, count)`` of every word; words are different."""
+        if self.known.nbytes + self.flat.nbytes + self.begins.nbytes + self.counts.nbytes > MEMORY_BYTES:
+            self.forget()
+        slot = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False)
+        new, old = np.flatnonzero(slot < 0), slot >= 0
+        some = words.take(pa.array(new))
+        flat, begins, counts = self.encode(some)
+        before = len(self.flat)
+        every_begin, every_count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        every_begin[old], every_count[old] = self.begins[slot[old]], self.counts[slot[old]]
+        every_begin[new], every_count[new] = before + begins, counts
+        ids = np.concatenate([self.flat, flat])
+        short = np.flatnonzero(pc.less_equal(pc.binary_length(some), WORD_BYTES).to_numpy(zero_copy_only=False))
+        kept = counts[short]
+        self.known = pa.concat_arrays([self.known, some.take(pa.array(short))])
+        self.begins = np.concatenate([self.begins, before + np.cumsum(kept) - kept])
+        self.flat = np.concatenate([self.flat, flat[gathered(begins[short], kept)]])
+        self.counts = np.concatenate([self.counts, kept])
+        return ids, every_begin, every_count
+
+
 class _Encoder:
     """Encodes texts whose words repeat; ids of words met before in the task are remembered."""
 
@@ -144,7 +180,7 @@ class _Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         # One character of a byte-level token stands for one byte.
         self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.memory = Memory(self._words)
+        self.memory = _Words(self._words)
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(all ids, ids per text)``, one by one."""
@@ -238,6 +274,8 @@ def _writer(tokenizer_name: str, width: int, end_id: int) -> Callable:
             body = np.array([*places, *before, at], "<u8").tobytes()
             index = struct.pack(_HEAD, b"FWB1", width, 1, part, len(places), total, len(body)) + body
             yield pa.RecordBatch.from_arrays([pa.array([index], pa.binary())], ["value"])
+        del encoder
+        give_back()
 
     return write
 
