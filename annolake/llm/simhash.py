@@ -417,7 +417,9 @@ def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFr
     width = max(-np.log(similarity), 1e-3) * (1 + 1e-6)
     band = F.floor(F.log("size") / F.lit(float(width)))
     banded = keyed.join(many, "key").select("key", F.explode(F.array(band, band + 1)).alias("band"), "node", "size")
-    return stage(banded, "shared-prefixes")
+    shared = stage(banded, "shared-prefixes")
+    release(keyed)
+    return shared
 
 
 def _next_pairs(active: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
@@ -444,8 +446,8 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
     first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
     edges = stage(verified_pairs(first, texts, shingle, similarity), "copies")
-    shared, idle = shared_prefixes(texts, shingle, similarity), 0
-    roots, active = connected_components(edges), None
+    prefixes, idle = shared_prefixes(texts, shingle, similarity), 0
+    shared, roots, active = prefixes, connected_components(edges), None
     for seed in range(rounds):
         rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mark = F.struct(F.xxhash64(F.lit(seed), "root").alias("by_root"), F.xxhash64(F.lit(seed), "node").alias("by_node"), "node", "size", "root")
@@ -465,6 +467,10 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
         if not idle:
             edges = edges.union(found)
             roots = connected_components(edges)
+    # The components come from the edges alone.
+    for staged in (prefixes, active):
+        if staged is not None:
+            release(staged)
     return roots
 
 
