@@ -113,6 +113,42 @@ def test_importance_keeps_good_and_drops_bad(spark, none):
     assert all(r.selected for r in importance.importance_sample(frame, labels.limit(0), ["doc_id"]).collect())
 
 
+def test_importance_against_plain_counts(docs, spark):
+    rows = [(_order(r), _text(r)) for r in _rows() if r[0] is not None]
+    good = {i: int(i % 3 > 0) for i, _ in rows if i % 2 == 0}
+    labels = spark.createDataFrame(list(good.items()), "doc_id long, quality int")
+    out = importance.importance_sample(docs.filter("doc_id IS NOT NULL"), labels, ["doc_id"]).collect()
+
+    def buckets(text):
+        tokens = re.findall(r"\w+|[^\w\s]+", text)
+        values = [xxhash.xxh3_64_intdigest(t.encode()) for t in tokens]
+        pairs = [0xD1B54A32D192ED03 if a == b else (a * 0x9E3779B97F4A7C15 + b) % 2**64 for a, b in zip(values, values[1:], strict=False)]
+        return [int(windows.mix(np.array([v], np.uint64))[0]) % importance.BUCKETS for v in values + pairs]
+
+    raw, target = defaultdict(lambda: 1), defaultdict(lambda: 1)
+    held = [(i, buckets(text)) for i, text in rows]
+    for i, found in held:
+        for b in found:
+            raw[b] += 1
+            target[b] += good.get(i, 0)
+    n_raw, n_target = (importance.BUCKETS + sum(v - 1 for v in m.values()) for m in (raw, target))
+    score = {i: sum(np.log(target[b] / n_target * n_raw / raw[b]) for b in found) / max(len(found), 1) for i, found in held}
+    for r in out:
+        assert r.score == pytest.approx(score[r.doc_id], abs=1e-9)
+    labelled = [(score[i], good[i]) for i, _ in rows if i in good]
+
+    def accuracy(cut):
+        return np.mean([s >= cut for s, g in labelled if g]) + np.mean([s < cut for s, g in labelled if not g])
+
+    cuts = sorted({s for s, _ in labelled})
+    middles = [-np.inf, *((a + b) / 2 for a, b in zip(cuts, cuts[1:], strict=False)), np.inf]
+    best = max(map(accuracy, middles))
+    sizes = {sum(score[i] >= c for i, _ in rows) for c in middles if accuracy(c) > best - 1e-9}
+    taken = [r for r in out if r.selected]
+    assert len(taken) in sizes
+    assert min(r.gumbel_key for r in taken) >= max((r.gumbel_key for r in out if not r.selected), default=-np.inf)
+
+
 def test_simhash_components(docs, none):
     out = simhash.near_duplicates(docs, ["doc_id"]).collect()
     prints = defaultdict(list)
