@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from annolake.functions import boxes
+from annolake.operators import evaluate
 
 
 def largest_method(frame):
@@ -31,3 +32,18 @@ def test_to_yolo_is_compiled(spark):
         ("bbox_needs_four_values", *[None] * 4), ("image_dimensions_not_positive", *[None] * 4), (None, *[None] * 4),
         (None, 0.5, 0.5, 1.0, 0.5),
     ]
+
+
+def test_envelope_of_the_precision_curve_is_a_running_maximum(spark):
+    """A frame that reaches to the end of its partition is computed anew for every row."""
+    rows = [(1, 1, 0.9, 1, 1), (1, 2, 0.8, 1, 0), (1, 3, 0.7, 2, 1), (1, 4, 0.6, 2, 1), (2, 1, 0.5, 3, 1)]
+    schema = "class_id long, position long, score double, image_id long, counted long"
+    detections = spark.createDataFrame(rows, schema)
+    truth = spark.createDataFrame([(1,), (1,), (1,), (1,), (2,)], "class_id long")
+    found = evaluate.pr_curve(evaluate.Evaluation(detections, None, truth))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "currentrow$(), unboundedfollowing$()" not in plan
+    curve = {(r.class_id, r.position): (r.tp, r.recall, round(r.precision, 6), round(r.envelope, 6)) for r in found.collect()}
+    assert curve == {
+        (1, 1): (1, 0.25, 1.0, 1.0), (1, 3): (2, 0.5, 0.666667, 0.75), (1, 4): (3, 0.75, 0.75, 0.75), (2, 1): (1, 1.0, 1.0, 1.0),
+    }
