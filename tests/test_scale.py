@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from annolake.functions import boxes
 from annolake.operators import evaluate
+from annolake.sources import archives, readers, writers
 
 
 def largest_method(frame):
@@ -47,3 +48,16 @@ def test_envelope_of_the_precision_curve_is_a_running_maximum(spark):
     assert curve == {
         (1, 1): (1, 0.25, 1.0, 1.0), (1, 3): (2, 0.5, 0.666667, 0.75), (1, 4): (3, 0.75, 0.75, 0.75), (2, 1): (1, 1.0, 1.0, 1.0),
     }
+
+
+def test_small_files_lie_in_archives(spark, tmp_path):
+    contents = [b"\xff\xd8\xff" + b"x" * n for n in (0, 1, 511, 512, 513, 5000)] + [b"", b"", b"a\nb\x00\n"]
+    files = spark.createDataFrame([(bytearray(c),) for c in contents], "content binary").coalesce(1)
+    path = str(tmp_path / "files")
+    writers.write_text_files(archives.to_archives(files, 2000), path, 1)
+    stored = readers.read_files(spark, path, "*.txt")
+    assert 1 < stored.count() < len(contents)
+    found = archives.archived_files(stored).collect()
+    assert sorted(bytes(r.content) for r in found) == sorted(contents)
+    assert all(r.size_bytes == len(r.content) for r in found)
+    assert len({r.path for r in found}) == len(contents)
