@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from annolake.functions import boxes
 from annolake.operators import evaluate
+from annolake.plans import catalog
 from annolake.sources import archives, readers, writers
 
 
@@ -61,3 +62,16 @@ def test_small_files_lie_in_archives(spark, tmp_path):
     assert sorted(bytes(r.content) for r in found) == sorted(contents)
     assert all(r.size_bytes == len(r.content) for r in found)
     assert len({r.path for r in found}) == len(contents)
+
+
+def test_source_split_stats_counts_repeated_ids(spark, tmp_path):
+    lines = [(1, 1, 5, 1), (1, 1, 6, 1), (1, 2, 7, 1), (25, 1, 8, 1), (25, 1, 8, 1), (25, 1, 9, 1)]
+    columns = "cast(col1 as bigint) l_orderkey, cast(col2 as int) l_linenumber, cast(col3 as bigint) l_partkey, cast(col4 as bigint) l_suppkey"
+    spark.createDataFrame(lines, "col1 int, col2 int, col3 int, col4 int").selectExpr(
+        *columns.split(", "), "1.0D l_extendedprice", "timestamp_ntz'2020-01-01' l_shipdate", "'N' l_returnflag"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1,), (25,)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    parts = spark.range(90).selectExpr("id as p_partkey", "'a b' as p_name", "'c' as p_type")
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    found = catalog.QUERIES["source_split_stats"](spark, str(tmp_path)).collect()
+    assert {r.source_split: (r.annotations, r.duplicate_annotation_ids) for r in found} == {"train2017": (3, 1), "val2017": (3, 2)}
