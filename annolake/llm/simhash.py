@@ -279,7 +279,7 @@ SIMILARITY = 0.8
 COUNTERS = 1 << 18
 #: Members that one task compares with a set.
 MEMBERS = 20_000
-#: Most rounds of comparisons by shared shingles; in each a set is compared with one other.
+#: Most rounds of comparisons by shared shingles, in each a set with one other, before all pairs left are compared.
 ROUNDS = 8
 
 
@@ -433,6 +433,18 @@ def _next_pairs(active: DataFrame, tested: DataFrame, similarity: float) -> Data
     return best.select(F.col("best.lead").alias("a"), F.col("node").alias("b"), "best.low", "best.high").dropDuplicates(["low", "high"])
 
 
+def _rest_pairs(shared: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
+    """All distinct pairs ``(a, b)`` of sets in different components that share a (key, band), have near sizes and are not in ``tested``."""
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("key", "band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "band")
+    left = stage(rooted.join(mixed, ["key", "band"], "left_semi"), "rest")
+    right = left.select("key", "band", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "root")])
+    near = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
+    met = left.join(right, ["key", "band"]).filter((F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root")) & near)
+    pairs = met.select(F.col("node").alias("low"), F.col("other_node").alias("high")).distinct().join(tested, ["low", "high"], "left_anti")
+    return pairs.select(F.col("low").alias("a"), F.col("high").alias("b"))
+
+
 def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """``(node, root)`` of the components of pairs of ``texts`` (``node``, ``print``, ``text``) whose sets of shingles have at
     least that Jaccard similarity; nodes without such a partner may be left out.
@@ -440,8 +452,8 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
     Candidates come from the Golay keys of the fingerprints first, then from shared rare shingles in rounds: every
     (key, band) names two leads of different components, and each set is compared with the lead it shares most
     keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
-    when nothing new meets, when two in a row link nothing, or after ``rounds``: only pairs that are alike are
-    linked, but in large families of texts on both sides of ``similarity`` a link may be lost.
+    when nothing new meets, when two in a row link nothing, or after ``rounds``.  They only make components large:
+    after them every pair of different components that shares a key and was not compared is, so no link is lost.
     """
     first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
@@ -461,12 +473,16 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
             break
         found = stage(verified_pairs(pairs.select("a", "b"), texts, shingle, similarity), "copies")
         idle = idle + 1 if found.isEmpty() else 0
+        shared, tested = active.select("key", "band", "node", "size"), tested.union(pairs.select("low", "high"))
         if idle == 2:
             break
-        shared, tested = active.select("key", "band", "node", "size"), tested.union(pairs.select("low", "high"))
         if not idle:
             edges = edges.union(found)
             roots = connected_components(edges)
+    rest = stage(_rest_pairs(prefixes, roots, tested, similarity), "pairs")
+    if not rest.isEmpty():
+        edges = edges.union(stage(verified_pairs(rest, texts, shingle, similarity), "copies"))
+        roots = connected_components(edges)
     # The components come from the edges alone.
     for staged in (prefixes, active):
         if staged is not None:
@@ -480,8 +496,8 @@ def near_copies(docs: DataFrame, keys: list[str], shingle: int = COPY_SHINGLE, s
     a Jaccard similarity of at least ``similarity`` connect.
 
     Similarity 0.8 is more than fingerprints can tell, so what their keys and rare shingles bring together is
-    decided on the sets themselves: no pair below it is linked (sets are of 64-bit hashes); ``copy_links``
-    says which links may be lost.  Nulls, repeated rows and empty tables are treated as in ``near_duplicates``.
+    decided on the sets themselves: no pair below it is linked, none of it left out (sets are of 64-bit
+    hashes).  Nulls, repeated rows and empty tables are treated as in ``near_duplicates``.
     """
     rows = docs.select(*keys, text_or_empty().alias("text"))
     kept = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes[:-1])
