@@ -213,3 +213,17 @@ def test_nested_records_name_their_parts(spark):
     for size, expected in ((3, [(1, 0, 3, 3), (1, 1, 3, 3), (1, 2, 3, 1), (2, 0, 1, 0)]), (1000, [(1, 0, 1, 7), (2, 0, 1, 0)])):
         found = writers.nest_records(images, annotations, size).select("image_id", "part", "parts", F.size("annotations"))
         assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_records_of_usual_images_are_nested_without_a_rank(spark, monkeypatch, tmp_path):
+    images = spark.createDataFrame([("t", i, "train") for i in range(7)], "source_split string, image_id long, project_split string")
+    columns = "annotation_id long, image_id long, source_split string, category_id long, class_id long, category_name string, x double, y double, w double, h double, yolo struct<xc:double,yc:double,w:double,h:double>"
+    rows = [(n, None if n == 17 else n % 6, "t", 1, 0, "a", 1.0, 2.0, 3.0, float(n), (0.1, 0.2, 0.3, 0.4)) for n in range(18)]
+    monkeypatch.setattr(writers, "_runs", None)
+    nested = writers.nest_records(images, spark.createDataFrame(rows, columns), 3)
+    writers.write_records(nested, str(tmp_path / "records"), "project_split", per_file=2)
+    files = list((tmp_path / "records").rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert max(spark.read.text(str(f)).count() for f in files) <= 2
+    found = {r.image_id: [a.id for a in r.annotations] for r in readers.read_manifest_jsonl(spark, str(tmp_path / "records")).collect()}
+    assert found == {i: [n for n in range(18) if n % 6 == i and n != 17] for i in range(7)}
