@@ -20,9 +20,10 @@ class AnnotationTables(NamedTuple):
     categories: DataFrame
 
 
-#: Where a document's path names its split: in its directory, or in the file itself.
-DIRECTORY_SPLIT = r"([^/]+)/[^/]*$"
-FILE_SPLIT = r"([^/]+)\.json$"
+#: Where a document's path names its split: in its directory, or in the file itself.  From the front, as every element
+#: is matched: a search would try each place of a long path.
+DIRECTORY_SPLIT = r"(?s)^(?:.*/)?([^/]+)/[^/]*$"
+FILE_SPLIT = r"(?s)^(?:.*/)?([^/]+)\.json$"
 
 
 def read_coco(

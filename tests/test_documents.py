@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +113,10 @@ def test_label_lines_stay_numbered_over_byte_ranges(spark, tmp_path, small_range
         (tmp_path / name).write_text("\n".join(lines) + "\n" * (count != 3) if count else "")
         want |= {(name, i, line) for i, line in enumerate(lines, 1)}
     assert {tuple(r) for r in readers.read_labels(spark, str(tmp_path)).collect()} == want
+
+
+def test_the_split_is_matched_from_the_front_of_a_path():
+    for pattern, split in ((readers.FILE_SPLIT, "val"), (readers.DIRECTORY_SPLIT, "b c")):
+        assert re.match(pattern, "file:///x.json/a/b c/val.json")[1] == split
+    assert not re.search(readers.FILE_SPLIT, "file:/a/.json") and not re.search(readers.DIRECTORY_SPLIT, "a//b.json")
+    assert re.search(readers.FILE_SPLIT, "val.json")[1] == "val" and not re.search(readers.DIRECTORY_SPLIT, "val.json")
