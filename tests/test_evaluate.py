@@ -151,3 +151,11 @@ def test_empty_sides(spark):
     assert evaluate.coco_ap_ar(none).filter("metric = 'AP@0.50'").first().value == 0.0
     nothing = evaluate.evaluate(spark.createDataFrame([], GT), spark.createDataFrame(dt, DT))
     assert {r.value for r in evaluate.coco_ap_ar(nothing).collect()} == {-1.0}
+
+
+def test_curves_have_no_interpreted_lambda(spark):
+    truth = spark.createDataFrame([(1, 0, 1, 0.0, 0.0, 10.0, 10.0, 100.0)], "image_id long, class_id long, gt_id long, x double, y double, w double, h double, area double")
+    found = spark.createDataFrame([(1, 0, 1, 0.0, 0.0, 10.0, 10.0, 0.5)], "image_id long, class_id long, det_id long, x double, y double, w double, h double, score double")
+    per_class = evaluate.evaluate(truth, found).per_class
+    assert "lambda" not in per_class._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.area, r.ap) for r in per_class.collect()} == {(0, 1.0), (1, 1.0)}
