@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -75,3 +76,13 @@ def test_source_split_stats_counts_repeated_ids(spark, tmp_path):
     parts.write.parquet(str(tmp_path / "part.parquet"))
     found = catalog.QUERIES["source_split_stats"](spark, str(tmp_path)).collect()
     assert {r.source_split: (r.annotations, r.duplicate_annotation_ids) for r in found} == {"train2017": (3, 1), "val2017": (3, 2)}
+
+
+def test_both_smoke_picks_read_the_candidates_once_written(spark, monkeypatch):
+    rows = [(f"r{i}", "t", i, ("train", "val")[i % 2], 1 + i, ["a"]) for i in range(8)]
+    columns = "internal_record_id string, source_split string, image_id long, split string, valid_object_count long, category_names array<string>"
+    seen = []
+    monkeypatch.setattr(catalog.splits, "diverse_sample", lambda found, k: seen.append((found, k)) or found)
+    picked = catalog._smoke_selection(SimpleNamespace(manifest=spark.createDataFrame(rows, columns)))
+    assert [k for _, k in seen] == [32, 16] and len({tuple(found.inputFiles()) for found, _ in seen}) == 1 and seen[0][0].inputFiles()
+    assert sorted(r.image_id for r in picked.collect()) == list(range(8))
