@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -21,31 +22,78 @@ RATE_OUTPUT = (
 #: Frames of one source and batch that are sorted in memory; more go to the state store in sorted runs of blocks.
 HELD_ROWS = 50_000
 BLOCK_ROWS = 2_000
-_FRAME = {"event_id": "bigint", "detection_count": "int", "inference_ms": "double", "us": "bigint"}
-_ORDER = ["us", "event_id"]
+_FRAME = {"source": "bigint", "event_id": "bigint", "detection_count": "int", "inference_ms": "double", "us": "bigint"}
+_ORDER = ["source", "us", "event_id"]
+#: Sources are kept in this many groups unless the caller, who may know how many there are, names another number.
+GROUPS = 1024
+#: Sources that a group had better hold: enough to share the cost of a call, few enough to read and write at once.
+GROUP_SOURCES = 256
+_SOURCE = {"source": "bigint", "last_us": "bigint", "nth": "bigint", "held": "bigint"}
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def paced(frames: pd.DataFrame, last: int | None, nth: int, rates: list[float]) -> tuple[pd.DataFrame, int, int, list[float]]:
-    """Rates of frames in time order that follow a source's ``nth`` frames: ``(rows, last, nth, rates)``."""
-    gaps = frames["us"].diff()
-    if last is not None:
-        gaps.iloc[0] = frames["us"].iloc[0] - last
-    rate = (1e6 / gaps.where(gaps > 0)).where(gaps > 0, 0.0)
-    rate[gaps.isna()] = float("nan")
-    history = pd.concat([pd.Series(rates, dtype="float64"), rate], ignore_index=True)
-    moving = history.rolling(MOVING_WINDOW, min_periods=1).mean().iloc[len(rates) :].reset_index(drop=True)
-    out = frames.drop(columns="us").assign(
-        frame_index=nth + frames.index, instantaneous_fps=rate.fillna(0.0), moving_average_fps=moving.fillna(0.0)
-    )
-    return out, int(frames["us"].iloc[-1]), nth + len(frames), history.dropna().tail(MOVING_WINDOW).tolist()
+class Sources:
+    """What is known of the sources of a group, in order of their ids: the last frame's time, the number of frames and
+    the last ``MOVING_WINDOW`` rates (``held`` of them, at the end of a row of ``rates``)."""
+
+    def __init__(self, columns: tuple | None) -> None:
+        columns = columns or ([],) * (len(_SOURCE) + 1)
+        self.columns = {c: np.array(v, np.int64) for c, v in zip(_SOURCE, columns, strict=False)}
+        self.rates = np.array(columns[-1], np.float64).reshape(-1, MOVING_WINDOW)
+
+    def stored(self) -> tuple:
+        return *(v.tolist() for v in self.columns.values()), self.rates.ravel().tolist()
+
+    def keep(self, kept: np.ndarray) -> None:
+        self.columns, self.rates = {c: v[kept] for c, v in self.columns.items()}, self.rates[kept]
+
+    def _rows_of(self, ids: np.ndarray) -> np.ndarray:
+        """The rows of the sources ``ids`` (ascending); new ones get a row first."""
+        new = np.setdiff1d(ids, self.columns["source"], assume_unique=True)
+        if len(new):
+            added = {c: np.concatenate([v, new if c == "source" else np.zeros(len(new), np.int64)]) for c, v in self.columns.items()}
+            order = np.argsort(added["source"])
+            self.columns = {c: v[order] for c, v in added.items()}
+            self.rates = np.concatenate([self.rates, np.zeros((len(new), MOVING_WINDOW))])[order]
+        return np.searchsorted(self.columns["source"], ids)
+
+    def paced(self, frames: pd.DataFrame) -> pd.DataFrame:
+        """Rates of frames, ordered by source and time, that follow those seen before."""
+        source, us = frames["source"].to_numpy(), frames["us"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], source[1:] != source[:-1]]))
+        counts = np.diff(np.append(starts, len(source)))
+        at = self._rows_of(source[starts])
+        nth, held = self.columns["nth"][at], self.columns["held"][at]
+        gaps = np.diff(us, prepend=us[0])
+        gaps[starts] = us[starts] - self.columns["last_us"][at]
+        rate = np.divide(1e6, gaps, out=np.zeros(len(gaps)), where=gaps > 0)
+        counted = np.ones(len(rate))
+        rate[starts[nth == 0]] = counted[starts[nth == 0]] = 0  # a source's first frame has no rate
+        # The rates of each source in one line, those from before in front; `slots` are the places of the new ones.
+        ends = np.cumsum(counts + MOVING_WINDOW)
+        slots = np.arange(len(source)) + np.repeat(np.arange(1, len(starts) + 1) * MOVING_WINDOW, counts)
+        line, valid = np.zeros((2, ends[-1]))
+        before = (ends - counts)[:, None] + np.arange(-MOVING_WINDOW, 0)
+        line[before], valid[before] = self.rates[at], np.arange(MOVING_WINDOW) >= MOVING_WINDOW - held[:, None]
+        line[slots], valid[slots] = rate, counted
+        windows = [np.lib.stride_tricks.sliding_window_view(x, MOVING_WINDOW)[slots - MOVING_WINDOW + 1].sum(axis=1) for x in (line, valid)]
+        after = ends[:, None] + np.arange(-MOVING_WINDOW, 0)
+        self.rates[at] = line[after]
+        self.columns["held"][at] = valid[after].sum(axis=1)
+        self.columns["nth"][at] = nth + counts
+        self.columns["last_us"][at] = us[starts + counts - 1]
+        return frames.drop(columns="us").assign(
+            frame_index=np.arange(len(source)) + np.repeat(nth - starts, counts),
+            instantaneous_fps=rate,
+            moving_average_fps=windows[0] / np.maximum(windows[1], 1),
+        )
 
 
 class MovingRate(StatefulProcessor):
-    """Status rows of one source; state is its last frame time, its count and at most 20 rates.
+    """Status rows of the sources of one group; state is each source's last frame time, its count and at most 20 rates.
 
-    A batch of more than ``HELD_ROWS`` frames of one source is sorted outside memory: sorted runs go to the state
-    store in blocks, and a merge keeps one block of each run.
+    A call costs far more than a row, so a group's sources share one. A batch of more than ``HELD_ROWS`` frames of one
+    group is sorted outside memory: sorted runs go to the state store in blocks, and a merge keeps one block of each run.
     """
 
     def __init__(self, idle_ms: int | None) -> None:
@@ -53,8 +101,7 @@ class MovingRate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", "last_us bigint, nth bigint")
-        self.rates = handle.getListState("rates", "rate double")
+        self.sources = handle.getValueState("sources", ", ".join(f"{n} array<{t}>" for n, t in (_SOURCE | {"rates": "double"}).items()))
         self.waiting = handle.getMapState("waiting", "run bigint, block bigint", ", ".join(f"{n} array<{t}>" for n, t in _FRAME.items()))
 
     def _wait(self, run: int, frames: pd.DataFrame) -> int:
@@ -80,7 +127,11 @@ class MovingRate(StatefulProcessor):
             limit = min(tuple(x[_ORDER].iloc[-1]) for x in current.values())
             ready = []
             for run, rows in list(current.items()):
-                upto = int(((rows["us"] < limit[0]) | ((rows["us"] == limit[0]) & (rows["event_id"] <= limit[1]))).sum())
+                same, upto = pd.Series(True, rows.index), pd.Series(False, rows.index)
+                for column, value in zip(_ORDER, limit, strict=True):
+                    upto |= same & (rows[column] < value)
+                    same &= rows[column] == value
+                upto = int((upto | same).sum())
                 ready.append(rows.iloc[:upto])
                 if upto == len(rows):
                     del current[run]
@@ -103,37 +154,47 @@ class MovingRate(StatefulProcessor):
         elif size:
             yield pd.concat(held).sort_values(_ORDER, ignore_index=True)
 
+    def _store(self, sources: Sources) -> None:
+        """Keep what is known; a timer stands for each time at which a source expires."""
+        self.sources.update(sources.stored())
+        if self.idle_ms is not None:
+            wanted, there = set((sources.columns["last_us"] // 1000 + self.idle_ms).tolist()), set(self.handle.listTimers())
+            for timer in there - wanted:
+                self.handle.deleteTimer(timer)
+            for timer in wanted - there:
+                self.handle.registerTimer(timer)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last, nth = self.head.get() if self.head.exists() else (None, 0)
-        rates = [r[0] for r in self.rates.get()] if self.rates.exists() else []
+        sources = Sources(self.sources.get())
         for frames in self._in_order(rows):
-            out, last, nth, rates = paced(frames, last, nth, rates)
-            out.insert(0, "source_id", key[0])
+            out = sources.paced(frames)
+            # Null sources have a group, and thus a place in the state, of their own.
+            out["source_id"] = out["source"] if key[0] >= 0 else pd.array([None] * len(out), "Int64")
             yield out[["source_id", "event_id", "frame_index", "detection_count", "inference_ms", "instantaneous_fps", "moving_average_fps"]]
-        if last is None:
-            return
-        self.head.update((last, nth))
-        self.rates.put([(r,) for r in rates]) if rates else self.rates.clear()
-        if self.idle_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last // 1000 + self.idle_ms)
+        if len(sources.rates):
+            self._store(sources)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.head.clear()
-        self.rates.clear()
+        sources = Sources(self.sources.get())
+        sources.keep(sources.columns["last_us"] // 1000 + self.idle_ms > expiredTimerInfo.getExpiryTimeInMs())
+        if len(sources.rates):
+            self.sources.update(sources.stored())
+        else:
+            self.sources.clear()
         yield from ()
 
     def close(self) -> None:
         pass
 
 
-def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None, watermark: str = "10 minutes") -> DataFrame:
+def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None, watermark: str = "10 minutes", groups: int = GROUPS) -> DataFrame:
     """Status row per frame with instantaneous and moving rate, state kept per source.
 
     Frames of a batch are taken in time order, whatever order they come in; batches have to follow one another in
     time (``land_in_order``).  ``idle_ms`` forgets a source once the event time has passed its last frame by that much
     (a timer at the watermark, so it works the same in every run; frames behind the watermark are then left out).
+    Sources are dealt into ``groups`` by their hash, whose state is read and written at once: a stream of very many
+    sources wants about one group for each ``GROUP_SOURCES`` of them; the rows are the same with any number.
     Null sources are a source of their own; the state store is RocksDB, which this sets for the session.
     """
     frames.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
@@ -141,8 +202,15 @@ def stream_moving_fps(frames: DataFrame, idle_ms: int | None = None, watermark:
     if idle_ms is not None:
         timed = timed.withWatermark("event_time", watermark)
     timed = timed.withColumn("us", F.unix_micros(F.col("event_time")))
-    kept = ["source_id", *_FRAME, *(["event_time"] if idle_ms is not None else [])]
-    return timed.select(*kept).groupBy("source_id").transformWithStateInPandas(
+    # Nulls would turn a batch's ids to doubles.
+    timed = timed.withColumns(
+        {
+            "source": F.coalesce(F.col("source_id").cast("bigint"), F.lit(0).cast("bigint")),
+            "source_group": F.when(F.col("source_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("source_id"), F.lit(groups))),
+        }
+    )
+    kept = ["source_group", *_FRAME, *(["event_time"] if idle_ms is not None else [])]
+    return timed.select(*kept).groupBy("source_group").transformWithStateInPandas(
         MovingRate(idle_ms), RATE_OUTPUT, "append", "none" if idle_ms is None else "eventTime"
     )
 

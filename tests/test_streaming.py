@@ -132,3 +132,29 @@ def test_windows_close_and_late_rows_are_counted(spark, tmp_path):
     assert dropped == 100 and got.agg(F.sum("frames")).first()[0] == 1900
     want = streams.window_rate(rows.filter(~late))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sources_share_a_call(spark, tmp_path, monkeypatch):
+    """Many sources in few groups: the rows are those of the batch twin, and a batch calls once a group, not once a source."""
+    calls = spark.sparkContext.accumulator(0)
+    handled = streams.MovingRate.handleInputRows
+
+    def counted(self, key, rows, timers):
+        calls.add(1)
+        yield from handled(self, key, rows, timers)
+
+    monkeypatch.setattr(streams.MovingRate, "handleInputRows", counted)
+    rows = spark.range(1200).select(
+        F.when(F.col("id") % 300 != 7, F.col("id") * 7 % 300 + 2**60).alias("source_id"), F.col("id").alias("event_id"),
+        F.timestamp_micros(F.col("id") * F.col("id") * 1000).alias("frame_ts"),
+        F.lit(1).alias("detection_count"), F.lit(1.0).alias("inference_ms"),
+    )
+    assert streams.land_in_order(rows, ["frame_ts", "event_id"], str(tmp_path / "in"), 3) == 3
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    columns = ["source_id", "event_id", "frame_index", F.round("instantaneous_fps", 8), F.round("moving_average_fps", 8)]
+    want = [tuple(r) for r in runs.frame_fps(rows).select(*columns).collect()]
+    streams.run_to_table(streams.stream_moving_fps(stream, groups=5), str(tmp_path / "out"), str(tmp_path / "cp"))
+    found = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(*columns).collect()]
+    by_id = lambda all_rows: sorted(all_rows, key=lambda r: r[1])
+    assert by_id(found) == by_id(want) and len({r[0] for r in found}) == 300
+    assert 0 < calls.value <= 3 * (5 + 1)
