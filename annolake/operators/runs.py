@@ -220,9 +220,20 @@ def sample_summary(images: DataFrame, detections: DataFrame, result: str, timing
 
     An image without detections has none of the statistics; one without a timing a null time.
     """
-    stats = confidence_stats(images, detections, result)
-    counts = detection_class_counts(detections, result)
-    found = images.join(stats, result).join(counts, result, "left")
+    # One pass over the detections: counts per class carry the statistics of their image.
+    per_class = detections.groupBy(result, F.col("class_name").alias("_name")).agg(
+        F.count("*").alias("_n"), F.min("confidence").alias("_min"), F.max("confidence").alias("_max"),
+        F.sum("confidence").alias("_sum"), F.count("confidence").alias("_known"),
+    )
+    per_image = per_class.groupBy(result).agg(
+        F.sum("_n").alias("detection_count"),
+        F.min("_min").alias("min"),
+        F.max("_max").alias("max"),
+        F.try_divide(F.sum("_sum"), F.sum("_known")).alias("mean"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("_name", "_n")))).alias("class_counts"),
+    )
+    stats = images.select(result).join(per_image, result, "left").fillna(0, ["detection_count"])
+    found = images.join(stats, result)
     return found if timings is None else found.join(timings.select(result, "inference_time_ms"), result, "left")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annolake.operators import annotate, joins, profile, quality, runs
+from annolake.operators import annotate, evaluate, joins, profile, quality, runs
 from annolake.sources import writers
 from annolake.streaming import frames as streams
 
@@ -135,3 +135,22 @@ def test_subset_totals_name_the_classes(spark):
     assert got == [
         ("None", 1, 2, 1, ["7"]), ("None", 4, 5, 3, ["person", "dog", "7"]), ("train", 2, 3, 2, ["person", "dog"]), ("val", 1, 0, 0, []),
     ]
+
+
+def test_sample_summary_is_one_compiled_pass(spark):
+    """The image id of a prediction is worked out once per row, and the detections are read once."""
+    images = spark.range(6).select(F.col("id").alias("image_id"), F.lit(640).alias("width"))
+    mapping = spark.range(3).select(F.col("id").alias("class_id"), (F.col("id") + 1).alias("category_id"), F.concat(F.lit("c"), "id").alias("name"))
+    spelt = ["1", "train2017_000000000001", "val2017_000000000002", "train2017_3", "x1", "", None, "000003", "9" * 30, "4\n"]
+    rows = [(i, text, i % 2, 1.0, 1.0, 2.0, 2.0, 0.1 * i) for i, text in enumerate(spelt)]
+    predictions = spark.createDataFrame(rows, "det_id long, image_id string, class_id int, x double, y double, w double, h double, score double")
+    found = evaluate.convert_predictions(predictions, images, mapping)
+    assert {r.det_id: r.image_id for r in found.collect()} == dict(enumerate([1, 1, 2, None, None, None, None, 3, None, 4]))
+    detections = evaluate.converted(found).withColumnRenamed("score", "confidence").join(mapping.select("class_id", F.col("name").alias("class_name")), "class_id")
+    sample = detections.join(images.filter("image_id > 1 and width > 0").select("image_id"), "image_id", "left_semi")
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1 and "RLIKE" not in plan
+    summary = runs.sample_summary(images, detections, "image_id")
+    assert summary._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+    got = {r.image_id: (r.detection_count, r.min, r.max, r.mean, r.class_counts) for r in summary.collect()}
+    assert got[1] == (2, 0.0, 0.1, 0.05, {"c0": 1, "c1": 1}) and got[0] == (0, None, None, None, None) and len(got) == 6
