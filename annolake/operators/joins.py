@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from annolake.constants import ACCEPTED, ROBUSTNESS_CASES
 from annolake.functions import boxes, names
 from annolake.operators.annotate import join_category_lookup
-from annolake.operators.ordered import with_rank
+from annolake.operators.ordered import with_usual_rank
+from annolake.session import stage
 
 
 def missing(references: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:
@@ -130,8 +131,8 @@ def label_lines_from(classified: DataFrame) -> DataFrame:
         F.col("yolo.h").alias("h"),
     )
     # Copies of an id are ordered by their values, so ties are equal rows.
-    order = ["annotation_id", "class_id", "xc", "yc", "w", "h"]
-    return with_rank(kept, ["source_split", "image_id"], order, "pos")
+    keys, order = ["source_split", "image_id"], ["annotation_id", "class_id", "xc", "yc", "w", "h"]
+    return with_usual_rank(stage(kept, "label-boxes"), keys, order, "pos")
 
 
 def label_text(row: DataFrame, digits: int = 8) -> DataFrame:

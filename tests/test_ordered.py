@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from annolake.operators import ordered, splits
+from annolake.operators import joins, ordered, splits
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +90,17 @@ def test_identity_digest_of_a_short_group_beside_a_long_one(spark):
     alone = splits.identity_digest(frame.filter("split = 'long'"), "split", "key", chunk=4).first()
     leaf = hashlib.sha256(b"a\nb\n").hexdigest()
     assert got == {"short": hashlib.sha256(f"{leaf}\n".encode()).hexdigest(), "long": alone.sha256}
+
+
+def test_label_lines_of_usual_images_need_no_checkpoint(spark, monkeypatch):
+    boxes = [(s, i, a, 0.5) for s, i, n in (("a", 1, 9), ("a", None, 3), (None, 2, 4), ("b", 3, 1)) for a in range(n)]
+    rows = spark.createDataFrame([(*b, "accepted" if b[2] != 5 else "rejected") for b in boxes], "source_split string, image_id long, annotation_id long, v double, status string")
+    yolo = F.struct(*[F.col("v").alias(c) for c in ("xc", "yc", "w", "h")])
+    classified = rows.select("*", F.lit(0).cast("long").alias("class_id"), yolo.alias("yolo")).repartition(3)
+    made, cut = [], ordered.cut_lineage
+    monkeypatch.setattr(ordered, "cut_lineage", lambda df: made.append(1) or cut(df))
+    want = sorted((str(s), str(i), a, a + 1 - (a > 5)) for s, i, a, _ in boxes if a != 5)
+    read = lambda df: sorted((str(r.source_split), str(r.image_id), r.annotation_id, r.pos) for r in df.collect())
+    assert read(joins.label_lines_from(classified)) == want and not made
+    kept = rows.filter("status = 'accepted'").select("source_split", "image_id", "annotation_id")
+    assert read(ordered.with_usual_rank(kept, ["source_split", "image_id"], ["annotation_id"], "pos", most=3)) == want and made
