@@ -59,7 +59,8 @@ class Sources:
 
     def paced(self, frames: pd.DataFrame) -> pd.DataFrame:
         """Rates of frames, ordered by source and time, that follow those seen before."""
-        source, us = frames["source"].to_numpy(), frames["us"].to_numpy()
+        # A frame without a time is an error here.
+        source, us = frames["source"].to_numpy(), frames["us"].astype("int64").to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], source[1:] != source[:-1]]))
         counts = np.diff(np.append(starts, len(source)))
         at = self._rows_of(source[starts])

@@ -1,5 +1,7 @@
 """Streams over several micro-batches against their batch twins."""
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from annolake.operators import runs
@@ -158,3 +160,9 @@ def test_sources_share_a_call(spark, tmp_path, monkeypatch):
     by_id = lambda all_rows: sorted(all_rows, key=lambda r: r[1])
     assert by_id(found) == by_id(want) and len({r[0] for r in found}) == 300
     assert 0 < calls.value <= 3 * (5 + 1)
+
+
+def test_a_frame_without_a_time_is_an_error():
+    one = pd.DataFrame({"source": [1, 1], "event_id": [1, 2], "detection_count": [0, 0], "inference_ms": [1.0, 1.0], "us": [5.0, float("nan")]})
+    with pytest.raises(ValueError, match="NA|NaN|inf"):
+        streams.Sources(None).paced(one)
