@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annolake import schemas
 from annolake.session import stage
+from annolake.sources.archives import archived_lines
 from annolake.sources.documents import carried_on, json_elements, section_rows
 
 
@@ -114,20 +115,25 @@ def _path_below(found: Column, roots: str | Sequence[str]) -> Column:
     return found
 
 
-def read_labels(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Label files to ``label_file, line_no, line``, files named by their path below ``path``.
+def read_labels(spark: SparkSession, path: str | Sequence[str], archived: bool = False) -> DataFrame:
+    """Label files to ``label_file, line_no, line``, files named by their path below ``path``, ``archived`` ones by
+    their name in the archives (of ``lines_to_archives``) that lie there.
 
     A file may be read in several byte ranges: lines are numbered within their range and the lines of the file's
     earlier ranges are added.  A blank line counts; an empty file has no lines.
     """
-    lines = spark.read.text(path, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-        F.col("value").alias("line"),
-    )
+    if archived:
+        lines, name = archived_lines(read_files(spark, path)), F.col("file")
+    else:
+        lines = spark.read.text(path, recursiveFileLookup=True).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("id"),
+            F.col("value").alias("line"),
+        )
+        name = _path_below(F.col("file"), path)
     numbered = carried_on(lines, {"before": F.lit(1).cast("long")})
-    return numbered.select(_path_below(F.col("file"), path).alias("label_file"), (F.col("before") + 1).alias("line_no"), "line")
+    return numbered.select(name.alias("label_file"), (F.col("before") + 1).alias("line_no"), "line")
 
 
 def read_predictions(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:

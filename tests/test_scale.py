@@ -86,3 +86,29 @@ def test_both_smoke_picks_read_the_candidates_once_written(spark, monkeypatch):
     picked = catalog._smoke_selection(SimpleNamespace(manifest=spark.createDataFrame(rows, columns)))
     assert [k for _, k in seen] == [32, 16] and len({tuple(found.inputFiles()) for found, _ in seen}) == 1 and seen[0][0].inputFiles()
     assert sorted(r.image_id for r in picked.collect()) == list(range(8))
+
+
+def test_label_files_lie_in_archives(spark, tmp_path):
+    """Files of any length, in far fewer archives than there are files, are read back with the lines' numbers."""
+    want = {(f"d/{n}", i + 1, f"{n} {i}" if i % 5 else "") for n in range(60) for i in range(3 + 400 * (n == 7))}
+    rows = [(f, i, line or None) for f, i, line in want]
+    lines = spark.createDataFrame(rows, "file string, n long, line string").repartition(2, "file").sortWithinPartitions("file", "n")
+    path = str(tmp_path / "labels")
+    writers.write_text_files(archives.lines_to_archives(lines, 1000), path, 1)
+    found = readers.read_labels(spark, path, archived=True).collect()
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+    assert len(list((tmp_path / "labels").glob("part-*"))) < 40
+
+
+def test_scan_label_lines_makes_no_file_for_each_name(spark, tmp_path, monkeypatch):
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate date, l_returnflag string"
+    made = spark.range(400).selectExpr(
+        "id * 1000 as l_orderkey", "1 as l_linenumber", "id as l_partkey", "id as l_suppkey", "1.0D as l_extendedprice",
+        "date'2000-01-01' as l_shipdate", "'N' as l_returnflag",
+    )
+    spark.createDataFrame(made.rdd, schema, verifySchema=False).write.parquet(str(tmp_path / "lineitem.parquet"))
+    path = str(tmp_path / "staged")
+    monkeypatch.setattr(catalog, "staging_path", lambda *_: path)
+    found = catalog.QUERIES["scan_label_lines"](spark, str(tmp_path)).collect()
+    assert len({r.label_file for r in found}) == len(found) == 400 and {r.line_no for r in found} == {1}
+    assert len([p for p in (tmp_path / "staged").rglob("*") if p.suffix == ".txt"]) < 40
