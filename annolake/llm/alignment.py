@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.tokenbin import load_tokenizer
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import coded, different, gathered, give_back, in_one_text, loosened, run_sums, squeezed
+from annolake.llm.wordcodes import coded, different, gathered, give_back, in_one_text, loosened, one_text, run_sums, squeezed
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
@@ -103,8 +103,8 @@ class UnitEncoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.side.table[i] for i in ids])
 
-    def _as_one(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        text = "".join(units)
+    def _as_one(self, units: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        text = one_text(units, "")
         found = self.side.lists([text])[0]
         if self._bytes(found) != text.encode("utf-8", "surrogatepass"):
             return None

@@ -25,7 +25,7 @@ from annolake.llm.common import stage, table, text_or_empty
 from annolake.llm.substring import split_words
 from annolake.llm.tokenbin import load_tokenizer
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import Memory, coded, gathered, in_one_text, run_sums
+from annolake.llm.wordcodes import Memory, coded, gathered, in_one_text, one_text, run_sums
 from annolake.operators.ordered import with_rank
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,8 +62,8 @@ class WordEncoder:
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
 
-    def _as_one(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+    def _as_one(self, words: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        ids = np.array(self.tokenizer.encode_batch_fast([one_text(words, " ")], add_special_tokens=False)[0].ids, np.uint32)
         reached, ends = np.cumsum(self.sizes[ids]), np.cumsum(sizes)
         last = np.searchsorted(reached, ends)
         if not len(reached) or reached[-1] != ends[-1] or (reached[last] != ends).any():
@@ -73,11 +73,10 @@ class WordEncoder:
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat ids, begin, count)`` of every word."""
         special = pc.match_substring(words, "<|")  # special tokens are found before anything is normalised
-        listed = words.to_pylist()
-        foreign = pc.invert(pc.or_(special, pc.string_is_ascii(words))).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(foreign).tolist():
-            listed[i] = unicodedata.normalize("NFC", listed[i])
-        words = pa.array(listed, pa.string())
+        foreign = pc.invert(pc.or_(special, pc.string_is_ascii(words)))
+        composed = [unicodedata.normalize("NFC", word) for word in words.filter(foreign).to_pylist()]
+        if composed:
+            words = pc.replace_with_mask(words, foreign, pa.array(composed, words.type))
         shaped = pc.not_equal(pc.binary_length(pc.utf8_lower(words)), pc.binary_length(words))
         odd = pc.or_(pc.or_(special, shaped), pc.match_substring_regex(words, _INNER_SPACE))
         return in_one_text(words, odd.to_numpy(zero_copy_only=False), self._as_one, self._each)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from annolake.llm.common import table, text_key, text_or_empty
 from annolake.llm.windows import page_slices
-from annolake.llm.wordcodes import gathered, give_back, in_one_text
+from annolake.llm.wordcodes import gathered, give_back, in_one_text, one_text
 from annolake.session import staging_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -188,9 +188,9 @@ class _Encoder:
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
 
-    def _as_one(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    def _as_one(self, words: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Words that each follow a blank, as one text; the bytes that ids stand for tell where a word ends."""
-        text = " " + " ".join(words)
+        text = " " + one_text(words, " ")
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         reached, ends = np.cumsum(self.sizes[ids]), np.cumsum(sizes + 1)
         last = np.searchsorted(reached, ends)

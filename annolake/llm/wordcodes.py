@@ -52,15 +52,20 @@ def coded(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def joined_slices(words: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[str], np.ndarray]]:
+def one_text(words: pa.Array, between: str) -> str:
+    """All words, ``between`` standing between any two; no Python string is made for a word."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), between)[0].as_py()
+
+
+def joined_slices(words: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """``(first word, words, bytes of each)`` of runs of words that are short enough to be encoded as one text."""
     sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     for start, stop in page_slices(words, limit):
-        yield start, words.slice(start, stop - start).to_pylist(), sizes[start:stop]
+        yield start, words.slice(start, stop - start), sizes[start:stop]
 
 
 def in_one_text(
-    words: pa.Array, odd: np.ndarray, as_one: Callable[[list[str], np.ndarray], tuple | None], each: Callable[[list[str]], tuple]
+    words: pa.Array, odd: np.ndarray, as_one: Callable[[pa.Array, np.ndarray], tuple | None], each: Callable[[list[str]], tuple]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(flat ids, begin, count)`` of every word.
 
@@ -72,7 +77,7 @@ def in_one_text(
     plain, strange = np.flatnonzero(~odd), np.flatnonzero(odd)
     for where, known in ((plain, True), (strange, False)):
         for start, some, sizes in joined_slices(words.take(pa.array(where))):
-            ids, found = (as_one(some, sizes) if known else None) or each(some)
+            ids, found = (as_one(some, sizes) if known else None) or each(some.to_pylist())
             at = where[start : start + len(some)]
             counts[at] = found
             begins[at] = base + np.cumsum(found) - found
@@ -96,7 +101,8 @@ class Memory:
         """``(flat ids, begin, count)`` of every word; words are different."""
         if len(self.slots) > MEMORY_WORDS:
             self.forget()
-        slot = np.fromiter((self.slots.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+        listed = words.to_pylist()
+        slot = np.fromiter((self.slots.get(w, -1) for w in listed), np.int64, len(words))
         new = np.flatnonzero(slot < 0)
         some = words.take(pa.array(new))
         flat, begins, counts = self.encode(some)
@@ -109,7 +115,7 @@ class Memory:
         every_begin[new], every_count[new] = before + begins, counts
         short = np.flatnonzero(pc.less_equal(pc.binary_length(some), MEMORY_BYTES).to_numpy(zero_copy_only=False))
         at = len(self.counts)
-        self.slots.update(zip(some.take(pa.array(short)).to_pylist(), range(at, at + len(short)), strict=True))
+        self.slots.update(zip((listed[i] for i in new[short].tolist()), range(at, at + len(short)), strict=True))
         self.flat = np.concatenate([self.flat, flat[gathered(begins[short], counts[short])]])
         self.counts = np.concatenate([self.counts, counts[short]])
         return ids, every_begin, every_count
