@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,21 +13,48 @@ from annolake.session import staging_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Folders that tables were staged in, for each call of ``settled`` that is under way.
+_ASIDE: list[list[str]] = []
+
+
 def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cut lineage that survives lost executors."""
     path = staging_path(df.sparkSession, name)
+    if _ASIDE:
+        _ASIDE[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def release(staged: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more, so that loops do not fill the shared folder."""
-    jvm, conf = staged.sparkSession._jvm, staged.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+def _delete(spark: SparkSession, folders: set[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(staged: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more, so that loops do not fill the shared folder."""
+    _delete(staged.sparkSession, {name.rsplit("/", 1)[0] for name in staged.inputFiles()})
+
+
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The staged table that ``build`` makes; what was staged to make it is deleted, and its shuffles may go."""
+    _ASIDE.append([])
+    try:
+        made = build()
+        path = staging_path(spark, name)
+        made.write.option("compression", "zstd").parquet(path)
+    finally:
+        folders = _ASIDE.pop()
+        _delete(spark, set(folders))
+    if _ASIDE:
+        _ASIDE[-1].append(path)
+    del made
+    spark._jvm.System.gc()  # Spark deletes the files of a shuffle when the driver has forgotten it
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

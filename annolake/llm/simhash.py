@@ -279,8 +279,14 @@ SIMILARITY = 0.8
 COUNTERS = 1 << 18
 #: Members that one task compares with a set.
 MEMBERS = 20_000
+#: Keys of a set that rounds look at; the pairs left after them come from all keys.
+ROUND_KEYS = 16
+#: Most words of 64 bits in a set's sketch.
+SKETCH_WORDS = 256
 #: Most rounds of comparisons by shared shingles, in each a set with one other, before all pairs left are compared.
 ROUNDS = 8
+#: Rounds end with one that links fewer of its pairs than this part: groups of near copies are joined then.
+MEAGRE = 0.05
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
@@ -328,21 +334,24 @@ def _count_batches(shingle: int) -> Callable:
 
 
 def _prefix_batches(counts: np.ndarray, shingle: int, similarity: float) -> Callable:
-    """``key, node, size``: the rarest shingles of each set, as many as sets that alike cannot all differ in."""
+    """``key, node, size, early``: the rarest shingles of each set, as many as sets that alike cannot all differ in;
+    ``early`` are the ``ROUND_KEYS`` smallest of them (shingles are hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, early = [], [], []
             for text in batch.column("text"):
                 held = shingle_set(text.as_py(), shingle)
                 rarest = np.lexsort((held, counts[held % np.uint64(COUNTERS)]))
                 keys.append(held[rarest[: 0 if not len(held) else len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1]])
                 sizes.append(len(held))
+                early.append(np.argsort(np.argsort(keys[-1])) < ROUND_KEYS)
             lengths = [len(k) for k in keys]
             nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), lengths)
             values = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             sizes = np.repeat(np.array(sizes, np.int32), lengths)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(nodes), pa.array(sizes)], ["key", "node", "size"])
+            soon = pa.array(np.concatenate(early) if early else np.zeros(0, bool))
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(nodes), pa.array(sizes), soon], ["key", "node", "size", "early"])
 
     return run
 
@@ -400,8 +409,40 @@ def fingerprint_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return alike.union(linked).filter("a <> b").distinct()
 
 
+def _band_width(similarity: float) -> float:
+    # A little wider than the sizes of sets alike enough, so that rounding parts none.
+    return float(max(-np.log(similarity), 1e-3) * (1 + 1e-6))
+
+
+def parity_sketch(held: np.ndarray, words: int) -> np.ndarray:
+    """``64 * words`` bits, each the parity of the number of ``held`` that hash to it.  A shingle that only one of two
+    sets holds turns one bit, so their sketches differ in no more bits than the sets in shingles."""
+    bits = np.bincount((held % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _sketch_batches(shingle: int, similarity: float) -> Callable:
+    """``node, band, sketch`` for the bands of each asked set (``node, text, bands``); wider bands have longer sketches."""
+    width = _band_width(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, bands, sketches = [], [], []
+            for node, text, of in zip(*(batch.column(c).to_pylist() for c in ("node", "text", "bands")), strict=True):
+                held = shingle_set(text, shingle)
+                for band in of:
+                    words = int(min(SKETCH_WORDS, np.ceil(2 * np.exp(width * (band + 1)) / 64)))
+                    nodes.append(node)
+                    bands.append(band)
+                    sketches.append(parity_sketch(held, max(words, 1)))
+            arrays = [pa.array(nodes, pa.int64()), pa.array(bands, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "band", "sketch"])
+
+    return run
+
+
 def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``key, band, node, size``: the rarest shingles of each set as far as sets of like size hold them too.
+    """``key, band, node, size, early``: the rarest shingles of each set as far as sets of like size hold them too.
 
     Ordered from rare to frequent, of two sets alike enough one shares a shingle of its first ``size - ceil(similarity *
     size) + 1`` with those of the other; their sizes then lie in one band, each set being in two of them.
@@ -410,13 +451,11 @@ def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFr
     counts = np.zeros(COUNTERS, np.int64)
     for row in counted.toLocalIterator():
         counts[row["counter"]] = row["n"]
-    keyed = texts.select("node", "text").mapInArrow(_prefix_batches(counts, shingle, similarity), "key long, node long, size int")
+    keyed = texts.select("node", "text").mapInArrow(_prefix_batches(counts, shingle, similarity), "key long, node long, size int, early boolean")
     keyed = stage(keyed.distinct(), "prefixes")
     many = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    # A little wider than the sizes of sets alike enough, so that rounding parts none.
-    width = max(-np.log(similarity), 1e-3) * (1 + 1e-6)
-    band = F.floor(F.log("size") / F.lit(float(width)))
-    banded = keyed.join(many, "key").select("key", F.explode(F.array(band, band + 1)).alias("band"), "node", "size")
+    band = F.floor(F.log("size") / F.lit(_band_width(similarity)))
+    banded = keyed.join(many, "key").select("key", F.explode(F.array(band, band + 1)).alias("band"), "node", "size", "early")
     shared = stage(banded, "shared-prefixes")
     release(keyed)
     return shared
@@ -433,14 +472,25 @@ def _next_pairs(active: DataFrame, tested: DataFrame, similarity: float) -> Data
     return best.select(F.col("best.lead").alias("a"), F.col("node").alias("b"), "best.low", "best.high").dropDuplicates(["low", "high"])
 
 
-def _rest_pairs(shared: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
-    """All distinct pairs ``(a, b)`` of sets in different components that share a (key, band), have near sizes and are not in ``tested``."""
+def _rest_pairs(shared: DataFrame, roots: DataFrame, tested: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """All distinct pairs ``(a, b)`` of sets in different components that share a (key, band), have near sizes and sketches
+    and are not in ``tested``.
+
+    Sets alike enough differ in at most ``(1 - similarity) / (1 + similarity)`` of their sizes' sum, and so do their
+    sketches: pairs that do not are left out before they are rows, and none of those alike enough is.
+    """
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key", "band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "band")
-    left = stage(rooted.join(mixed, ["key", "band"], "left_semi"), "rest")
-    right = left.select("key", "band", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "root")])
+    rest = stage(rooted.join(mixed, ["key", "band"], "left_semi").select("key", "band", "node", "size", "root"), "rest")
+    asked = stage(rest.groupBy("node").agg(F.collect_set("band").alias("bands")), "rest-nodes")  # two bands at most
+    wanted = texts.join(asked, "node").dropDuplicates(["node"]).select("node", "text", "bands")
+    sketches = stage(wanted.mapInArrow(_sketch_batches(shingle, similarity), "node long, band long, sketch array<long>"), "sketches")
+    left = rest.join(sketches, ["node", "band"])
+    right = left.select("key", "band", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "root", "sketch")])
     near = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
-    met = left.join(right, ["key", "band"]).filter((F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root")) & near)
+    apart = F.aggregate(F.zip_with("sketch", "other_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, bits: n + bits)
+    close = apart <= (1 - similarity) / (1 + similarity) * (F.col("size") + F.col("other_size")) + 1e-6
+    met = left.join(right, ["key", "band"]).filter((F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root")) & near & close)
     pairs = met.select(F.col("node").alias("low"), F.col("other_node").alias("high")).distinct().join(tested, ["low", "high"], "left_anti")
     return pairs.select(F.col("low").alias("a"), F.col("high").alias("b"))
 
@@ -451,15 +501,16 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
 
     Candidates come from the Golay keys of the fingerprints first, then from shared rare shingles in rounds: every
     (key, band) names two leads of different components, and each set is compared with the lead it shares most
-    keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
-    when nothing new meets, when two in a row link nothing, or after ``rounds``.  They only make components large:
-    after them every pair of different components that shares a key and was not compared is, so no link is lost.
+    of its smallest keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
+    when nothing new meets, when one links hardly any of its pairs, or after ``rounds``.  They only make components large:
+    after them every pair of different components that shares a key and was not compared is, unless its sketches show
+    that it differs in too many shingles, so no link is lost.
     """
     first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
     edges = stage(verified_pairs(first, texts, shingle, similarity), "copies")
-    prefixes, idle = shared_prefixes(texts, shingle, similarity), 0
-    shared, roots, active = prefixes, connected_components(edges), None
+    prefixes = shared_prefixes(texts, shingle, similarity)
+    shared, roots, active = prefixes.filter("early").drop("early"), connected_components(edges), None
     for seed in range(rounds):
         rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mark = F.struct(F.xxhash64(F.lit(seed), "root").alias("by_root"), F.xxhash64(F.lit(seed), "node").alias("by_node"), "node", "size", "root")
@@ -472,14 +523,14 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
         if pairs.isEmpty():
             break
         found = stage(verified_pairs(pairs.select("a", "b"), texts, shingle, similarity), "copies")
-        idle = idle + 1 if found.isEmpty() else 0
+        linked, met = found.count(), pairs.count()
         shared, tested = active.select("key", "band", "node", "size"), tested.union(pairs.select("low", "high"))
-        if idle == 2:
-            break
-        if not idle:
+        if linked:
             edges = edges.union(found)
             roots = connected_components(edges)
-    rest = stage(_rest_pairs(prefixes, roots, tested, similarity), "pairs")
+        if linked < MEAGRE * met:
+            break
+    rest = stage(_rest_pairs(prefixes, roots, tested, texts, shingle, similarity), "pairs")
     if not rest.isEmpty():
         edges = edges.union(stage(verified_pairs(rest, texts, shingle, similarity), "copies"))
         roots = connected_components(edges)
