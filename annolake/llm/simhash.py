@@ -285,8 +285,6 @@ ROUND_KEYS = 16
 SKETCH_WORDS = 256
 #: Most rounds of comparisons by shared shingles, in each a set with one other, before all pairs left are compared.
 ROUNDS = 8
-#: Rounds end with one that links fewer of its pairs than this part: groups of near copies are joined then.
-MEAGRE = 0.05
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
@@ -502,14 +500,14 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
     Candidates come from the Golay keys of the fingerprints first, then from shared rare shingles in rounds: every
     (key, band) names two leads of different components, and each set is compared with the lead it shares most
     of its smallest keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
-    when nothing new meets, when one links hardly any of its pairs, or after ``rounds``.  They only make components large:
+    when nothing new meets, when two in a row link nothing, or after ``rounds``.  They only make components large:
     after them every pair of different components that shares a key and was not compared is, unless its sketches show
     that it differs in too many shingles, so no link is lost.
     """
     first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
     edges = stage(verified_pairs(first, texts, shingle, similarity), "copies")
-    prefixes = shared_prefixes(texts, shingle, similarity)
+    prefixes, idle = shared_prefixes(texts, shingle, similarity), 0
     shared, roots, active = prefixes.filter("early").drop("early"), connected_components(edges), None
     for seed in range(rounds):
         rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -523,13 +521,13 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
         if pairs.isEmpty():
             break
         found = stage(verified_pairs(pairs.select("a", "b"), texts, shingle, similarity), "copies")
-        linked, met = found.count(), pairs.count()
+        idle = idle + 1 if found.isEmpty() else 0
         shared, tested = active.select("key", "band", "node", "size"), tested.union(pairs.select("low", "high"))
-        if linked:
+        if idle == 2:
+            break
+        if not idle:
             edges = edges.union(found)
             roots = connected_components(edges)
-        if linked < MEAGRE * met:
-            break
     rest = stage(_rest_pairs(prefixes, roots, tested, texts, shingle, similarity), "pairs")
     if not rest.isEmpty():
         edges = edges.union(stage(verified_pairs(rest, texts, shingle, similarity), "copies"))
