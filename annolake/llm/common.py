@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolake.session import staging_path
+from annolake.session import delete_folders, forget_shuffles, release, staging_path  # noqa: F401  (release for the others)
 
 #: White space that parts words everywhere in this subpackage: blank and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,18 +26,6 @@ def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _delete(spark: SparkSession, folders: set[str]) -> None:
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
-def release(staged: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more, so that loops do not fill the shared folder."""
-    _delete(staged.sparkSession, {name.rsplit("/", 1)[0] for name in staged.inputFiles()})
-
-
 def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The staged table that ``build`` makes; what was staged to make it is deleted, and its shuffles may go."""
     _ASIDE.append([])
@@ -47,11 +35,11 @@ def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
         made.write.option("compression", "zstd").parquet(path)
     finally:
         folders = _ASIDE.pop()
-        _delete(spark, set(folders))
+        delete_folders(spark, set(folders))
     if _ASIDE:
         _ASIDE[-1].append(path)
     del made
-    spark._jvm.System.gc()  # Spark deletes the files of a shuffle when the driver has forgotten it
+    forget_shuffles(spark)
     return spark.read.parquet(path)
 
 

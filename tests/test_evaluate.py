@@ -159,3 +159,21 @@ def test_curves_have_no_interpreted_lambda(spark):
     per_class = evaluate.evaluate(truth, found).per_class
     assert "lambda" not in per_class._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.area, r.ap) for r in per_class.collect()} == {(0, 1.0), (1, 1.0)}
+
+
+def test_cuts_are_staged_tables_and_curves_come_when_asked(spark, monkeypatch):
+    from annolake import session
+
+    truth = spark.createDataFrame([(i, i % 3, i, 0.0, 0.0, 10.0 + i, 10.0, 100.0 + 10 * i) for i in range(40)], "image_id long, class_id long, gt_id long, x double, y double, w double, h double, area double")
+    found = truth.select("image_id", "class_id", F.col("gt_id").alias("det_id"), "x", "y", (F.col("w") + F.col("gt_id") % 4).alias("w"), "h", (F.col("gt_id") / 50).alias("score"))
+    staged = []
+    for module in (session, evaluate):
+        put = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, put=put: staged.append(name) or put(df, name))
+    monkeypatch.setattr(type(truth), "checkpoint", lambda *_, **__: pytest.fail("a checkpoint"))
+    made = evaluate.evaluate(truth, found)
+    assert "cut" in staged and "average" not in staged
+    assert {r.class_id for r in made.per_class.collect()} == {0, 1, 2} and staged.count("average") == 4
+    odd = spark.createDataFrame([(1, None)], "a int, b void")
+    monkeypatch.undo()
+    assert session.cut_lineage(odd).collect() == odd.collect()
