@@ -9,13 +9,10 @@ at a time, and a commit step joins the part files of a document.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolake.operators.ordered import with_rank
-from annolake.session import stage
+from annolake.session import delete_folders, forget_shuffles, release, stage
 
 _RANGE = ["file", "block"]
 # Everything up to the first opening brace outside strings (possessive, so it never backtracks).
@@ -100,6 +97,7 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
         ),
         "chunks",
     )
+    forget_shuffles(spark)
     _closed(chunks, level)
 
     depths = carried_on(chunks, {"curly": F.col("opened") - F.col("closed"), "square": F.col("squares")})
@@ -111,6 +109,8 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
     # A group is what lies between two such ends; nearly always it is one chunk (a range's first one is not looked at).
     behind = F.lag("ends").over(Window.partitionBy(*_RANGE).orderBy("id"))
     grouped = stage(carried_on(marked.withColumn("behind", behind), {"group": F.col("ends").cast("long")}), "chunks")
+    release(chunks)
+    forget_shuffles(spark)
     alone = F.col("ends") & F.coalesce("behind", F.lit(False))
     whole = grouped.filter(alone).select(*_RANGE, "id", F.col("value").alias("text"), "curly", "element")
     pieces = F.transform(F.array_sort(F.collect_list(F.struct("block", "id", "value"))), lambda p: p["value"])
@@ -133,7 +133,10 @@ def json_elements(spark: SparkSession, path: str | list[str], level: int = 2) ->
     body = F.concat(F.lit("{"), F.substr("text", F.length("glue") + 1), F.lit("}"))
     apart = F.col("glue").rlike(r"^\s*,\s*\{$") | (F.col("named").isNotNull() if level > 1 else F.col("glue").rlike(r"^\s*\[\s*\{$"))
     checked = F.when(apart, body).otherwise(F.raise_error(F.concat(F.lit("broken JSON document: "), F.col("file"))))
-    return found.select("file", F.coalesce("named", "carried").alias("section"), checked.alias("element"))
+    elements = stage(found.select("file", F.coalesce("named", "carried").alias("section"), checked.alias("element")), "elements")
+    release(grouped)
+    forget_shuffles(spark)
+    return elements
 
 
 def section_rows(elements: DataFrame, section: str | None, schema: str, *keep: str) -> DataFrame:
@@ -142,81 +145,100 @@ def section_rows(elements: DataFrame, section: str | None, schema: str, *keep: s
     return some.select(*keep, F.from_json("element", schema, {"mode": "FAILFAST"}).alias("e")).select(*keep, "e.*")
 
 
-def document_lines(sections: dict[str, DataFrame], key: str) -> DataFrame:
-    """``key, place, line``: the lines of one JSON object per ``key``, with an array for each section.
+def write_json_documents(sections: dict[str, DataFrame], key: str, path: str, parts: int | None = None) -> None:
+    """One loadable JSON document per value of ``key``, ``path/<value>.json``, with an array for each section.
 
     ``sections`` have ``key`` and ``e``, a struct.  Entries are ordered by their fields; equal entries are
     all kept.  A section that a key has no entries of is an empty array.
-    """
-    keys = reduce(DataFrame.union, [rows.select(key) for rows in sections.values()]).distinct()
-    parts, closing = [], "{"
-    for number, (name, rows) in enumerate(sections.items()):
-        text = F.to_json("e", {"ignoreNullFields": "false"})
-        ranked = with_rank(rows.select(key, "e"), [key], ["e"], "nth")
-        entry = F.concat(F.when(F.col("nth") > 1, ",").otherwise(""), text)
-        parts.append(keys.select(key, F.struct(F.lit(number).alias("section"), F.lit(0).cast("long").alias("nth")).alias("place"), F.lit(f'{closing}"{name}": [').alias("line")))
-        parts.append(ranked.select(key, F.struct(F.lit(number).alias("section"), F.col("nth").cast("long").alias("nth")).alias("place"), entry.alias("line")))
-        closing = "],"
-    last = F.struct(F.lit(len(sections)).alias("section"), F.lit(0).cast("long").alias("nth"))
-    parts.append(keys.select(key, last.alias("place"), F.lit("]}").alias("line")))
-    return reduce(DataFrame.union, parts)
-
-
-def write_json_documents(sections: dict[str, DataFrame], key: str, path: str, parts: int | None = None) -> None:
-    """One loadable JSON document per value of ``key``: ``path/<value>.json``.
 
-    Lines are range-partitioned in order and written as Spark text files below ``path/_parts`` (so a failed task
-    writes its own file again); the commit joins the files of each document in order.  Repeating the
-    call after a failure starts anew; a finished document is never left half written, as it gets its name last.
+    Entries are range-partitioned in order and written as Spark text files below ``path/_parts`` (so a failed task
+    writes its own file again), each behind a comma; the commit joins the files of each document in order without a
+    section's first comma, so no entry has to know its number.  Repeating the call after a failure starts anew; a
+    finished document is never left half written, as it gets its name last.
     """
-    lines = document_lines(sections, key)
-    spark = lines.sparkSession
+    spark = next(iter(sections.values())).sparkSession
     count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = lines.repartitionByRange(count, key, "place").sortWithinPartitions(key, "place")
     below = f"{path.rstrip('/')}/_parts"
-    ordered.select(key, "line").write.mode("overwrite").partitionBy(key).text(below)
-    join_parts(spark, below, path)
+    delete_folders(spark, {below})
+    for number, rows in enumerate(sections.values()):
+        ordered = rows.select(key, "e").repartitionByRange(count, key, "e").sortWithinPartitions(key, "e")
+        entry = F.concat(F.lit(","), F.to_json("e", {"ignoreNullFields": "false"}))
+        ordered.select(key, entry.alias("line")).write.partitionBy(key).text(f"{below}/{number}")
+        forget_shuffles(spark)
+    join_parts(spark, below, path, list(sections))
 
 
-def join_parts(spark: SparkSession, parts: str, target: str) -> None:
-    """Join the part files of each ``parts/<key>=<value>`` folder into ``target/<value>.json``, then drop ``parts``.
+def join_parts(spark: SparkSession, parts: str, target: str, sections: list[str]) -> None:
+    """Join the part files of each ``parts/<number of section>/<key>=<value>`` folder into ``target/<value>.json``, then drop ``parts``.
 
     A value stands in the file name as in the folder name, special characters escaped.  A file system that can
-    concatenate does so without reading; any other copies file after file through a buffer, so
-    memory does not grow with the document.
+    concatenate reads only the first file of each section; any other copies file after file through a buffer, so
+    memory does not grow with the document, and deletes what is copied, so a document is not on disk twice.
     """
-    jvm, path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path
+    path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in system.listStatus(path(parts)):
-        if not folder.isDirectory():
-            continue
-        value = folder.getPath().getName().split("=", 1)[1]
-        found = [s.getPath() for s in system.listStatus(folder.getPath()) if s.getLen() and s.getPath().getName().startswith("part-")]
-        files = sorted(found, key=lambda p: p.getName())
+    found: dict[str, list[list]] = {}
+    for number in range(len(sections)):
+        for folder in system.listStatus(path(parts, str(number))):
+            if folder.isDirectory():
+                value = folder.getPath().getName().split("=", 1)[1]
+                files = [s.getPath() for s in system.listStatus(folder.getPath()) if s.getLen() and s.getPath().getName().startswith("part-")]
+                found.setdefault(value, [[] for _ in sections])[number] = sorted(files, key=lambda p: p.getName())
+    for value, files in found.items():
+        # What comes before each file: the brackets around sections, behind which a file's first comma goes.
+        pieces, closing = [], "{"
+        for name, own in zip(sections, files, strict=True):
+            opening = f'{closing}"{name}": [\n'
+            pieces += [(opening, own[0]), *((None, one) for one in own[1:])] if own else [(opening, None)]
+            closing = "],"
+        pieces.append(("]}\n", None))
         hidden, final = path(target, f"_{value}.json.joining"), path(target, f"{value}.json")
         out = system.create(hidden, True)
-        try:
-            for one in [] if _concatenated(spark, system, out, hidden, files) else files:
-                source = system.open(one)
-                try:
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
-                finally:
-                    source.close()
-        finally:
+        if system.getScheme() in ("hdfs", "webhdfs"):
             out.close()
+            _concatenate(spark, system, hidden, path(parts), pieces)
+        else:
+            try:
+                for before, one in pieces:
+                    _copy(spark, system, out, before, one)
+            finally:
+                out.close()
         system.delete(final, False)
         if not system.rename(hidden, final):
             raise OSError(f"cannot name {final}")
     system.delete(path(parts), True)
 
 
-def _concatenated(spark: SparkSession, system, out, target, files: list) -> bool:
-    """Let the file system join ``files`` behind the empty ``target``; False where it cannot."""
-    if system.getScheme() not in ("hdfs", "webhdfs"):
-        return False
-    out.close()
-    sources = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(files))
+def _copy(spark: SparkSession, system, out, before: str | None, one) -> None:
+    """Write ``before`` and the file ``one`` to ``out``, behind ``before`` without its first byte, a comma; ``one`` is deleted."""
+    if before is not None:
+        out.write(bytearray(before.encode()))
+    if one is None:
+        return
+    source = system.open(one)
+    try:
+        if before is not None and source.read() != ord(","):
+            raise ValueError(f"not an entry: {one}")
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+    finally:
+        source.close()
+    system.delete(one, False)
+
+
+def _concatenate(spark: SparkSession, system, target, parts, pieces: list) -> None:
+    """Let the file system join ``pieces`` behind the empty ``target``; only those with text before them are copied."""
+    path, files = spark._jvm.org.apache.hadoop.fs.Path, []
+    for number, (before, one) in enumerate(pieces):
+        if before is not None:
+            head = path(parts, f"head-{number}")
+            out = system.create(head, True)
+            try:
+                _copy(spark, system, out, before, one)
+            finally:
+                out.close()
+            one = head
+        files.append(one)
+    sources = spark.sparkContext._gateway.new_array(path, len(files))
     for i, one in enumerate(files):
         sources[i] = one
     system.concat(target, sources)
-    return True

@@ -35,7 +35,7 @@ def read_coco(
     ``source_split=None`` takes the split from the file's path, by default from its directory.
     """
     split = F.lit(source_split) if source_split else F.regexp_extract("file", split_pattern, 1)
-    elements = stage(json_elements(spark, path).withColumn("source_split", split), "elements")
+    elements = json_elements(spark, path).withColumn("source_split", split)
     images = section_rows(elements, "images", schemas.IMAGE, "source_split").withColumnRenamed("id", "image_id")
     annotations = section_rows(elements, "annotations", schemas.ANNOTATION, "source_split").select(
         "source_split",
@@ -78,7 +78,7 @@ def read_manifest_jsonl(spark: SparkSession, path: str | Sequence[str]) -> DataF
 
 def read_processed(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Processed manifests to (image records, categories), read in byte ranges; their category lists must agree."""
-    elements = stage(json_elements(spark, list(paths)), "elements")
+    elements = json_elements(spark, list(paths))
     listed = section_rows(elements, "categories", schemas.PROCESSED_CATEGORY, "file")
     documents = elements.select("file").distinct().count()
     # A category that not every document has, or has as often, is a difference.
