@@ -120,3 +120,30 @@ def test_the_split_is_matched_from_the_front_of_a_path():
         assert re.match(pattern, "file:///x.json/a/b c/val.json")[1] == split
     assert not re.search(readers.FILE_SPLIT, "file:/a/.json") and not re.search(readers.DIRECTORY_SPLIT, "a//b.json")
     assert re.search(readers.FILE_SPLIT, "val.json")[1] == "val" and not re.search(readers.DIRECTORY_SPLIT, "val.json")
+
+
+def test_documents_leave_only_their_elements(spark, tmp_path, monkeypatch):
+    """Writing needs no checkpoint, and what reading staged on its way is deleted."""
+    from annolake import session
+
+    names = iter(range(99))
+    monkeypatch.setattr(session, "staging_path", lambda _, name: str(tmp_path / "staged" / f"{name}-{next(names)}"))
+    images = spark.createDataFrame([("train", i % 40, "a,b", 10, 20) for i in range(50)], "source_split string, image_id long, file_name string, width int, height int")
+    boxes = spark.createDataFrame([], "source_split string, annotation_id long, image_id long, category_id long, x double, y double, w double, h double, iscrowd int")
+    categories = spark.createDataFrame([(1, "person", None)], "category_id long, name string, supercategory string")
+    monkeypatch.setattr(type(images), "checkpoint", lambda *_, **__: pytest.fail("a checkpoint"))
+    path = str(tmp_path / "out")
+    writers.write_coco_documents(images, boxes, categories, path)
+    assert not (tmp_path / "staged").exists()
+    loaded = json.loads((tmp_path / "out" / "train.json").read_text())
+    assert [len(v) for v in loaded.values()] == [50, 0, 1] and [e["id"] for e in loaded["images"]] == sorted(i % 40 for i in range(50))
+    assert documents.json_elements(spark, path).count() == 51
+    assert [p.name.split("-")[0] for p in (tmp_path / "staged").iterdir()] == ["elements"]
+
+
+def test_predictions_come_back_from_packed_documents(spark, tmp_path):
+    rows = spark.range(50).select(F.col("id").cast("string").alias("image_id"), F.lit(1).alias("category_id"), F.array(*[F.lit(1.5)] * 4).alias("bbox"), F.lit(0.5).alias("score"))
+    writers.write_text_files(writers.array_documents(rows, per_document=20), str(tmp_path / "p"), 1, "gzip")
+    assert len(list((tmp_path / "p").glob("*.gz"))) == 3
+    read = readers.read_predictions(spark, str(tmp_path / "p")).collect()
+    assert sorted(int(r.image_id) for r in read) == list(range(50)) and {r.h for r in read} == {1.5}
