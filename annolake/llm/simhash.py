@@ -21,13 +21,14 @@ very many rows is cut into blocks that meet two at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolake.llm.common import release, stage, table, text_or_empty
+from annolake.llm.common import forget_shuffles, release, stage, table, text_or_empty
 from annolake.llm.components import connected_components
 
 SHINGLE = 4
@@ -279,6 +280,8 @@ SIMILARITY = 0.8
 COUNTERS = 1 << 18
 #: Members that one task compares with a set.
 MEMBERS = 20_000
+#: Words of 64 bits in a set's sketch.
+SKETCH_WORDS = 16
 #: Most rounds of comparisons by shared shingles, in each a set with one other, before all pairs left are compared.
 ROUNDS = 8
 
@@ -400,6 +403,29 @@ def fingerprint_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return alike.union(linked).filter("a <> b").distinct()
 
 
+def _band(similarity: float) -> Column:
+    # A little wider than the sizes of sets alike enough, so that rounding parts none.
+    width = max(-np.log(similarity), 1e-3) * (1 + 1e-6)
+    return F.floor(F.log("size") / F.lit(float(width)))
+
+
+def parity_sketch(held: np.ndarray) -> np.ndarray:
+    """``SKETCH_WORDS`` words of bits, each the parity of the number of ``held`` that hash to it.  A shingle that only one
+    of two sets holds turns one bit, so their sketches differ in no more bits than the sets in shingles."""
+    bits = np.bincount((held % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _sketch_batches(shingle: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = np.array([parity_sketch(shingle_set(t.as_py(), shingle)) for t in batch.column("text")], np.int64).reshape(-1, SKETCH_WORDS)
+            words = [pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_WORDS)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *words], ["node", *(f"s{i}" for i in range(SKETCH_WORDS))])
+
+    return run
+
+
 def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """``key, band, node, size``: the rarest shingles of each set as far as sets of like size hold them too.
 
@@ -413,9 +439,7 @@ def shared_prefixes(texts: DataFrame, shingle: int, similarity: float) -> DataFr
     keyed = texts.select("node", "text").mapInArrow(_prefix_batches(counts, shingle, similarity), "key long, node long, size int")
     keyed = stage(keyed.distinct(), "prefixes")
     many = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    # A little wider than the sizes of sets alike enough, so that rounding parts none.
-    width = max(-np.log(similarity), 1e-3) * (1 + 1e-6)
-    band = F.floor(F.log("size") / F.lit(float(width)))
+    band = _band(similarity)
     banded = keyed.join(many, "key").select("key", F.explode(F.array(band, band + 1)).alias("band"), "node", "size")
     shared = stage(banded, "shared-prefixes")
     release(keyed)
@@ -433,14 +457,29 @@ def _next_pairs(active: DataFrame, tested: DataFrame, similarity: float) -> Data
     return best.select(F.col("best.lead").alias("a"), F.col("node").alias("b"), "best.low", "best.high").dropDuplicates(["low", "high"])
 
 
-def _rest_pairs(shared: DataFrame, roots: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
-    """All distinct pairs ``(a, b)`` of sets in different components that share a (key, band), have near sizes and are not in ``tested``."""
+def _rest_pairs(shared: DataFrame, roots: DataFrame, tested: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """All distinct pairs ``(a, b)`` of sets in different components that share a (key, band), have near sizes and sketches
+    and are not in ``tested``.
+
+    Sets alike enough differ in at most ``(1 - similarity) / (1 + similarity)`` of their sizes' sum, and so do their
+    sketches: pairs that differ in more are left out before they are rows, and none of those alike enough is.
+    """
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key", "band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "band")
-    left = stage(rooted.join(mixed, ["key", "band"], "left_semi"), "rest")
-    right = left.select("key", "band", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "root")])
+    # Of two sets of one band both meet in the next one again, which is `upper` to both.
+    upper = (F.col("band") > _band(similarity)).alias("upper")
+    left = stage(rooted.join(mixed, ["key", "band"], "left_semi").select("key", "band", "node", "size", "root", upper), "rest")
+    asked = stage(left.select("node").distinct(), "rest-nodes")
+    words = [f"s{i}" for i in range(SKETCH_WORDS)]
+    wanted = texts.join(asked, "node", "left_semi").dropDuplicates(["node"]).select("node", "text")
+    sketches = stage(wanted.mapInArrow(_sketch_batches(shingle), ", ".join(["node long", *(f"{w} long" for w in words)])), "sketches")
+    left = left.join(sketches, "node")
+    right = left.select("key", "band", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "root", "upper", *words)])
     near = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
-    met = left.join(right, ["key", "band"]).filter((F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root")) & near)
+    differing = reduce(Column.__add__, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"other_{w}"))) for w in words])
+    close = differing <= (1 - similarity) / (1 + similarity) * (F.col("size") + F.col("other_size")) + 1e-6
+    once = (F.col("node") < F.col("other_node")) & ~(F.col("upper") & F.col("other_upper"))
+    met = left.join(right, ["key", "band"]).filter(once & (F.col("root") != F.col("other_root")) & near & close)
     pairs = met.select(F.col("node").alias("low"), F.col("other_node").alias("high")).distinct().join(tested, ["low", "high"], "left_anti")
     return pairs.select(F.col("low").alias("a"), F.col("high").alias("b"))
 
@@ -453,7 +492,8 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
     (key, band) names two leads of different components, and each set is compared with the lead it shares most
     keys with and has not met.  So a round compares at most one pair a set, however large groups are.  Rounds end
     when nothing new meets, when two in a row link nothing, or after ``rounds``.  They only make components large:
-    after them every pair of different components that shares a key and was not compared is, so no link is lost.
+    after them every pair of different components that shares a key and was not compared is, unless its sketches
+    show that it differs in too many shingles, so no link is lost.
     """
     first = stage(fingerprint_pairs(texts.select("node", "print")), "pairs")
     tested = first.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
@@ -479,7 +519,9 @@ def copy_links(texts: DataFrame, shingle: int = COPY_SHINGLE, similarity: float
         if not idle:
             edges = edges.union(found)
             roots = connected_components(edges)
-    rest = stage(_rest_pairs(prefixes, roots, tested, similarity), "pairs")
+        forget_shuffles(texts.sparkSession)
+    rest = stage(_rest_pairs(prefixes, roots, tested, texts, shingle, similarity), "pairs")
+    forget_shuffles(texts.sparkSession)
     if not rest.isEmpty():
         edges = edges.union(stage(verified_pairs(rest, texts, shingle, similarity), "copies"))
         roots = connected_components(edges)

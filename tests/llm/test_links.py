@@ -44,3 +44,22 @@ def test_settled_tables_leave_nothing_else(spark, tmp_path, monkeypatch):
     made = common.settled(spark, "made", lambda: common.stage(common.stage(spark.range(5), "one"), "two").filter("id > 2"))
     assert sorted(r.id for r in made.collect()) == [3, 4]
     assert [p.name[:4] for p in tmp_path.iterdir()] == ["made"]
+
+
+def test_pairs_left_are_those_that_sketches_allow(spark, monkeypatch):
+    """One template: sets share many keys, but hardly any pair is alike enough to be looked at."""
+    draw = random.Random(3)
+    base, texts = [f"w{i}" for i in range(400)], []
+    for _ in range(60):
+        words = list(base)
+        for at in draw.sample(range(400), 16):  # some 60 % in common
+            words[at] = f"x{draw.randrange(10**6)}"
+        texts.append(" ".join(words))
+    texts.append(texts[0] + " end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = docs.mapInArrow(simhash._set_batches(5), "doc_id long, node long, print long, text string").select("node", "print", "text").cache()
+    asked, verified = [], simhash.verified_pairs
+    monkeypatch.setattr(simhash, "verified_pairs", lambda pairs, *rest: asked.append(pairs.count()) or verified(pairs, *rest))
+    found = {r.node: r.root for r in simhash.copy_links(made, rounds=0).collect()}
+    assert len(found) == 2 and len(set(found.values())) == 1
+    assert sum(asked[1:]) < 60
