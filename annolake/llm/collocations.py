@@ -92,13 +92,26 @@ def _numbers(column: pa.Array, row: int, kind: type = np.int32) -> np.ndarray:
     return np.frombuffer(column[row].as_buffer(), kind)
 
 
-def _found(column: pa.Array, row: int, size: int) -> np.ndarray:
-    """Ids by position; what was not found is a break."""
-    ids = np.full(size, _BREAK, np.int64)
-    structs = column[row].values
-    if structs is not None and len(structs):
-        ids[structs.field("at").to_numpy(zero_copy_only=False)] = structs.field("id").to_numpy(zero_copy_only=False)
-    return ids
+def _gathered(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[list[pa.RecordBatch], pa.RecordBatch, int]]:
+    """For every page the parts of batches with what was found for it (columns ``names``, ``own`` 0), and batch and row of
+    the page itself (``own`` 1); rows are in the order of ``page, own``."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        start = 0
+        for row in np.flatnonzero(batch.column("own").to_numpy(zero_copy_only=False)).tolist():
+            if row > start:
+                parts.append(batch.slice(start, row - start).select(names))
+            yield parts, batch, row
+            parts, start = [], row + 1
+        if start < len(batch):
+            parts.append(batch.slice(start).select(names))
+
+
+def _beside(found: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows of ``found`` and ``pages`` (both with ``page``) as ``_gathered`` reads them.  Sorted, not collected: a sort
+    leaves memory for the disk, a list for each of a task's pages does not."""
+    rows = found.withColumn("own", F.lit(0)).unionByName(pages.withColumn("own", F.lit(1)), allowMissingColumns=True)
+    return rows.repartition("page").sortWithinPartitions("page", "own")
 
 
 class Tiles:
@@ -257,13 +270,15 @@ def counted_pairs(pages: DataFrame, pairs_of: Callable, least: int, fan_in: int
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(len(batch)):
-            codes, size = _numbers(batch.column("codes"), row), batch.column("size")[row].as_py()
-            ids = np.append(_found(batch.column("found"), row, size), _BREAK)[codes]  # -1 is the added last one
-            ids = ids[(ids != _BREAK) | np.append(ids[1:] != _BREAK, False)]  # one break for many
-            columns = [batch.column("page").slice(row, 1), batch.column("lang").slice(row, 1), pa.array([ids.astype(np.int32).tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["page", "lang", "ids"])
+    for parts, batch, row in _gathered(batches, ["at", "id"]):
+        codes = _numbers(batch.column("codes"), row)
+        known = np.full(batch.column("size")[row].as_py() + 1, _BREAK, np.int64)  # -1 is the added last one
+        for part in parts:
+            known[part.column("at").to_numpy(zero_copy_only=False)] = part.column("id").to_numpy(zero_copy_only=False)
+        ids = known[codes]
+        ids = ids[(ids != _BREAK) | np.append(ids[1:] != _BREAK, False)]  # one break for many
+        columns = [batch.column("page").slice(row, 1), batch.column("lang").slice(row, 1), pa.array([ids.astype(np.int32).tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["page", "lang", "ids"])
 
 
 def _word_pairs(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -329,19 +344,27 @@ def _answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), *packed], ["page", "codes", "pair_ids"])
 
 
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frequent pairs of each page that a word follows with which the pair's last word is frequent too."""
+    for parts, batch, row in _gathered(batches, ["codes", "pair_ids"]):
+        ids = _numbers(batch.column("ids"), row).astype(np.int64)
+        known, pair_ids = (
+            np.frombuffer(b"".join(x for part in parts for x in part.column(name).to_pylist()), np.int64) for name in ("codes", "pair_ids")
+        )
+        order = np.argsort(known)
+        known, pair_ids = known[order], pair_ids[order]
+        real = (ids[:-1] != _BREAK) & (ids[1:] != _BREAK)
+        codes = Tiles.code(np.maximum(ids[:-1], 0), np.maximum(ids[1:], 0))
+        at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
+        real &= known[at] == codes if len(known) else False
+        both = np.flatnonzero(real[:-1] & real[1:])
+        columns = [batch.column("page").slice(row, 1), batch.column("lang").slice(row, 1)]
+        columns += [pa.array([x.tobytes()], pa.binary()) for x in (pair_ids[at[both]], ids[both + 2].astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, ["page", "lang", "left", "right"])
+
+
 def _pair_words(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent pairs that a word follows with which the pair's last word is frequent too."""
-    ids, found = _numbers(batch.column("ids"), row).astype(np.int64), batch.column("found")[row].as_py() or []
-    known = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x["codes"], np.int64) for x in found)])
-    pair_ids = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x["pair_ids"], np.int64) for x in found)])
-    order = np.argsort(known)
-    known, pair_ids = known[order], pair_ids[order]
-    real = (ids[:-1] != _BREAK) & (ids[1:] != _BREAK)
-    codes = Tiles.code(np.maximum(ids[:-1], 0), np.maximum(ids[1:], 0))
-    at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
-    real &= known[at] == codes if len(known) else False
-    both = np.flatnonzero(real[:-1] & real[1:])
-    return pair_ids[at[both]], ids[both + 2]
+    return _numbers(batch.column("left"), row, np.int64), _numbers(batch.column("right"), row).astype(np.int64)
 
 
 def frequent_pairs(streams: DataFrame, least: int) -> DataFrame:
@@ -359,8 +382,8 @@ def frequent_triples(streams: DataFrame, pairs: DataFrame, least: int) -> DataFr
     known = pairs.select("lang", "left", "right", "id").mapInArrow(_packer(buckets), schema)
     dealt = asked.union(known).repartition(partitions, "lang", "bucket").sortWithinPartitions("lang", "bucket", "page")
     answers = dealt.mapInArrow(_answerer, "page long, codes binary, pair_ids binary")
-    found = answers.groupBy("page").agg(F.collect_list(F.struct("codes", "pair_ids")).alias("found"))  # bounded by a page
-    return counted_pairs(stage(streams.join(found, "page", "left"), "streams"), _pair_words, least)
+    followed = _beside(answers, streams).mapInArrow(_followed, "page long, lang string, left binary, right binary")
+    return counted_pairs(stage(followed, "streams"), _pair_words, least)
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -385,8 +408,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, covered: int = COVERED
     frequent = stage(ranked.withColumn("id", F.col("id") - 1), "words")
 
     asked = pages.select("page", "lang", F.posexplode("words").alias("at", "word")).join(frequent, ["lang", "word"])
-    found = asked.groupBy("page").agg(F.collect_list(F.struct("at", "id")).alias("found"))  # bounded by a page
-    coded_pages = pages.select("page", "lang", "codes", F.size("words").alias("size")).join(found, "page", "left")
+    coded_pages = _beside(asked.select("page", "at", "id"), pages.select("page", "lang", "codes", F.size("words").alias("size")))
     streams = stage(coded_pages.mapInArrow(_streams, "page long, lang string, ids binary"), "streams")
 
     pairs = frequent_pairs(streams, least)
@@ -438,7 +460,8 @@ WITH pieces AS (
     SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
            string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                               '[.,;:!?
--]') AS cut
+-
+]') AS cut
     FROM documents)),
 listed AS (SELECT doc, lang, nth, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
 words AS (SELECT doc, lang, nth, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM listed),

@@ -74,6 +74,21 @@ def _phrases(rng):
     return rows + [rows[0], (None, None, None, *rows[0][3:])]
 
 
+def test_collocations_hold_one_page_at_a_time(spark, monkeypatch):
+    """Nothing is collected for a page, and what was found for it may lie in several batches."""
+    monkeypatch.setattr(collocations.F, "collect_list", lambda *_: pytest.fail("a list for each page of a task"))
+    monkeypatch.setattr(collocations, "PAGE_BYTES", 200)
+    rows = [(i, "en" if i % 2 else None, f"a b c. a b d{i % 3} a b c") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted(map(tuple, collocations.collocations(frame).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == _plain_collocations([(i, text, lang) for i, lang, text in rows], 10) and got
+
+
 def test_collocations_equal_plain_counts(spark, none):
     rows = _phrases(random.Random(7))
     frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
